@@ -1,0 +1,17 @@
+"""Choosing a plan by measured size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 500_000
+
+
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark a narrow table for broadcast if it was counted to be small.
+
+    Above the bound it comes back as it is, for a shuffled join in which adaptive
+    execution splits a skewed key.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
