@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,6 +14,15 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once per row.
+
+    An expression used inside a higher-order function is otherwise evaluated again
+    for every array element.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def near_failure(rul: ColumnOrName, w1: int = 30) -> Column:
     """1 if at most ``w1`` cycles remain, else 0; an unknown remaining life gives 0."""
     return F.when(_col(rul) <= w1, 1).otherwise(0).cast("long")
@@ -46,10 +55,15 @@ def sigmoid(x: ColumnOrName) -> Column:
 
 def softmax(scores: ColumnOrName) -> Column:
     """Softmax of an array, shifted by its maximum so that ``exp`` cannot overflow."""
-    scores = _col(scores)
-    weights = F.transform(scores, lambda x: F.exp(x - F.array_max(scores)))
-    total = F.aggregate(weights, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(weights, lambda x: x / total)
+    weights = bind(
+        _col(scores), lambda z: bind(F.array_max(z), lambda top: F.transform(z, lambda x: F.exp(x - top)))
+    )
+
+    def normalise(w):
+        total = F.aggregate(w, F.lit(0.0), lambda acc, x: acc + x)
+        return bind(total, lambda t: F.transform(w, lambda x: x / t))
+
+    return bind(weights, normalise)
 
 
 def activation(scores: ColumnOrName, outputs: int) -> Column:
@@ -75,12 +89,14 @@ def feature_vector(columns: Sequence[str]) -> Column:
 
 def feature_major(seq: ColumnOrName, steps: int, features: int) -> Column:
     """Turn a flat (time, feature) array into a flat (feature, time) array."""
-    seq = _col(seq)
     cells = F.sequence(F.lit(0), F.lit(steps * features - 1))
-    return F.transform(
-        cells,
-        lambda i: F.get(seq, ((i % steps) * features + F.floor(i / steps)).cast("int")),
-    )
+
+    def turned(values):
+        return F.transform(
+            cells, lambda i: F.get(values, ((i % steps) * features + F.floor(i / steps)).cast("int"))
+        )
+
+    return bind(_col(seq), turned)
 
 
 def time_major(seq: ColumnOrName, steps: int, features: int) -> Column:

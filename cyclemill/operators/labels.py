@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cyclemill.functions.expressions import failure_horizon, near_failure
-from cyclemill.operators.ordering import ROWS_PER_TASK, number_rows
+from cyclemill.operators.ordering import ROWS_PER_TASK, Extent, number_rows
 from cyclemill.plans.sizing import BROADCAST_ROWS, small_side
 
 
@@ -25,16 +25,17 @@ def remaining_life(
     id_col: str = "id",
     cycle_col: str = "cycle",
     broadcast_rows: int = BROADCAST_ROWS,
+    entities: int | None = None,
 ) -> DataFrame:
     """Add ``RUL = max - cycle``; entities the summary does not know get NULL.
 
     Without a summary the last observed cycle counts as the failure. The summary
     has one row per entity and was pre-aggregated on the map side, so a hot
     entity costs nothing here, and the log is not shuffled if the summary was
-    counted to be small.
+    counted (or, as ``entities``, is known) to be small.
     """
     summary = max_cycles(log, id_col, cycle_col) if summary is None else summary
-    joined = log.join(small_side(summary, broadcast_rows), id_col, "left")
+    joined = log.join(small_side(summary, broadcast_rows, entities), id_col, "left")
     return joined.withColumn("RUL", F.col("max") - F.col(cycle_col)).select(*log.columns, "RUL")
 
 
@@ -48,6 +49,7 @@ def extend_with_truth(
     truth: DataFrame,
     align: str = "key",
     id_col: str = "id",
+    extent: Extent | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Total life of censored series: last observed cycle plus the true remainder.
@@ -59,7 +61,7 @@ def extend_with_truth(
     if align == "key":
         total = summary.join(truth, id_col, "left")
     elif align == "position":
-        ranked = number_rows(summary, [], [id_col], "_position", rows_per_task=rows_per_task)
+        ranked = number_rows(summary, [], [id_col], "_position", None, extent, rows_per_task)
         placed = truth.select(F.col(id_col).alias("_position"), "more")
         both = ranked.join(placed, "_position", "full")
         mismatch = F.raise_error(F.lit("ground truth and log have different numbers of entities"))

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cyclemill.operators.ordering import ROWS_PER_TASK, running_totals
 
+PROBABILITY_FLOOR = 1e-7
+
 
 def confusion_matrix(scored: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """``(label, prediction, n)``; at most classes squared rows, combined on the map side."""
@@ -15,22 +19,27 @@ def confusion_matrix(scored: DataFrame, label: str = "label", prediction: str =
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
-def per_class_metrics(confusion: DataFrame) -> DataFrame:
-    """Precision, recall and F1 of every class that occurs; NULL where undefined."""
+def per_class_metrics(confusion: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Precision, recall and F1 of every class that occurs; NULL where undefined.
+
+    ``carry`` names further sums per cell, to be added up by actual class.
+    """
     none, n = F.lit(0).cast("long"), F.col("n")
     hit = F.when(F.col("label") == F.col("prediction"), n).otherwise(none)
+    no_carry = [F.lit(0).cast(confusion.schema[c].dataType).alias(c) for c in carry]
 
-    def side(c, actual, predicted, tp):
-        return F.struct(c.alias("class"), actual.alias("actual"), predicted.alias("predicted"), tp.alias("tp"))
+    def side(c, actual, predicted, tp, carried):
+        counts = [actual.alias("actual"), predicted.alias("predicted"), tp.alias("tp")]
+        return F.struct(c.alias("class"), *counts, *carried)
 
     sides = F.array(
-        side(F.col("label"), n, none, hit), side(F.col("prediction"), none, n, none)
+        side(F.col("label"), n, none, hit, [F.col(c) for c in carry]),
+        side(F.col("prediction"), none, n, none, no_carry),
     )
-    cells = confusion.select(F.inline(sides))
-    sums = cells.groupBy("class").agg(
-        F.sum("tp").alias("tp"),
-        F.sum("actual").alias("actual"),
-        F.sum("predicted").alias("predicted"),
+    sums = (
+        confusion.select(F.inline(sides))
+        .groupBy("class")
+        .agg(*[F.sum(c).alias(c) for c in ("tp", "actual", "predicted", *carry)])
     )
 
     def ratio(a, b):
@@ -46,25 +55,41 @@ def per_class_metrics(confusion: DataFrame) -> DataFrame:
     )
 
 
-def summary_metrics(confusion: DataFrame) -> DataFrame:
-    """One row: accuracy, macro precision, recall and F1 over classes where they are defined."""
-    return per_class_metrics(confusion).agg(
+def _summaries() -> list[Column]:
+    return [
         (F.sum("tp") / F.sum("actual")).alias("accuracy"),
         F.avg("precision").alias("precision"),
         F.avg("recall").alias("recall"),
         F.avg("f1").alias("f1"),
         F.count("precision").alias("precision_classes"),
         F.count("recall").alias("recall_classes"),
+    ]
+
+
+def summary_metrics(confusion: DataFrame) -> DataFrame:
+    """One row: accuracy, macro precision, recall and F1 over classes where they are defined."""
+    return per_class_metrics(confusion).agg(*_summaries())
+
+
+def evaluation(scored: DataFrame) -> DataFrame:
+    """Loss and summary metrics in one row, from one pass over ``(label, prob, prediction)``."""
+    cells = scored.groupBy("label", "prediction").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(log_loss()).alias("loss")
     )
+    classes = per_class_metrics(cells, carry=["loss"])
+    return classes.agg((F.sum("loss") / F.sum("actual")).alias("loss"), *_summaries())
+
+
+def log_loss(probabilities: str = "prob", label: str = "label") -> Column:
+    """Negative log-probability of the true class, with the probability kept off 0 and 1."""
+    p = F.get(F.col(probabilities), F.col(label).cast("int"))
+    return -F.log(F.greatest(F.least(p, F.lit(1 - PROBABILITY_FLOOR)), F.lit(PROBABILITY_FLOOR)))
 
 
 def cross_entropy(scored: DataFrame, probabilities: str = "prob", label: str = "label") -> DataFrame:
     """Mean negative log-probability of the true class, over any number of classes."""
-    floor = 1e-7
-    p = F.get(F.col(probabilities), F.col(label).cast("int"))
     return scored.agg(
-        F.avg(-F.log(F.greatest(F.least(p, F.lit(1 - floor)), F.lit(floor)))).alias("loss"),
-        F.count(F.lit(1)).alias("n"),
+        F.avg(log_loss(probabilities, label)).alias("loss"), F.count(F.lit(1)).alias("n")
     )
 
 

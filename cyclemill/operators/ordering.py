@@ -12,7 +12,7 @@ largest group first (one pre-aggregated count) and only then picks a plan:
 
 A group counts as oversized above ``limit = max(rows_per_task, rows / HOT_GROUPS)``,
 so there are fewer than ``HOT_GROUPS`` of them and fewer than
-``(SLICES_PER_LIMIT + 1) * HOT_GROUPS`` slices for each cut, however large the
+``(SLICES_PER_LIMIT + 3) * HOT_GROUPS`` slices for each cut, however large the
 table is. That bound is what makes their tables safe to collect and broadcast.
 """
 
@@ -28,24 +28,37 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROWS_PER_TASK = 1 << 20
-HOT_GROUPS = 1 << 16
+HOT_GROUPS = 1 << 14
 SLICES_PER_LIMIT = 4
-MAX_CUTS = 4
+MAX_PIECES = 64
+MAX_CUTS = 8
+QUANTILE_ACCURACY = 1000
 LARGEST_DOUBLE = 1.7976931348623157e308
 
+AXIS = T.StructField("_axis", T.IntegerType())
+HIGH = T.StructField("_hi", T.DoubleType())
+
 
 @dataclass(frozen=True)
 class Extent:
-    """Row count of a table and of its largest group."""
+    """Row count of a table, row count of its largest group, and number of groups."""
 
     rows: int
     longest: int
+    groups: int
+
+    @property
+    def as_one_group(self) -> Extent:
+        """Extent of a table that has one row per group, ordered as a whole."""
+        return Extent(self.groups, self.groups, 1)
 
 
 def measure(df: DataFrame, by: Sequence[str]) -> Extent:
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    row = sizes.agg(F.sum("n").alias("rows"), F.max("n").alias("longest")).first()
-    return Extent(row["rows"] or 0, row["longest"] or 0)
+    row = sizes.agg(
+        F.sum("n").alias("rows"), F.max("n").alias("longest"), F.count(F.lit(1)).alias("groups")
+    ).first()
+    return Extent(row["rows"] or 0, row["longest"] or 0, row["groups"])
 
 
 def running_totals(
@@ -61,6 +74,7 @@ def running_totals(
 
     ``order`` names ascending numeric, date or timestamp columns that together
     are unique within a group. ``by`` may be empty: the table is then one group.
+    ``extent`` saves the measuring pass where the sizes are known; an upper bound will do.
     """
     overall = dict(overall or {})
     extent = extent or measure(df, by)
@@ -123,9 +137,9 @@ def _window_totals(df, by, order, running, overall):
 def _cut_hot_groups(df, by, order, limit):
     """Add slice columns that split every group above ``limit`` rows, in order.
 
-    Each pass cuts a group evenly between the smallest and largest value of its
-    first order column that varies. Uneven density leaves some slices too large;
-    the next pass cuts just those, on their own narrower range.
+    Each pass cuts a group at quantiles of its first order column that varies.
+    What is still too large afterwards (quantiles are approximate, and a pass makes
+    at most ``MAX_PIECES`` slices) is cut again by the next pass.
     """
     spark = df.sparkSession
     axes = [_ordinal(df, c) for c in order]
@@ -133,35 +147,23 @@ def _cut_hot_groups(df, by, order, limit):
     df = df.withColumn("_hot", F.lit(False))
     for level in range(MAX_CUTS):
         keys = [*by, *slices]
-        crowded = _crowded_groups(df, keys, axes, limit)
-        rows = [r for r in map(_choose_axis, crowded) if r is not None]
-        if not rows:
+        key_fields = [df.schema[k] for k in keys]
+        chosen = [c for c in map(_choose_axis, _crowded_groups(df, keys, axes, limit)) if c]
+        if not chosen:
             break
-        cuts = spark.createDataFrame(
-            [
-                (*[r[k] for k in keys], axis, lo, hi, math.ceil(SLICES_PER_LIMIT * r["_n"] / limit))
-                for r, axis, lo, hi in rows
-            ],
-            T.StructType(
-                [df.schema[k] for k in keys]
-                + [
-                    T.StructField("_axis", T.IntegerType()),
-                    T.StructField("_lo", T.DoubleType()),
-                    T.StructField("_hi", T.DoubleType()),
-                    T.StructField("_pieces", T.IntegerType()),
-                ]
-            ),
+        axis_table = spark.createDataFrame(
+            [(*[row[k] for k in keys], axis, lo, hi) for row, axis, lo, hi in chosen],
+            T.StructType([*key_fields, AXIS, T.StructField("_lo", T.DoubleType()), HIGH]),
         )
-        df = _null_safe_join(df, cuts, keys)
-        value = reduce(
-            lambda acc, i: F.when(F.col("_axis") == i, axes[i]).otherwise(acc),
-            range(len(axes)),
-            F.lit(None).cast("double"),
+        bounds_table = spark.createDataFrame(
+            _quantile_bounds(_null_safe_join(df, axis_table, keys), keys, axes, limit),
+            T.StructType([*key_fields, AXIS, HIGH, T.StructField("_bounds", T.ArrayType(T.DoubleType()))]),
         )
+        df = _null_safe_join(df, bounds_table, keys)
         name = f"_slice{level}"
         df = df.withColumns(
-            {name: _slice_number(value), "_hot": F.col("_hot") | F.col("_axis").isNotNull()}
-        ).drop("_axis", "_lo", "_hi", "_pieces")
+            {name: _slice_number(_on_axis(axes)), "_hot": F.col("_hot") | F.col("_axis").isNotNull()}
+        ).drop("_axis", "_hi", "_bounds")
         slices.append(name)
     if not slices:
         df = df.withColumn("_slice0", F.lit(0))
@@ -173,10 +175,9 @@ def _crowded_groups(df, keys, axes, limit):
     """Groups above the limit with the range of each order column (bounded: see the module text)."""
     ranges = []
     for i, axis in enumerate(axes):
-        finite = F.when(F.abs(axis) <= LARGEST_DOUBLE, axis)
         ranges += [
-            F.min(finite).alias(f"_lo{i}"),
-            F.max(finite).alias(f"_hi{i}"),
+            F.min(_finite(axis)).alias(f"_lo{i}"),
+            F.max(_finite(axis)).alias(f"_hi{i}"),
             F.count(axis).alias(f"_known{i}"),
         ]
     groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *ranges)
@@ -194,12 +195,45 @@ def _choose_axis(row):
     return None
 
 
+def _quantile_bounds(df, keys, axes, limit):
+    """(keys, axis, high, bounds) of the crowded groups; their rows are only sketched, not moved.
+
+    The lowest value is always a bound: a value that most rows share gets a slice of its own.
+    """
+    hot = df.where(F.col("_axis").isNotNull()).withColumn("_v", _finite(_on_axis(axes)))
+    sketches = hot.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.first("_axis").alias("_axis"),
+        F.first("_lo").alias("_lo"),
+        F.first("_hi").alias("_hi"),
+        F.percentile_approx("_v", [i / MAX_PIECES for i in range(1, MAX_PIECES)], F.lit(QUANTILE_ACCURACY)).alias(
+            "_quantiles"
+        ),
+    )
+    rows = []
+    for r in sketches.collect():
+        pieces = min(MAX_PIECES, math.ceil(SLICES_PER_LIMIT * r["_n"] / limit))
+        picked = {r["_quantiles"][MAX_PIECES * i // pieces - 1] for i in range(1, pieces)}
+        bounds = sorted(picked | {r["_lo"]})
+        rows.append((*[r[k] for k in keys], r["_axis"], r["_hi"], bounds))
+    return rows
+
+
+def _finite(axis: Column) -> Column:
+    return F.when(F.abs(axis) <= LARGEST_DOUBLE, axis)
+
+
+def _on_axis(axes) -> Column:
+    """The order column that the group's ``_axis`` points to; NULL for groups that are not cut."""
+    none = F.lit(None).cast("double")
+    return reduce(lambda acc, i: F.when(F.col("_axis") == i, axes[i]).otherwise(acc), range(len(axes)), none)
+
+
 def _slice_number(value: Column) -> Column:
-    """0 for NULL, which sorts first, then 1..pieces; 0 for rows of groups that are not cut."""
-    inside = F.least(F.greatest(value, F.col("_lo")), F.col("_hi"))
-    share = F.when(F.col("_hi") > F.col("_lo"), (inside - F.col("_lo")) / (F.col("_hi") - F.col("_lo")))
-    piece = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * F.col("_pieces")), F.col("_pieces") - 1) + 1
-    return F.when(value.isNull(), 0).otherwise(piece).cast("int")
+    """0 for NULL, which sorts first, then 1 + number of bounds below; 0 in groups that are not cut."""
+    inside = F.least(value, F.col("_hi"))
+    below = F.size(F.filter("_bounds", lambda b: b < inside))
+    return F.when(value.isNull(), 0).otherwise(below + 1).cast("int")
 
 
 def _ordinal(df: DataFrame, name: str) -> Column:

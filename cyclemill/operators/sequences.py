@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cyclemill.functions.expressions import feature_vector, one_hot
-from cyclemill.operators.ordering import ROWS_PER_TASK, number_rows
+from cyclemill.operators.ordering import ROWS_PER_TASK, Extent, number_rows
 from cyclemill.plans.sizing import small_side
 
 SEQUENCE_LENGTH = 50
@@ -31,6 +31,7 @@ def sliding_sequences(
     longest: int | None = None,
     segment_rows: int = SEGMENT_ROWS,
     keep: Sequence[str] = (),
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """One row per window of ``length`` rows, labelled by the row just after it.
 
@@ -38,12 +39,13 @@ def sliding_sequences(
     (time, feature) order as one flat float array.
 
     ``longest`` is the measured size of the largest series. If it fits a segment,
-    the windows reuse the exchange on ``id_col`` that numbered the rows. Otherwise
+    the windows reuse the exchange on ``id_col`` that numbered the rows, and its sort
+    too if ``order`` names the columns that the positions were numbered by. Otherwise
     (or if it is unknown) the series are cut into segments, each of which also gets
     the ``length`` rows before it, so that no window is lost at a border.
     """
     segment_rows = max(segment_rows, length)
-    rows = log.select(id_col, pos_col, feature_vector(features).alias("_x"), label, *keep)
+    rows = log.select(id_col, pos_col, *order, feature_vector(features).alias("_x"), label, *keep)
     group = [id_col]
     if longest is None or longest > segment_rows:
         own = F.floor((F.col(pos_col) - 1) / segment_rows)
@@ -52,7 +54,7 @@ def sliding_sequences(
             {"_own": own, "_segment": F.explode(F.when(needed_next, F.array(own, own + 1)).otherwise(F.array(own)))}
         )
         group.append("_segment")
-    before = Window.partitionBy(*group).orderBy(pos_col).rowsBetween(-length, -1)
+    before = Window.partitionBy(*group).orderBy(*(order or [pos_col])).rowsBetween(-length, -1)
     windows = rows.withColumn("_w", F.collect_list("_x").over(before)).where(F.size("_w") == length)
     if "_segment" in group:
         windows = windows.where(F.col("_own") == F.col("_segment"))
@@ -86,18 +88,20 @@ def life_batches(
     max_steps: int = LIFE_STEPS,
     id_col: str = "id",
     n_col: str = "n_cycles",
+    extent: Extent | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Put life parts, in entity order, into minibatches: ``(id, part, steps, batch_id, batch_steps)``.
 
     ``lengths`` has one row per entity. ``batch_steps`` is the longest part of the batch.
+    ``extent`` is that of the parts, if known.
     """
     last = F.floor((F.col(n_col) - 1) / max_steps).cast("long")
     parts = lengths.select(id_col, n_col, F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("part"))
     parts = parts.select(
         id_col, "part", F.least(F.col(n_col) - F.col("part") * max_steps, F.lit(max_steps)).alias("steps")
     )
-    numbered = number_rows(parts, [], [id_col, "part"], "_i", rows_per_task=rows_per_task)
+    numbered = number_rows(parts, [], [id_col, "part"], "_i", None, extent, rows_per_task)
     batched = numbered.withColumn("batch_id", F.floor((F.col("_i") - 1) / batch_size).cast("long")).drop("_i")
     return batched.withColumn("batch_steps", F.max("steps").over(Window.partitionBy("batch_id")))
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cyclemill.operators.ordering import ROWS_PER_TASK, number_rows, running_totals
-from cyclemill.operators.sequences import SEQUENCE_LENGTH, sequence_counts
+from cyclemill.functions.expressions import feature_vector
+from cyclemill.operators.ordering import ROWS_PER_TASK, Extent, number_rows, running_totals
+from cyclemill.operators.sequences import LIFE_STEPS, SEQUENCE_LENGTH, cut_lives, sequence_counts
 from cyclemill.plans.sizing import BROADCAST_ROWS, small_side
 
 TRAIN_SHARE = 0.8
@@ -16,11 +19,12 @@ def entity_phases(
     entities: DataFrame,
     share: float = TRAIN_SHARE,
     id_col: str = "id",
+    extent: Extent | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """``(id, entity_no, phase)``: the first ``int(share * N)`` entities train, the rest validate."""
     ranked = number_rows(
-        entities.select(id_col).distinct(), [], [id_col], "entity_no", "_n", rows_per_task=rows_per_task
+        entities.select(id_col).distinct(), [], [id_col], "entity_no", "_n", extent, rows_per_task
     )
     cut = F.floor(F.lit(float(share)) * F.col("_n"))
     phase = F.when(F.col("entity_no") <= cut, "train").otherwise("val")
@@ -32,9 +36,10 @@ def split_entities(
     phases: DataFrame,
     id_col: str = "id",
     broadcast_rows: int = BROADCAST_ROWS,
+    entities: int | None = None,
 ) -> DataFrame:
     """Add the entity's ``phase`` to every row."""
-    return log.join(small_side(phases.select(id_col, "phase"), broadcast_rows), id_col)
+    return log.join(small_side(phases.select(id_col, "phase"), broadcast_rows, entities), id_col)
 
 
 def entity_range(log: DataFrame, first: int, last: int, id_col: str = "id") -> DataFrame:
@@ -47,6 +52,7 @@ def sample_offsets(
     length: int = SEQUENCE_LENGTH,
     id_col: str = "id",
     n_col: str = "n_cycles",
+    extent: Extent | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """``(id, sample_offset, n_all)``: samples of the entities before, and of all.
@@ -60,7 +66,8 @@ def sample_offsets(
         [id_col],
         {"_upto": F.col("n_samples")},
         {"n_all": F.col("n_samples")},
-        rows_per_task=rows_per_task,
+        extent,
+        rows_per_task,
     )
     return running.select(id_col, (F.col("_upto") - F.col("n_samples")).alias("sample_offset"), "n_all")
 
@@ -74,10 +81,11 @@ def index_samples(
     id_col: str = "id",
     pos_col: str = "cycle",
     broadcast_rows: int = BROADCAST_ROWS,
+    entities: int | None = None,
 ) -> DataFrame:
     """Keep the rows that label a sample; add its global index, batch and tail-split phase."""
     labelled = log.where(F.col(pos_col) > length)
-    joined = labelled.join(small_side(offsets, broadcast_rows), id_col)
+    joined = labelled.join(small_side(offsets, broadcast_rows, entities), id_col)
     index = F.col("sample_offset") + F.col(pos_col) - (length + 1)
     cut = F.floor(F.lit(float(share)) * F.col("n_all"))
     return (
@@ -90,3 +98,68 @@ def index_samples(
         )
         .drop("sample_offset", "n_all")
     )
+
+
+def window_batch_rows(
+    log: DataFrame,
+    offsets: DataFrame,
+    features: Sequence[str],
+    label: str,
+    length: int = SEQUENCE_LENGTH,
+    batch_size: int = 16,
+    id_col: str = "id",
+    pos_col: str = "cycle",
+    n_col: str = "n_cycles",
+    broadcast_rows: int = BROADCAST_ROWS,
+    entities: int | None = None,
+) -> DataFrame:
+    """The rows each minibatch of windows needs, once per minibatch.
+
+    Neighbouring windows share all but one row, so shipping rows instead of windows
+    moves (length + batch_size) / batch_size copies of a row rather than ``length``.
+    ``is_label`` marks the rows that label a sample; its window is the ``length``
+    rows before it. Every row is placed by arithmetic alone: no window, no shuffle
+    apart from a large offset table's join.
+    """
+    pos, n = F.col(pos_col), F.col(n_col)
+
+    def batch_of(labelled):
+        return F.floor((F.col("sample_offset") + labelled - (length + 1)) / batch_size).cast("long")
+
+    first, last = F.greatest(pos, F.lit(length + 1)), F.least(pos + length, n)
+    joined = log.where(first <= last).join(small_side(offsets, broadcast_rows, entities), id_col)
+    placed = joined.withColumn("batch_id", F.explode(F.sequence(batch_of(first), batch_of(last))))
+    return placed.select(
+        "batch_id",
+        id_col,
+        F.lit(0).cast("long").alias("part"),
+        pos.alias("pos"),
+        feature_vector(features).alias("x"),
+        F.col(label).cast("float").alias("y"),
+        ((pos > length) & (batch_of(pos) == F.col("batch_id"))).alias("is_label"),
+    )
+
+
+def life_batch_rows(
+    log: DataFrame,
+    batches: DataFrame,
+    features: Sequence[str],
+    label: str,
+    id_col: str = "id",
+    pos_col: str = "cycle",
+    max_steps: int = LIFE_STEPS,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """The rows of each minibatch of whole lives; every row carries a label."""
+    rows = cut_lives(log, pos_col, max_steps).join(
+        small_side(batches.select(id_col, "part", "batch_id"), broadcast_rows), [id_col, "part"]
+    )
+    return rows.select(
+        "batch_id",
+        id_col,
+        "part",
+        F.col("step").alias("pos"),
+        feature_vector(features).alias("x"),
+        F.col(label).cast("float").alias("y"),
+        F.lit(True).alias("is_label"),
+    )

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 500_000
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, known_rows: int | None = None) -> DataFrame:
     """Mark a narrow table for broadcast if it was counted to be small.
 
-    Above the bound it comes back as it is, for a shuffled join in which adaptive
+    ``known_rows`` saves the count where an upper bound is at hand. Above the bound it comes back as it is, for a shuffled join in which adaptive
     execution splits a skewed key.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    rows = df.limit(max_rows + 1).count() if known_rows is None else known_rows
+    return F.broadcast(df) if rows <= max_rows else df

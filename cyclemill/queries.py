@@ -13,11 +13,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cyclemill.functions import expressions as X
+from cyclemill.functions.lstm import Network
 from cyclemill.operators import columns, labels, metrics, parameters, scaling, sequences, splits
 from cyclemill.operators.ordering import Extent, measure, number_rows
 from cyclemill.plans.pipeline import label_censored, label_complete
+from cyclemill.plans.scoring import score
+from cyclemill.plans.training import Settings, export_rounds, train
+from cyclemill.session import shared_folder
+from cyclemill.sources.models import read_stats
 
 FEATURES = ["value", "k", "cycle_norm"]
+TIME = ["ts", "event_id"]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -44,13 +50,18 @@ def raw_events(spark: SparkSession, sf: str) -> DataFrame:
 def numbered(raw: DataFrame) -> tuple[DataFrame, Extent]:
     """The cycle log and the measured size of its longest series."""
     extent = measure(raw, ["id"])
-    return number_rows(raw, ["id"], ["ts", "event_id"], "cycle", "n_cycles", extent), extent
+    return number_rows(raw, ["id"], TIME, "cycle", "n_cycles", extent), extent
 
 
 def cycle_log(spark: SparkSession, sf: str) -> DataFrame:
     return numbered(raw_events(spark, sf))[0]
 
 
+def short_lives(extent: Extent) -> Extent | None:
+    """Every life is one part if the longest fits: then the entities bound the parts."""
+    return extent.as_one_group if extent.longest <= sequences.LIFE_STEPS else None
+
+
 def labelled_log(spark: SparkSession, sf: str) -> tuple[DataFrame, Extent]:
     """Complete series: the length that numbering already knows gives the remaining life."""
     log, extent = numbered(raw_events(spark, sf))
@@ -64,9 +75,10 @@ def lengths(spark: SparkSession, sf: str) -> DataFrame:
 
 def phased_log(spark: SparkSession, sf: str) -> DataFrame:
     raw = raw_events(spark, sf)
-    log, _ = numbered(raw)
+    log, extent = numbered(raw)
     with_norm = scaling.with_cycle_feature(log)
-    return splits.split_entities(with_norm, splits.entity_phases(raw))
+    phases = splits.entity_phases(raw, extent=extent.as_one_group)
+    return splits.split_entities(with_norm, phases, entities=extent.groups)
 
 
 def truth_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -123,7 +135,7 @@ normed AS (
 soft AS (
   SELECT *, list_transform(e, lambda x: x / list_sum(e)) AS p FROM normed),
 predicted AS (
-  SELECT *, list_position(p, list_max(p)) - 1 AS prediction FROM soft)"""
+  SELECT *, CAST(list_position(p, list_max(p)) - 1 AS BIGINT) AS prediction FROM soft)"""
 )
 Z_SCORES = """
   round((value - (SELECT avg(value) FROM fit)) / (SELECT stddev_pop(value) FROM fit), 6) AS value,
@@ -361,14 +373,18 @@ def entity_split(spark, sf):
   THEN 'train' ELSE 'val' END AS phase FROM samples"""
 )
 def tail_split(spark, sf):
-    indexed = splits.index_samples(cycle_log(spark, sf), splits.sample_offsets(lengths(spark, sf)))
-    return indexed.select("id", "cycle", "sample_idx", "phase")
+    return indexed_samples(spark, sf).select("id", "cycle", "sample_idx", "phase")
 
 
 @query(SAMPLES + " SELECT id, cycle, sample_idx, CAST(sample_idx // 16 AS BIGINT) AS batch_id FROM samples")
 def minibatches(spark, sf):
-    indexed = splits.index_samples(cycle_log(spark, sf), splits.sample_offsets(lengths(spark, sf)))
-    return indexed.select("id", "cycle", "sample_idx", "batch_id")
+    return indexed_samples(spark, sf).select("id", "cycle", "sample_idx", "batch_id")
+
+
+def indexed_samples(spark, sf):
+    log, extent = numbered(raw_events(spark, sf))
+    offsets = splits.sample_offsets(lengths(spark, sf), extent=extent.as_one_group)
+    return splits.index_samples(log, offsets, entities=extent.groups)
 
 
 # ---------------------------------------------------------------- sequences
@@ -392,7 +408,7 @@ FROM cells WHERE cycle > 50"""
 )
 def sequences_(spark, sf):
     log, extent = labelled_log(spark, sf)
-    rows = sequences.sliding_sequences(log, FEATURES, "label1", longest=extent.longest)
+    rows = sequences.sliding_sequences(log, FEATURES, "label1", longest=extent.longest, order=TIME)
     return rows.withColumn("seq", as_text("seq", 100))
 
 
@@ -404,7 +420,7 @@ def sequences_(spark, sf):
 def sequence_labels(spark, sf):
     log, extent = labelled_log(spark, sf)
     rows = sequences.sliding_sequences(
-        log, FEATURES, "RUL", longest=extent.longest, keep=["label1", "label2"]
+        log, FEATURES, "RUL", longest=extent.longest, keep=["label1", "label2"], order=TIME
     )
     return rows.select(
         "id",
@@ -433,7 +449,7 @@ FROM log QUALIFY count(*) OVER {WINDOW} = 50"""
 )
 def sequence_layout(spark, sf):
     log, extent = labelled_log(spark, sf)
-    rows = sequences.sliding_sequences(log, FEATURES, "label1", longest=extent.longest)
+    rows = sequences.sliding_sequences(log, FEATURES, "label1", longest=extent.longest, order=TIME)
     turned = X.feature_major("seq", sequences.SEQUENCE_LENGTH, len(FEATURES))
     return rows.select("id", "label_cycle", as_text(turned, 100).alias("seq"))
 
@@ -474,8 +490,9 @@ def pad_align_end(spark, sf):
 
 
 def padded_log(spark, sf):
-    batches = sequences.life_batches(lengths(spark, sf))
-    return sequences.padded_lives(labelled_log(spark, sf)[0], batches, FEATURES, "label2", 3)
+    log, extent = labelled_log(spark, sf)
+    batches = sequences.life_batches(lengths(spark, sf), extent=short_lives(extent))
+    return sequences.padded_lives(log, batches, FEATURES, "label2", 3)
 
 
 @query(
@@ -616,8 +633,8 @@ FROM labelled GROUP BY ALL"""
 )
 def masked_timestep_eval(spark, sf):
     width = len(FEATURES)
-    k_of_step = F.transform(
-        F.sequence(F.lit(0), F.size("mask") - 1), lambda t: F.get("x", (t * width + 1).cast("int"))
+    k_of_step = X.bind(
+        F.col("x"), lambda x: F.transform("mask", lambda _, t: F.get(x, (t * width + 1).cast("int")))
     )
     guess = F.transform(k_of_step, lambda k: F.least(F.floor(k / 34), F.lit(2)))
     actual = F.transform("y", X.arg_max)
@@ -650,5 +667,60 @@ def param_counts(spark, sf):
     return parameters.parameter_counts(model)
 
 
+# ---------------------------------------------------------------- training and scoring
+
+
+def scaled_phases(spark, sf):
+    """Labelled log, split by entity and standardised with the training entities' statistics."""
+    log, extent = labelled_log(spark, sf)
+    phases = splits.entity_phases(raw_events(spark, sf), extent=extent.as_one_group)
+    phased = splits.split_entities(log, phases, entities=extent.groups)
+    train_log = phased.where("phase = 'train'")
+    return scaling.apply_scaler(phased, scaling.fit_scaler(train_log, FEATURES)), phases, extent
+
+
+def window_rows(spark, sf, phase, label, batch_size):
+    scaled, phases, extent = scaled_phases(spark, sf)
+    mine = F.col("phase") == phase
+    known = lengths(spark, sf).join(phases.where(mine), "id", "left_semi")
+    offsets = splits.sample_offsets(known, extent=extent.as_one_group)
+    return splits.window_batch_rows(
+        scaled.where(mine), offsets, FEATURES, label, batch_size=batch_size, entities=extent.groups
+    )
+
+
+@query()
+def averaged_training(spark, sf):
+    """One epoch of window training on the first entities, validated on the rest."""
+    net = Network(features=len(FEATURES), outputs=1, units=(8,))
+    settings = Settings(epochs=1, workers=spark.sparkContext.defaultParallelism, evaluate_every=10)
+    rounds = export_rounds(window_rows(spark, sf, "train", "label1", 16), settings)
+    path = shared_folder(spark, "stats")
+    validation = window_rows(spark, sf, "val", "label1", 512)
+    train(spark, rounds, net, settings, validation=validation, stats_path=path)
+    return read_stats(spark, path).select("run", "epoch", "round", "worker", "n", F.round("loss", 6).alias("loss"))
+
+
+@query()
+def averaged_training_per_step(spark, sf):
+    """One epoch on whole lives, one class per cycle."""
+    net = Network(features=len(FEATURES), outputs=3, units=(8,), many_to_one=False)
+    settings = Settings(epochs=1, workers=spark.sparkContext.defaultParallelism)
+    log, _, extent = scaled_phases(spark, sf)
+    batches = sequences.life_batches(lengths(spark, sf), extent=short_lives(extent))
+    rows = splits.life_batch_rows(log, batches, FEATURES, "label2")
+    path = shared_folder(spark, "stats")
+    train(spark, export_rounds(rows, settings), net, settings, stats_path=path)
+    return read_stats(spark, path).select("run", "epoch", "round", "worker", "n", F.round("loss", 6).alias("loss"))
+
+
+@query()
+def batch_scoring(spark, sf):
+    """Every window of the validation entities through a network with its initial weights."""
+    net = Network(features=len(FEATURES), outputs=1, units=(8,))
+    scored = score(window_rows(spark, sf, "val", "label1", 512), net, net.initial())
+    return scored.select("id", F.col("pos").alias("cycle"), "label", F.round(F.col("prob")[1], 6).alias("prob"), "prediction")
+
+
 for registry in (QUERIES, ORACLES):
     registry["sequences"] = registry.pop("sequences_")

@@ -17,6 +17,9 @@ def local_session(cores: int | str = "*", app: str = "cyclemill") -> SparkSessio
         .config("spark.driver.memory", "12g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        # windows multiply their input by 50, so small partitions are worth a task of their own
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
+        .config("spark.executorEnv.OMP_NUM_THREADS", "1")
         .getOrCreate()
     )
 
