@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cyclemill.functions.expressions import failure_horizon, near_failure
-from cyclemill.operators.ordering import ROWS_PER_TASK, Extent, number_rows
-from cyclemill.plans.sizing import BROADCAST_ROWS, small_side
+from cyclemill.operators.ordering import Extent, number_rows
+from cyclemill.sizing import small_side
 
 
 def max_cycles(log: DataFrame, id_col: str = "id", cycle_col: str = "cycle") -> DataFrame:
@@ -24,7 +24,6 @@ def remaining_life(
     summary: DataFrame | None = None,
     id_col: str = "id",
     cycle_col: str = "cycle",
-    broadcast_rows: int = BROADCAST_ROWS,
     entities: int | None = None,
 ) -> DataFrame:
     """Add ``RUL = max - cycle``; entities the summary does not know get NULL.
@@ -35,7 +34,7 @@ def remaining_life(
     counted (or, as ``entities``, is known) to be small.
     """
     summary = max_cycles(log, id_col, cycle_col) if summary is None else summary
-    joined = log.join(small_side(summary, broadcast_rows, entities), id_col, "left")
+    joined = log.join(small_side(summary, entities), id_col, "left")
     return joined.withColumn("RUL", F.col("max") - F.col(cycle_col)).select(*log.columns, "RUL")
 
 
@@ -50,7 +49,6 @@ def extend_with_truth(
     align: str = "key",
     id_col: str = "id",
     extent: Extent | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Total life of censored series: last observed cycle plus the true remainder.
 
@@ -61,7 +59,7 @@ def extend_with_truth(
     if align == "key":
         total = summary.join(truth, id_col, "left")
     elif align == "position":
-        ranked = number_rows(summary, [], [id_col], "_position", None, extent, rows_per_task)
+        ranked = number_rows(summary, [], [id_col], "_position", None, extent)
         placed = truth.select(F.col(id_col).alias("_position"), "more")
         both = ranked.join(placed, "_position", "full")
         mismatch = F.raise_error(F.lit("ground truth and log have different numbers of entities"))

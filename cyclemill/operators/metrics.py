@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cyclemill.operators.ordering import ROWS_PER_TASK, running_totals
+from cyclemill.operators.ordering import running_totals
 
 PROBABILITY_FLOOR = 1e-7
 
@@ -100,12 +100,7 @@ def binary_cross_entropy(scored: DataFrame, probability: str = "prob", label: st
     return cross_entropy(pair)
 
 
-def roc_points(
-    scored: DataFrame,
-    score: str = "score",
-    label: str = "label",
-    rows_per_task: int = ROWS_PER_TASK,
-) -> DataFrame:
+def roc_points(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """ROC curve, one point per distinct score: rates when that score is the threshold.
 
     Rows are first aggregated by score, so ties collapse on the map side; the
@@ -121,7 +116,6 @@ def roc_points(
         ["_down"],
         {"tp": F.col("pos"), "fp": F.col("neg")},
         {"all_pos": F.col("pos"), "all_neg": F.col("neg")},
-        rows_per_task=rows_per_task,
     )
     return cumulated.select(
         (-F.col("_down")).alias("threshold"),

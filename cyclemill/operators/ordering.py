@@ -27,7 +27,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ROWS_PER_TASK = 1 << 20
+from cyclemill.sizing import setting
+
 HOT_GROUPS = 1 << 14
 SLICES_PER_LIMIT = 4
 MAX_PIECES = 64
@@ -68,7 +69,7 @@ def running_totals(
     running: Mapping[str, Column],
     overall: Mapping[str, Column] | None = None,
     extent: Extent | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """Add inclusive running sums (``running``) and whole-group sums (``overall``).
 
@@ -78,6 +79,7 @@ def running_totals(
     """
     overall = dict(overall or {})
     extent = extent or measure(df, by)
+    rows_per_task = setting(df, "rowsPerTask", rows_per_task)
     if extent.longest <= rows_per_task:
         return _window_totals(df, by, order, running, overall)
 
@@ -111,13 +113,13 @@ def number_rows(
     name: str = "cycle",
     length: str | None = None,
     extent: Extent | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """Dense 1-based position in each group, and the group's row count if ``length`` is given."""
     one = F.lit(1).cast("long")
     overall = {length: one} if length else {}
     extent = extent or measure(df, by)
-    if extent.longest <= rows_per_task:
+    if extent.longest <= setting(df, "rowsPerTask", rows_per_task):
         # row_number lets Spark turn a filter on the position into a limit before the exchange
         position = F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("long")
         whole = {k: F.sum(v).over(Window.partitionBy(*by)) for k, v in overall.items()}

@@ -13,12 +13,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cyclemill.functions.expressions import feature_vector, one_hot
-from cyclemill.operators.ordering import ROWS_PER_TASK, Extent, number_rows
-from cyclemill.plans.sizing import small_side
+from cyclemill.operators.ordering import Extent, number_rows
+from cyclemill.sizing import setting, small_side
 
 SEQUENCE_LENGTH = 50
-SEGMENT_ROWS = 1 << 16
-LIFE_STEPS = 1 << 12
 
 
 def sliding_sequences(
@@ -29,7 +27,7 @@ def sliding_sequences(
     id_col: str = "id",
     pos_col: str = "cycle",
     longest: int | None = None,
-    segment_rows: int = SEGMENT_ROWS,
+    segment_rows: int | None = None,
     keep: Sequence[str] = (),
     order: Sequence[str] = (),
 ) -> DataFrame:
@@ -44,7 +42,7 @@ def sliding_sequences(
     (or if it is unknown) the series are cut into segments, each of which also gets
     the ``length`` rows before it, so that no window is lost at a border.
     """
-    segment_rows = max(segment_rows, length)
+    segment_rows = max(setting(log, "segmentRows", segment_rows), length)
     rows = log.select(id_col, pos_col, *order, feature_vector(features).alias("_x"), label, *keep)
     group = [id_col]
     if longest is None or longest > segment_rows:
@@ -72,8 +70,9 @@ def sequence_counts(lengths: DataFrame, length: int = SEQUENCE_LENGTH, n_col: st
     return lengths.withColumn("n_samples", F.greatest(F.col(n_col) - length, F.lit(0)).cast("long"))
 
 
-def cut_lives(log: DataFrame, pos_col: str = "cycle", max_steps: int = LIFE_STEPS) -> DataFrame:
+def cut_lives(log: DataFrame, pos_col: str = "cycle", max_steps: int | None = None) -> DataFrame:
     """Add ``part`` and ``step``: a life beyond ``max_steps`` goes on in further parts."""
+    max_steps = setting(log, "lifeSteps", max_steps)
     return log.withColumns(
         {
             "part": F.floor((F.col(pos_col) - 1) / max_steps).cast("long"),
@@ -85,23 +84,23 @@ def cut_lives(log: DataFrame, pos_col: str = "cycle", max_steps: int = LIFE_STEP
 def life_batches(
     lengths: DataFrame,
     batch_size: int = 16,
-    max_steps: int = LIFE_STEPS,
+    max_steps: int | None = None,
     id_col: str = "id",
     n_col: str = "n_cycles",
     extent: Extent | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Put life parts, in entity order, into minibatches: ``(id, part, steps, batch_id, batch_steps)``.
 
     ``lengths`` has one row per entity. ``batch_steps`` is the longest part of the batch.
     ``extent`` is that of the parts, if known.
     """
+    max_steps = setting(lengths, "lifeSteps", max_steps)
     last = F.floor((F.col(n_col) - 1) / max_steps).cast("long")
     parts = lengths.select(id_col, n_col, F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("part"))
     parts = parts.select(
         id_col, "part", F.least(F.col(n_col) - F.col("part") * max_steps, F.lit(max_steps)).alias("steps")
     )
-    numbered = number_rows(parts, [], [id_col, "part"], "_i", None, extent, rows_per_task)
+    numbered = number_rows(parts, [], [id_col, "part"], "_i", None, extent)
     batched = numbered.withColumn("batch_id", F.floor((F.col("_i") - 1) / batch_size).cast("long")).drop("_i")
     return batched.withColumn("batch_steps", F.max("steps").over(Window.partitionBy("batch_id")))
 
@@ -114,7 +113,7 @@ def padded_lives(
     classes: int,
     id_col: str = "id",
     pos_col: str = "cycle",
-    max_steps: int = LIFE_STEPS,
+    max_steps: int | None = None,
 ) -> DataFrame:
     """One row per life part, padded in front to the longest of its batch.
 

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cyclemill.functions.expressions import feature_vector
-from cyclemill.operators.ordering import ROWS_PER_TASK, Extent, number_rows, running_totals
-from cyclemill.operators.sequences import LIFE_STEPS, SEQUENCE_LENGTH, cut_lives, sequence_counts
-from cyclemill.plans.sizing import BROADCAST_ROWS, small_side
+from cyclemill.operators.ordering import Extent, number_rows, running_totals
+from cyclemill.operators.sequences import SEQUENCE_LENGTH, cut_lives, sequence_counts
+from cyclemill.sizing import small_side
 
 TRAIN_SHARE = 0.8
 
@@ -20,11 +20,10 @@ def entity_phases(
     share: float = TRAIN_SHARE,
     id_col: str = "id",
     extent: Extent | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """``(id, entity_no, phase)``: the first ``int(share * N)`` entities train, the rest validate."""
     ranked = number_rows(
-        entities.select(id_col).distinct(), [], [id_col], "entity_no", "_n", extent, rows_per_task
+        entities.select(id_col).distinct(), [], [id_col], "entity_no", "_n", extent
     )
     cut = F.floor(F.lit(float(share)) * F.col("_n"))
     phase = F.when(F.col("entity_no") <= cut, "train").otherwise("val")
@@ -35,11 +34,10 @@ def split_entities(
     log: DataFrame,
     phases: DataFrame,
     id_col: str = "id",
-    broadcast_rows: int = BROADCAST_ROWS,
     entities: int | None = None,
 ) -> DataFrame:
     """Add the entity's ``phase`` to every row."""
-    return log.join(small_side(phases.select(id_col, "phase"), broadcast_rows, entities), id_col)
+    return log.join(small_side(phases.select(id_col, "phase"), entities), id_col)
 
 
 def entity_range(log: DataFrame, first: int, last: int, id_col: str = "id") -> DataFrame:
@@ -53,7 +51,6 @@ def sample_offsets(
     id_col: str = "id",
     n_col: str = "n_cycles",
     extent: Extent | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """``(id, sample_offset, n_all)``: samples of the entities before, and of all.
 
@@ -67,7 +64,6 @@ def sample_offsets(
         {"_upto": F.col("n_samples")},
         {"n_all": F.col("n_samples")},
         extent,
-        rows_per_task,
     )
     return running.select(id_col, (F.col("_upto") - F.col("n_samples")).alias("sample_offset"), "n_all")
 
@@ -80,12 +76,11 @@ def index_samples(
     share: float = TRAIN_SHARE,
     id_col: str = "id",
     pos_col: str = "cycle",
-    broadcast_rows: int = BROADCAST_ROWS,
     entities: int | None = None,
 ) -> DataFrame:
     """Keep the rows that label a sample; add its global index, batch and tail-split phase."""
     labelled = log.where(F.col(pos_col) > length)
-    joined = labelled.join(small_side(offsets, broadcast_rows, entities), id_col)
+    joined = labelled.join(small_side(offsets, entities), id_col)
     index = F.col("sample_offset") + F.col(pos_col) - (length + 1)
     cut = F.floor(F.lit(float(share)) * F.col("n_all"))
     return (
@@ -110,7 +105,6 @@ def window_batch_rows(
     id_col: str = "id",
     pos_col: str = "cycle",
     n_col: str = "n_cycles",
-    broadcast_rows: int = BROADCAST_ROWS,
     entities: int | None = None,
 ) -> DataFrame:
     """The rows each minibatch of windows needs, once per minibatch.
@@ -127,7 +121,7 @@ def window_batch_rows(
         return F.floor((F.col("sample_offset") + labelled - (length + 1)) / batch_size).cast("long")
 
     first, last = F.greatest(pos, F.lit(length + 1)), F.least(pos + length, n)
-    joined = log.where(first <= last).join(small_side(offsets, broadcast_rows, entities), id_col)
+    joined = log.where(first <= last).join(small_side(offsets, entities), id_col)
     placed = joined.withColumn("batch_id", F.explode(F.sequence(batch_of(first), batch_of(last))))
     return placed.select(
         "batch_id",
@@ -147,12 +141,11 @@ def life_batch_rows(
     label: str,
     id_col: str = "id",
     pos_col: str = "cycle",
-    max_steps: int = LIFE_STEPS,
-    broadcast_rows: int = BROADCAST_ROWS,
+    max_steps: int | None = None,
 ) -> DataFrame:
     """The rows of each minibatch of whole lives; every row carries a label."""
     rows = cut_lives(log, pos_col, max_steps).join(
-        small_side(batches.select(id_col, "part", "batch_id"), broadcast_rows), [id_col, "part"]
+        small_side(batches.select(id_col, "part", "batch_id")), [id_col, "part"]
     )
     return rows.select(
         "batch_id",

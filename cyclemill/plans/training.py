@@ -18,11 +18,12 @@ from cyclemill.operators.parameters import weighted_average
 from cyclemill.plans.scoring import score
 from cyclemill.plans.tensors import minibatches, sort_rows
 from cyclemill.session import shared_folder
+from cyclemill.sizing import setting
 from cyclemill.sources.models import append_stats, save_model
 
 MAX_DIRECTORIES = 2048
+ROWS_PER_FILE = 2_000_000
 STATS_BUFFER = 10_000
-DRIVER_BYTES = 64 << 20
 TRAINED = "worker int, n double, loss double, seconds double, packed array<double>"
 
 
@@ -65,13 +66,15 @@ def export_rounds(rows: DataFrame, settings: Settings, path: str | None = None)
     """Write batch rows by averaging round, spread round-robin over the workers.
 
     A worker's share of a round is ``averaging_frequency`` minibatches, so no group
-    grows with the data. Rounds share directories above ``MAX_DIRECTORIES``; files
-    are sorted by round, which lets a round's filter skip the rest.
+    grows with the data. A round is one file unless many workers make it large.
+    Rounds share directories above ``MAX_DIRECTORIES``; files are sorted by round,
+    which lets a round's filter skip the rest.
     """
     spark = rows.sparkSession
     path = path or shared_folder(spark, "rounds")
-    batches = rows.agg((F.max("batch_id") + 1).alias("n")).first()["n"] or 0
-    count = math.ceil(batches / (settings.workers * settings.averaging_frequency))
+    size = rows.agg((F.max("batch_id") + 1).alias("batches"), F.count(F.lit(1)).alias("rows")).first()
+    count = math.ceil((size["batches"] or 0) / (settings.workers * settings.averaging_frequency))
+    files = max(1, math.ceil(size["rows"] / max(count, 1) / ROWS_PER_FILE))
     per_directory = max(1, math.ceil(count / MAX_DIRECTORIES))
     number = F.floor(F.col("batch_id") / (settings.workers * settings.averaging_frequency))
     (
@@ -82,7 +85,7 @@ def export_rounds(rows: DataFrame, settings: Settings, path: str | None = None)
                 "round_group": F.floor(number / per_directory).cast("int"),
             }
         )
-        .repartition("round")
+        .repartition("round", F.col("worker") % files)
         .sortWithinPartitions("round_group", "round", "worker")
         .write.partitionBy("round_group")
         .parquet(path)
@@ -128,7 +131,7 @@ def average_round(
     adam: Adam,
     settings: Settings,
     round_no: int,
-    driver_bytes: int = DRIVER_BYTES,
+    driver_bytes: int | None = None,
 ) -> tuple[Weights, list[tuple]]:
     """One round: every worker trains from the same weights, then all are averaged by terms seen.
 
@@ -161,7 +164,7 @@ def average_round(
     placed = rows.repartitionById(settings.workers, "worker")
     trained = placed.groupBy("worker").applyInArrow(work, TRAINED).where("n > 0")
     try:
-        if packed.nbytes * settings.workers <= driver_bytes:
+        if packed.nbytes * settings.workers <= setting(rows, "driverBytes", driver_bytes):
             stats, average = _average_here(trained)
         else:
             stats, average = _average_in_spark(trained, len(packed))

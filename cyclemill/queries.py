@@ -20,6 +20,7 @@ from cyclemill.plans.pipeline import label_censored, label_complete
 from cyclemill.plans.scoring import score
 from cyclemill.plans.training import Settings, export_rounds, train
 from cyclemill.session import shared_folder
+from cyclemill.sizing import setting
 from cyclemill.sources.models import read_stats
 
 FEATURES = ["value", "k", "cycle_norm"]
@@ -57,9 +58,9 @@ def cycle_log(spark: SparkSession, sf: str) -> DataFrame:
     return numbered(raw_events(spark, sf))[0]
 
 
-def short_lives(extent: Extent) -> Extent | None:
+def short_lives(log: DataFrame, extent: Extent) -> Extent | None:
     """Every life is one part if the longest fits: then the entities bound the parts."""
-    return extent.as_one_group if extent.longest <= sequences.LIFE_STEPS else None
+    return extent.as_one_group if extent.longest <= setting(log, "lifeSteps") else None
 
 
 def labelled_log(spark: SparkSession, sf: str) -> tuple[DataFrame, Extent]:
@@ -491,7 +492,7 @@ def pad_align_end(spark, sf):
 
 def padded_log(spark, sf):
     log, extent = labelled_log(spark, sf)
-    batches = sequences.life_batches(lengths(spark, sf), extent=short_lives(extent))
+    batches = sequences.life_batches(lengths(spark, sf), extent=short_lives(log, extent))
     return sequences.padded_lives(log, batches, FEATURES, "label2", 3)
 
 
@@ -707,7 +708,7 @@ def averaged_training_per_step(spark, sf):
     net = Network(features=len(FEATURES), outputs=3, units=(8,), many_to_one=False)
     settings = Settings(epochs=1, workers=spark.sparkContext.defaultParallelism)
     log, _, extent = scaled_phases(spark, sf)
-    batches = sequences.life_batches(lengths(spark, sf), extent=short_lives(extent))
+    batches = sequences.life_batches(lengths(spark, sf), extent=short_lives(log, extent))
     rows = splits.life_batch_rows(log, batches, FEATURES, "label2")
     path = shared_folder(spark, "stats")
     train(spark, export_rounds(rows, settings), net, settings, stats_path=path)

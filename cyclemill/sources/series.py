@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cyclemill.operators.columns import split_features_labels
-from cyclemill.operators.sequences import SEGMENT_ROWS
+from cyclemill.sizing import setting
 
 
 def schema_json(df: DataFrame) -> str:
@@ -27,7 +27,7 @@ def write_series(
     phase: str,
     buckets: int | None = None,
     mode: str = "errorifexists",
-    segment_rows: int = SEGMENT_ROWS,
+    segment_rows: int | None = None,
 ) -> None:
     """Write ``{folder}/{phase}/features`` and ``.../labels`` as CSV with a header.
 
@@ -36,6 +36,7 @@ def write_series(
     beyond ``segment_rows`` is spread over several tasks and files.
     """
     place = "bucket" if buckets else "id"
+    segment_rows = setting(df, "segmentRows", segment_rows)
     segment = F.floor((F.col("cycle") - 1) / segment_rows)
     for kind, table in zip(("features", "labels"), split_features_labels(df)):
         if buckets:
