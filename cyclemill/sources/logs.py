@@ -27,9 +27,13 @@ def log_schema(readings: int = 21, blanks: int = 2) -> T.StructType:
 
 
 def read_log(spark: SparkSession, folder: str, split: str, unit: str = "001", readings: int = 21) -> DataFrame:
-    """Cycle log of one unit and split; a malformed line fails the query."""
+    """Cycle log of one unit and split.
+
+    A line with too few or too many fields fails the query, and so does a value of
+    the wrong type in a column that the query reads.
+    """
     schema = log_schema(readings)
-    # without column pruning every line is checked, whatever columns are asked for
+    # the parser sees all fields, or it would not notice a line of the wrong length
     reader = spark.read.schema(schema).options(sep=" ", mode="FAILFAST", columnPruning=False)
     raw = reader.csv(f"{folder}/{FILE_NAME.format(kind=split, unit=unit)}")
     width = len(schema)

@@ -25,7 +25,7 @@ def model_rows(run: str, round_no: int, net: Network, weights: Weights, optimize
             full = name if slot == "values" else f"{name}/{slot}"
             rows.append((run, round_no, layer, full, list(shape), block.ravel().tolist()))
     if optimizer:
-        rows.append((run, round_no, "optimizer", "steps", [1], [weights.steps]))
+        rows.append((run, round_no, "optimizer", "steps", [1], [float(weights.steps)]))
     return rows
 
 
