@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cyclemill.functions.expressions import bind
 from cyclemill.sizing import setting
 
 HOT_GROUPS = 1 << 14
@@ -150,7 +151,7 @@ def _cut_hot_groups(df, by, order, limit):
     for level in range(MAX_CUTS):
         keys = [*by, *slices]
         key_fields = [df.schema[k] for k in keys]
-        chosen = [c for c in map(_choose_axis, _crowded_groups(df, keys, axes, limit)) if c]
+        chosen = [c for c in map(_choose_axis, _crowded_groups(df, keys, order, axes, limit)) if c]
         if not chosen:
             break
         axis_table = spark.createDataFrame(
@@ -173,11 +174,12 @@ def _cut_hot_groups(df, by, order, limit):
     return df, slices
 
 
-def _crowded_groups(df, keys, axes, limit):
+def _crowded_groups(df, keys, order, axes, limit):
     """Groups above the limit with the range of each order column (bounded: see the module text)."""
     ranges = []
-    for i, axis in enumerate(axes):
+    for i, (name, axis) in enumerate(zip(order, axes)):
         ranges += [
+            F.max(name).eqNullSafe(F.min(name)).alias(f"_same{i}"),
             F.min(_finite(axis)).alias(f"_lo{i}"),
             F.max(_finite(axis)).alias(f"_hi{i}"),
             F.count(axis).alias(f"_known{i}"),
@@ -187,12 +189,19 @@ def _crowded_groups(df, keys, axes, limit):
 
 
 def _choose_axis(row):
+    """The first order column that varies in the group, with its range as doubles.
+
+    A column may vary by less than a double can tell. Then the group is left whole:
+    cutting along a later column would break the order.
+    """
     axis = 0
     while f"_lo{axis}" in row:
         lo, hi = row[f"_lo{axis}"], row[f"_hi{axis}"]
         has_null = 0 < row[f"_known{axis}"] < row["_n"]
         if lo is not None and (lo < hi or has_null):
             return row, axis, lo, hi
+        if not row[f"_same{axis}"]:
+            return None
         axis += 1
     return None
 
@@ -233,8 +242,7 @@ def _on_axis(axes) -> Column:
 
 def _slice_number(value: Column) -> Column:
     """0 for NULL, which sorts first, then 1 + number of bounds below; 0 in groups that are not cut."""
-    inside = F.least(value, F.col("_hi"))
-    below = F.size(F.filter("_bounds", lambda b: b < inside))
+    below = bind(F.least(value, F.col("_hi")), lambda v: F.size(F.filter("_bounds", lambda b: b < v)))
     return F.when(value.isNull(), 0).otherwise(below + 1).cast("int")
 
 
@@ -249,9 +257,9 @@ def _ordinal(df: DataFrame, name: str) -> Column:
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(col).cast("double")
     if isinstance(kind, T.TimestampNTZType):
-        # field by field, because a cast to TIMESTAMP would jump at daylight-saving changes
-        seconds = F.hour(col) * 3600 + F.minute(col) * 60 + F.extract(F.lit("SECOND"), col)
-        return F.unix_date(F.to_date(col)).cast("double") * 86400 + seconds.cast("double")
+        # by way of an interval, because a cast to TIMESTAMP would jump at daylight-saving changes
+        since = F.expr(f"`{name}` - timestamp_ntz'1970-01-01 00:00:00'")
+        return since.cast("interval second").cast("decimal(18,6)").cast("double")
     raise TypeError(f"cannot cut a group along {name} of type {kind.simpleString()}")
 
 

@@ -97,6 +97,11 @@ def test_infinite_and_nan_order_values(spark):
     assert cut == list(range(1, 44))
 
 
+def test_values_closer_than_a_double_can_tell(spark):
+    big = 1 << 60
+    check(spark, [(1, big + i, 50 - i, 1) for i in range(40)], "id long, t long, e long, v long", ["id"], ["t", "e"], 5)
+
+
 def test_measure(spark):
     df = spark.createDataFrame([(1,), (1,), (2,)], "id long")
     assert measure(df, ["id"]) == Extent(3, 2, 2)
