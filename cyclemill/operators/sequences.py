@@ -110,25 +110,27 @@ def padded_lives(
     batches: DataFrame,
     features: Sequence[str],
     label: str,
-    classes: int,
+    classes: int | None,
     id_col: str = "id",
     pos_col: str = "cycle",
     max_steps: int | None = None,
 ) -> DataFrame:
     """One row per life part, padded in front to the longest of its batch.
 
-    ``x`` is flat (time, feature); ``y`` holds one-hot vectors; ``mask`` is 1 on real
-    steps. A group collects at most ``max_steps`` rows.
+    ``x`` is flat (time, feature); ``y`` holds one-hot vectors, or the bare target if
+    ``classes`` is None (a regression); ``mask`` is 1 on real steps. A group collects
+    at most ``max_steps`` rows.
     """
+    target = one_hot(label, classes) if classes else F.array(F.col(label).cast("int"))
     rows = cut_lives(log, pos_col, max_steps).select(
-        id_col, "part", "step", feature_vector(features).alias("x"), one_hot(label, classes).alias("y")
+        id_col, "part", "step", feature_vector(features).alias("x"), target.alias("y")
     )
     lives = rows.groupBy(id_col, "part").agg(
         F.sort_array(F.collect_list(F.struct("step", "x", "y"))).alias("life")
     )
     joined = lives.join(small_side(batches), [id_col, "part"])
     gap = (F.col("batch_steps") - F.size("life")).cast("int")
-    no_class = F.array(*[F.lit(0)] * classes)
+    nothing = F.array(*[F.lit(0)] * (classes or 1))
     return joined.select(
         "batch_id",
         id_col,
@@ -136,7 +138,7 @@ def padded_lives(
         F.concat(
             F.array_repeat(F.lit(0.0).cast("float"), gap * len(features)), F.flatten(F.col("life.x"))
         ).alias("x"),
-        F.concat(F.array_repeat(no_class, gap), F.col("life.y")).alias("y"),
+        F.concat(F.array_repeat(nothing, gap), F.col("life.y")).alias("y"),
         F.concat(F.array_repeat(F.lit(0), gap), F.array_repeat(F.lit(1), F.size("life"))).alias("mask"),
     )
 

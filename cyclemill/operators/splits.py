@@ -106,6 +106,8 @@ def window_batch_rows(
     pos_col: str = "cycle",
     n_col: str = "n_cycles",
     entities: int | None = None,
+    tail: str | None = None,
+    share: float = TRAIN_SHARE,
 ) -> DataFrame:
     """The rows each minibatch of windows needs, once per minibatch.
 
@@ -113,15 +115,24 @@ def window_batch_rows(
     moves (length + batch_size) / batch_size copies of a row rather than ``length``.
     ``is_label`` marks the rows that label a sample; its window is the ``length``
     rows before it. Every row is placed by arithmetic alone: no window, no shuffle
-    apart from a large offset table's join.
+    apart from a large offset table's join. ``tail="train"`` keeps the first ``share``
+    of all samples, ``tail="val"`` the others, numbered from 0 again.
     """
     pos, n = F.col(pos_col), F.col(n_col)
+    begin, end = F.lit(0), F.col("n_all")
+    if tail:
+        cut = F.floor(F.lit(float(share)) * F.col("n_all"))
+        begin, end = (begin, cut) if tail == "train" else (cut, end)
+
+    def position_of(sample):
+        return sample - F.col("sample_offset") + (length + 1)
 
     def batch_of(labelled):
-        return F.floor((F.col("sample_offset") + labelled - (length + 1)) / batch_size).cast("long")
+        return F.floor((F.col("sample_offset") + labelled - (length + 1) - begin) / batch_size).cast("long")
 
-    first, last = F.greatest(pos, F.lit(length + 1)), F.least(pos + length, n)
-    joined = log.where(first <= last).join(small_side(offsets, entities), id_col)
+    first = F.greatest(pos, F.lit(length + 1), position_of(begin))
+    last = F.least(pos + length, n, position_of(end) - 1)
+    joined = log.where(n > length).join(small_side(offsets, entities), id_col).where(first <= last)
     placed = joined.withColumn("batch_id", F.explode(F.sequence(batch_of(first), batch_of(last))))
     return placed.select(
         "batch_id",
@@ -130,7 +141,7 @@ def window_batch_rows(
         pos.alias("pos"),
         feature_vector(features).alias("x"),
         F.col(label).cast("float").alias("y"),
-        ((pos > length) & (batch_of(pos) == F.col("batch_id"))).alias("is_label"),
+        ((first == pos) & (batch_of(pos) == F.col("batch_id"))).alias("is_label"),
     )
 
 

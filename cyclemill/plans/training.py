@@ -45,11 +45,18 @@ class Rounds:
     table: DataFrame
     count: int
     per_directory: int
+    path: str
 
     def read(self, number: int) -> DataFrame:
         directory = number // self.per_directory
         return self.table.where((F.col("round_group") == directory) & (F.col("round") == number))
 
+    def delete(self) -> None:
+        """Remove the written table once training is done."""
+        jvm = self.table.sparkSession._jvm
+        target = jvm.org.apache.hadoop.fs.Path(self.path)
+        target.getFileSystem(self.table.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
+
 
 @dataclass
 class Trained:
@@ -90,7 +97,7 @@ def export_rounds(rows: DataFrame, settings: Settings, path: str | None = None)
         .write.partitionBy("round_group")
         .parquet(path)
     )
-    return Rounds(spark.read.parquet(path), count, per_directory)
+    return Rounds(spark.read.parquet(path), count, per_directory, path)
 
 
 def write_once(rows: DataFrame, purpose: str) -> DataFrame:

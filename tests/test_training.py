@@ -8,8 +8,11 @@ from cyclemill.functions.lstm import Adam, Network, Weights, forward, gradient
 from cyclemill.operators.labels import series_lengths
 from cyclemill.operators.sequences import life_batches
 from cyclemill.operators.splits import life_batch_rows, sample_offsets, window_batch_rows
+from cyclemill.plans.experiment import evaluate_windows, fit_lives, fit_windows, ingest, window_rows
+from cyclemill.plans.experiment import Series
 from cyclemill.plans.scoring import score
 from cyclemill.plans.training import Settings, average_round, export_rounds, train
+from cyclemill.sources.batches import read_batches
 from cyclemill.sources.models import load_model, read_stats
 
 LENGTH = 5
@@ -193,3 +196,75 @@ def test_gradient_over_batches_is_the_pooled_gradient(fleet):
     parts = [gradient(NET, NET.initial(), x[i::3], y[i::3]) for i in range(3)]
     pooled = sum(p[1] * p[2] for p in parts) / n
     assert np.allclose(pooled, whole, atol=1e-14)
+
+
+# ------------------------------------------------------------------ from table to model
+
+
+@pytest.fixture(scope="module")
+def labelled(fleet):
+    return fleet.select(
+        "id", "cycle", (F.col("n_cycles") - F.col("cycle")).alias("RUL"),
+        F.col("y").alias("label1"), (F.col("y") * 2).alias("label2"), "wear", "noise",
+    )
+
+
+def test_tail_split_rows(labelled, fleet):
+    x, y = tensors(fleet)
+    cut = int(0.8 * len(y))
+    for tail, want in (("train", slice(0, cut)), ("val", slice(cut, None))):
+        rows = window_rows(Series.of(labelled), ["wear", "noise"], "label1", LENGTH, 4, tail)
+        scored = score(rows, NET, NET.initial(), LENGTH).collect()
+        got = sorted((r["id"], r["pos"], r["prob"][1]) for r in scored)
+        assert np.allclose([g[2] for g in got], forward(NET, NET.initial(), x[want])[0][:, 0])
+
+
+@pytest.mark.parametrize("split", ["entity", "tail"])
+def test_fit_windows(spark, labelled, split):
+    settings = Settings(epochs=2, workers=2, averaging_frequency=5, length=LENGTH)
+    out = fit_windows(labelled, NET, ["wear", "noise"], split=split, settings=settings, adam=Adam(rate=0.02))
+    assert out.rounds > 0 and out.evaluations[-1]["data"] == "epoch"
+    predictions, row = evaluate_windows(labelled, NET, out.weights, ["wear", "noise"], length=LENGTH)
+    assert predictions.count() > 50 and 0 <= row.first()["accuracy"] <= 1
+
+
+def test_unknown_split(labelled):
+    with pytest.raises(ValueError):
+        fit_windows(labelled, NET, ["wear", "noise"], split="other")
+
+
+def test_fit_lives(labelled):
+    net = Network(features=2, outputs=3, units=(5,), dropout=0.1, many_to_one=False)
+    settings = Settings(epochs=2, workers=2, averaging_frequency=1)
+    out = fit_lives(labelled, net, ["wear", "noise"], batch_size=2, settings=settings, adam=Adam(rate=0.02))
+    losses = [e["loss"] for e in out.evaluations]
+    assert losses[-1] < losses[0]
+
+
+@pytest.mark.parametrize("target, width", [("label2", 3), ("label1", 2), ("RUL", 1)])
+def test_ingest(spark, labelled, tmp_path, target, width):
+    path = str(tmp_path / "batches")
+    test = labelled.where("id < 4")
+    stats = ingest(labelled, test, path, ["cycle", "wear", "noise"], target, batch_size=3)
+    assert stats.columns == ["cycle", "wear", "noise"]
+    real = {}
+    for phase, entities in (("train", 11), ("val", 3), ("test", 4)):
+        rows = read_batches(spark, path, phase).collect()
+        assert len(rows) == entities
+        for r in rows:
+            assert len(r["x"]) == 3 * len(r["mask"]) == 3 * len(r["y"]) and len(r["y"][0]) == width
+            assert r["mask"] == sorted(r["mask"])
+        real[phase] = sum(sum(r["mask"]) for r in rows)
+        if phase == "train":
+            x = np.concatenate([np.reshape(r["x"], (-1, 3))[np.array(r["mask"]) == 1] for r in rows])
+            assert np.allclose(x.mean(0), 0, atol=1e-5) and np.allclose(x.std(0), 1, atol=1e-5)
+    assert real["train"] + real["val"] == labelled.count() and real["test"] == test.count()
+
+
+def test_exported_rounds_can_be_deleted(fleet):
+    from pathlib import Path
+
+    rounds = export_rounds(windows(fleet), Settings(workers=2, length=LENGTH))
+    assert Path(rounds.path).exists()
+    rounds.delete()
+    assert not Path(rounds.path).exists()
