@@ -136,9 +136,9 @@ def window_batch_rows(
     placed = joined.withColumn("batch_id", F.explode(F.sequence(batch_of(first), batch_of(last))))
     return placed.select(
         "batch_id",
-        id_col,
+        F.col(id_col).cast("long").alias("id"),
         F.lit(0).cast("long").alias("part"),
-        pos.alias("pos"),
+        pos.cast("long").alias("pos"),
         feature_vector(features).alias("x"),
         F.col(label).cast("float").alias("y"),
         ((first == pos) & (batch_of(pos) == F.col("batch_id"))).alias("is_label"),
@@ -160,7 +160,7 @@ def life_batch_rows(
     )
     return rows.select(
         "batch_id",
-        id_col,
+        F.col(id_col).cast("long").alias("id"),
         "part",
         F.col("step").alias("pos"),
         feature_vector(features).alias("x"),

@@ -22,8 +22,12 @@ from cyclemill.sizing import setting
 from cyclemill.sources.models import append_stats, save_model
 
 MAX_DIRECTORIES = 2048
-ROWS_PER_FILE = 2_000_000
+BATCHES_PER_FILE = 2048
 STATS_BUFFER = 10_000
+ROUND_SCHEMA = (
+    "batch_id long, id long, part long, pos long, x array<float>, y float, is_label boolean, "
+    "round long, worker int, round_group int"
+)
 TRAINED = "worker int, n double, loss double, seconds double, packed array<double>"
 
 
@@ -44,11 +48,10 @@ class Rounds:
 
     table: DataFrame
     count: int
-    per_directory: int
     path: str
 
     def read(self, number: int) -> DataFrame:
-        directory = number // self.per_directory
+        directory = number % MAX_DIRECTORIES
         return self.table.where((F.col("round_group") == directory) & (F.col("round") == number))
 
     def delete(self) -> None:
@@ -73,23 +76,22 @@ def export_rounds(rows: DataFrame, settings: Settings, path: str | None = None)
     """Write batch rows by averaging round, spread round-robin over the workers.
 
     A worker's share of a round is ``averaging_frequency`` minibatches, so no group
-    grows with the data. A round is one file unless many workers make it large.
-    Rounds share directories above ``MAX_DIRECTORIES``; files are sorted by round,
-    which lets a round's filter skip the rest.
+    grows with the data. A round has one file for every ``BATCHES_PER_FILE`` of its
+    batches and a directory that it shares only above ``MAX_DIRECTORIES`` rounds; files
+    are sorted by round, which lets a round's filter skip the rest. The rows are
+    computed once: how many rounds there are is read from the written table.
     """
     spark = rows.sparkSession
     path = path or shared_folder(spark, "rounds")
-    size = rows.agg((F.max("batch_id") + 1).alias("batches"), F.count(F.lit(1)).alias("rows")).first()
-    count = math.ceil((size["batches"] or 0) / (settings.workers * settings.averaging_frequency))
-    files = max(1, math.ceil(size["rows"] / max(count, 1) / ROWS_PER_FILE))
-    per_directory = max(1, math.ceil(count / MAX_DIRECTORIES))
-    number = F.floor(F.col("batch_id") / (settings.workers * settings.averaging_frequency))
+    per_round = settings.workers * settings.averaging_frequency
+    files = math.ceil(per_round / BATCHES_PER_FILE)
+    number = F.floor(F.col("batch_id") / per_round).cast("long")
     (
         rows.withColumns(
             {
-                "round": number.cast("long"),
+                "round": number,
                 "worker": F.pmod("batch_id", F.lit(settings.workers)).cast("int"),
-                "round_group": F.floor(number / per_directory).cast("int"),
+                "round_group": (number % MAX_DIRECTORIES).cast("int"),
             }
         )
         .repartition("round", F.col("worker") % files)
@@ -97,7 +99,9 @@ def export_rounds(rows: DataFrame, settings: Settings, path: str | None = None)
         .write.partitionBy("round_group")
         .parquet(path)
     )
-    return Rounds(spark.read.parquet(path), count, per_directory, path)
+    table = spark.read.schema(ROUND_SCHEMA).parquet(path)
+    last = table.agg(F.max("round")).first()[0]
+    return Rounds(table, 0 if last is None else last + 1, path)
 
 
 def write_once(rows: DataFrame, purpose: str) -> DataFrame:
