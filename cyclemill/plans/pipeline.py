@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from cyclemill.operators.labels import extend_with_truth, horizon_labels, max_cycles, remaining_life
+from cyclemill.operators.ordering import Extent
 from cyclemill.operators.scaling import apply_scaler, fit_scaler, with_cycle_feature
 
 
@@ -27,11 +28,16 @@ def label_censored(
     w1: int = 30,
     align: str = "key",
     summary: DataFrame | None = None,
+    entities: int | None = None,
 ) -> DataFrame:
-    """Series cut off before failure: the ground truth says how many cycles were left."""
+    """Series cut off before failure: the ground truth says how many cycles were left.
+
+    ``entities`` is their number, or an upper bound, where it is known.
+    """
     summary = max_cycles(log) if summary is None else summary
-    total = extend_with_truth(summary, truth, align)
-    return with_cycle_feature(horizon_labels(remaining_life(log, total), w0, w1))
+    extent = None if entities is None else Extent(entities, entities, 1)
+    total = extend_with_truth(summary, truth, align, extent=extent)
+    return with_cycle_feature(horizon_labels(remaining_life(log, total, entities=entities), w0, w1))
 
 
 def prepare(

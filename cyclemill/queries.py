@@ -16,7 +16,7 @@ from cyclemill.functions import expressions as X
 from cyclemill.functions.lstm import Network
 from cyclemill.operators import columns, labels, metrics, parameters, scaling, sequences, splits
 from cyclemill.operators.ordering import Extent, measure, number_rows
-from cyclemill.plans.pipeline import label_censored, label_complete
+from cyclemill.plans.pipeline import label_censored
 from cyclemill.plans.scoring import score
 from cyclemill.plans.training import Settings, export_rounds, train
 from cyclemill.session import shared_folder
@@ -87,10 +87,18 @@ def truth_table(spark: SparkSession, sf: str) -> DataFrame:
     return customer.select(F.col("c_custkey").alias("id"), F.col("c_nationkey").cast("long").alias("more"))
 
 
-def censored_log(spark: SparkSession, sf: str) -> DataFrame:
-    """The log without the last ``more`` cycles of each entity, as if still in service."""
-    log = cycle_log(spark, sf).join(truth_table(spark, sf), "id")
-    return log.where(F.col("cycle") <= F.col("n_cycles") - F.col("more")).select("id", "cycle", "value", "k")
+def censored_log(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, Extent]:
+    """The log without the last ``more`` cycles of each entity, as if still in service.
+
+    Also its ``(id, max)``, taken from the unnumbered table: one narrow scan, no window.
+    """
+    raw = raw_events(spark, sf)
+    log, extent = numbered(raw)
+    truth = truth_table(spark, sf)
+    seen = log.join(truth, "id").where(F.col("cycle") <= F.col("n_cycles") - F.col("more"))
+    summary = labels.series_lengths(raw).join(truth, "id")
+    summary = summary.select("id", (F.col("n_cycles") - F.col("more")).alias("max"))
+    return seen.select("id", "cycle", "value", "k"), summary, extent
 
 
 def as_text(numbers, factor: int = 1):
@@ -181,10 +189,9 @@ def entity_count(spark, sf):
 @query(PHASED + " SELECT phase, count(*) AS n_rows, count(DISTINCT id) AS n_entities FROM phased GROUP BY phase")
 def split_shape(spark, sf):
     raw = raw_events(spark, sf)
-    phased = splits.split_entities(raw, splits.entity_phases(raw))
-    per_entity = phased.groupBy("phase", "id").agg(F.count(F.lit(1)).alias("n"))
-    return per_entity.groupBy("phase").agg(
-        F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_entities")
+    sized = labels.series_lengths(raw).join(splits.entity_phases(raw), "id")
+    return sized.groupBy("phase").agg(
+        F.sum("n_cycles").alias("n_rows"), F.count(F.lit(1)).alias("n_entities")
     )
 
 
@@ -239,16 +246,19 @@ FROM censored"""
 
 @query(TRUTH_SQL)
 def rul_ground_truth(spark, sf):
-    log = censored_log(spark, sf)
-    return label_censored(log, truth_table(spark, sf)).select("id", "cycle", "RUL", "label1", "label2")
+    log, summary, extent = censored_log(spark, sf)
+    out = label_censored(log, truth_table(spark, sf), summary=summary, entities=extent.groups)
+    return out.select("id", "cycle", "RUL", "label1", "label2")
 
 
 @query(TRUTH_SQL)
 def rul_ground_truth_positional(spark, sf):
-    known = truth_table(spark, sf).join(raw_events(spark, sf).select("id").distinct(), "id", "left_semi")
-    by_position = number_rows(known, [], ["id"], "_no").select(F.col("_no").alias("id"), "more")
-    log = censored_log(spark, sf)
-    return label_censored(log, by_position, align="position").select("id", "cycle", "RUL", "label1", "label2")
+    log, summary, extent = censored_log(spark, sf)
+    known = truth_table(spark, sf).join(summary.select("id"), "id", "left_semi")
+    by_position = number_rows(known, [], ["id"], "_no", extent=extent.as_one_group)
+    by_position = by_position.select(F.col("_no").alias("id"), "more")
+    out = label_censored(log, by_position, align="position", summary=summary, entities=extent.groups)
+    return out.select("id", "cycle", "RUL", "label1", "label2")
 
 
 @query(
@@ -264,20 +274,24 @@ SELECT phase, id, cycle, rul AS "RUL",
     + " FROM observed"
 )
 def label_pipeline(spark, sf):
+    """Training entities in full and the others cut off, labelled and scaled in one pass."""
     raw = raw_events(spark, sf)
-    phased = phased_log(spark, sf)
-    complete = phased.where("phase = 'train'")
-    service = phased.where("phase = 'val'").join(truth_table(spark, sf), "id")
-    censored = service.where(F.col("cycle") <= F.col("n_cycles") - F.col("more"))
+    log, extent = numbered(raw)
+    truth = truth_table(spark, sf)
+    phases = splits.entity_phases(raw, extent=extent.as_one_group)
+    complete = F.col("phase") == "train"
+    phased = splits.split_entities(scaling.with_cycle_feature(log), phases, entities=extent.groups)
+    observed = phased.join(truth, "id", "left").where(
+        complete | (F.col("cycle") <= F.col("n_cycles") - F.col("more"))
+    )
     # lengths come from the unnumbered table: one narrow scan, no second window
-    summary = labels.series_lengths(raw).withColumnRenamed("n_cycles", "max")
-    seen = summary.join(truth_table(spark, sf), "id").select("id", (F.col("max") - F.col("more")).alias("max"))
-    train = label_complete(complete, summary=summary)
-    test = label_censored(censored, truth_table(spark, sf), summary=seen)
-    stats = scaling.fit_scaler(complete, FEATURES)
-    wanted = ["phase", "id", "cycle", *columns.TARGET_COLUMNS, *FEATURES]
-    both = train.select(*wanted).unionByName(test.select(*wanted))
-    return rounded(scaling.apply_scaler(both, stats), FEATURES)
+    sized = labels.series_lengths(raw).join(phases, "id").withColumnRenamed("n_cycles", "max")
+    censored = sized.where(~complete).join(truth, "id").select("id", (F.col("max") - F.col("more")).alias("max"))
+    total = sized.where(complete).select("id", "max").unionByName(labels.extend_with_truth(censored, truth))
+    labelled = labels.horizon_labels(labels.remaining_life(observed, total, entities=extent.groups))
+    stats = scaling.fit_scaler(phased.where(complete), FEATURES)
+    wanted = labelled.select("phase", "id", "cycle", *columns.TARGET_COLUMNS, *FEATURES)
+    return rounded(scaling.apply_scaler(wanted, stats), FEATURES)
 
 
 def rounded(df, names, digits=6):
@@ -671,6 +685,34 @@ def param_counts(spark, sf):
 # ---------------------------------------------------------------- training and scoring
 
 
+@query(
+    SAMPLES
+    + """, wanted AS (
+  SELECT CAST(s.sample_idx // 16 AS BIGINT) AS batch_id, l.id, l.cycle AS pos, l.value, l.k, l.label1,
+    bool_or(l.cycle = s.cycle) AS is_label
+  FROM samples s JOIN labelled l ON l.id = s.id AND l.cycle BETWEEN s.cycle - 50 AND s.cycle GROUP BY ALL)
+SELECT batch_id, id, pos, CAST(round(value * 100) AS BIGINT) || ',' || CAST(k * 100 AS BIGINT) || ',' || pos * 100 AS x,
+  CAST(label1 AS FLOAT) AS y, is_label FROM wanted"""
+)
+def window_batch_rows(spark, sf):
+    """What the trainer reads: the rows of every minibatch of windows."""
+    log, extent = labelled_log(spark, sf)
+    offsets = splits.sample_offsets(lengths(spark, sf), extent=extent.as_one_group)
+    rows = splits.window_batch_rows(log, offsets, FEATURES, "label1", entities=extent.groups)
+    return rows.withColumn("x", as_text("x", 100)).drop("part")
+
+
+@query(
+    BATCHED
+    + """ SELECT batch_id, l.id, l.cycle AS pos, CAST(label2 AS FLOAT) AS y FROM labelled l JOIN lives USING (id)"""
+)
+def life_batch_rows(spark, sf):
+    """What the trainer reads: the rows of every minibatch of whole lives."""
+    log, extent = labelled_log(spark, sf)
+    batches = sequences.life_batches(lengths(spark, sf), extent=short_lives(log, extent))
+    return splits.life_batch_rows(log, batches, FEATURES, "label2").select("batch_id", "id", "pos", "y")
+
+
 def scaled_phases(spark, sf):
     """Labelled log, split by entity and standardised with the training entities' statistics."""
     log, extent = labelled_log(spark, sf)
