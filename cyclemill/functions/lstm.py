@@ -17,7 +17,8 @@ class Network:
     """LSTM layers with dropout behind each, then a dense softmax (or sigmoid) layer.
 
     ``many_to_one`` classifies a window by its last state, otherwise every step gets
-    a class. One output means a sigmoid.
+    a class. One output means a sigmoid. ``precision`` is that of a minibatch's
+    arithmetic; weights are kept and averaged as doubles.
     """
 
     features: int
@@ -26,6 +27,7 @@ class Network:
     dropout: float = 0.2
     many_to_one: bool = True
     seed: int = 11182017
+    precision: str = "float32"
 
     def layout(self) -> list[tuple[str, str, tuple[int, ...]]]:
         """(layer, name, shape) of every parameter block, in the order of the flat vector."""
@@ -123,9 +125,9 @@ def _lstm_forward(x, wx, wh, b, state, mask):
     u = wh.shape[0]
     h, c = state
     driven = x @ wx + b
-    gates = np.empty((steps, batch, 4 * u))
-    cells = np.empty((steps + 1, batch, u))
-    hidden = np.empty((steps + 1, batch, u))
+    gates = np.empty((steps, batch, 4 * u), driven.dtype)
+    cells = np.empty((steps + 1, batch, u), driven.dtype)
+    hidden = np.empty((steps + 1, batch, u), driven.dtype)
     cells[0], hidden[0] = c, h
     for t in range(steps):
         z = driven[:, t] + hidden[t] @ wh
@@ -143,8 +145,8 @@ def _lstm_backward(dout, x, wx, wh, tape, mask):
     steps, batch, _ = gates.shape
     u = wh.shape[0]
     dz = np.empty_like(gates)
-    dh_next = np.zeros((batch, u))
-    dc_next = np.zeros((batch, u))
+    dh_next = np.zeros((batch, u), gates.dtype)
+    dc_next = np.zeros((batch, u), gates.dtype)
     for t in reversed(range(steps)):
         i, f, o, g = (gates[t][:, k * u : (k + 1) * u] for k in range(4))
         real = mask[:, t, None]
@@ -164,7 +166,7 @@ def _lstm_backward(dout, x, wx, wh, tape, mask):
 
 
 def zero_state(net: Network, batch: int):
-    return [(np.zeros((batch, u)), np.zeros((batch, u))) for u in net.units]
+    return [(np.zeros((batch, u), net.precision), np.zeros((batch, u), net.precision)) for u in net.units]
 
 
 def forward(net: Network, values, x, mask=None, state=None, rng=None):
@@ -173,9 +175,11 @@ def forward(net: Network, values, x, mask=None, state=None, rng=None):
     ``rng`` switches dropout on.
     """
     batch, steps, _ = x.shape
-    mask = np.ones((batch, steps)) if mask is None else mask
+    kind = net.precision
+    x = x.astype(kind)
+    mask = np.ones((batch, steps), kind) if mask is None else mask.astype(kind)
     state = state or zero_state(net, batch)
-    blocks = net.blocks(values)
+    blocks = net.blocks(values.astype(kind))
     tape, last, a = [], [], x
     for k, u in enumerate(net.units):
         wx, wh, b = blocks[3 * k : 3 * k + 3]
@@ -183,7 +187,7 @@ def forward(net: Network, values, x, mask=None, state=None, rng=None):
         last.append((inner[2][-1], inner[1][-1]))
         kept = None
         if rng is not None and net.dropout > 0:
-            kept = (rng.random((batch, steps, u)) >= net.dropout) / (1 - net.dropout)
+            kept = (rng.random((batch, steps, u)) >= net.dropout) / np.array(1 - net.dropout, kind)
         tape.append((a, inner, kept))
         a = out if kept is None else out * kept
     top = a[:, -1] if net.many_to_one else a
@@ -208,11 +212,11 @@ def log_loss(net: Network, prob, label):
 def gradient(net: Network, values, x, label, mask=None, state=None, rng=None):
     """Summed loss, number of terms, gradient of the mean loss, and the last state."""
     prob, last, (tape, top, mask, blocks) = forward(net, values, x, mask, state, rng)
-    weight = np.ones(label.shape) if net.many_to_one else mask
-    count = weight.sum()
-    loss = (log_loss(net, prob, label) * weight).sum()
+    weight = np.ones(label.shape, prob.dtype) if net.many_to_one else mask
+    count = float(weight.sum())
+    loss = float((log_loss(net, prob, label) * weight).sum(dtype=float))
     target = label[..., None] if net.outputs == 1 else np.eye(net.outputs)[label.astype(int)]
-    dscores = (prob - target) * weight[..., None] / max(count, 1.0)
+    dscores = (prob - target.astype(prob.dtype)) * weight[..., None] / np.array(max(count, 1.0), prob.dtype)
 
     flat = np.zeros_like(values)
     grads = net.blocks(flat)
@@ -221,7 +225,7 @@ def gradient(net: Network, values, x, label, mask=None, state=None, rng=None):
     grads[-1][...] = dscores.sum(axes)
     dtop = dscores @ blocks[-2].T
     if net.many_to_one:
-        da = np.zeros((*x.shape[:2], net.units[-1]))
+        da = np.zeros((*x.shape[:2], net.units[-1]), prob.dtype)
         da[:, -1] = dtop
     else:
         da = dtop

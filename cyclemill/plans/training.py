@@ -189,11 +189,12 @@ def average_round(
 
 
 def _average_here(trained: DataFrame):
-    rows = sorted(trained.collect(), key=lambda r: r["worker"])
-    stats = [tuple(r)[:4] for r in rows]
-    if not rows:
+    table = trained.toArrow().sort_by("worker").combine_chunks()
+    stats = [tuple(r.values()) for r in table.drop_columns("packed").to_pylist()]
+    if not stats:
         return stats, None
-    return stats, np.average([r["packed"] for r in rows], axis=0, weights=[r["n"] for r in rows])
+    vectors = table.column("packed").combine_chunks().flatten().to_numpy().reshape(len(stats), -1)
+    return stats, np.average(vectors, axis=0, weights=table.column("n").to_numpy())
 
 
 def _average_in_spark(trained: DataFrame, size: int):

@@ -9,7 +9,7 @@ from cyclemill.functions.lstm import Adam, Network, Weights, forward, gradient
 @pytest.mark.parametrize("many_to_one", [True, False])
 @pytest.mark.parametrize("outputs", [1, 3])
 def test_gradient_is_the_derivative_of_the_loss(many_to_one, outputs):
-    net = Network(features=3, outputs=outputs, units=(4, 3), dropout=0.0, many_to_one=many_to_one, seed=3)
+    net = Network(3, outputs, (4, 3), dropout=0.0, many_to_one=many_to_one, seed=3, precision="float64")
     rng = np.random.default_rng(0)
     x = rng.normal(size=(5, 6, 3))
     mask = np.ones((5, 6))
@@ -49,6 +49,21 @@ def test_state_carries_over_chunks():
     assert np.allclose(np.concatenate([first, second], 1), forward(net, values, x)[0])
 
 
+def test_single_precision_follows_double():
+    rng = np.random.default_rng(4)
+    x, y = rng.normal(size=(6, 9, 3)), rng.integers(0, 3, size=6).astype(float)
+    results = []
+    for precision in ("float32", "float64"):
+        net = Network(features=3, outputs=3, units=(8, 5), dropout=0.0, precision=precision)
+        prob, _, _ = forward(net, net.initial(), x)
+        assert prob.dtype == precision
+        loss, _, grad, _ = gradient(net, net.initial(), x, y)
+        assert grad.dtype == np.float64
+        results.append((loss, grad))
+    assert abs(results[0][0] - results[1][0]) < 1e-5
+    assert np.allclose(results[0][1], results[1][1], atol=1e-6)
+
+
 def test_dropout_only_with_a_generator():
     net = Network(features=2, outputs=1, units=(8,), dropout=0.5)
     x = np.random.default_rng(1).normal(size=(2, 5, 2))

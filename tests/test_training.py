@@ -54,7 +54,7 @@ def tensors(fleet):
     return np.array(x, float), np.array(y, float)
 
 
-NET = Network(features=2, outputs=1, units=(5, 4), dropout=0.0)
+NET = Network(features=2, outputs=1, units=(5, 4), dropout=0.0, precision="float64")
 
 
 def test_one_worker_equals_local_training(fleet):
