@@ -52,7 +52,7 @@ def sample_offsets(
     n_col: str = "n_cycles",
     extent: Extent | None = None,
 ) -> DataFrame:
-    """``(id, sample_offset, n_all)``: samples of the entities before, and of all.
+    """``(id, n_cycles, sample_offset, n_all)``: samples of the entities before, and of all.
 
     Works on one row per entity, so the samples themselves are never sorted.
     """
@@ -65,7 +65,7 @@ def sample_offsets(
         {"n_all": F.col("n_samples")},
         extent,
     )
-    return running.select(id_col, (F.col("_upto") - F.col("n_samples")).alias("sample_offset"), "n_all")
+    return running.select(id_col, n_col, (F.col("_upto") - F.col("n_samples")).alias("sample_offset"), "n_all")
 
 
 def index_samples(
@@ -80,7 +80,8 @@ def index_samples(
 ) -> DataFrame:
     """Keep the rows that label a sample; add its global index, batch and tail-split phase."""
     labelled = log.where(F.col(pos_col) > length)
-    joined = labelled.join(small_side(offsets, entities), id_col)
+    places = offsets.select(id_col, "sample_offset", "n_all")
+    joined = labelled.join(small_side(places, entities), id_col)
     index = F.col("sample_offset") + F.col(pos_col) - (length + 1)
     cut = F.floor(F.lit(float(share)) * F.col("n_all"))
     return (
@@ -132,7 +133,7 @@ def window_batch_rows(
 
     first = F.greatest(pos, F.lit(length + 1), position_of(begin))
     last = F.least(pos + length, n, position_of(end) - 1)
-    joined = log.where(n > length).join(small_side(offsets, entities), id_col).where(first <= last)
+    joined = log.drop(n_col).join(small_side(offsets.where(n > length), entities), id_col).where(first <= last)
     placed = joined.withColumn("batch_id", F.explode(F.sequence(batch_of(first), batch_of(last))))
     return placed.select(
         "batch_id",

@@ -44,9 +44,6 @@ class Series:
     def of(log: DataFrame) -> Series:
         return Series(log, series_lengths(log), measure(log, ["id"]))
 
-    def with_lengths(self) -> DataFrame:
-        return self.log.join(small_side(self.lengths, self.extent.groups), "id")
-
     def part(self, phases: DataFrame, phase: str) -> Series:
         """The entities of one phase; the whole's sizes stay valid as upper bounds."""
         mine = phases.where(F.col("phase") == phase).select("id")
@@ -61,7 +58,7 @@ def window_rows(
 ) -> DataFrame:
     offsets = sample_offsets(series.lengths, length, extent=series.extent.as_one_group)
     return window_batch_rows(
-        series.with_lengths(),
+        series.log,
         offsets,
         features,
         label,

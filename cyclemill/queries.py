@@ -607,6 +607,19 @@ def summary_metrics(spark, sf):
     return rounded(metrics.summary_metrics(matrix), ["accuracy", "precision", "recall", "f1"])
 
 
+@query(
+    CLASSES
+    + """ SELECT (SELECT round(avg(-ln(greatest(least(p[label2 + 1], 1 - 1e-7), 1e-7))), 6) FROM soft) AS loss,
+  round(sum(tp) / sum(actual), 6) AS accuracy, round(avg(precision), 6) AS precision,
+  round(avg(recall), 6) AS recall, round(avg(f1), 6) AS f1, count(precision) AS precision_classes,
+  count(recall) AS recall_classes FROM rated"""
+)
+def evaluation(spark, sf):
+    """The one-pass evaluation that training and testing use."""
+    scored = scored_log(spark, sf).select(F.col("label2").alias("label"), "prob", "prediction")
+    return rounded(metrics.evaluation(scored), ["loss", "accuracy", "precision", "recall", "f1"])
+
+
 POINTS = (
     LABELLED
     + """, per_score AS (
@@ -765,5 +778,28 @@ def batch_scoring(spark, sf):
     return scored.select("id", F.col("pos").alias("cycle"), "label", F.round(F.col("prob")[1], 6).alias("prob"), "prediction")
 
 
+LINEAR = Network(features=len(FEATURES), outputs=1, units=(), precision="float64")
+LINEAR_SUM = " + ".join(
+    f"({float(w)!r}) * CAST({c} AS FLOAT)" for w, c in zip(LINEAR.initial(), ["value", "k", "cycle_norm"])
+)
+
+
+@query(
+    PHASED
+    + ", fit AS (SELECT * FROM phased WHERE phase = 'train'), scaled AS (SELECT id, cycle,"
+    + Z_SCORES.replace(", 6)", ", 15)")
+    + f""" FROM phased WHERE phase = 'val'),
+linear AS (SELECT id, cycle + 1 AS cycle, 1 / (1 + exp(-({LINEAR_SUM}))) AS p FROM scaled)
+SELECT linear.id, linear.cycle, round(p, 5) AS prob, CAST(p > 0.5 AS BIGINT) AS prediction
+FROM linear JOIN scaled USING (id, cycle) WHERE linear.cycle > 50"""
+)
+def batch_scoring_linear(spark, sf):
+    """Bulk scoring with a network without hidden layers: it sees the window's last row."""
+    scored = score(window_rows(spark, sf, "val", "label1", 512), LINEAR, LINEAR.initial())
+    return scored.select(
+        "id", F.col("pos").alias("cycle"), F.round(F.col("prob")[1], 5).alias("prob"), "prediction"
+    )
+
+
 for registry in (QUERIES, ORACLES):
     registry["sequences"] = registry.pop("sequences_")

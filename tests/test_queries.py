@@ -24,7 +24,7 @@ def test_query_equals_sql(spark, con, name):
 SKEW_SENSITIVE = [
     "cycle_numbering", "rul_labels", "rul_left_join", "rul_ground_truth_positional", "label_pipeline",
     "entity_split", "tail_split", "minibatches", "sequences", "sequence_labels", "pad_align_end",
-    "window_batch_rows", "life_batch_rows", "sequence_layout",
+    "window_batch_rows", "life_batch_rows", "sequence_layout", "batch_scoring_linear",
     "roc_points", "roc_auc", "head_of_entity",
 ]
 
