@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import math
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -17,7 +18,7 @@ from cyclemill.operators.metrics import evaluation
 from cyclemill.operators.parameters import weighted_average
 from cyclemill.plans.scoring import score
 from cyclemill.plans.tensors import minibatches, sort_rows
-from cyclemill.session import shared_folder
+from cyclemill.session import delete_table, shared_folder
 from cyclemill.sizing import setting
 from cyclemill.sources.models import append_stats, save_model
 
@@ -56,9 +57,7 @@ class Rounds:
 
     def delete(self) -> None:
         """Remove the written table once training is done."""
-        jvm = self.table.sparkSession._jvm
-        target = jvm.org.apache.hadoop.fs.Path(self.path)
-        target.getFileSystem(self.table.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
+        delete_table(self.table.sparkSession, self.path)
 
 
 @dataclass
@@ -104,11 +103,19 @@ def export_rounds(rows: DataFrame, settings: Settings, path: str | None = None)
     return Rounds(table, 0 if last is None else last + 1, path)
 
 
-def write_once(rows: DataFrame, purpose: str) -> DataFrame:
+@contextmanager
+def written(rows: DataFrame | None, purpose: str) -> Iterator[DataFrame | None]:
     """The same rows from a written table, so that repeated use does not recompute them."""
-    path = shared_folder(rows.sparkSession, purpose)
+    if rows is None:
+        yield None
+        return
+    spark = rows.sparkSession
+    path = shared_folder(spark, purpose)
     rows.write.parquet(path)
-    return rows.sparkSession.read.parquet(path)
+    try:
+        yield spark.read.schema(rows.schema).parquet(path)
+    finally:
+        delete_table(spark, path)
 
 
 def local_steps(
@@ -229,10 +236,17 @@ def train(
     ``patience`` epochs. ``evaluate_every`` also evaluates that round's own batches and
     the validation rows every so many rounds, beginning with the first.
     """
+    with written(validation, "validation") as held:
+        return _run_epochs(
+            spark, rounds, net, settings, adam, init, held, run, stats_path, model_path, on_round
+        )
+
+
+def _run_epochs(
+    spark, rounds, net, settings, adam, init, validation, run, stats_path, model_path, on_round
+) -> Trained:
     result = Trained(net, init or Weights(net.initial()))
     best, worse = math.inf, 0
-    if validation is not None:
-        validation = write_once(validation, "validation")
 
     def measure(kind, rows, epoch, number):
         row = evaluation(score(rows, net, result.weights.values, settings.length)).first().asDict()

@@ -556,7 +556,8 @@ def softmax_scores(spark, sf):
     + """ SELECT 'multiclass' AS kind, round(avg(-ln(greatest(least(p[label2 + 1], 1 - 1e-7), 1e-7))), 6) AS loss,
   count(*) AS n FROM soft
 UNION ALL
-SELECT 'binary', round(avg(-ln(CASE WHEN label1 = 1 THEN value / (1 + value) ELSE 1 - value / (1 + value) END)), 6), count(*)
+SELECT 'binary', round(avg(-ln(greatest(least(
+    CASE WHEN label1 = 1 THEN value / (1 + value) ELSE 1 - value / (1 + value) END, 1 - 1e-7), 1e-7))), 6), count(*)
 FROM scored"""
 )
 def cross_entropy(spark, sf):
@@ -780,22 +781,25 @@ def batch_scoring(spark, sf):
 
 LINEAR = Network(features=len(FEATURES), outputs=1, units=(), precision="float64")
 LINEAR_SUM = " + ".join(
-    f"({float(w)!r}) * CAST({c} AS FLOAT)" for w, c in zip(LINEAR.initial(), ["value", "k", "cycle_norm"])
+    f"CAST({float(w)!r} AS DOUBLE) * CAST(CAST({c} / 64 AS FLOAT) AS DOUBLE)" for w, c in zip(LINEAR.initial(), ["value", "k", "CAST(cycle AS DOUBLE)"])
 )
 
 
 @query(
-    PHASED
-    + ", fit AS (SELECT * FROM phased WHERE phase = 'train'), scaled AS (SELECT id, cycle,"
-    + Z_SCORES.replace(", 6)", ", 15)")
-    + f""" FROM phased WHERE phase = 'val'),
-linear AS (SELECT id, cycle + 1 AS cycle, 1 / (1 + exp(-({LINEAR_SUM}))) AS p FROM scaled)
-SELECT linear.id, linear.cycle, round(p, 5) AS prob, CAST(p > 0.5 AS BIGINT) AS prediction
-FROM linear JOIN scaled USING (id, cycle) WHERE linear.cycle > 50"""
+    LOG
+    + f""", linear AS (SELECT id, cycle + 1 AS cycle, 1 / (1 + exp(-({LINEAR_SUM}))) AS p FROM log WHERE cycle < n)
+SELECT id, cycle, round(p, 5) AS prob, CAST(p > 0.5 AS BIGINT) AS prediction FROM linear WHERE cycle > 50"""
 )
 def batch_scoring_linear(spark, sf):
     """Bulk scoring with a network without hidden layers: it sees the window's last row."""
-    scored = score(window_rows(spark, sf, "val", "label1", 512), LINEAR, LINEAR.initial())
+    log, extent = labelled_log(spark, sf)
+    # a power of two keeps the features equal in both engines' single precision
+    log = log.withColumns({c: F.col(c) / 64 for c in FEATURES})
+    offsets = splits.sample_offsets(lengths(spark, sf), extent=extent.as_one_group)
+    rows = splits.window_batch_rows(
+        log, offsets, FEATURES, "label1", batch_size=512, entities=extent.groups
+    )
+    scored = score(rows, LINEAR, LINEAR.initial())
     return scored.select(
         "id", F.col("pos").alias("cycle"), F.round(F.col("prob")[1], 5).alias("prob"), "prediction"
     )

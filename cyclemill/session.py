@@ -36,3 +36,9 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="cyclemill-", dir="/tmp")
     return f"{root.rstrip('/')}/cyclemill/{purpose}-{uuid.uuid4().hex}"
+
+
+def delete_table(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table through Hadoop's file system, wherever it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
