@@ -755,6 +755,7 @@ def averaged_training(spark, sf):
     path = shared_folder(spark, "stats")
     validation = window_rows(spark, sf, "val", "label1", 512)
     train(spark, rounds, net, settings, validation=validation, stats_path=path)
+    rounds.delete()
     return read_stats(spark, path).select("run", "epoch", "round", "worker", "n", F.round("loss", 6).alias("loss"))
 
 
@@ -767,7 +768,9 @@ def averaged_training_per_step(spark, sf):
     batches = sequences.life_batches(lengths(spark, sf), extent=short_lives(log, extent))
     rows = splits.life_batch_rows(log, batches, FEATURES, "label2")
     path = shared_folder(spark, "stats")
-    train(spark, export_rounds(rows, settings), net, settings, stats_path=path)
+    rounds = export_rounds(rows, settings)
+    train(spark, rounds, net, settings, stats_path=path)
+    rounds.delete()
     return read_stats(spark, path).select("run", "epoch", "round", "worker", "n", F.round("loss", 6).alias("loss"))
 
 
