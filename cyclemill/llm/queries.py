@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cyclemill.llm import (
-    decontamination, language, licenses, packing, secrets, simhash, topk, toxicity,
+    decontamination, extraction, language, licenses, packing, pii, secrets, simhash, topk, toxicity,
 )
 from cyclemill.llm.common import fresh, table
 
@@ -64,6 +64,18 @@ def op2_licenses(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query()
+def op3_private(spark: SparkSession, sf: str) -> DataFrame:
+    """Personal data of all documents, and the terms that give it away."""
+    spans = F.col("spans")
+    found = pii.private_spans(table(spark, sf, "documents"))
+    return found.select(
+        "doc_id", *[n_of(spans, kind).alias(f"n_{kind}") for kind in pii.KINDS[:4]],
+        F.sha2(joined_spans(base_spans(spans, pii.KINDS[:4])), 256).alias("base_sha256"), joined_spans(spans).alias("spans"),
+        n_of(spans, "term").alias("n_term"),
+    )
+
+
 def toxicity_model(spark: SparkSession, sf: str, docs: DataFrame) -> toxicity.Model:
     """Trained on the labelled documents that are not held out."""
     labels = table(spark, sf, "labels").filter(~held_out(5, 0)).select("doc_id", F.col("toxic").alias("label"))
@@ -98,6 +110,16 @@ def op5_secrets(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query()
+def op6_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    """Main text of all pages."""
+    pages = table(spark, sf, "pages")
+    c = fresh("found")
+    model = extraction.train(pages)
+    found = pages.select("page_id", "url", extraction.main_text(model).alias(c))
+    return found.select("page_id", "url", f"{c}.text", F.length(f"{c}.text").cast("long").alias("n_chars"), f"{c}.blocks", f"{c}.kept")
+
+
 @query()
 def op7_language(spark: SparkSession, sf: str) -> DataFrame:
     """Language of all documents."""

@@ -13,6 +13,7 @@ import re
 
 import numpy as np
 from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 from cyclemill.llm.common import column
 
@@ -115,6 +116,21 @@ def scan(text: str, low: bytes, novelty: Novelty) -> list[tuple[int, int, str, f
     return sorted(spans, key=lambda s: (s[0], rank[s[2]]))
 
 
+def finder():
+    """A function from a text as bytes to its spans."""
+    novelty = Novelty()
+    member = np.zeros(256, dtype=bool)
+    member[0x30:0x3A] = member[0x61:0x67] = True
+
+    def find(raw: bytes) -> list[tuple[int, int, str, float | None]]:
+        low = raw.lower()
+        if not (b"AKIA" in raw or has_long_hex(raw, member) or any(w in low for w in SENSITIVE)):
+            return []
+        return scan(raw.decode(), low, novelty)
+
+    return find
+
+
 def secrets(text: str = "text") -> Column:
     """Struct with the spans of secrets in a whole text, in code points, end exclusive.
 
@@ -124,22 +140,41 @@ def secrets(text: str = "text") -> Column:
     """
 
     def kernel():
-        novelty = Novelty()
-        member = np.zeros(256, dtype=bool)
-        member[0x30:0x3A] = member[0x61:0x67] = True
+        find = finder()
+        return lambda texts: [
+            ([{"kind": k, "start": a, "end": b, "novelty": v} for a, b, k, v in find(raw)],) for raw in texts
+        ]
+
+    return column(kernel, KIND, text)
+
+
+MARKER = "[REDACTED]"
+
+
+def redacted(text: str = "text") -> Column:
+    """Struct of the text with every secret replaced by a marker, and their number; a null text stays null."""
+
+    def cut(value: str, spans) -> str:
+        made, at = [], 0
+        for a, b, _, _ in spans:
+            if b > at:
+                if a >= at:
+                    made += [value[at:a], MARKER]
+                at = b
+        return "".join([*made, value[at:]])
+
+    def kernel():
+        find = finder()
 
         def work(texts: list[bytes]):
             rows = []
             for raw in texts:
-                low = raw.lower()
-                if not (b"AKIA" in raw or has_long_hex(raw, member) or any(w in low for w in SENSITIVE)):
-                    rows.append(([],))
-                    continue
-                rows.append(([
-                    {"kind": k, "start": a, "end": b, "novelty": v} for a, b, k, v in scan(raw.decode(), low, novelty)
-                ],))
+                spans = find(raw)
+                value = raw.decode()
+                rows.append((cut(value, spans) if spans else value, len(spans)))
             return rows
 
         return work
 
-    return column(kernel, KIND, text)
+    made = column(kernel, "text string, n int", text)
+    return F.struct(F.when(F.col(f"`{text}`").isNotNull(), made["text"]).alias("text"), made["n"].alias("n"))
