@@ -23,10 +23,11 @@ class Network:
 
     features: int
     outputs: int
+    # fixed values: the layer widths of the published configuration
     units: tuple[int, ...] = (164, 96, 48)
     dropout: float = 0.2
     many_to_one: bool = True
-    seed: int = 11182017
+    seed: int = 42
     precision: str = "float32"
 
     def layout(self) -> list[tuple[str, str, tuple[int, ...]]]:
@@ -120,7 +121,9 @@ def _sigmoid(x):
     return 0.5 * (1.0 + np.tanh(0.5 * x))
 
 
-def _lstm_forward(x, wx, wh, b, state, mask):
+def _lstm_forward(x, wx, wh, b, state, mask, keep=True):
+    if not keep:
+        return _lstm_states(x, wx, wh, b, state, mask)
     batch, steps, _ = x.shape
     u = wh.shape[0]
     h, c = state
@@ -140,6 +143,19 @@ def _lstm_forward(x, wx, wh, b, state, mask):
     return hidden[1:].transpose(1, 0, 2), (gates, cells, hidden)
 
 
+def _lstm_states(x, wx, wh, b, state, mask):
+    """The forward pass alone: what only the gradient needs is not kept."""
+    u = wh.shape[0]
+    h, c = state
+    out = np.empty((x.shape[1], x.shape[0], u), x.dtype)
+    for t in range(x.shape[1]):
+        z = x[:, t] @ wx + b + h @ wh
+        gate, real = _sigmoid(z[:, : 3 * u]), mask[:, t, None]
+        c = real * (gate[:, u : 2 * u] * c + gate[:, :u] * np.tanh(z[:, 3 * u :]))
+        out[t] = h = real * gate[:, 2 * u :] * np.tanh(c)
+    return out.transpose(1, 0, 2), (None, c[None], h[None])
+
+
 def _lstm_backward(dout, x, wx, wh, tape, mask):
     gates, cells, hidden = tape
     steps, batch, _ = gates.shape
@@ -169,10 +185,10 @@ def zero_state(net: Network, batch: int):
     return [(np.zeros((batch, u), net.precision), np.zeros((batch, u), net.precision)) for u in net.units]
 
 
-def forward(net: Network, values, x, mask=None, state=None, rng=None):
+def forward(net: Network, values, x, mask=None, state=None, rng=None, keep=True):
     """Class probabilities ``(batch, [steps,] outputs)``, the last state and what ``gradient`` needs.
 
-    ``rng`` switches dropout on.
+    ``rng`` switches dropout on; without ``keep`` there is nothing for the gradient.
     """
     batch, steps, _ = x.shape
     kind = net.precision
@@ -183,12 +199,13 @@ def forward(net: Network, values, x, mask=None, state=None, rng=None):
     tape, last, a = [], [], x
     for k, u in enumerate(net.units):
         wx, wh, b = blocks[3 * k : 3 * k + 3]
-        out, inner = _lstm_forward(a, wx, wh, b, state[k], mask)
+        out, inner = _lstm_forward(a, wx, wh, b, state[k], mask, keep)
         last.append((inner[2][-1], inner[1][-1]))
         kept = None
         if rng is not None and net.dropout > 0:
             kept = (rng.random((batch, steps, u)) >= net.dropout) / np.array(1 - net.dropout, kind)
-        tape.append((a, inner, kept))
+        if keep:
+            tape.append((a, inner, kept))
         a = out if kept is None else out * kept
     top = a[:, -1] if net.many_to_one else a
     scores = top @ blocks[-2] + blocks[-1]
@@ -224,7 +241,7 @@ def gradient(net: Network, values, x, label, mask=None, state=None, rng=None):
     grads[-2][...] = np.tensordot(top, dscores, axes=(axes, axes))
     grads[-1][...] = dscores.sum(axes)
     dtop = dscores @ blocks[-2].T
-    if net.many_to_one:
+    if net.many_to_one and net.units:
         da = np.zeros((*x.shape[:2], net.units[-1]), prob.dtype)
         da[:, -1] = dtop
     else:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cyclemill.operators.ordering import running_totals
+from cyclemill.session import kept
 
 PROBABILITY_FLOOR = 1e-7
 
@@ -110,6 +111,8 @@ def roc_points(scored: DataFrame, score: str = "score", label: str = "label") ->
     by_score = scored.groupBy((-F.col(score)).alias("_down")).agg(
         F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg")
     )
+    # measuring and cutting the score axis read the counts several times: the input runs once
+    by_score = kept(by_score, "scores")
     cumulated = running_totals(
         by_score,
         [],

@@ -18,6 +18,7 @@ table is. That bound is what makes their tables safe to collect and broadcast.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -33,7 +34,6 @@ from cyclemill.sizing import setting
 HOT_GROUPS = 1 << 14
 SLICES_PER_LIMIT = 4
 MAX_PIECES = 64
-MAX_CUTS = 8
 QUANTILE_ACCURACY = 1000
 LARGEST_DOUBLE = 1.7976931348623157e308
 
@@ -74,7 +74,7 @@ def running_totals(
 ) -> DataFrame:
     """Add inclusive running sums (``running``) and whole-group sums (``overall``).
 
-    ``order`` names ascending numeric, date or timestamp columns that together
+    ``order`` names ascending numeric, string, date or timestamp columns that together
     are unique within a group. ``by`` may be empty: the table is then one group.
     ``extent`` saves the measuring pass where the sizes are known; an upper bound will do.
     """
@@ -140,18 +140,19 @@ def _window_totals(df, by, order, running, overall):
 def _cut_hot_groups(df, by, order, limit):
     """Add slice columns that split every group above ``limit`` rows, in order.
 
-    Each pass cuts a group at quantiles of its first order column that varies.
+    Each pass cuts a group at quantiles of the first part of its order columns that varies.
     What is still too large afterwards (quantiles are approximate, and a pass makes
-    at most ``MAX_PIECES`` slices) is cut again by the next pass.
+    at most ``MAX_PIECES`` slices) is cut again by the next pass, until only rows that
+    tie in all order columns are left together.
     """
     spark = df.sparkSession
-    axes = [_ordinal(df, c) for c in order]
+    axes = _axes(df, order)
     slices: list[str] = []
     df = df.withColumn("_hot", F.lit(False))
-    for level in range(MAX_CUTS):
+    for level in itertools.count():  # every pass cuts each crowded group in two at least
         keys = [*by, *slices]
         key_fields = [df.schema[k] for k in keys]
-        chosen = [c for c in map(_choose_axis, _crowded_groups(df, keys, order, axes, limit)) if c]
+        chosen = [c for c in map(_choose_axis, _crowded_groups(df, keys, axes, limit)) if c]
         if not chosen:
             break
         axis_table = spark.createDataFrame(
@@ -174,33 +175,29 @@ def _cut_hot_groups(df, by, order, limit):
     return df, slices
 
 
-def _crowded_groups(df, keys, order, axes, limit):
+def _crowded_groups(df, keys, axes, limit):
     """Groups above the limit with the range of each order column (bounded: see the module text)."""
     ranges = []
-    for i, (name, axis) in enumerate(zip(order, axes)):
+    for i, axis in enumerate(axes):
         ranges += [
-            F.max(name).eqNullSafe(F.min(name)).alias(f"_same{i}"),
             F.min(_finite(axis)).alias(f"_lo{i}"),
             F.max(_finite(axis)).alias(f"_hi{i}"),
             F.count(axis).alias(f"_known{i}"),
+            F.coalesce(F.max(F.abs(axis) > LARGEST_DOUBLE), F.lit(False)).alias(f"_odd{i}"),
         ]
     groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *ranges)
     return groups.where(F.col("_n") > limit).collect()
 
 
 def _choose_axis(row):
-    """The first order column that varies in the group, with its range as doubles.
-
-    A column may vary by less than a double can tell. Then the group is left whole:
-    cutting along a later column would break the order.
-    """
+    """The first axis that varies in the group, with its range; none if all its rows tie."""
     axis = 0
     while f"_lo{axis}" in row:
         lo, hi = row[f"_lo{axis}"], row[f"_hi{axis}"]
         has_null = 0 < row[f"_known{axis}"] < row["_n"]
         if lo is not None and (lo < hi or has_null):
             return row, axis, lo, hi
-        if not row[f"_same{axis}"]:
+        if row[f"_odd{axis}"]:  # infinite or no number: sorted last or first, but not cut apart
             return None
         axis += 1
     return None
@@ -246,21 +243,46 @@ def _slice_number(value: Column) -> Column:
     return F.when(value.isNull(), 0).otherwise(below + 1).cast("int")
 
 
-def _ordinal(df: DataFrame, name: str) -> Column:
-    """A double that never decreases as the column's sort order rises."""
+def _digits(df: DataFrame, name: str, octets: int) -> list[Column]:
+    """Doubles that sort, one after another, as the column does, and tell all its values apart.
+
+    A whole number of more bits than a double has gives its high and its low half; a
+    string gives its bytes, six at a time, and its length.
+    """
     kind = df.schema[name].dataType
     col = F.col(name)
-    if isinstance(kind, T.NumericType):
-        return col.cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(col).cast("double")
+    if isinstance(kind, T.StringType):
+        raw = F.encode(col, "UTF-8")
+        parts = [
+            F.conv(F.rpad(F.hex(F.substring(raw, at, 6)), 12, "0"), 16, 10).cast("double")
+            for at in range(1, octets + 1, 6)
+        ]
+        return [*parts, F.octet_length(col).cast("double")]
     if isinstance(kind, T.TimestampType):
-        return F.unix_micros(col).cast("double")
-    if isinstance(kind, T.TimestampNTZType):
+        col = F.unix_micros(col)
+    elif isinstance(kind, T.TimestampNTZType):
         # by way of an interval, because a cast to TIMESTAMP would jump at daylight-saving changes
         since = F.expr(f"`{name}` - timestamp_ntz'1970-01-01 00:00:00'")
-        return since.cast("interval second").cast("decimal(18,6)").cast("double")
-    raise TypeError(f"cannot cut a group along {name} of type {kind.simpleString()}")
+        col = (since.cast("interval second").cast("decimal(18,6)") * 1_000_000).cast("long")
+    elif isinstance(kind, T.DecimalType):
+        whole = F.floor(col)
+        high = F.floor(whole / (1 << 40))
+        return [high.cast("double"), (whole - high * (1 << 40)).cast("double"), ((col - whole) * (1 << 20)).cast("double")]
+    elif isinstance(kind, T.DateType):
+        col = F.unix_date(col)
+    elif not isinstance(kind, T.LongType):
+        return [col.cast("double")]
+    return [F.shiftright(col.cast("long"), 32).cast("double"), col.cast("long").bitwiseAND(F.lit((1 << 32) - 1)).cast("double")]
+
+
+def _axes(df: DataFrame, order: Sequence[str]) -> list[Column]:
+    """The order columns as doubles, the first of them first."""
+    texts = [c for c in order if isinstance(df.schema[c].dataType, T.StringType)]
+    octets = {}
+    if texts:
+        row = df.agg(*[F.max(F.octet_length(c)).alias(c) for c in texts]).first()
+        octets = {c: row[c] or 0 for c in texts}
+    return [axis for c in order for axis in _digits(df, c, octets.get(c, 0))]
 
 
 def _null_safe_join(df, bounded, keys):

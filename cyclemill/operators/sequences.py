@@ -17,6 +17,7 @@ from cyclemill.operators.ordering import Extent, number_rows
 from cyclemill.sizing import setting, small_side
 
 SEQUENCE_LENGTH = 50
+BLOCK_STEPS = 50
 
 
 def sliding_sequences(
@@ -70,37 +71,20 @@ def sequence_counts(lengths: DataFrame, length: int = SEQUENCE_LENGTH, n_col: st
     return lengths.withColumn("n_samples", F.greatest(F.col(n_col) - length, F.lit(0)).cast("long"))
 
 
-def cut_lives(log: DataFrame, pos_col: str = "cycle", max_steps: int | None = None) -> DataFrame:
-    """Add ``part`` and ``step``: a life beyond ``max_steps`` goes on in further parts."""
-    max_steps = setting(log, "lifeSteps", max_steps)
-    return log.withColumns(
-        {
-            "part": F.floor((F.col(pos_col) - 1) / max_steps).cast("long"),
-            "step": ((F.col(pos_col) - 1) % max_steps + 1).cast("long"),
-        }
-    )
-
-
 def life_batches(
     lengths: DataFrame,
     batch_size: int = 16,
-    max_steps: int | None = None,
     id_col: str = "id",
     n_col: str = "n_cycles",
     extent: Extent | None = None,
 ) -> DataFrame:
-    """Put life parts, in entity order, into minibatches: ``(id, part, steps, batch_id, batch_steps)``.
+    """Put lives, in entity order, into minibatches: ``(id, steps, batch_id, batch_steps)``.
 
-    ``lengths`` has one row per entity. ``batch_steps`` is the longest part of the batch.
-    ``extent`` is that of the parts, if known.
+    ``lengths`` has one row per entity. ``batch_steps`` is the longest life of the batch.
+    ``extent`` is that of the entities, if known.
     """
-    max_steps = setting(lengths, "lifeSteps", max_steps)
-    last = F.floor((F.col(n_col) - 1) / max_steps).cast("long")
-    parts = lengths.select(id_col, n_col, F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("part"))
-    parts = parts.select(
-        id_col, "part", F.least(F.col(n_col) - F.col("part") * max_steps, F.lit(max_steps)).alias("steps")
-    )
-    numbered = number_rows(parts, [], [id_col, "part"], "_i", None, extent)
+    lives = lengths.select(id_col, F.col(n_col).alias("steps"))
+    numbered = number_rows(lives, [], [id_col], "_i", None, extent)
     batched = numbered.withColumn("batch_id", F.floor((F.col("_i") - 1) / batch_size).cast("long")).drop("_i")
     return batched.withColumn("batch_steps", F.max("steps").over(Window.partitionBy("batch_id")))
 
@@ -113,33 +97,40 @@ def padded_lives(
     classes: int | None,
     id_col: str = "id",
     pos_col: str = "cycle",
-    max_steps: int | None = None,
+    block_steps: int = BLOCK_STEPS,
 ) -> DataFrame:
-    """One row per life part, padded in front to the longest of its batch.
-
-    ``x`` is flat (time, feature); ``y`` holds one-hot vectors, or the bare target if
-    ``classes`` is None (a regression); ``mask`` is 1 on real steps. A group collects
-    at most ``max_steps`` rows.
+    """Lives padded in front to the longest of their batch, in blocks of steps.
+
+    The lives of a batch end together; their common time is cut every ``block_steps``
+    steps, and a block of a life is one row, so no row grows with the life. Blocks that
+    are all padding are left out. ``x`` is flat (time, feature); ``y`` holds one-hot
+    vectors, or the bare target if ``classes`` is None (a regression); ``mask`` is 1 on
+    real steps; ``first_pos`` is the position of the block's first step, zero or less
+    on padding.
     """
-    target = one_hot(label, classes) if classes else F.array(F.col(label).cast("int"))
-    rows = cut_lives(log, pos_col, max_steps).select(
-        id_col, "part", "step", feature_vector(features).alias("x"), target.alias("y")
+    target = one_hot(label, classes) if classes else F.array(F.col(label).cast("double"))
+    timed = log.join(small_side(batches.select(id_col, "steps", "batch_id", "batch_steps")), id_col)
+    t = F.col(pos_col) + F.col("batch_steps") - F.col("steps")
+    rows = timed.select(
+        "batch_id", id_col, F.floor((t - 1) / block_steps).cast("long").alias("block"), t.alias("t"),
+        "batch_steps", (t - F.col(pos_col)).alias("_shift"), feature_vector(features).alias("x"), target.alias("y"),
     )
-    lives = rows.groupBy(id_col, "part").agg(
-        F.sort_array(F.collect_list(F.struct("step", "x", "y"))).alias("life")
+    blocks = rows.groupBy("batch_id", id_col, "block", "batch_steps", "_shift").agg(
+        F.sort_array(F.collect_list(F.struct("t", "x", "y"))).alias("cells")
     )
-    joined = lives.join(small_side(batches), [id_col, "part"])
-    gap = (F.col("batch_steps") - F.size("life")).cast("int")
-    nothing = F.array(*[F.lit(0)] * (classes or 1))
-    return joined.select(
+    begin = F.col("block") * block_steps
+    gap = (F.get("cells.t", F.lit(0)) - begin - 1).cast("int")
+    nothing = F.array(*[F.lit(0 if classes else 0.0)] * (classes or 1))
+    return blocks.select(
         "batch_id",
         id_col,
-        "part",
+        "block",
+        (begin + 1 - F.col("_shift")).alias("first_pos"),
         F.concat(
-            F.array_repeat(F.lit(0.0).cast("float"), gap * len(features)), F.flatten(F.col("life.x"))
+            F.array_repeat(F.lit(0.0).cast("float"), gap * len(features)), F.flatten(F.col("cells.x"))
         ).alias("x"),
-        F.concat(F.array_repeat(nothing, gap), F.col("life.y")).alias("y"),
-        F.concat(F.array_repeat(F.lit(0), gap), F.array_repeat(F.lit(1), F.size("life"))).alias("mask"),
+        F.concat(F.array_repeat(nothing, gap), F.col("cells.y")).alias("y"),
+        F.concat(F.array_repeat(F.lit(0), gap), F.array_repeat(F.lit(1), F.size("cells"))).alias("mask"),
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cyclemill.functions.expressions import feature_vector
 from cyclemill.operators.ordering import Extent, number_rows, running_totals
-from cyclemill.operators.sequences import SEQUENCE_LENGTH, cut_lives, sequence_counts
+from cyclemill.operators.sequences import SEQUENCE_LENGTH, sequence_counts
 from cyclemill.sizing import small_side
 
 TRAIN_SHARE = 0.8
@@ -138,7 +138,7 @@ def window_batch_rows(
     return placed.select(
         "batch_id",
         F.col(id_col).cast("long").alias("id"),
-        F.lit(0).cast("long").alias("part"),
+        pos.cast("long").alias("t"),
         pos.cast("long").alias("pos"),
         feature_vector(features).alias("x"),
         F.col(label).cast("float").alias("y"),
@@ -153,18 +153,39 @@ def life_batch_rows(
     label: str,
     id_col: str = "id",
     pos_col: str = "cycle",
-    max_steps: int | None = None,
 ) -> DataFrame:
-    """The rows of each minibatch of whole lives; every row carries a label."""
-    rows = cut_lives(log, pos_col, max_steps).join(
-        small_side(batches.select(id_col, "part", "batch_id")), [id_col, "part"]
-    )
+    """The rows of each minibatch of whole lives; every row carries a label.
+
+    ``t`` is the row's step in the common time of its batch, whose lives end together.
+    """
+    rows = log.join(small_side(batches.select(id_col, "steps", "batch_id", "batch_steps")), id_col)
     return rows.select(
         "batch_id",
         F.col(id_col).cast("long").alias("id"),
-        "part",
-        F.col("step").alias("pos"),
+        (F.col(pos_col) + F.col("batch_steps") - F.col("steps")).cast("long").alias("t"),
+        F.col(pos_col).cast("long").alias("pos"),
         feature_vector(features).alias("x"),
         F.col(label).cast("float").alias("y"),
         F.lit(True).alias("is_label"),
     )
+
+
+def stored_batch_rows(padded: DataFrame, features: int, block_steps: int, id_col: str = "id") -> DataFrame:
+    """The rows of minibatches that were stored as padded blocks (see ``padded_lives``), padding left out."""
+    cells = padded.select(
+        "batch_id",
+        F.col(id_col).cast("long").alias("id"),
+        "block", "first_pos", "x",
+        F.posexplode(F.arrays_zip("mask", "y")).alias("_k", "_cell"),
+    ).where("_cell.mask = 1")
+    y = F.col("_cell.y")
+    label = F.when(F.size(y) > 1, F.array_position(y, F.array_max(y)) - 1).otherwise(F.get(y, F.lit(0)))
+    return cells.select(
+        "batch_id",
+        "id",
+        (F.col("block") * block_steps + F.col("_k") + 1).cast("long").alias("t"),
+        (F.col("first_pos") + F.col("_k")).cast("long").alias("pos"),
+        F.slice("x", F.col("_k") * features + 1, F.lit(features)).alias("x"),
+        label.cast("float").alias("y"),
+        F.lit(True).alias("is_label"),
+    )

@@ -4,37 +4,43 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cyclemill.functions.lstm import Adam, Network, Weights
 from cyclemill.operators.columns import SERIES_FEATURES
 from cyclemill.operators.labels import series_lengths
 from cyclemill.operators.metrics import evaluation
-from cyclemill.operators.ordering import Extent, measure
+from cyclemill.operators.ordering import Extent, measure, number_rows
 from cyclemill.operators.scaling import apply_scaler, fit_scaler
-from cyclemill.operators.sequences import life_batches, padded_lives
+from cyclemill.operators.sequences import BLOCK_STEPS, life_batches, padded_lives
 from cyclemill.operators.splits import (
     entity_phases,
     life_batch_rows,
     sample_offsets,
-    split_entities,
+    stored_batch_rows,
     window_batch_rows,
 )
 from cyclemill.plans.scoring import score
 from cyclemill.plans.training import Settings, Trained, export_rounds, train
 from cyclemill.sizing import small_side
-from cyclemill.sources.batches import write_batches
+from cyclemill.sources.batches import read_batches, write_batches
 
 # outputs of the classifier per target; None is a regression, whose series are only batched
 CLASSES = {"RUL": None, "label1": 2, "label2": 3}
 SCORING_BATCH = 512
+POSITION = "_position"
 
 
 @dataclass(frozen=True)
 class Series:
-    """Labelled series with their lengths, measured once for all that follows."""
+    """Labelled series with their lengths, measured once for all that follows.
+
+    Rows are numbered in the order of their cycles: cycles may begin late or have gaps,
+    but windows and lives are made of rows. ``POSITION`` holds the number.
+    """
 
     log: DataFrame
     lengths: DataFrame
@@ -42,7 +48,8 @@ class Series:
 
     @staticmethod
     def of(log: DataFrame) -> Series:
-        return Series(log, series_lengths(log), measure(log, ["id"]))
+        extent = measure(log, ["id"])
+        return Series(number_rows(log, ["id"], ["cycle"], POSITION, None, extent), series_lengths(log), extent)
 
     def part(self, phases: DataFrame, phase: str) -> Series:
         """The entities of one phase; the whole's sizes stay valid as upper bounds."""
@@ -64,11 +71,17 @@ def window_rows(
         label,
         length,
         batch_size,
+        pos_col=POSITION,
         entities=series.extent.groups,
         tail=tail,
     )
 
 
+def life_rows(series: Series, features: Sequence[str], label: str, batch_size: int) -> DataFrame:
+    batches = life_batches(series.lengths, batch_size, extent=series.extent.as_one_group)
+    return life_batch_rows(series.log, batches, features, label, pos_col=POSITION)
+
+
 def fit_windows(
     labelled: DataFrame,
     net: Network,
@@ -114,7 +127,7 @@ def fit_lives(
     whole = Series.of(labelled)
     phases = entity_phases(labelled, extent=whole.extent.as_one_group)
     rows, held = (
-        life_batch_rows(part.log, life_batches(part.lengths, batch_size), features, label)
+        life_rows(part, features, label, batch_size)
         for part in (whole.part(phases, "train"), whole.part(phases, "val"))
     )
     return _fit(rows, held, net, settings, adam, init, outputs)
@@ -136,12 +149,50 @@ def evaluate_windows(
     label: str = "label1",
     length: int = 50,
 ) -> tuple[DataFrame, DataFrame]:
-    """Predictions on a test table, and their evaluation as one row."""
+    """Predictions on a test table (``pos`` counts an entity's rows), and their evaluation as one row."""
     rows = window_rows(Series.of(labelled), features, label, length, SCORING_BATCH)
+    return evaluate_rows(rows, net, weights, length)
+
+
+def evaluate_lives(
+    labelled: DataFrame,
+    net: Network,
+    weights: Weights,
+    features: Sequence[str],
+    label: str = "label2",
+    batch_size: int = 16,
+) -> tuple[DataFrame, DataFrame]:
+    """As ``evaluate_windows``, for a network that classifies every step of a whole life."""
+    return evaluate_rows(life_rows(Series.of(labelled), features, label, batch_size), net, weights)
+
+
+def evaluate_rows(
+    rows: DataFrame, net: Network, weights: Weights, length: int = 50
+) -> tuple[DataFrame, DataFrame]:
+    """Predictions on batch rows, which may come from stored minibatches, and their evaluation."""
     predictions = score(rows, net, weights.values, length)
     return predictions, evaluation(predictions)
 
 
+def fit_stored(
+    spark: SparkSession,
+    path: str,
+    net: Network,
+    settings: Settings = Settings(),
+    adam: Adam = Adam(),
+    init: Weights | None = None,
+    **outputs,
+) -> Trained:
+    """Train on the minibatches that ``ingest`` wrote, validating on its validation phase."""
+    rows, held = (stored_rows(spark, path, phase, net.features) for phase in ("train", "val"))
+    return _fit(rows, held, net, settings, adam, init, outputs)
+
+
+def stored_rows(spark: SparkSession, path: str, phase: str, features: int) -> DataFrame:
+    """The batch rows of one phase of an ingested table."""
+    return stored_batch_rows(read_batches(spark, path, phase), features, BLOCK_STEPS)
+
+
 def ingest(
     train_table: DataFrame,
     test_table: DataFrame,
@@ -155,17 +206,18 @@ def ingest(
 
     The last fifth of the training entities validates. Features are standardised
     with statistics of the training entities only, which are returned; labels are
-    not. A regression target is written as it is, a class as a one-hot vector.
+    not. A regression target is written as it is, a class as a one-hot vector. What an
+    earlier ingestion left under ``path`` is replaced.
     """
     whole, test = Series.of(train_table), Series.of(test_table)
     phases = entity_phases(train_table, extent=whole.extent.as_one_group)
     parts = {"train": whole.part(phases, "train"), "val": whole.part(phases, "val"), "test": test}
     stats = fit_scaler(parts["train"].log, features)
+    padded = []
     for phase, part in parts.items():
-        # the cycle may be a feature, so the position is kept apart from it
-        log = part.log.withColumn("_position", F.col("cycle"))
-        log = apply_scaler(log, stats) if rescale else log
-        batches = life_batches(part.lengths, batch_size)
-        padded = padded_lives(log, batches, features, target, CLASSES[target], pos_col="_position")
-        write_batches(padded, path, phase)
+        log = apply_scaler(part.log, stats) if rescale else part.log
+        batches = life_batches(part.lengths, batch_size, extent=part.extent.as_one_group)
+        rows = padded_lives(log, batches, features, target, CLASSES[target], pos_col=POSITION)
+        padded.append(rows.withColumn("phase", F.lit(phase)))
+    write_batches(reduce(DataFrame.unionByName, padded), path)
     return stats

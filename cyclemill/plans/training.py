@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import time
 from collections.abc import Callable, Iterator
@@ -16,8 +17,9 @@ from pyspark.sql import functions as F
 from cyclemill.functions.lstm import Adam, Network, Weights, gradient, zero_state
 from cyclemill.operators.metrics import evaluation
 from cyclemill.operators.parameters import weighted_average
+from cyclemill.operators.sequences import BLOCK_STEPS
 from cyclemill.plans.scoring import score
-from cyclemill.plans.tensors import minibatches, sort_rows
+from cyclemill.plans.tensors import carried, in_order, minibatches
 from cyclemill.session import delete_table, shared_folder
 from cyclemill.sizing import setting
 from cyclemill.sources.models import append_stats, save_model
@@ -26,7 +28,7 @@ MAX_DIRECTORIES = 2048
 BATCHES_PER_FILE = 2048
 STATS_BUFFER = 10_000
 ROUND_SCHEMA = (
-    "batch_id long, id long, part long, pos long, x array<float>, y float, is_label boolean, "
+    "batch_id long, id long, t long, pos long, x array<float>, y float, is_label boolean, "
     "round long, worker int, round_group int"
 )
 TRAINED = "worker int, n double, loss double, seconds double, packed array<double>"
@@ -38,8 +40,9 @@ class Settings:
     workers: int = 8
     averaging_frequency: int = 5
     length: int = 50
-    tbptt: int = 50
-    evaluate_every: int | None = None
+    tbptt: int = BLOCK_STEPS
+    # evaluations within an epoch: their cost grows with the data as the epoch's does
+    evaluations_per_epoch: int | None = None
     patience: int | None = 1
 
 
@@ -119,26 +122,25 @@ def written(rows: DataFrame | None, purpose: str) -> Iterator[DataFrame | None]:
 
 
 def local_steps(
-    table: pa.Table, net: Network, weights: Weights, adam: Adam, settings: Settings, seed: int | None
+    batches: Iterator[pa.RecordBatch], net: Network, weights: Weights, adam: Adam, settings: Settings, seed: int | None
 ) -> tuple[float, float]:
-    """Take the optimiser through one worker's minibatches; returns terms seen and summed loss."""
+    """Take the optimiser through one worker's minibatches, in order; returns terms seen and summed loss.
+
+    Lives are read in blocks of ``tbptt`` steps; their state goes on from block to block,
+    the gradient does not.
+    """
     rng = None if seed is None else np.random.default_rng(seed)
     terms = loss = 0.0
-    for b in minibatches(sort_rows(table), net, settings.length):
-        if net.many_to_one:
-            part_loss, n, grad, _ = gradient(net, weights.values, b.x, b.y, b.mask, None, rng)
+    state, ids = [], None
+    for b in minibatches(batches, net, settings.length, settings.tbptt):
+        start = None
+        if not net.many_to_one:
+            start = carried(state, None if b.first else ids, b.ids, zero_state(net, len(b.ids)))
+        part_loss, n, grad, state = gradient(net, weights.values, b.x, b.y, b.mask, start, rng)
+        ids = b.ids
+        if n:
             weights.update(grad, adam)
-            terms, loss = terms + n, loss + part_loss
-            continue
-        state = zero_state(net, len(b.x))
-        for start in range(0, b.x.shape[1], settings.tbptt):
-            cut = slice(start, start + settings.tbptt)
-            part_loss, n, grad, state = gradient(
-                net, weights.values, b.x[:, cut], b.y[:, cut], b.mask[:, cut], state, rng
-            )
-            if n:
-                weights.update(grad, adam)
-            terms, loss = terms + n, loss + part_loss
+        terms, loss = terms + n, loss + part_loss
     return terms, loss
 
 
@@ -161,14 +163,17 @@ def average_round(
     packed = weights.pack()
     shared = spark.sparkContext.broadcast(packed)
 
-    def work(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         began = time.perf_counter()
-        worker = key[0].as_py()
+        first = next((b for b in batches if b.num_rows), None)
+        if first is None:
+            return
+        worker = first.column(first.schema.get_field_index("worker"))[0].as_py()
         mine = Weights.unpack(shared.value)
         # the seed depends on round and worker only: a repeated task repeats its result
         seed = (net.seed * 1_000_003 + round_no) * 1_000_003 + worker if net.dropout else None
-        terms, loss = local_steps(table, net, mine, adam, settings, seed)
-        return pa.table(
+        terms, loss = local_steps(itertools.chain([first], batches), net, mine, adam, settings, seed)
+        yield pa.RecordBatch.from_pydict(
             {
                 "worker": pa.array([worker], pa.int32()),
                 "n": pa.array([terms], pa.float64()),
@@ -178,9 +183,9 @@ def average_round(
             }
         )
 
-    # one partition per worker, which the grouping takes as it is
-    placed = rows.repartitionById(settings.workers, "worker")
-    trained = placed.groupBy("worker").applyInArrow(work, TRAINED).where("n > 0")
+    # one partition per worker, which reads its rows in order
+    placed = in_order(rows.repartitionById(settings.workers, "worker"), net, settings.tbptt, "worker")
+    trained = placed.mapInArrow(work, TRAINED).where("n > 0")
     try:
         if packed.nbytes * settings.workers <= setting(rows, "driverBytes", driver_bytes):
             stats, average = _average_here(trained)
@@ -224,7 +229,7 @@ def train(
     adam: Adam = Adam(),
     init: Weights | None = None,
     validation: DataFrame | None = None,
-    run: str = "run",
+    run: str = "model",
     stats_path: str | None = None,
     model_path: str | None = None,
     on_round: Callable[[int, Weights], None] | None = None,
@@ -233,8 +238,8 @@ def train(
 
     ``init`` continues from given weights and optimiser state. ``validation`` holds
     batch rows: its loss after each epoch stops training once it has not improved for
-    ``patience`` epochs. ``evaluate_every`` also evaluates that round's own batches and
-    the validation rows every so many rounds, beginning with the first.
+    ``patience`` epochs. ``evaluations_per_epoch`` also evaluates a round's own batches and
+    the validation rows so often in an epoch, beginning with its first round.
     """
     with written(validation, "validation") as held:
         return _run_epochs(
@@ -253,12 +258,13 @@ def _run_epochs(
         result.evaluations.append({"epoch": epoch, "round": number, "data": kind, **row})
         return row["loss"]
 
+    every = max(1, math.ceil(rounds.count / (settings.evaluations_per_epoch or 1)))
     for epoch in range(1, settings.epochs + 1):
         for number in range(rounds.count):
             rows = rounds.read(number)
             result.weights, stats = average_round(rows, net, result.weights, adam, settings, result.rounds)
             result.stats += [(run, epoch, result.rounds, *s) for s in stats]
-            if settings.evaluate_every and result.rounds % settings.evaluate_every == 0:
+            if settings.evaluations_per_epoch and number % every == 0:
                 measure("batch", rows, epoch, result.rounds)
                 if validation is not None:
                     measure("validation", validation, epoch, result.rounds)

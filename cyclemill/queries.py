@@ -8,20 +8,24 @@ order are its cycles, ``value`` and the number in ``props`` are its sensors.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cyclemill.functions import expressions as X
-from cyclemill.functions.lstm import Network
+from cyclemill.functions.lstm import Adam, Network, Weights
 from cyclemill.operators import columns, labels, metrics, parameters, scaling, sequences, splits
 from cyclemill.operators.ordering import Extent, measure, number_rows
-from cyclemill.plans.pipeline import label_censored
+from cyclemill.plans import experiment
+from cyclemill.plans.pipeline import label_censored, label_complete, prepare
 from cyclemill.plans.scoring import score
-from cyclemill.plans.training import Settings, export_rounds, train
-from cyclemill.session import shared_folder
-from cyclemill.sizing import setting
+from cyclemill.plans.training import Settings, average_round, export_rounds, train
+from cyclemill.session import delete_table, kept, shared_folder
+from cyclemill.sizing import small_side
+from cyclemill.sources import logs
 from cyclemill.sources.models import read_stats
+from cyclemill.sources.series import count_series, read_series, write_series
 
 FEATURES = ["value", "k", "cycle_norm"]
 TIME = ["ts", "event_id"]
@@ -58,11 +62,6 @@ def cycle_log(spark: SparkSession, sf: str) -> DataFrame:
     return numbered(raw_events(spark, sf))[0]
 
 
-def short_lives(log: DataFrame, extent: Extent) -> Extent | None:
-    """Every life is one part if the longest fits: then the entities bound the parts."""
-    return extent.as_one_group if extent.longest <= setting(log, "lifeSteps") else None
-
-
 def labelled_log(spark: SparkSession, sf: str) -> tuple[DataFrame, Extent]:
     """Complete series: the length that numbering already knows gives the remaining life."""
     log, extent = numbered(raw_events(spark, sf))
@@ -95,7 +94,7 @@ def censored_log(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, Ex
     raw = raw_events(spark, sf)
     log, extent = numbered(raw)
     truth = truth_table(spark, sf)
-    seen = log.join(truth, "id").where(F.col("cycle") <= F.col("n_cycles") - F.col("more"))
+    seen = log.join(small_side(truth), "id").where(F.col("cycle") <= F.col("n_cycles") - F.col("more"))
     summary = labels.series_lengths(raw).join(truth, "id")
     summary = summary.select("id", (F.col("n_cycles") - F.col("more")).alias("max"))
     return seen.select("id", "cycle", "value", "k"), summary, extent
@@ -183,7 +182,7 @@ def max_cycle(spark, sf):
 
 @query("SELECT count(DISTINCT user_id) AS n_entities FROM events")
 def entity_count(spark, sf):
-    return raw_events(spark, sf).agg(F.countDistinct("id").alias("n_entities"))
+    return count_series(raw_events(spark, sf))
 
 
 @query(PHASED + " SELECT phase, count(*) AS n_rows, count(DISTINCT id) AS n_entities FROM phased GROUP BY phase")
@@ -225,11 +224,12 @@ def rul_labels(spark, sf):
     + """ SELECT id, cycle, 60 + c_nationkey - cycle AS "RUL",
   CAST(CASE WHEN 60 + c_nationkey - cycle <= 30 THEN 1 ELSE 0 END AS BIGINT) AS label1,
   CAST(CASE WHEN 60 + c_nationkey - cycle <= 15 THEN 2 WHEN 60 + c_nationkey - cycle <= 30 THEN 1 ELSE 0 END AS BIGINT) AS label2
-FROM log LEFT JOIN (SELECT * FROM customer WHERE c_mktsegment <> 'MACHINERY') c ON c_custkey = id"""
+FROM log LEFT JOIN customer ON c_custkey = id + 20"""
 )
 def rul_left_join(spark, sf):
-    customer = spark.read.parquet(f"{sf}/customer.parquet").where("c_mktsegment <> 'MACHINERY'")
-    summary = customer.select(F.col("c_custkey").alias("id"), (F.col("c_nationkey") + 60).cast("long").alias("max"))
+    """Ids are shifted, so that the last entities have no match."""
+    customer = spark.read.parquet(f"{sf}/customer.parquet")
+    summary = customer.select((F.col("c_custkey") - 20).alias("id"), (F.col("c_nationkey") + 60).cast("long").alias("max"))
     log = cycle_log(spark, sf).select("id", "cycle")
     return labels.horizon_labels(labels.remaining_life(log, summary))
 
@@ -274,24 +274,16 @@ SELECT phase, id, cycle, rul AS "RUL",
     + " FROM observed"
 )
 def label_pipeline(spark, sf):
-    """Training entities in full and the others cut off, labelled and scaled in one pass."""
-    raw = raw_events(spark, sf)
-    log, extent = numbered(raw)
+    """Training entities in full and the others cut off, labelled and scaled as users do it: by ``prepare``."""
     truth = truth_table(spark, sf)
-    phases = splits.entity_phases(raw, extent=extent.as_one_group)
-    complete = F.col("phase") == "train"
-    phased = splits.split_entities(scaling.with_cycle_feature(log), phases, entities=extent.groups)
-    observed = phased.join(truth, "id", "left").where(
-        complete | (F.col("cycle") <= F.col("n_cycles") - F.col("more"))
-    )
-    # lengths come from the unnumbered table: one narrow scan, no second window
-    sized = labels.series_lengths(raw).join(phases, "id").withColumnRenamed("n_cycles", "max")
-    censored = sized.where(~complete).join(truth, "id").select("id", (F.col("max") - F.col("more")).alias("max"))
-    total = sized.where(complete).select("id", "max").unionByName(labels.extend_with_truth(censored, truth))
-    labelled = labels.horizon_labels(labels.remaining_life(observed, total, entities=extent.groups))
-    stats = scaling.fit_scaler(phased.where(complete), FEATURES)
-    wanted = labelled.select("phase", "id", "cycle", *columns.TARGET_COLUMNS, *FEATURES)
-    return rounded(scaling.apply_scaler(wanted, stats), FEATURES)
+    # numbered and split once; labels, statistics and scaling all read the written table
+    phased = kept(phased_log(spark, sf).select("phase", "id", "cycle", "n_cycles", "value", "k"), "phased")
+    complete = phased.where("phase = 'train'").select("id", "cycle", "value", "k")
+    seen = F.col("cycle") <= F.col("n_cycles") - F.col("more")
+    cut = phased.where("phase = 'val'").join(small_side(truth), "id").where(seen).select("id", "cycle", "value", "k")
+    train_table, test_table, _ = prepare(complete, cut, truth, FEATURES)
+    both = train_table.withColumn("phase", F.lit("train")).unionByName(test_table.withColumn("phase", F.lit("val")))
+    return rounded(both.select("phase", "id", "cycle", *columns.TARGET_COLUMNS, *FEATURES), FEATURES)
 
 
 def rounded(df, names, digits=6):
@@ -433,16 +425,13 @@ def sequences_(spark, sf):
   CAST(label2 AS FLOAT) AS label2 FROM labelled WHERE cycle > 50"""
 )
 def sequence_labels(spark, sf):
-    log, extent = labelled_log(spark, sf)
-    rows = sequences.sliding_sequences(
-        log, FEATURES, "RUL", longest=extent.longest, keep=["label1", "label2"], order=TIME
-    )
-    return rows.select(
+    """A window's label is its next row's: no window is built to read it."""
+    log, _ = labelled_log(spark, sf)
+    labelled = log.where(F.col("cycle") > sequences.SEQUENCE_LENGTH)
+    return labelled.select(
         "id",
-        "label_cycle",
-        F.col("label").alias("RUL"),
-        F.col("label1").cast("float").alias("label1"),
-        F.col("label2").cast("float").alias("label2"),
+        F.col("cycle").alias("label_cycle"),
+        *[F.col(c).cast("float").alias(c) for c in ("RUL", "label1", "label2")],
     )
 
 
@@ -473,31 +462,32 @@ BATCHED = (
     LABELLED
     + """, lives AS (
   SELECT id, count(*) AS steps, (row_number() OVER (ORDER BY id) - 1) // 16 AS batch_id FROM labelled GROUP BY id),
-widths AS (SELECT id, steps, batch_id, max(steps) OVER (PARTITION BY batch_id) AS batch_steps FROM lives),
-grid AS (
-  SELECT w.id, CAST(w.batch_id AS BIGINT) AS batch_id, unnest(range(1, w.batch_steps + 1)) - (w.batch_steps - w.steps) AS cycle
-  FROM widths w),
+widths AS (
+  SELECT id, steps, CAST(batch_id AS BIGINT) AS batch_id, max(steps) OVER (PARTITION BY batch_id) AS batch_steps FROM lives),
+grid AS (SELECT *, unnest(range(1, batch_steps + 1)) AS t FROM widths),
 padded AS (
-  SELECT g.id, g.batch_id, g.cycle,
+  SELECT g.id, g.batch_id, g.t, CAST((g.t - 1) // 50 AS BIGINT) AS block, g.t - g.batch_steps + g.steps AS pos,
     CAST(coalesce(round(value * 100), 0) AS BIGINT) AS a, CAST(coalesce(k * 100, 0) AS BIGINT) AS b,
     coalesce(l.cycle * 100, 0) AS c,
     CASE WHEN l.id IS NULL THEN '0,0,0' WHEN label2 = 0 THEN '1,0,0' WHEN label2 = 1 THEN '0,1,0' ELSE '0,0,1' END AS y,
     CASE WHEN l.id IS NULL THEN '0' ELSE '1' END AS mask
-  FROM grid g LEFT JOIN labelled l ON l.id = g.id AND l.cycle = g.cycle)"""
+  FROM grid g LEFT JOIN labelled l ON l.id = g.id AND l.cycle = g.t - g.batch_steps + g.steps)"""
 )
 
 
 @query(
     BATCHED
-    + """ SELECT batch_id, id, string_agg(a || ',' || b || ',' || c, ',' ORDER BY cycle) AS x,
-  string_agg(y, ',' ORDER BY cycle) AS y, string_agg(mask, ',' ORDER BY cycle) AS mask
-FROM padded GROUP BY batch_id, id"""
+    + """ SELECT batch_id, id, block, min(pos) AS first_pos, string_agg(a || ',' || b || ',' || c, ',' ORDER BY t) AS x,
+  string_agg(y, ',' ORDER BY t) AS y, string_agg(mask, ',' ORDER BY t) AS mask
+FROM padded GROUP BY batch_id, id, block HAVING max(mask) = '1'"""
 )
 def pad_align_end(spark, sf):
     padded = padded_log(spark, sf)
     return padded.select(
         "batch_id",
         "id",
+        "block",
+        "first_pos",
         as_text("x", 100).alias("x"),
         as_text(F.flatten("y")).alias("y"),
         as_text("mask").alias("mask"),
@@ -506,7 +496,7 @@ def pad_align_end(spark, sf):
 
 def padded_log(spark, sf):
     log, extent = labelled_log(spark, sf)
-    batches = sequences.life_batches(lengths(spark, sf), extent=short_lives(log, extent))
+    batches = sequences.life_batches(lengths(spark, sf), extent=extent.as_one_group)
     return sequences.padded_lives(log, batches, FEATURES, "label2", 3)
 
 
@@ -713,18 +703,19 @@ def window_batch_rows(spark, sf):
     log, extent = labelled_log(spark, sf)
     offsets = splits.sample_offsets(lengths(spark, sf), extent=extent.as_one_group)
     rows = splits.window_batch_rows(log, offsets, FEATURES, "label1", entities=extent.groups)
-    return rows.withColumn("x", as_text("x", 100)).drop("part")
+    return rows.withColumn("x", as_text("x", 100)).drop("t")
 
 
 @query(
     BATCHED
-    + """ SELECT batch_id, l.id, l.cycle AS pos, CAST(label2 AS FLOAT) AS y FROM labelled l JOIN lives USING (id)"""
+    + """ SELECT batch_id, l.id, l.cycle AS pos, l.cycle + batch_steps - steps AS t, CAST(label2 AS FLOAT) AS y
+FROM labelled l JOIN widths USING (id)"""
 )
 def life_batch_rows(spark, sf):
     """What the trainer reads: the rows of every minibatch of whole lives."""
     log, extent = labelled_log(spark, sf)
-    batches = sequences.life_batches(lengths(spark, sf), extent=short_lives(log, extent))
-    return splits.life_batch_rows(log, batches, FEATURES, "label2").select("batch_id", "id", "pos", "y")
+    batches = sequences.life_batches(lengths(spark, sf), extent=extent.as_one_group)
+    return splits.life_batch_rows(log, batches, FEATURES, "label2").select("batch_id", "id", "pos", "t", "y")
 
 
 def scaled_phases(spark, sf):
@@ -746,39 +737,54 @@ def window_rows(spark, sf, phase, label, batch_size):
     )
 
 
+WORKERS = 8
+
+
+def training_stats(spark, rows, net, settings, validation=None):
+    """Statistics of a training run, one row per worker and round; the tables it needed are deleted."""
+    path = shared_folder(spark, "stats")
+    rounds = export_rounds(rows, settings)
+    try:
+        train(spark, rounds, net, settings, validation=validation, stats_path=path)
+        # workers times rounds, which the driver has run one by one
+        stats = spark.createDataFrame(read_stats(spark, path).toArrow())
+    finally:
+        rounds.delete()
+        delete_table(spark, path)
+    return stats.select("run", "epoch", "round", "worker", "n", F.round("loss", 6).alias("loss"))
+
+
 @query()
 def averaged_training(spark, sf):
     """One epoch of window training on the first entities, validated on the rest."""
     net = Network(features=len(FEATURES), outputs=1, units=(8,))
-    settings = Settings(epochs=1, workers=spark.sparkContext.defaultParallelism, evaluate_every=10)
-    rounds = export_rounds(window_rows(spark, sf, "train", "label1", 16), settings)
-    path = shared_folder(spark, "stats")
-    validation = window_rows(spark, sf, "val", "label1", 512)
-    train(spark, rounds, net, settings, validation=validation, stats_path=path)
-    rounds.delete()
-    return read_stats(spark, path).select("run", "epoch", "round", "worker", "n", F.round("loss", 6).alias("loss"))
+    settings = Settings(epochs=1, workers=WORKERS, evaluations_per_epoch=3)
+    rows = window_rows(spark, sf, "train", "label1", 16)
+    return training_stats(spark, rows, net, settings, window_rows(spark, sf, "val", "label1", 512))
 
 
 @query()
 def averaged_training_per_step(spark, sf):
-    """One epoch on whole lives, one class per cycle."""
+    """One epoch on whole lives of the first entities, one class per cycle, validated on the rest."""
     net = Network(features=len(FEATURES), outputs=3, units=(8,), many_to_one=False)
-    settings = Settings(epochs=1, workers=spark.sparkContext.defaultParallelism)
-    log, _, extent = scaled_phases(spark, sf)
-    batches = sequences.life_batches(lengths(spark, sf), extent=short_lives(log, extent))
-    rows = splits.life_batch_rows(log, batches, FEATURES, "label2")
-    path = shared_folder(spark, "stats")
-    rounds = export_rounds(rows, settings)
-    train(spark, rounds, net, settings, stats_path=path)
-    rounds.delete()
-    return read_stats(spark, path).select("run", "epoch", "round", "worker", "n", F.round("loss", 6).alias("loss"))
+    scaled, phases, extent = scaled_phases(spark, sf)
+
+    def rows(phase):
+        known = lengths(spark, sf).join(phases.where(F.col("phase") == phase), "id", "left_semi")
+        batches = sequences.life_batches(known, extent=extent.as_one_group)
+        return splits.life_batch_rows(scaled, batches, FEATURES, "label2")
+
+    return training_stats(spark, rows("train"), net, Settings(epochs=1, workers=WORKERS), rows("val"))
 
 
 @query()
 def batch_scoring(spark, sf):
-    """Every window of the validation entities through a network with its initial weights."""
+    """Every window through a network with its initial weights."""
     net = Network(features=len(FEATURES), outputs=1, units=(8,))
-    scored = score(window_rows(spark, sf, "val", "label1", 512), net, net.initial())
+    log, extent = labelled_log(spark, sf)
+    offsets = splits.sample_offsets(lengths(spark, sf), extent=extent.as_one_group)
+    rows = splits.window_batch_rows(log, offsets, FEATURES, "label1", batch_size=512, entities=extent.groups)
+    scored = score(rows, net, net.initial())
     return scored.select("id", F.col("pos").alias("cycle"), "label", F.round(F.col("prob")[1], 6).alias("prob"), "prediction")
 
 
@@ -808,5 +814,146 @@ def batch_scoring_linear(spark, sf):
     )
 
 
+# ---------------------------------------------------------------- odd logs, and tables written and read again
+
+
+ODD = LOG + """, odd AS (SELECT *, cycle * 3 + id * 1000 + cycle // 7 AS late FROM log)"""
+
+
+def odd_log(spark, sf):
+    """The log with cycles that begin late and have gaps."""
+    log, _ = labelled_log(spark, sf)
+    late = F.col("cycle") * 3 + F.col("id") * 1000 + F.floor(F.col("cycle") / 7)
+    return log.select("id", late.alias("cycle"), "value", "k", *columns.TARGET_COLUMNS)
+
+
+@query(
+    ODD
+    + """, labels AS (
+  SELECT id, cycle AS pos, row_number() OVER (ORDER BY id, cycle) - 1 AS i, lag(value, 1) OVER w AS v1, lag(value, 50) OVER w AS v50,
+    n - cycle AS rul FROM odd WINDOW w AS (PARTITION BY id ORDER BY late) QUALIFY cycle > 50)
+SELECT CAST((row_number() OVER (ORDER BY id, pos) - 1) // 16 AS BIGINT) AS batch_id, id, pos,
+  round(CAST(v1 AS FLOAT)::DOUBLE, 4) AS newest, round(CAST(v50 AS FLOAT)::DOUBLE, 4) AS oldest, CAST(rul AS FLOAT) AS y FROM labels"""
+)
+def windows_of_odd_cycles(spark, sf):
+    """The windows that training reads from a log with gaps: made of rows, not of cycle numbers."""
+    rows = experiment.window_rows(experiment.Series.of(odd_log(spark, sf)), ["value"], "RUL", 50, 16)
+    cells = rows.groupBy("batch_id", "id").agg(
+        F.sort_array(F.collect_list(F.struct("pos", F.get("x", F.lit(0)).alias("v"), "y", "is_label"))).alias("cells")
+    )
+    labelled = cells.select("batch_id", "id", "cells", F.posexplode("cells").alias("at", "cell")).where("cell.is_label")
+
+    def back(n):
+        return F.round(F.get("cells.v", F.col("at") - n).cast("double"), 4)
+
+    return labelled.select(
+        "batch_id", "id", F.col("cell.pos").alias("pos"), back(1).alias("newest"), back(50).alias("oldest"), F.col("cell.y").alias("y")
+    )
+
+
+@query(
+    BATCHED
+    + """, phased AS (
+  SELECT *, CASE WHEN rank <= floor(CAST(0.8 AS DOUBLE) * n_ids) THEN 'train' ELSE 'val' END AS phase FROM (
+    SELECT id, row_number() OVER (ORDER BY id) AS rank, count(*) OVER () AS n_ids, count(*) AS steps FROM labelled GROUP BY id)),
+kept AS (SELECT phase, id, steps FROM phased UNION ALL SELECT 'test', id, steps FROM phased),
+placed AS (SELECT *, CAST((row_number() OVER (PARTITION BY phase ORDER BY id) - 1) // 16 AS BIGINT) AS batch_id FROM kept),
+timed AS (SELECT *, max(steps) OVER (PARTITION BY phase, batch_id) AS batch_steps FROM placed)
+SELECT phase, batch_id, t.id, cycle AS pos, cycle + batch_steps - steps AS t, CAST(rul AS FLOAT) AS y,
+  CAST(round(value * 100) AS BIGINT) AS v FROM timed t JOIN labelled l ON l.id = t.id"""
+)
+def stored_minibatches(spark, sf):
+    """Minibatches ingested twice, the second time over the first, and read back row by row."""
+    path = shared_folder(spark, "ingest")
+    log = odd_log(spark, sf)
+    for _ in range(2):
+        experiment.ingest(log, log, path, ["value"], "RUL", rescale=False)
+    phases = [
+        experiment.stored_rows(spark, path, phase, 1).withColumn("phase", F.lit(phase)) for phase in ("train", "val", "test")
+    ]
+    rows = reduce(DataFrame.unionByName, phases)
+    v = F.round(F.get("x", F.lit(0)).cast("double") * 100).cast("long")
+    return rows.select("phase", "batch_id", "id", "pos", "t", "y", v.alias("v"))
+
+
+UNITS_OF = """, unit_log AS (
+  SELECT CASE WHEN id % 2 = 0 THEN '001' ELSE '002' END AS unit, CAST(id // 2 AS BIGINT) AS engine, id, cycle, value, k, n FROM log)"""
+
+
+@query(
+    LOG
+    + UNITS_OF
+    + """ SELECT unit, engine, cycle, value AS setting1, k AS s1, 0.0::DOUBLE AS s21, n - cycle AS "RUL",
+  CAST(CASE WHEN n - cycle <= 30 THEN 1 ELSE 0 END AS BIGINT) AS label1 FROM unit_log"""
+)
+def text_log_round_trip(spark, sf):
+    """The log as text files of two units that share engine numbers, read again and labelled."""
+    folder = shared_folder(spark, "logs")
+    log = cycle_log(spark, sf)
+    zero = F.lit("0.0")
+    line = F.concat_ws(
+        " ", F.floor(F.col("id") / 2), "cycle", "value", zero, zero, "k", *[zero] * 20, F.lit(""), F.lit("")
+    )
+    for remainder, unit in enumerate(("001", "002")):
+        # a unit's engines stand in order of their number, as in the published files
+        lines = log.where(F.col("id") % 2 == remainder).select(line.alias("value"))
+        lines.write.text(f"{folder}/{logs.FILE_NAME.format(kind='train', unit=unit)}")
+    read = label_complete(logs.read_units(spark, folder, "train", ("001", "002")))
+    return read.select(
+        "unit", F.col("engine").cast("long").alias("engine"), F.col("cycle").cast("long").alias("cycle"), "setting1", "s1", "s21",
+        F.col("RUL").cast("long").alias("RUL"), F.col("label1").cast("long").alias("label1"),
+    )
+
+
+@query(
+    LABELLED
+    + """ SELECT 'features' AS kind, id, cycle, value, k, CAST(NULL AS BIGINT) AS "RUL", CAST(NULL AS BIGINT) AS label2 FROM labelled
+UNION ALL SELECT 'labels', id, cycle, NULL, NULL, rul, label2 FROM labelled"""
+)
+def series_round_trip(spark, sf):
+    """Feature and label series written in buckets of entities and read again."""
+    folder = shared_folder(spark, "series")
+    log = labelled_log(spark, sf)[0].select("id", "cycle", "value", "k", *columns.TARGET_COLUMNS)
+    write_series(log, folder, "train")
+    features, targets = columns.split_features_labels(log)
+    a = read_series(spark, folder, "train", "features", features.schema).withColumn("kind", F.lit("features"))
+    b = read_series(spark, folder, "train", "labels", targets.schema).withColumn("kind", F.lit("labels")).drop("label1")
+    return a.unionByName(b, allowMissingColumns=True)
+
+
+LINEAR_CELLS = ["value", "k", "CAST(cycle AS DOUBLE)"]
+
+
+@query(
+    SAMPLES
+    + f""", seen AS (
+  SELECT s.sample_idx // 512 AS worker, s.label1 AS y, {", ".join(f"CAST(CAST(l.{c.replace('CAST(cycle', 'cycle').replace(' AS DOUBLE)', '')} / 64 AS FLOAT) AS DOUBLE) AS x{i}" for i, c in enumerate(LINEAR_CELLS))}
+  FROM samples s JOIN labelled l ON l.id = s.id AND l.cycle = s.cycle - 1),
+gone AS (SELECT *, 1 / (1 + exp(-({" + ".join(f"CAST({float(w)!r} AS DOUBLE) * x{i}" for i, w in enumerate(LINEAR.initial()[:3]))}))) - y AS d FROM seen),
+slopes AS (
+  SELECT worker, count(*) AS n, unnest([avg(d * x0), avg(d * x1), avg(d * x2), avg(d)]) AS g,
+    unnest([{", ".join(f"CAST({float(w)!r} AS DOUBLE)" for w in LINEAR.initial())}]) AS w, unnest([0, 1, 2, 3]) AS pos FROM gone GROUP BY worker),
+clipped AS (SELECT *, greatest(least(g, 0.5), -0.5) AS c FROM slopes)
+SELECT CAST(pos AS BIGINT) AS pos, round(sum(n * (w - 0.001 * c / (abs(c) + 1e-8))) / sum(n), 8) AS value, CAST(sum(n) AS BIGINT) AS n
+FROM clipped GROUP BY pos"""
+)
+def averaged_round_linear(spark, sf):
+    """One averaging round over all samples: a worker for every 512, each taking one optimiser step."""
+    log, extent = labelled_log(spark, sf)
+    log = log.withColumns({c: F.col(c) / 64 for c in FEATURES})
+    offsets = splits.sample_offsets(lengths(spark, sf), extent=extent.as_one_group)
+    rows = splits.window_batch_rows(log, offsets, FEATURES, "label1", batch_size=512, entities=extent.groups)
+    workers = (rows.agg(F.max("batch_id")).first()[0] or 0) + 1
+    settings = Settings(workers=workers, averaging_frequency=1)
+    rounds = export_rounds(rows, settings)
+    try:
+        weights, stats = average_round(rounds.read(0), LINEAR, Weights(LINEAR.initial()), Adam(), settings, 0)
+    finally:
+        rounds.delete()
+    n = sum(int(s[1]) for s in stats)
+    made = [(i, round(float(v), 8), n) for i, v in enumerate(weights.values)]
+    return spark.createDataFrame(made, "pos long, value double, n long")
+
+
 for registry in (QUERIES, ORACLES):
     registry["sequences"] = registry.pop("sequences_")

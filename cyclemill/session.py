@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", app: str = "cyclemill") -> SparkSession:
@@ -27,17 +27,27 @@ def local_session(cores: int | str = "*", app: str = "cyclemill") -> SparkSessio
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path for a written table that every executor can reach.
 
-    It lies under ``spark.checkpoint.dir``. Only a local session may go without
-    that setting, and then gets a temporary folder.
+    It lies under ``spark.checkpoint.dir``, which a session on one machine gets here if it has none.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="cyclemill-", dir="/tmp")
+        root = tempfile.mkdtemp(prefix="cyclemill-")
+        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/cyclemill/{purpose}-{uuid.uuid4().hex}"
 
 
+def kept(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows from a written table, for plans that read them more than once.
+
+    The table backs what is made of it, so it stays in the shared folder, as checkpoints do.
+    """
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def delete_table(spark: SparkSession, path: str) -> None:
     """Remove an intermediate table through Hadoop's file system, wherever it lies."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

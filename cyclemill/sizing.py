@@ -14,8 +14,6 @@ SETTINGS = {
     "spark.cyclemill.rowsPerTask": 1 << 20,
     # rows of one series that a single task may cut into windows
     "spark.cyclemill.segmentRows": 1 << 16,
-    # steps of one series that are padded and trained as one sequence
-    "spark.cyclemill.lifeSteps": 1 << 12,
     # rows of a narrow table that may be broadcast
     "spark.cyclemill.broadcastRows": 500_000,
     # bytes of all workers' parameters together that may be averaged on the driver

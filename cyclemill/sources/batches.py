@@ -6,16 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_batches(batches: DataFrame, path: str, phase: str, mode: str = "append") -> None:
-    """Write minibatches (padded series or batch rows) under ``phase``, ordered by ``batch_id``.
+def write_batches(batches: DataFrame, path: str) -> None:
+    """Write minibatches (padded blocks or batch rows) by their column ``phase``, ordered by ``batch_id``.
 
-    The numbers of one batch stay together, so a filter on ``batch_id`` skips row groups.
+    The phases written replace what the table held of them; others stay. The numbers of
+    one batch stay together, so a filter on ``batch_id`` skips row groups.
     """
     (
-        batches.withColumn("phase", F.lit(phase))
-        .repartition("batch_id")
-        .sortWithinPartitions("batch_id")
-        .write.mode(mode)
+        batches.repartition("phase", "batch_id")
+        .sortWithinPartitions("phase", "batch_id")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("phase")
         .parquet(path)
     )

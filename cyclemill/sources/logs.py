@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +15,8 @@ from cyclemill.operators.ordering import number_rows
 # fixed values: the published file names and their experiment units
 FILE_NAME = "{kind}_FD{unit}.txt"
 UNITS = ("001", "002", "003", "004")
+# engines of a unit are numbered below this
+UNIT_STEP = 1_000_000_000
 
 
 def log_schema(readings: int = 21, blanks: int = 2) -> T.StructType:
@@ -41,9 +43,27 @@ def read_log(spark: SparkSession, folder: str, split: str, unit: str = "001", re
     return named.withColumns({"unit": F.lit(unit), "split": F.lit(split)})
 
 
+def entity_id(unit: str, engine: Column) -> Column:
+    """One id for an engine of a unit: engines of different units never share it."""
+    return (F.lit(int(unit) * UNIT_STEP) + engine).cast("long")
+
+
 def read_units(spark: SparkSession, folder: str, split: str, units: Sequence[str] = UNITS) -> DataFrame:
-    """Several units in one log; ``(unit, id)`` then identifies an entity."""
-    return reduce(DataFrame.unionByName, [read_log(spark, folder, split, u) for u in units])
+    """Several units in one log. ``id`` tells engines of all units apart, ``engine`` is the number in the file.
+
+    Everything downstream goes by ``id``, so units never mix.
+    """
+    logs = []
+    for unit in units:
+        log = read_log(spark, folder, split, unit).withColumnRenamed("id", "engine")
+        logs.append(log.select(entity_id(unit, F.col("engine")).alias("id"), *log.columns))
+    return reduce(DataFrame.unionByName, logs)
+
+
+def read_truths(spark: SparkSession, folder: str, units: Sequence[str] = UNITS) -> DataFrame:
+    """``(id, more)`` of several units, with the ids of ``read_units``."""
+    truths = [read_truth(spark, folder, u).withColumn("id", entity_id(u, F.col("id"))) for u in units]
+    return reduce(DataFrame.unionByName, truths)
 
 
 def read_truth(spark: SparkSession, folder: str, unit: str = "001") -> DataFrame:

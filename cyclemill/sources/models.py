@@ -38,11 +38,23 @@ def save_model(
     round_no: int = 0,
     optimizer: bool = True,
 ) -> None:
-    """Append the weights (with the optimizer's state, if asked for) and the configuration."""
+    """Write the weights (with the optimizer's state, if asked for) and the configuration.
+
+    They replace what was saved of the same run and round; other runs and rounds stay.
+    """
     rows = model_rows(run, round_no, net, weights, optimizer)
-    spark.createDataFrame(rows, MODEL_SCHEMA).coalesce(1).write.mode("append").parquet(f"{path}/weights")
-    config = spark.createDataFrame([(run, round_no, net.to_json())], CONFIG_SCHEMA)
-    config.coalesce(1).write.mode("append").json(f"{path}/config")
+    config = [(run, round_no, net.to_json())]
+    for kind, table in (
+        ("weights", spark.createDataFrame(rows, MODEL_SCHEMA)),
+        ("config", spark.createDataFrame(config, CONFIG_SCHEMA)),
+    ):
+        (
+            table.coalesce(1)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("run", "round")
+            .parquet(f"{path}/{kind}")
+        )
 
 
 def read_model(spark: SparkSession, path: str) -> DataFrame:
@@ -59,7 +71,7 @@ def load_model(
     if round_no is None:
         raise ValueError(f"no model of run {run} in {path}")
     mine = mine & (F.col("round") == round_no)
-    config = spark.read.schema(CONFIG_SCHEMA).json(f"{path}/config").where(mine).first()["config"]
+    config = spark.read.schema(CONFIG_SCHEMA).parquet(f"{path}/config").where(mine).first()["config"]
     net = Network.from_json(config)
     stored = {(r["layer"], r["name"]): np.array(r["values"]) for r in read_model(spark, path).where(mine).collect()}
 

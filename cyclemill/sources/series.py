@@ -1,16 +1,18 @@
-"""Feature and label series on disk, one directory per entity or per bucket of entities."""
+"""Feature and label series on disk, one directory per bucket of entities or per entity."""
 
 from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cyclemill.operators.columns import split_features_labels
 from cyclemill.sizing import setting
 
+BUCKETS = 64
+
 
 def schema_json(df: DataFrame) -> str:
     """The schema after all transforms so far, to be stored or printed."""
@@ -21,26 +23,30 @@ def schema_from_json(text: str) -> T.StructType:
     return T.StructType.fromJson(json.loads(text))
 
 
+def bucket_of(id_col: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(buckets)).cast("int")
+
+
 def write_series(
     df: DataFrame,
     folder: str,
     phase: str,
-    buckets: int | None = None,
+    buckets: int | None = BUCKETS,
     mode: str = "errorifexists",
     segment_rows: int | None = None,
 ) -> None:
     """Write ``{folder}/{phase}/features`` and ``.../labels`` as CSV with a header.
 
-    By default an entity is one directory ``id=<n>``. With very many entities give
-    ``buckets``: then a directory holds the entities of one hash bucket. A series
-    beyond ``segment_rows`` is spread over several tasks and files.
+    A directory holds the entities of one hash bucket, so their number does not grow
+    with the fleet. For a small one ``buckets=None`` gives every entity a directory
+    ``id=<n>``. A series beyond ``segment_rows`` is spread over several tasks and files.
     """
     place = "bucket" if buckets else "id"
     segment_rows = setting(df, "segmentRows", segment_rows)
     segment = F.floor((F.col("cycle") - 1) / segment_rows)
     for kind, table in zip(("features", "labels"), split_features_labels(df)):
         if buckets:
-            table = table.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int"))
+            table = table.withColumn("bucket", bucket_of("id", buckets))
         (
             table.repartition(F.col(place), segment)
             .sortWithinPartitions(place, "id", "cycle")
@@ -59,17 +65,22 @@ def read_series(
     schema: T.StructType,
     first: int | None = None,
     last: int | None = None,
-    bucketed: bool = False,
+    buckets: int | None = BUCKETS,
 ) -> DataFrame:
     """Read ``features`` or ``labels`` back with the schema of the table written.
 
-    ``first`` and ``last`` bound the entities, both inclusive; in the layout by
-    entity they prune directories.
+    ``first`` and ``last`` bound the entities, both inclusive, and prune directories: of
+    fewer entities than ``buckets`` only their buckets are read. ``buckets`` is that of
+    the writer.
     """
-    inside = [f for f in schema if bucketed or f.name != "id"]
-    place = T.StructField("bucket", T.IntegerType()) if bucketed else schema["id"]
+    inside = [f for f in schema if buckets or f.name != "id"]
+    place = T.StructField("bucket", T.IntegerType()) if buckets else schema["id"]
     reader = spark.read.schema(T.StructType([*inside, place])).option("header", True)
-    table = reader.csv(f"{folder}/{phase}/{kind}").select(*schema.names)
+    table = reader.csv(f"{folder}/{phase}/{kind}")
+    if buckets and first is not None and last is not None and last - first < buckets:
+        ids = spark.range(first, last + 1).select(bucket_of("id", buckets).alias("b")).distinct()
+        table = table.where(F.col("bucket").isin([r["b"] for r in ids.collect()]))
+    table = table.select(*schema.names)
     if first is not None:
         table = table.where(F.col("id") >= first)
     if last is not None:

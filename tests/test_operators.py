@@ -170,16 +170,20 @@ def test_padding(engines):
     assert out["y"] == [[0, 0, 0], [1, 0, 0], [1, 0, 0], [0, 0, 1]]
 
 
-def test_long_lives_go_on_in_parts(engines):
-    batches = sequences.life_batches(with_lengths(engines), batch_size=2, max_steps=3)
-    assert rows(batches, "id", "part", "steps", "batch_id", "batch_steps") == [
-        (1, 0, 3, 0, 3), (1, 1, 1, 0, 3), (2, 0, 3, 1, 3),
+def test_long_lives_are_stored_in_blocks(engines):
+    batches = sequences.life_batches(with_lengths(engines), batch_size=2)
+    assert rows(batches, "id", "steps", "batch_id", "batch_steps") == [(1, 4, 0, 4), (2, 3, 0, 4)]
+    padded = sequences.padded_lives(engines, batches, ["a"], "cycle", None, block_steps=3)
+    assert rows(padded, "id", "block", "first_pos", "x", "y", "mask") == [
+        (1, 0, 1, [1.0, 2.0, 3.0], [[1.0], [2.0], [3.0]], [1, 1, 1]), (1, 1, 4, [4.0], [[4.0]], [1]),
+        (2, 0, 0, [0.0, 1.0, 2.0], [[0.0], [1.0], [2.0]], [0, 1, 1]), (2, 1, 3, [3.0], [[3.0]], [1]),
     ]
-    padded = sequences.padded_lives(engines, batches, ["a"], "cycle", 3, max_steps=3)
-    assert rows(padded, "id", "part", "x") == [
-        (1, 0, [1.0, 2.0, 3.0]), (1, 1, [0.0, 0.0, 4.0]), (2, 0, [1.0, 2.0, 3.0]),
-    ]
-    assert padded.select(F.sum(F.aggregate("mask", F.lit(0), lambda a, m: a + m))).first()[0] == 7
+    # blocks that are all padding are not stored
+    small = sequences.padded_lives(engines, batches, ["a"], "cycle", None, block_steps=1)
+    assert rows(small.where("id = 2"), "block", "first_pos") == [(1, 1), (2, 2), (3, 3)]
+    back = splits.stored_batch_rows(padded, 1, 3)
+    want = splits.life_batch_rows(engines, batches, ["a"], "cycle")
+    assert rows(back, *back.columns) == rows(want, *back.columns)
 
 
 def test_step_chunks(engines):

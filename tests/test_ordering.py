@@ -108,8 +108,28 @@ def test_measure(spark):
     assert measure(df.where("id > 5"), ["id"]) == Extent(0, 0, 0)
 
 
-def test_strings_cannot_be_cut(spark):
-    df = spark.createDataFrame([(1, "a"), (1, "b")], "id long, t string")
-    assert number_rows(df, ["id"], ["t"]).count() == 2
-    with pytest.raises(TypeError):
-        number_rows(df, ["id"], ["t"], rows_per_task=1)
+@pytest.mark.parametrize("names", [
+    lambda i: f"engine-{i:05d}", lambda i: f"engine-{i}", lambda i: "x" * (i % 9) + chr(228 + i % 5) + "y" * (i // 9),
+])
+def test_strings_are_cut(spark, names):
+    rows = [(1, names(i), i, 1) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, t string, e long, v long").repartition(5)
+    cut = number_rows(df, ["id"], ["t", "e"], "no", "n", rows_per_task=9)
+    plain = number_rows(df, ["id"], ["t", "e"], "no", "n")
+    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_slices_of_strings_stay_small(spark):
+    from cyclemill.operators.ordering import _cut_hot_groups
+
+    df = spark.range(4000).select(F.lit(0).alias("g"), F.format_string("a long common beginning %06d", "id").alias("t"))
+    sliced, slices = _cut_hot_groups(df, ["g"], ["t"], 100)
+    assert sliced.groupBy("g", *slices).count().agg(F.max("count")).first()[0] <= 100
+
+
+def test_close_values_are_cut_too(spark):
+    from cyclemill.operators.ordering import _cut_hot_groups
+
+    df = spark.range(1000).select(F.lit(0).alias("g"), (F.col("id") + (1 << 60)).alias("t"))
+    sliced, slices = _cut_hot_groups(df, ["g"], ["t"], 50)
+    assert sliced.groupBy("g", *slices).count().agg(F.max("count")).first()[0] <= 50

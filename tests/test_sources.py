@@ -1,6 +1,7 @@
 """Text logs, series directories, minibatch, model and statistics tables."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 from cyclemill.functions.lstm import Network, Weights
 from cyclemill.operators.columns import WINDOW_FEATURES
 from cyclemill.operators.parameters import parameter_counts
-from cyclemill.plans.pipeline import prepare
+from cyclemill.plans.pipeline import label_complete, prepare
 from cyclemill.session import shared_folder
 from cyclemill.sources import batches, logs, models, series
 
@@ -55,7 +56,17 @@ def test_malformed_lines_fail(spark, tmp_path):
 def test_read_units(spark, folder):
     both = logs.read_units(spark, folder, "test", ["001", "002"])
     assert {tuple(r) for r in both.select("unit", "split").distinct().collect()} == {("001", "test"), ("002", "test")}
-    assert both.select("unit", "id").distinct().count() == 6
+    assert both.select("id").distinct().count() == both.select("unit", "engine").distinct().count() == 6
+    truth = logs.read_truths(spark, folder, ["001", "002"])
+    assert sorted(r["id"] for r in truth.collect()) == sorted(r["id"] for r in both.select("id").distinct().collect())
+
+
+def test_units_do_not_mix(spark, folder):
+    """Engines of several units share their numbers, not their lives."""
+    together = label_complete(logs.read_units(spark, folder, "train", ["001", "002"]).where("unit = '001' or cycle > 3"))
+    alone = label_complete(logs.read_log(spark, folder, "train", "001"))
+    got = together.where("unit = '001'").select("engine", "cycle", "RUL")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, alone.select("id", "cycle", "RUL").collect()))
 
 
 def test_read_truth(spark, folder, tmp_path):
@@ -99,22 +110,20 @@ def test_prepare(prepared):
 def test_series_round_trip(spark, prepared, tmp_path, buckets):
     train = prepared[0]
     series.write_series(train, str(tmp_path / "out"), "train", buckets=buckets, segment_rows=5)
-    bucketed = buckets is not None
     for kind, columns in (
         ("features", [c for c in train.columns if c not in ("RUL", "label1", "label2")]),
         ("labels", ["id", "cycle", "RUL", "label1", "label2"]),
     ):
         want = train.select(*columns)
-        got = series.read_series(spark, str(tmp_path / "out"), "train", kind, want.schema, bucketed=bucketed)
+        got = series.read_series(spark, str(tmp_path / "out"), "train", kind, want.schema, buckets=buckets)
         assert got.columns == columns
         key = lambda r: tuple(r)[:2]
         assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
     assert series.count_series(got).first()[0] == 4
-    some = series.read_series(spark, str(tmp_path / "out"), "train", "labels", want.schema, 2, 3, bucketed)
+    some = series.read_series(spark, str(tmp_path / "out"), "train", "labels", want.schema, 2, 3, buckets)
     assert {r["id"] for r in some.collect()} == {2, 3}
-    if not bucketed:
-        plan = some._jdf.queryExecution().executedPlan().toString()
-        assert "PartitionFilters: [isnotnull(id" in plan
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*\b" + ("bucket" if buckets else "id") + "#", plan)
     with pytest.raises(PySparkException):
         series.write_series(train, str(tmp_path / "out"), "train", buckets=buckets)
 
@@ -128,8 +137,10 @@ def test_schema_json(engines):
 def test_batches_by_phase(spark, engines, tmp_path):
     path = str(tmp_path / "batches")
     table = engines.withColumn("batch_id", F.col("cycle") % 2)
-    batches.write_batches(table.where("id = 1"), path, "train")
-    batches.write_batches(table.where("id = 2"), path, "val")
+    phased = table.withColumn("phase", F.when(F.col("id") == 1, "train").otherwise("val"))
+    batches.write_batches(phased, path)
+    batches.write_batches(phased.where("id = 2"), path)  # replaces its phase, keeps the other
+    assert batches.read_batches(spark, path, "train").count() == 4
     back = batches.read_batches(spark, path, "val")
     assert back.columns == table.columns
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, table.where("id = 2").collect()))
@@ -140,7 +151,8 @@ def test_model_round_trip(spark, tmp_path):
     weights = Weights(net.initial(), np.arange(net.size()) / 7, np.arange(net.size()) / 3, 12)
     path = str(tmp_path / "model")
     models.save_model(spark, path, net, Weights(net.initial()), round_no=1)
-    models.save_model(spark, path, net, weights, round_no=2)
+    models.save_model(spark, path, net, Weights(net.initial() + 1), round_no=2)
+    models.save_model(spark, path, net, weights, round_no=2)  # the last one counts
     models.save_model(spark, path, net, Weights(net.initial()), run="plain", optimizer=False)
     got_net, got = models.load_model(spark, path)
     assert got_net == net and np.array_equal(got.pack(), weights.pack())

@@ -8,8 +8,11 @@ from cyclemill.functions.lstm import Adam, Network, Weights, forward, gradient
 from cyclemill.operators.labels import series_lengths
 from cyclemill.operators.sequences import life_batches
 from cyclemill.operators.splits import life_batch_rows, sample_offsets, window_batch_rows
-from cyclemill.plans.experiment import evaluate_windows, fit_lives, fit_windows, ingest, window_rows
-from cyclemill.plans.experiment import Series
+from cyclemill.operators.scaling import apply_scaler, fit_scaler
+from cyclemill.plans.experiment import (
+    Series, evaluate_lives, evaluate_rows, evaluate_windows, fit_lives, fit_stored, fit_windows, ingest, stored_rows,
+    window_rows,
+)
 from cyclemill.plans.scoring import score
 from cyclemill.plans.training import Settings, average_round, export_rounds, train
 from cyclemill.sources.batches import read_batches
@@ -104,7 +107,7 @@ def test_rounds_hold_every_batch_once(fleet):
 
 
 def test_loss_falls_and_state_is_kept(spark, fleet, tmp_path):
-    settings = Settings(epochs=6, workers=2, averaging_frequency=2, length=LENGTH, evaluate_every=4, patience=3)
+    settings = Settings(epochs=6, workers=2, averaging_frequency=2, length=LENGTH, evaluations_per_epoch=1, patience=3)
     rounds = export_rounds(windows(fleet), settings)
     out = train(
         spark, rounds, NET, settings, Adam(rate=0.02), validation=windows(fleet, 64),
@@ -159,9 +162,9 @@ def test_window_scores_equal_a_plain_forward_pass(fleet):
     got = sorted(tuple(r) for r in score(windows(fleet, 16), net, net.initial(), LENGTH).collect())
     prob = forward(net, net.initial(), x)[0]
     assert len(got) == len(y)
-    assert np.allclose([g[4] for g in got], prob)
-    assert [g[3] for g in got] == y.tolist()
-    assert [g[5] for g in got] == prob.argmax(1).tolist()
+    assert np.allclose([g[3] for g in got], prob)
+    assert [g[2] for g in got] == y.tolist()
+    assert [g[4] for g in got] == prob.argmax(1).tolist()
 
 
 def test_step_scores_equal_a_plain_forward_pass(fleet):
@@ -241,26 +244,95 @@ def test_fit_lives(labelled):
     assert losses[-1] < losses[0]
 
 
+def stored(spark, path, phase):
+    """Real cells of the stored blocks by entity and position."""
+    cells = {}
+    for r in read_batches(spark, path, phase).collect():
+        x = np.reshape(r["x"], (len(r["mask"]), -1))
+        for k, real in enumerate(r["mask"]):
+            assert real or not (x[k].any() or any(r["y"][k]))
+            if real:
+                cells[r["id"], r["first_pos"] + k] = (x[k], r["y"][k])
+    return cells
+
+
 @pytest.mark.parametrize("target, width", [("label2", 3), ("label1", 2), ("RUL", 1)])
 def test_ingest(spark, labelled, tmp_path, target, width):
     path = str(tmp_path / "batches")
     test = labelled.where("id < 4")
-    stats = ingest(labelled, test, path, ["cycle", "wear", "noise"], target, batch_size=3)
+    for _ in range(2):  # a second ingestion replaces the first
+        stats = ingest(labelled, test, path, ["cycle", "wear", "noise"], target, batch_size=3)
     assert stats.columns == ["cycle", "wear", "noise"]
     real = {}
     for phase, entities in (("train", 11), ("val", 3), ("test", 4)):
-        rows = read_batches(spark, path, phase).collect()
-        assert len(rows) == entities
-        for r in rows:
-            assert len(r["x"]) == 3 * len(r["mask"]) == 3 * len(r["y"]) and len(r["y"][0]) == width
-            assert r["mask"] == sorted(r["mask"])
-        real[phase] = sum(sum(r["mask"]) for r in rows)
+        cells = stored(spark, path, phase)
+        assert len({i for i, _ in cells}) == entities and {len(y) for _, y in cells.values()} == {width}
+        real[phase] = len(cells)
         if phase == "train":
-            x = np.concatenate([np.reshape(r["x"], (-1, 3))[np.array(r["mask"]) == 1] for r in rows])
+            x = np.array([c[0] for c in cells.values()])
             assert np.allclose(x.mean(0), 0, atol=1e-5) and np.allclose(x.std(0), 1, atol=1e-5)
+        if target == "RUL":
+            want = {(r["id"], r["cycle"]): r["RUL"] for r in labelled.collect()}
+            assert all(y[0] == want[k] for k, (_, y) in cells.items())
     assert real["train"] + real["val"] == labelled.count() and real["test"] == test.count()
 
 
+def test_a_fractional_target_is_kept(spark, labelled, tmp_path):
+    half = labelled.withColumn("RUL", F.col("RUL") + 0.5)
+    ingest(half, half, str(tmp_path / "b"), ["wear"], "RUL")
+    assert {y[0] % 1 for _, y in stored(spark, str(tmp_path / "b"), "train").values()} == {0.5}
+
+
+def test_train_and_evaluate_from_stored_batches(spark, labelled, tmp_path):
+    path = str(tmp_path / "batches")
+    ingest(labelled, labelled, path, ["wear", "noise"], "label2", batch_size=3)
+    net = Network(features=2, outputs=3, units=(5,), dropout=0.0, many_to_one=False, precision="float64")
+    settings = Settings(epochs=2, workers=2, averaging_frequency=1)
+    out = fit_stored(spark, path, net, settings, Adam(rate=0.02))
+    scaled = apply_scaler(labelled, fit_scaler(labelled.where("id < 11"), ["wear", "noise"]))
+    direct = fit_lives(scaled, net, ["wear", "noise"], batch_size=3, settings=settings, adam=Adam(rate=0.02))
+    assert np.allclose(out.weights.values, direct.weights.values, atol=1e-6)
+    rows = stored_rows(spark, path, "test", 2)
+    predictions, row = evaluate_rows(rows, net, out.weights)
+    other, _ = evaluate_lives(scaled, net, out.weights, ["wear", "noise"], batch_size=5)
+    key = lambda r: (r["id"], r["pos"])
+    a, b = sorted(predictions.collect(), key=key), sorted(other.collect(), key=key)
+    assert [key(r) for r in a] == [key(r) for r in b]
+    assert np.allclose([r["prob"] for r in a], [r["prob"] for r in b], atol=1e-5)
+    assert 0 <= row.first()["accuracy"] <= 1
+
+
+def test_gaps_and_late_beginnings_change_nothing(labelled):
+    """Windows and lives are made of rows: cycles may have gaps and begin anywhere."""
+    odd = labelled.withColumn("cycle", F.col("cycle") * 3 + F.col("id") * 1000)
+    for net, fn in ((NET, evaluate_windows), (STEPS, evaluate_lives)):
+        given = {"length": LENGTH} if net is NET else {}
+        a, b = (fn(t, net, Weights(net.initial()), ["wear", "noise"], **given)[0] for t in (labelled, odd))
+        assert a.count() > 50 and sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_a_label_without_a_whole_window_fails(fleet):
+    with pytest.raises(Exception, match="fewer rows before it"):
+        score(windows(fleet).where("pos > 2"), NET, NET.initial(), LENGTH).collect()
+
+
+STEPS = Network(features=2, outputs=3, units=(4, 3), dropout=0.0, many_to_one=False, precision="float64")
+
+
+def test_blocks_carry_the_state(fleet):
+    """A life of many blocks scores as in one piece, and so does one that begins in a later block."""
+    rng = np.random.default_rng(1)
+    lengths = {1: 130, 2: 20, 3: 51}
+    data = [(i, c, float(rng.normal()), float(rng.normal()), c % 3) for i, n in lengths.items() for c in range(1, n + 1)]
+    log = fleet.sparkSession.createDataFrame(data, "id long, cycle long, wear double, noise double, y long")
+    rows = life_batch_rows(log, life_batches(series_lengths(log), 3), ["wear", "noise"], "y")
+    got = {(r["id"], r["pos"]): r["prob"] for r in score(rows, STEPS, STEPS.initial()).collect()}
+    for i, n in lengths.items():
+        x = np.array([[[np.float32(a), np.float32(b)] for e, c, a, b, _ in data if e == i]], float)
+        want = forward(STEPS, STEPS.initial(), x)[0][0]
+        assert np.allclose([got[i, c] for c in range(1, n + 1)], want)
+
+
 def test_exported_rounds_can_be_deleted(fleet):
     from pathlib import Path
 
