@@ -23,7 +23,7 @@ from cyclemill.llm.words import Hasher
 
 BITS = 18
 PREFIXES = (4, 5, 6, 7)
-PER_LABEL = 2500
+PER_LABEL = 2000
 SENTENCE_WORDS = 40
 LEAST_DOCUMENTS = 3
 START = -10.0
@@ -118,6 +118,10 @@ class Model:
         return rows
 
 
+def pieces(texts: list[bytes], size: int = 100):
+    return (texts[i:i + size] for i in range(0, len(texts), size))
+
+
 def fit(rows, epochs: int = 80, rate: float = 0.3, sparsity: float = 0.3) -> Model:
     """Minimise log loss of the noisy-or over (text, label) rows, plus ``sparsity`` times the absolute weights.
 
@@ -127,23 +131,26 @@ def fit(rows, epochs: int = 80, rate: float = 0.3, sparsity: float = 0.3) -> Mod
     share = (labels.sum() + 0.5) / (len(labels) + 1) if len(labels) else 0.5
     if not len(labels) or labels.min() == labels.max():  # nothing to tell apart: every document gets the share
         return Model(np.zeros(1 << BITS), math.log(share / (1 - share)) - 12, share)
+    # A feature of one or two documents only tells them apart from the rest of the sample: none of those is used.
+    # The texts are read twice, some at a time, so that only the features in use are held.
     bags = Bags()
-    parts = [bags(texts[i:i + 200]) for i in range(0, len(texts), 200)]
-    offset, sentences = 0, []
-    for p in parts:
-        sentences.append(p[1] + offset)
-        offset += len(p[3])
-    features = np.concatenate([p[0] for p in parts])
-    sentence = np.concatenate(sentences)
-    per_text = np.concatenate([p[2] for p in parts])
-    owner = np.repeat(np.arange(len(labels)), per_text)
-    kinds = features.shape[1]
-    # a feature of one or two documents only tells them apart from the rest of the sample: none of those is used
-    document = np.repeat(owner[sentence] if len(sentence) else sentence, kinds)
-    pair = np.unique(document.astype(np.int64) << BITS | features.reshape(-1))
-    known = np.bincount(pair & ((1 << BITS) - 1), minlength=1 << BITS) >= LEAST_DOCUMENTS
-    fine = known[features.reshape(-1)]
-    flat, at = features.reshape(-1)[fine], np.repeat(sentence, kinds)[fine]
+    documents = np.zeros(1 << BITS, dtype=np.int32)
+    for features, sentence, per_text, _ in map(bags, pieces(texts)):
+        owner = np.repeat(np.arange(len(per_text)), per_text)[sentence]
+        for k in range(features.shape[1]):
+            pair = np.unique(owner << BITS | features[:, k])
+            documents += np.bincount(pair & ((1 << BITS) - 1), minlength=1 << BITS).astype(np.int32)
+    known = documents >= LEAST_DOCUMENTS
+    flats, ats, counts, offset = [], [], [], 0
+    for features, sentence, per_text, starts in map(bags, pieces(texts)):
+        fine = known[features]
+        flats.append(features[fine])
+        ats.append(np.broadcast_to((sentence + offset).astype(np.int32)[:, None], features.shape)[fine])
+        counts.append(per_text)
+        offset += len(starts)
+    flat, at = np.concatenate(flats), np.concatenate(ats)
+    del flats, ats
+    owner = np.repeat(np.arange(len(labels), dtype=np.int32), np.concatenate(counts))
     weights, bias = np.zeros(1 << BITS), START
     seen, bias_seen = np.full(1 << BITS, 1e-4), 1e-4
     for _ in range(epochs):
