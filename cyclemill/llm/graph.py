@@ -39,8 +39,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         edges = written(star(written(star(edges, True), "edges"), False), "edges")
         # a fixed point has the same sums again: every node points at its root
         now = edges.agg(
-            F.count("*"), F.coalesce(F.sum("b").cast("decimal(38,0)"), F.lit(0)),
-            F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0)),
+            F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0)),
         ).first()
         if now == mark:
             break
