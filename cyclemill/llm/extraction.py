@@ -71,7 +71,7 @@ PATHS = {
     "menu": ("nav>ul>li>a", "nav>a", "div.menu>ul>li>a", "div.navbar>a", "ul.navigation>li>a", "header>nav>ul>li>a", "div#nav>a",
              "div.breadcrumb>a", "nav.pagination>a", "menu>li>a", "div.toolbar>a", "nav>ol>li>a", "article>nav>a", "nav>ul>li"),
     "header": ("header>div", "header>p", "div.header>p", "div#masthead>div", "div.site-header>span", "header>h1>a", "div.banner>p",
-               "header>h2", "div.top-header>h2", "header.site>p"),
+               "header>h2", "div.top-header>h2", "header.site>p", "header>h1", "header>h1", "header>div>h1"),
     "footer": ("footer", "footer>p", "div.footer>p", "div#footer>div", "footer>div.copyright", "div.site-footer>ul>li", "div.legal>p",
                "footer>ul>li>a", "article>footer>p", "footer>section>p"),
     "side": ("aside", "aside>p", "div.sidebar>p", "div#sidebar>ul>li>a", "aside>div.widget>p", "div.related>ul>li", "aside>h3",
@@ -87,8 +87,9 @@ PATHS = {
                  "section.comments>article>p", "div.comments>article.comment>p", "div.replies>p", "section.discussion>p", "section.comments>h2"),
     "share": ("div.share>a", "ul.social>li>a", "div.social-share>span", "article>div.share>a", "p.share"),
 }
-LEAVES = ("p", "p", "p", "p", "h1", "h2", "h3", "ul>li", "ol>li", "blockquote>p", "pre", "table>tr>td", "div>p", "section>p",
+LEAVES = ("p", "p", "p", "p", "h1", "h2", "h3", "ul>li", "ul>li", "ul>li", "ol>li", "ol>li", "blockquote>p", "pre", "table>tr>td", "div>p", "section>p",
           "figure>figcaption", "div", "p>b", "dl>dd", "p>a", "header>h1", "h4")
+OTHER_LEAVES = ("p", "h2", "h3", "h4", "ul>li", "li", "div", "span", "a", "div>p", "strong", "ol>li")
 
 
 class Block:
@@ -234,11 +235,11 @@ def features(blocks: list[Block], cache: dict) -> tuple[list[list[int]], list[li
     return paths, words, numbers
 
 
-def bag(table: np.ndarray, keys: list[list[int]]) -> np.ndarray:
-    """Mean embedding of each list of keys."""
+def bag(table: np.ndarray, keys: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sum of the embeddings of each list of keys, and the lists' sizes."""
     sizes = np.array([len(k) for k in keys])
     flat = np.fromiter((x for k in keys for x in k), dtype=np.int64, count=int(sizes.sum()))
-    return np.add.reduceat(table[flat], segments(sizes)[:-1], axis=0) / sizes[:, None].astype(np.float32)
+    return np.add.reduceat(table[flat], segments(sizes)[:-1], axis=0), sizes[:, None].astype(np.float32)
 
 
 def sigmoid(x):
@@ -252,7 +253,7 @@ class Labeller:
         rng = np.random.default_rng(seed)
         size = TAG_DIM + WORD_DIM + NUMBERS
         self.p = {
-            "tags": rng.normal(0, 0.3, (1 << TAG_BITS, TAG_DIM)), "words": rng.normal(0, 0.1, (1 << WORD_BITS, WORD_DIM)),
+            "tags": rng.normal(0, 0.1, (1 << TAG_BITS, TAG_DIM)), "words": rng.normal(0, 0.1, (1 << WORD_BITS, WORD_DIM)),
             "out": rng.normal(0, 0.2, 2 * HIDDEN + TAG_DIM), "bias": np.zeros(1),
         }
         for way in ("f", "b"):
@@ -262,9 +263,10 @@ class Labeller:
         self.p = {k: v.astype(np.float32) for k, v in self.p.items()}
 
     def inputs(self, paths, words, numbers):
-        """Vectors of blocks; a path's embeddings are summed up to a scale, words averaged."""
-        tags = bag(self.p["tags"], paths)
-        return np.concatenate((tags, bag(self.p["words"], words), numbers), axis=1), tags
+        """Vectors of blocks: a path's embeddings are summed, so that one telling mark counts in any path; words averaged."""
+        tags, _ = bag(self.p["tags"], paths)
+        mean, sizes = bag(self.p["words"], words)
+        return np.concatenate((tags, mean / sizes, numbers), axis=1), tags
 
     def run(self, x, lengths, way, keep):
         """States of one direction over padded sequences (time, page, size), with what the backward pass needs."""
@@ -332,7 +334,8 @@ class Labeller:
         for name, keys, part in (("tags", paths, dflat[:, :TAG_DIM]), ("words", words, dflat[:, TAG_DIM:TAG_DIM + WORD_DIM])):
             count = np.array([len(k) for k in keys])
             flat = np.fromiter((v for k in keys for v in k), dtype=np.int64, count=int(count.sum()))
-            np.add.at(grad[name], flat, np.repeat(part / count[:, None].astype(np.float32), count, axis=0))
+            share = part / count[:, None].astype(np.float32) if name == "words" else part
+            np.add.at(grad[name], flat, np.repeat(share, count, axis=0))
         return grad, float(np.logaddexp(0, np.where(labels == 1, -logit, logit)).mean())
 
 
@@ -364,10 +367,17 @@ def dealt_page(page: list[Block], pool: list[Block], rng) -> tuple[list[Block],
         main = main[:rng.integers(1, len(main) + 1)]
     blocks, labels = [], []
 
-    def part(kind, n):
+    frame = PATHS["main"][rng.integers(len(PATHS["main"]))]
+
+    def part(kind, n, inside=False):
         where = PATHS[kind][rng.integers(len(PATHS[kind]))]
-        long_ = rng.random() < 0.4
+        if inside:  # within the main text's own element
+            where = f"{frame}>{where}"
+        long_, varied = rng.random() < 0.4, rng.random() < 0.4
         for _ in range(n):
+            if varied:
+                where = where.rsplit(">", 1)[0] if where.count(">") > 1 + inside * frame.count(">") and rng.random() < 0.3 else where
+                where = f"{where}>{OTHER_LEAVES[rng.integers(len(OTHER_LEAVES))]}" if where.count(">") < 6 else where
             source = pool[rng.integers(len(pool))].text
             words = source.split(" ")
             size = rng.integers(1, len(words) + 1) if long_ else rng.integers(1, min(14, len(words)) + 1)
@@ -380,23 +390,27 @@ def dealt_page(page: list[Block], pool: list[Block], rng) -> tuple[list[Block],
             if rng.random() < chance:
                 part(kind, int(rng.integers(1, most + 1)))
 
-    some(("notice", "header", "menu"), 0.5, 6)
-    some(("advert", "form", "side", "share"), 0.25, 3)
-    frame = PATHS["main"][rng.integers(len(PATHS["main"]))]
+    around = rng.random() > 0.06  # some pages have nothing but their text
+    some(("notice", "header", "menu"), 0.5 * around, 6)
+    some(("advert", "form", "side", "share"), 0.25 * around, 3)
     as_is = rng.random() < 0.25
     for k, b in enumerate(main):
-        if k and rng.random() < 0.04:
-            some((str(rng.choice(["advert", "notice", "side", "form", "share"])),), 1.0, 2)
+        if k and rng.random() < 0.06:
+            part(str(rng.choice(["advert", "notice", "side", "form", "share"])), int(rng.integers(1, 3)), not as_is)
         leaf = "h1" if k == 0 and rng.random() < 0.6 else LEAVES[rng.integers(len(LEAVES))]
+        if leaf == "header>h1" and "article" not in frame:
+            leaf = "h1"
         path = b.path if as_is else path_from(f"{frame}>{leaf}")
         blocks.append(Block(path, b.text, float(path[-1][0] == "a")))
         labels.append(1)
-    some(("share", "comments", "form", "side", "advert"), 0.3, 5)
-    some(("menu", "notice", "footer"), 0.5, 5)
+    if rng.random() < 0.4 * around:
+        part(str(rng.choice(["share", "comments", "form", "advert", "side"])), int(rng.integers(1, 6)), not as_is)
+    some(("share", "comments", "form", "side", "advert"), 0.3 * around, 5)
+    some(("menu", "notice", "footer"), 0.5 * around, 5)
     return blocks, labels
 
 
-def fit(pages: list[str], steps: int = 500, batch: int = 12, rate: float = 0.01, seed: int = 3) -> Labeller:
+def fit(pages: list[str], steps: int = 900, batch: int = 12, rate: float = 0.01, seed: int = 3) -> Labeller:
     """Train on dealt pages with Adam; the sample's own pages stand among them as they are."""
     rng = np.random.default_rng(seed)
     read = [b for b in (leaf_blocks(p or "") for p in pages) if b]

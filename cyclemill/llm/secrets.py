@@ -34,7 +34,7 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=~$!@#%^&*-]{12,}")
 CONTEXT = 48
 AROUND = 256
 STRETCH = 1 << 20
-NOVELTY = 0.62
+NOVELTY = 0.9
 IDENTIFIERS = (
     "password passwd secret token api_key apikey access_key private_key client_secret client_id authorization bearer "
     "credential username user_name login session cookie request response header content_type application json xml "
