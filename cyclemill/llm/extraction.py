@@ -401,7 +401,7 @@ def dealt_page(page: list[Block], pool: list[Block], rng) -> tuple[list[Block],
         if leaf == "header>h1" and "article" not in frame:
             leaf = "h1"
         path = b.path if as_is else path_from(f"{frame}>{leaf}")
-        blocks.append(Block(path, b.text, float(path[-1][0] == "a")))
+        blocks.append(Block(path, b.text, float(path[-1:] != () and path[-1][0] == "a")))
         labels.append(1)
     if rng.random() < 0.4 * around:
         part(str(rng.choice(["share", "comments", "form", "advert", "side"])), int(rng.integers(1, 6)), not as_is)

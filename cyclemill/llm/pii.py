@@ -33,7 +33,7 @@ PATTERNS = {
 HINTS = {
     "email": "@", "ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){13}", "phone": r"\+[0-9]",
 }
-OCTET = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 TERM = r"[\p{L}\p{N}]{3,}"
 CONTEXT = 48  # characters on each side of an entity
 LEAST_DOCUMENTS = 2  # contexts in fewer documents tell nothing about the corpus
