@@ -131,7 +131,28 @@ def op7_language(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", held_out(4, 2).alias("held_out"), F.col(f"{c}.lang").alias("lang_pred"), f"{c}.score", f"{c}.rejected")
 
 
-@query()
+DECONTAMINATION = r"""WITH cut AS (
+  SELECT *, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM (
+    SELECT 'd' AS kind, row_number() OVER () AS r, doc_id, NULL AS item, text FROM documents
+    UNION ALL SELECT 'b', 0, NULL, CAST(item_id AS VARCHAR), text FROM benchmark WHERE item_id IS NOT NULL)),
+phrases AS (
+  SELECT item, least(len(w), 13) AS size, array_to_string(list_slice(w, g + 1, g + least(len(w), 13)), ' ') AS phrase FROM (
+    SELECT item, w, unnest(range(0, greatest(len(w) - 13, 0) + 1)) AS g FROM cut WHERE kind = 'b' AND len(w) > 0)),
+places AS (
+  SELECT r, size, g, array_to_string(list_slice(w, g + 1, g + size), ' ') AS phrase FROM (
+    SELECT r, w, size, unnest(range(0, greatest(len(w) - size + 1, 0))) AS g
+    FROM cut, (SELECT DISTINCT size FROM phrases) WHERE kind = 'd')),
+found AS (SELECT DISTINCT r, g, size, item FROM places JOIN phrases USING (size, phrase)),
+hits AS (SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(g, g + size)) AS place FROM found) GROUP BY r),
+named AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+FROM cut LEFT JOIN hits USING (r) LEFT JOIN named USING (r) WHERE kind = 'd'"""
+
+
+@query(DECONTAMINATION)
 def op8_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     """Benchmark passages in all documents."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
@@ -149,7 +170,17 @@ def op9_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.packed(table(spark, sf, "documents"))
 
 
-@query()
+TOPK = """WITH fine AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM fine q JOIN fine c ON q.r <> c.r WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5"""
+
+
+@query(TOPK)
 def op10_topk(spark: SparkSession, sf: str) -> DataFrame:
     """The five best inner products of every 50th vector with all others."""
     return topk.top_inner_products(table(spark, sf, "embeddings"))
