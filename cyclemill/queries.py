@@ -89,15 +89,14 @@ def truth_table(spark: SparkSession, sf: str) -> DataFrame:
 def censored_log(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, Extent]:
     """The log without the last ``more`` cycles of each entity, as if still in service.
 
-    Also its ``(id, max)``, taken from the unnumbered table: one narrow scan, no window.
+    Also its ``(id, max)``. The log is numbered once and written; both come from that table.
     """
-    raw = raw_events(spark, sf)
-    log, extent = numbered(raw)
-    truth = truth_table(spark, sf)
-    seen = log.join(small_side(truth), "id").where(F.col("cycle") <= F.col("n_cycles") - F.col("more"))
-    summary = labels.series_lengths(raw).join(truth, "id")
-    summary = summary.select("id", (F.col("n_cycles") - F.col("more")).alias("max"))
-    return seen.select("id", "cycle", "value", "k"), summary, extent
+    log, extent = numbered(raw_events(spark, sf))
+    log = kept(log.select("id", "cycle", "n_cycles", "value", "k"), "numbered")
+    left = F.col("n_cycles") - F.col("more")
+    known = log.where("cycle = 1").join(small_side(truth_table(spark, sf)), "id").select("id", left.alias("max"))
+    seen = log.join(small_side(known, extent.groups), "id").where(F.col("cycle") <= F.col("max"))
+    return seen.select("id", "cycle", "value", "k"), known, extent
 
 
 def as_text(numbers, factor: int = 1):
