@@ -18,6 +18,7 @@ linked to the least member of the value. That is exact, and linear in the list.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -141,14 +142,136 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, list_size: int = LI
     return signed.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, list_size: int = LIST) -> DataFrame:
-    """The rows of ``docs`` with one row of each component: that of the smallest doc_id (any one, if it is repeated)."""
+# ------------------------------------------------ similarity of shingle sets, by wide fingerprints
+
+
+STAGE_SHINGLE = 5
+SIMILARITY = 0.8
+WIDTH = 24  # 64-bit words of a wide fingerprint
+KEY_BYTES = 3
+LEAST_SHARED = 24
+SUM = 255
+
+
+def shingle_hashes(raw: bytes, size: int) -> np.ndarray:
+    """Hash of every shingle, repeats included; none without words."""
+    words = raw.lower().split()
+    if not words:
+        return np.zeros(0, dtype=np.uint64)
+    joined = b" ".join(words)
+    lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1
+    ends = np.cumsum(lengths) - 1
+    starts = ends - lengths + 1
+    size = min(size, len(words))
+    digest = xxhash.xxh64_intdigest
+    spans = zip(starts[:len(words) - size + 1].tolist(), ends[size - 1:].tolist())
+    return np.fromiter((digest(joined[a:b], 42) for a, b in spans), dtype=np.uint64, count=len(words) - size + 1)
+
+
+def wide_signature(raw: bytes, size: int, width: int = WIDTH) -> list[int]:
+    """``width`` words of majority bits: each word mixes the shingles' hashes in another way."""
+    hashes = shingle_hashes(raw, size)
+    made = []
+    for k in range(width):
+        total = np.zeros(64, dtype=np.int64)
+        for at in range(0, len(hashes), SUM * 64):
+            h = hashes[at:at + SUM * 64] * np.uint64((0x9E3779B97F4A7C15 * (2 * k + 1)) % 2**64)
+            h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+            h = (h ^ (h >> np.uint64(32))).astype("<u8")
+            bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            whole = len(bits) // SUM * SUM
+            # sums of 255 rows fit a byte
+            total += bits[:whole].reshape(-1, SUM, 64).sum(axis=1, dtype=np.uint8).sum(axis=0, dtype=np.int64)
+            total += bits[whole:].sum(axis=0, dtype=np.uint8)
+        made.append(int.from_bytes(np.packbits(2 * total > len(hashes), bitorder="little").tobytes(), "little", signed=True))
+    return made
+
+
+def wide_fingerprint(text: str = "text", shingle: int = STAGE_SHINGLE) -> Column:
+    """Wide fingerprint of a whole text; null and empty texts give zeros."""
+
+    def kernel():
+        return lambda texts: [(wide_signature(raw, shingle),) for raw in texts]
+
+    return column(kernel, "fp array<bigint>", text)["fp"]
+
+
+def list_keys(fp: Column, width: int = WIDTH) -> Column:
+    """A key for every ``KEY_BYTES`` positions of the fingerprint: their place and their bytes."""
+    keys = []
+    for place in range(width * 8 // KEY_BYTES):
+        value = F.lit(place).cast("long")
+        for position in range(KEY_BYTES * place, KEY_BYTES * (place + 1)):
+            byte = F.shiftrightunsigned(F.get(fp, F.lit(position // 8)), 8 * (position % 8)).bitwiseAND(F.lit(0xFF))
+            value = F.shiftleft(value, 8).bitwiseOR(byte)
+        keys.append(value)
+    return F.array(*keys)
+
+
+def tally(a: Column, b: Column) -> Column:
+    """How many positional bytes two wide fingerprints share."""
+
+    def equal(x, y):
+        return sum(((F.shiftrightunsigned(x.bitwiseXOR(y), 8 * k).bitwiseAND(F.lit(0xFF))) == 0).cast("int") for k in range(8))
+
+    return F.aggregate(F.zip_with(a, b, equal), F.lit(0), lambda s, x: s + x)
+
+
+def similarity(shingle: int):
+    """Share of the distinct shingles of two texts that they have in common."""
+
+    def run(left: pa.Array, right: pa.Array) -> pa.Array:
+        made = []
+        for a, b in zip(left.to_pylist(), right.to_pylist()):
+            x, y = (set(shingle_hashes((t or "").encode(), shingle).tolist()) for t in (a, b))
+            made.append(len(x & y) / len(x | y) if x or y else 1.0)
+        return pa.array(made, pa.float64())
+
+    return F.arrow_udf(run, "double")
+
+
+def near_pairs(own: DataFrame, list_size: int = LIST) -> DataFrame:
+    """Pairs (a, b) of nodes whose wide fingerprints meet in a list and share enough bytes.
+
+    ``own`` has a row (node, fp) for each fingerprint. In a list of more than ``list_size``
+    every member is held against the least one, so that no list makes more pairs than
+    a multiple of its length; members that are alike have 64 lists to be linked in.
+    """
+    listed = own.select("node", F.explode(list_keys(F.col("fp"))).alias("key"))
+    sizes = listed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("least")).filter("n > 1")
+    met = written(listed.join(sizes, "key"), "lists")
+    short = met.filter(F.col("n") <= list_size)
+    paired = short.select("key", F.col("node").alias("a")).join(short.select("key", F.col("node").alias("b")), "key").filter("a > b")
+    starred = met.filter((F.col("n") > list_size) & (F.col("node") != F.col("least")))
+    pairs = paired.select("a", "b").unionByName(starred.select(F.col("node").alias("a"), F.col("least").alias("b"))).distinct()
+    left = own.select(F.col("node").alias("a"), F.col("fp").alias("fp_a"))
+    right = own.select(F.col("node").alias("b"), F.col("fp").alias("fp_b"))
+    both = pairs.join(left, "a").join(right, "b")
+    return both.filter(tally(F.col("fp_a"), F.col("fp_b")) >= LEAST_SHARED).select("a", "b")
+
+
+def drop_near_duplicates(
+    docs: DataFrame, shingle: int = STAGE_SHINGLE, least: float = SIMILARITY, list_size: int = LIST
+) -> DataFrame:
+    """The rows of ``docs`` with one row of each group: that of the smallest doc_id (any one, if it is repeated).
+
+    Rows are alike if their shingle sets are, by ``least`` or more; groups are what such links
+    connect. Copies share a fingerprint. Other rows are candidates if they agree on three
+    positional bytes of a fingerprint of 1,536 bits in any of 64 places and on 24
+    positions in all; their similarity is then verified. Of pairs with a similarity of 0.8 the
+    lists find about 70 %, of 0.85 90 %, of 0.9 99 %, beyond that all (see README). Rows without any word are one group.
+    """
     fp, row = fresh("fp"), fresh("row")
-    signed = written(docs.withColumn(fp, fingerprint("text", shingle)).withColumn(row, F.monotonically_increasing_id()),
+    signed = written(docs.withColumn(fp, wide_fingerprint("text", shingle)).withColumn(row, F.monotonically_increasing_id()),
                      "signed")
     keys = signed.select(F.col(fp).alias("fp"), "doc_id", F.col(row).alias("row"))
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
-    own = keys.groupBy("fp").agg(F.min(order).alias("first"))
-    roots = own.join(grouped(keys, list_size).withColumnRenamed("node", "fp"), "fp", "left")
-    kept = roots.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
+    own = written(keys.groupBy("fp").agg(F.min(order).alias("first")).withColumn("node", F.col("first.row")), "nodes")
+    pairs = written(near_pairs(own.select("node", "fp"), list_size), "pairs")
+    texts = signed.select(F.col(row).alias("node"), "text")
+    left = texts.withColumnsRenamed({"node": "a", "text": "text_a"})
+    right = texts.withColumnsRenamed({"node": "b", "text": "text_b"})
+    alike = pairs.join(left, "a").join(right, "b").filter(similarity(shingle)("text_a", "text_b") >= least)
+    roots = own.select("node", "first").join(components(alike.select("a", "b")), "node", "left")
+    kept = roots.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
     return signed.join(kept.select(F.col("first.row").alias(row)), row, "left_semi").select(*docs.columns)

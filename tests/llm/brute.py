@@ -134,3 +134,49 @@ def top(vectors, every=50, k=5, scale=256):
             scored = sorted(((-sum(x * y for x, y in zip(v, w)), i) for b, (i, w) in enumerate(fine) if b != a))[:k]
             rows += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored)]
     return rows
+
+
+def shingles(text, size=5):
+    own = [w for w in re.split(r"[\x20\x09-\x0D]+", lower(text)) if w]
+    return frozenset(" ".join(own[i:i + size]) for i in range(max(1, len(own) - size + 1))) if own else frozenset()
+
+
+def alike(a, b):
+    return len(a & b) / len(a | b) if a or b else 1.0
+
+
+def similar_groups(texts, least):
+    """Group number of every text: the smallest position reachable over similarities of ``least`` or more."""
+    sets = [shingles(t) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if 2 * min(len(sets[i]), len(sets[j])) >= max(len(sets[i]), len(sets[j])) and alike(sets[i], sets[j]) >= least:
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(texts))]
+
+
+def check_single(rows, kept):
+    """Rows (doc_id, text) against the doc_ids kept: none goes without a like one that stays, and of those that
+    are nearly the same one stays, that of the smallest id."""
+    loose, tight = (similar_groups([t for _, t in rows], x) for x in (0.8, 0.97))
+    ids = {}
+    for g, (i, _) in zip(tight, rows):
+        ids.setdefault(g, []).append(i)
+    best = {g: min((i for i in own if i is not None), default=None) for g, own in ids.items()}
+    stay = set(kept)
+    assert len(kept) <= len(best)
+    for i in stay:  # only the best of its tight group
+        assert any(b == i for b in best.values())
+    groups = {}
+    for g, (i, _) in zip(loose, rows):
+        groups.setdefault(g, set()).add(i)
+    for own in groups.values():
+        assert own & stay and min((i for i in own if i is not None), default=None) in stay

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from cyclemill.llm import decontamination, extraction, graph, language, licenses, packing, pii, secrets, simhash, topk, toxicity
 from cyclemill.llm.words import Hasher
@@ -88,14 +89,41 @@ def test_one_document_of_each_group_stays(spark):
     docs = tables.documents(spark)
     kept = simhash.drop_near_duplicates(docs)
     assert kept.columns == docs.columns
-    rows = docs.collect()
-    prints = [brute.fingerprint(r.text) for r in rows]
-    groups = brute.components(prints, list(range(len(rows))))
-    least = {}
-    for g, r in zip(groups, rows):
-        least.setdefault(g, []).append(r.doc_id)
-    want = sorted(min((i for i in ids if i is not None), default=-1) for ids in least.values())
-    assert sorted(-1 if r.doc_id is None else r.doc_id for r in kept.collect()) == want
+    brute.check_single([(r.doc_id, r.text) for r in docs.collect()], [r.doc_id for r in kept.collect()])
+
+
+def changed(words, rng, edits):
+    own = list(words)
+    for _ in range(edits):
+        own[rng.randrange(len(own))] = f"new{rng.randrange(10**6)}"
+    return " ".join(own)
+
+
+@pytest.mark.parametrize("list_size", [2, 64])
+def test_near_copies_are_dropped_and_others_stay(spark, list_size):
+    rng = random.Random(8)
+    rows, groups = [], 60
+    for g in range(groups):
+        words = [f"w{rng.randrange(5000)}" for _ in range(400)]
+        rows += [(g * 10 + k, changed(words, rng, k)) for k in range(4)]  # up to three of 400 words differ
+        rows.append((g * 10 + 9, " ".join(words[:150]) + " " + changed(words, rng, 300)))  # a shared passage only
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(r.doc_id for r in simhash.drop_near_duplicates(docs, list_size=list_size).collect())
+    assert kept == sorted(x for g in range(groups) for x in (g * 10, g * 10 + 9))
+
+
+def test_wide_fingerprints(spark):
+    text = "the same words in another case and spacing " * 9
+    assert simhash.wide_signature(text.encode(), 5) == simhash.wide_signature(text.upper().replace(" ", "\n ").encode(), 5)
+    a, b = simhash.wide_signature(text.encode(), 5), simhash.wide_signature(b"wholly different text of a few words", 5)
+    df = spark.createDataFrame([(a, b)], "a array<long>, b array<long>").select(
+        simhash.tally(F.col("a"), F.col("b")).alias("t"),
+        simhash.list_keys(F.col("a")).alias("keys"))
+    row = df.first()
+    raw = lambda x: b"".join((v % 2**64).to_bytes(8, "little") for v in x)
+    assert row["t"] == sum(p == q for p, q in zip(raw(a), raw(b)))
+    assert len(set(row["keys"])) == simhash.WIDTH * 8 // simhash.KEY_BYTES
+    assert simhash.wide_signature(b" \n", 5) == [0] * simhash.WIDTH
 
 
 @pytest.mark.parametrize("text,label,edits", [
