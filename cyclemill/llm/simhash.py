@@ -150,6 +150,7 @@ SIMILARITY = 0.8
 WIDTH = 24  # 64-bit words of a wide fingerprint
 KEY_BYTES = 3
 LEAST_SHARED = 24
+WIDE_LIST = 8
 SUM = 255
 
 
@@ -230,7 +231,7 @@ def similarity(shingle: int):
     return F.arrow_udf(run, "double")
 
 
-def near_pairs(own: DataFrame, list_size: int = LIST) -> DataFrame:
+def near_pairs(own: DataFrame, list_size: int = WIDE_LIST) -> DataFrame:
     """Pairs (a, b) of nodes whose wide fingerprints meet in a list and share enough bytes.
 
     ``own`` has a row (node, fp) for each fingerprint. In a list of more than ``list_size``
@@ -251,7 +252,7 @@ def near_pairs(own: DataFrame, list_size: int = LIST) -> DataFrame:
 
 
 def drop_near_duplicates(
-    docs: DataFrame, shingle: int = STAGE_SHINGLE, least: float = SIMILARITY, list_size: int = LIST
+    docs: DataFrame, shingle: int = STAGE_SHINGLE, least: float = SIMILARITY, list_size: int = WIDE_LIST
 ) -> DataFrame:
     """The rows of ``docs`` with one row of each group: that of the smallest doc_id (any one, if it is repeated).
 
