@@ -151,6 +151,7 @@ WIDTH = 24  # 64-bit words of a wide fingerprint
 KEY_BYTES = 3
 LEAST_SHARED = 24
 WIDE_LIST = 8
+WIDE_BLOCK = 2048  # fingerprints of a longer list that are compared with as many others at once
 SUM = 255
 
 
@@ -170,8 +171,11 @@ def shingle_hashes(raw: bytes, size: int) -> np.ndarray:
 
 
 def wide_signature(raw: bytes, size: int, width: int = WIDTH) -> list[int]:
-    """``width`` words of majority bits: each word mixes the shingles' hashes in another way."""
-    hashes = shingle_hashes(raw, size)
+    """``width`` words of majority bits over the shingles: each word mixes their hashes in another way."""
+    return majority_bits(shingle_hashes(raw, size), width)
+
+
+def majority_bits(hashes: np.ndarray, width: int) -> list[int]:
     made = []
     for k in range(width):
         total = np.zeros(64, dtype=np.int64)
@@ -189,12 +193,16 @@ def wide_signature(raw: bytes, size: int, width: int = WIDTH) -> list[int]:
 
 
 def wide_fingerprint(text: str = "text", shingle: int = STAGE_SHINGLE) -> Column:
-    """Wide fingerprint of a whole text; null and empty texts give zeros."""
+    """Struct of the wide fingerprint of a whole text and a hash of it; null and empty texts give zeros."""
+
+    def one(raw: bytes):
+        made = majority_bits(shingle_hashes(raw, shingle), WIDTH)
+        return made, xxhash.xxh128_hexdigest(np.array(made, dtype="<i8").tobytes())
 
     def kernel():
-        return lambda texts: [(wide_signature(raw, shingle),) for raw in texts]
+        return lambda texts: [one(raw) for raw in texts]
 
-    return column(kernel, "fp array<bigint>", text)["fp"]
+    return column(kernel, "fp array<bigint>, content string", text)
 
 
 def list_keys(fp: Column, width: int = WIDTH) -> Column:
@@ -231,16 +239,19 @@ def similarity(shingle: int):
     return F.arrow_udf(run, "double")
 
 
-def near_pairs(own: DataFrame, list_size: int = WIDE_LIST) -> DataFrame:
+def listed_nodes(own: DataFrame) -> DataFrame:
+    """(key, node, n, least) for the rows (node, fp) of ``own`` that meet another one in a list of n."""
+    listed = own.select("node", F.explode(list_keys(F.col("fp"))).alias("key"))
+    sizes = listed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("least")).filter("n > 1")
+    return written(listed.join(sizes, "key"), "lists")
+
+
+def near_pairs(own: DataFrame, met: DataFrame, list_size: int = WIDE_LIST) -> DataFrame:
     """Pairs (a, b) of nodes whose wide fingerprints meet in a list and share enough bytes.
 
-    ``own`` has a row (node, fp) for each fingerprint. In a list of more than ``list_size``
-    every member is held against the least one, so that no list makes more pairs than
-    a multiple of its length; members that are alike have 64 lists to be linked in.
+    All pairs of the lists of up to ``list_size``; of a longer one those with its least
+    member, which ``other_pairs`` completes once it is known what these connect.
     """
-    listed = own.select("node", F.explode(list_keys(F.col("fp"))).alias("key"))
-    sizes = listed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("least")).filter("n > 1")
-    met = written(listed.join(sizes, "key"), "lists")
     short = met.filter(F.col("n") <= list_size)
     paired = short.select("key", F.col("node").alias("a")).join(short.select("key", F.col("node").alias("b")), "key").filter("a > b")
     starred = met.filter((F.col("n") > list_size) & (F.col("node") != F.col("least")))
@@ -251,28 +262,87 @@ def near_pairs(own: DataFrame, list_size: int = WIDE_LIST) -> DataFrame:
     return both.filter(tally(F.col("fp_a"), F.col("fp_b")) >= LEAST_SHARED).select("a", "b")
 
 
+def compared(blocks: pa.Table) -> pa.Table:
+    """The pairs of two blocks of a list that have different roots, share enough bytes, and meet in no list of a lower place."""
+    node, root, block = (blocks[name].to_numpy() for name in ("node", "root", "block"))
+    key, low, high = (blocks[name][0].as_py() for name in ("key", "low", "high"))
+    fp = blocks["fp"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype("<i8").reshape(len(node), -1)
+    raw, place = np.ascontiguousarray(fp).view(np.uint8), key >> 8 * KEY_BYTES
+    places = raw.shape[1] // KEY_BYTES
+    left, right = [], []
+    for x in np.flatnonzero(block == low):
+        other = (root != root[x]) & (block == high)
+        if low == high:
+            other[:x + 1] = False
+        others = np.flatnonzero(other)
+        if not len(others):
+            continue
+        same = raw[others] == raw[x]
+        close = np.flatnonzero(same.sum(axis=1, dtype=np.uint16) >= LEAST_SHARED)
+        agreed = same[close][:, :places * KEY_BYTES].reshape(-1, places, KEY_BYTES).all(axis=2)
+        found = others[close[agreed.argmax(axis=1) == place]]
+        left.append(np.maximum(node[found], node[x]))
+        right.append(np.minimum(node[found], node[x]))
+    none = np.zeros(0, dtype=np.int64)
+    return pa.table({"a": np.concatenate([none, *left]), "b": np.concatenate([none, *right])})
+
+
+def other_pairs(
+    own: DataFrame, met: DataFrame, roots: DataFrame, list_size: int = WIDE_LIST, block: int = WIDE_BLOCK
+) -> DataFrame:
+    """The pairs (a, b) of the lists of more than ``list_size`` whose nodes have different ``roots`` (node, root) so far.
+
+    A list is dealt out to blocks, and every block meets every other one and itself in a
+    task of its own, so that no pair is left out and no task holds more than two blocks. Lists of
+    one root have nothing left to link. A pair is made once, in the first list that its nodes share.
+    """
+    rooted = met.filter(F.col("n") > list_size).join(roots, "node", "left").select(
+        "key", "node", "n", F.coalesce("root", "node").alias("root"))
+    mixed = rooted.groupBy("key").agg(F.min("root").alias("first"), F.max("root").alias("last")).filter("first < last").select("key")
+    blocks = F.ceil(F.col("n") / block)
+    dealt = rooted.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("node"), blocks)).select(
+        "key", "node", "root", "block", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("with"))
+    pairs = dealt.join(own.select("node", "fp"), "node").select(
+        "key", "node", "root", "block", "fp", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"))
+    return pairs.groupBy("key", "low", "high").applyInArrow(compared, "a long, b long")
+
+
 def drop_near_duplicates(
-    docs: DataFrame, shingle: int = STAGE_SHINGLE, least: float = SIMILARITY, list_size: int = WIDE_LIST
+    docs: DataFrame, shingle: int = STAGE_SHINGLE, least: float = SIMILARITY, list_size: int = WIDE_LIST,
+    block: int = WIDE_BLOCK,
 ) -> DataFrame:
     """The rows of ``docs`` with one row of each group: that of the smallest doc_id (any one, if it is repeated).
 
     Rows are alike if their shingle sets are, by ``least`` or more; groups are what such links
-    connect. Copies share a fingerprint. Other rows are candidates if they agree on three
+    connect. Rows of one fingerprint are one node. Other rows are candidates if they agree on three
     positional bytes of a fingerprint of 1,536 bits in any of 64 places and on 24
     positions in all; their similarity is then verified. Of pairs with a similarity of 0.8 the
     lists find about 70 %, of 0.85 90 %, of 0.9 99 %, beyond that all (see README). Rows without any word are one group.
     """
-    fp, row = fresh("fp"), fresh("row")
-    signed = written(docs.withColumn(fp, wide_fingerprint("text", shingle)).withColumn(row, F.monotonically_increasing_id()),
+    signature_, row = fresh("signature"), fresh("row")
+    signed = written(docs.withColumn(signature_, wide_fingerprint("text", shingle)).withColumn(row, F.monotonically_increasing_id()),
                      "signed")
-    keys = signed.select(F.col(fp).alias("fp"), "doc_id", F.col(row).alias("row"))
+    keys = signed.select(F.col(signature_)["fp"].alias("fp"), F.col(signature_)["content"].alias("content"), "doc_id", F.col(row).alias("row"))
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
-    own = written(keys.groupBy("fp").agg(F.min(order).alias("first")).withColumn("node", F.col("first.row")), "nodes")
-    pairs = written(near_pairs(own.select("node", "fp"), list_size), "pairs")
+    own = written(keys.groupBy("content").agg(F.min(order).alias("first"), F.first("fp").alias("fp"))
+                  .withColumn("node", F.col("first.row")), "nodes")
     texts = signed.select(F.col(row).alias("node"), "text")
     left = texts.withColumnsRenamed({"node": "a", "text": "text_a"})
     right = texts.withColumnsRenamed({"node": "b", "text": "text_b"})
-    alike = pairs.join(left, "a").join(right, "b").filter(similarity(shingle)("text_a", "text_b") >= least)
-    roots = own.select("node", "first").join(components(alike.select("a", "b")), "node", "left")
-    kept = roots.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return pairs.join(left, "a").join(right, "b").filter(similarity(shingle)("text_a", "text_b") >= least).select("a", "b")
+
+    met = listed_nodes(own)
+    roots = components(linked(written(near_pairs(own, met, list_size), "pairs")))
+    rest = written(other_pairs(own, met, roots, list_size, block), "pairs")
+    if not rest.isEmpty():
+        at = lambda side: roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
+        joined = linked(rest).join(at("a"), "a", "left").join(at("b"), "b", "left").select(
+            F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+        over = components(joined).select(F.col("node").alias("root"), F.col("root").alias("top"))
+        every = own.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+        roots = every.join(over, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    grouped_ = own.select("node", "first").join(roots, "node", "left")
+    kept = grouped_.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
     return signed.join(kept.select(F.col("first.row").alias(row)), row, "left_semi").select(*docs.columns)

@@ -112,6 +112,42 @@ def test_near_copies_are_dropped_and_others_stay(spark, list_size):
     assert kept == sorted(x for g in range(groups) for x in (g * 10, g * 10 + 9))
 
 
+@pytest.mark.parametrize("block", [2048, 5])
+def test_near_copies_within_a_family_of_one_template(spark, block):
+    """Long lists lose no pair: members of a family that are not alike, each with a near copy of its own."""
+    rng = random.Random(12)
+    template = [f"t{i}" for i in range(240)]
+    rows, edits = [], (0, 1, 2, 4)
+    for g in range(48):
+        words = template + [f"w{rng.randrange(10**6)}" for _ in range(160)]
+        first, k = words.copy(), edits[g % 4]  # five shingles a changed word: similarities of 1 to 0.9
+        for i in rng.sample(range(5, 395), k):
+            words[i] = f"new{rng.randrange(10**6)}"
+        rows += [(g, " ".join(first)), (1000 + g, " ".join(words) + " end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(r.doc_id for r in simhash.drop_near_duplicates(docs, list_size=2, block=block).collect())
+    assert kept == list(range(48))
+
+
+def test_recall_in_long_lists_is_that_of_pairing_all(spark):
+    rng = random.Random(13)
+    template = [f"t{i}" for i in range(200)]
+    rows, wanted = [], {}
+    for g in range(80):
+        words = template + [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        copy = words.copy()
+        for i in rng.sample(range(5, 395), (1, 3, 5, 8)[g % 4]):
+            copy[i] = f"new{rng.randrange(10**6)}"
+        rows += [(g, " ".join(words)), (1000 + g, " ".join(copy))]
+        wanted[1000 + g] = brute.alike(brute.shingles(" ".join(words)), brute.shingles(" ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    capped, paired = ({r.doc_id for r in simhash.drop_near_duplicates(docs, list_size=n).collect()} for n in (2, 10**9))
+    assert capped == paired and set(range(80)) <= capped
+    for low, high, share in ((0.8, 0.87, 0.5), (0.87, 0.93, 0.9), (0.93, 1, 1)):
+        own = [i for i, s in wanted.items() if low <= s < high]
+        assert own and sum(i not in capped for i in own) >= share * len(own)
+
+
 def test_wide_fingerprints(spark):
     text = "the same words in another case and spacing " * 9
     assert simhash.wide_signature(text.encode(), 5) == simhash.wide_signature(text.upper().replace(" ", "\n ").encode(), 5)
