@@ -171,8 +171,8 @@ def shingle_hashes(raw: bytes, size: int) -> np.ndarray:
 
 
 def wide_signature(raw: bytes, size: int, width: int = WIDTH) -> list[int]:
-    """``width`` words of majority bits over the shingles: each word mixes their hashes in another way."""
-    return majority_bits(shingle_hashes(raw, size), width)
+    """``width`` words of majority bits over the distinct shingles: each word mixes their hashes in another way."""
+    return majority_bits(np.unique(shingle_hashes(raw, size)), width)
 
 
 def majority_bits(hashes: np.ndarray, width: int) -> list[int]:
@@ -193,11 +193,11 @@ def majority_bits(hashes: np.ndarray, width: int) -> list[int]:
 
 
 def wide_fingerprint(text: str = "text", shingle: int = STAGE_SHINGLE) -> Column:
-    """Struct of the wide fingerprint of a whole text and a hash of it; null and empty texts give zeros."""
+    """Struct of the wide fingerprint of a whole text and a hash of its shingle set; null and empty texts give zeros."""
 
     def one(raw: bytes):
-        made = majority_bits(shingle_hashes(raw, shingle), WIDTH)
-        return made, xxhash.xxh128_hexdigest(np.array(made, dtype="<i8").tobytes())
+        hashes = np.unique(shingle_hashes(raw, shingle))
+        return majority_bits(hashes, WIDTH), xxhash.xxh128_hexdigest(hashes.astype("<u8").tobytes())
 
     def kernel():
         return lambda texts: [one(raw) for raw in texts]
@@ -313,8 +313,8 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """The rows of ``docs`` with one row of each group: that of the smallest doc_id (any one, if it is repeated).
 
-    Rows are alike if their shingle sets are, by ``least`` or more; groups are what such links
-    connect. Rows of one fingerprint are one node. Other rows are candidates if they agree on three
+    Rows are alike if their sets of distinct shingles are, by ``least`` or more; groups are what such links
+    connect. Rows of one set are one node. Other rows are candidates if they agree on three
     positional bytes of a fingerprint of 1,536 bits in any of 64 places and on 24
     positions in all; their similarity is then verified. Of pairs with a similarity of 0.8 the
     lists find about 70 %, of 0.85 90 %, of 0.9 99 %, beyond that all (see README). Rows without any word are one group.

@@ -148,6 +148,15 @@ def test_recall_in_long_lists_is_that_of_pairing_all(spark):
         assert own and sum(i not in capped for i in own) >= share * len(own)
 
 
+def test_repeated_lines_do_not_make_copies(spark):
+    rng = random.Random(14)
+    line = "home about terms of use contact privacy "
+    own = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(3)]
+    rows = [(i, line * 400 + text) for i, text in enumerate(own)] + [(9, line * 5 + own[0])]  # the set of 0, repeated less
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.drop_near_duplicates(docs).collect()) == [0, 1, 2]
+
+
 def test_wide_fingerprints(spark):
     text = "the same words in another case and spacing " * 9
     assert simhash.wide_signature(text.encode(), 5) == simhash.wide_signature(text.upper().replace(" ", "\n ").encode(), 5)
