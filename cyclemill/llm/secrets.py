@@ -2,9 +2,10 @@
 
 A candidate is a long token in a sensitive context. Its novelty is the marginal
 number of compressed bytes: the frame of context and candidate less the frame of
-the context alone, with a dictionary of identifiers and code as prefix. Identifiers,
-paths and repeated strings cost a few bytes; keys and passwords cost nearly all
-of theirs.
+the context alone, with a dictionary of identifiers and code as prefix. It is held
+against what random strings of the same length and alphabet cost at that place, so
+that neither a small alphabet nor a long key looks predictable. Identifiers, paths
+and repeated strings cost much less than those; keys and passwords cost as much.
 """
 
 from __future__ import annotations
@@ -34,7 +35,10 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=~$!@#%^&*-]{12,}")
 CONTEXT = 48
 AROUND = 256
 STRETCH = 1 << 20
-NOVELTY = 0.9
+NOVELTY = 0.7  # share of a random string's cost
+DRAWS = 8  # random strings of which the mean is taken
+ALPHABETS = ("0123456789abcdef", "0123456789ABCDEF")
+CLASSES = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
 IDENTIFIERS = (
     "password passwd secret token api_key apikey access_key private_key client_secret client_id authorization bearer "
     "credential username user_name login session cookie request response header content_type application json xml "
@@ -60,11 +64,28 @@ class Novelty:
             level=6, dict_data=held, write_content_size=False, write_checksum=False
         )
 
-    def __call__(self, around: bytes, candidate: bytes) -> float:
-        """Extra bytes for the candidate after its surroundings, per byte of it, in 0 to 1."""
+    def cost(self, around: bytes, candidates: list[bytes]) -> np.ndarray:
+        """Extra bytes for each of the candidates after the surroundings."""
         alone = len(self.compressor.compress(around))
-        both = len(self.compressor.compress(around + candidate))
-        return min(1.0, max(0, both - alone) / max(1, len(candidate)))
+        return np.array([max(0, len(self.compressor.compress(around + c)) - alone) for c in candidates])
+
+    def __call__(self, around: bytes, candidate: bytes) -> float:
+        """Extra bytes for the candidate after its surroundings, as a share of a random string's, in 0 to 1."""
+        letters = np.frombuffer(alphabet(candidate.decode()).encode(), dtype=np.uint8)
+        rng = np.random.default_rng(len(candidate))  # the same strings in every task
+        drawn = [letters[rng.integers(len(letters), size=len(candidate))].tobytes() for _ in range(DRAWS)]
+        own, *others = self.cost(around, [candidate, *drawn])
+        return float(min(1.0, own / max(1.0, np.mean(others))))
+
+
+def alphabet(token: str) -> str:
+    """The characters that a random string of this kind is made of: hexadecimal, or classes, with the token's own signs."""
+    for whole in ALPHABETS:
+        if not token.isdigit() and set(token) <= set(whole):
+            return whole
+    held = set(token)
+    known = "".join(c for c in CLASSES if held & set(c))
+    return known + "".join(sorted(held - set(known)))
 
 
 def base_spans(text: str, low: bytes) -> list[tuple[int, int, str]]:
@@ -79,8 +100,8 @@ def base_spans(text: str, low: bytes) -> list[tuple[int, int, str]]:
 
 
 def varied(token: str) -> bool:
-    """Letters and digits mixed, as in a key; words and numbers are not."""
-    return any(c.isdigit() for c in token) and any(c.isalpha() for c in token)
+    """Letters and digits mixed, as in a key, or digits alone; words are not."""
+    return token.isdigit() or any(c.isdigit() for c in token) and any(c.isalpha() for c in token)
 
 
 def has_long_hex(raw: bytes, member: np.ndarray) -> bool:

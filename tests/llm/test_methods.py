@@ -193,6 +193,37 @@ def test_novel_strings():
     assert kinds("the order q9ZkX2vLw7TnRb4YpM1s was sent") == []  # no sensitive context
 
 
+@pytest.mark.parametrize("letters", [
+    "abcdefghijklmnopqrstuvwxyz0123456789", "0123456789ABCDEF", "0123456789",
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+])
+def test_random_keys_of_any_length_are_novel(letters):
+    import tables
+
+    rng, find = random.Random(4), secrets.finder()
+    for size in (12, 16, 32, 40, 64, 100, 200):
+        found = tried = 0
+        for k in range(60):
+            key = "".join(rng.choice(letters) for _ in range(size))
+            if not secrets.varied(key) or not secrets.CANDIDATE.fullmatch(key):
+                continue
+            lead = tables.prose(k, 40) + " authorization: bearer "
+            tried += 1
+            spans = find(f"{lead}{key} {tables.prose(k + 99, 40)}".encode())  # long ones of digits alone are of the hexadecimal format
+            found += [s[:2] for s in spans] == [(len(lead), len(lead) + size)]
+        assert tried > 20 and found >= 0.9 * tried, (size, found, tried)
+
+
+def test_known_identifiers_are_not_novel():
+    import tables
+
+    find = secrets.finder()
+    for k, name in enumerate(("application_json_version2", "access_token_v2", "oauth2_client_secret", "base64_encoded_string1",
+                              "0123456789abcdef0123", "session_timeout_3600", "aaaaaaaaaaaaaaaaaaaaaaa1")):
+        text = f"{tables.prose(k, 40)} authorization: bearer {name} {tables.prose(k + 9, 40)}"
+        assert not [s for s in find(text.encode()) if s[2] == "novel"], name
+
+
 def test_redaction(spark):
     df = spark.createDataFrame([("a token = abcdef123 b",), (None,), ("",), ("plain",)], "text string")
     got = [r[0] for r in df.select(secrets.redacted()["text"]).collect()]
