@@ -2,15 +2,15 @@
 
 DataFrame functions only. Spans of the fixed formats come from splitting a text at a
 pattern: the lengths of the pieces and of the matches add up to the places. Every
-match with its kind is a protected entity. Words next to it are its context. Over the
-whole corpus, a term's disclosure of an entity is its pointwise mutual information
+match with its kind is a protected entity. All words of its documents that stand outside
+of such matches are its context. Over the whole corpus, a term's disclosure of an entity is its pointwise mutual information
 with it, as a share of the entity's own information:
 
     log(N * n(term, entity) / (n(term) * n(entity)))  /  log(N / n(entity))
 
-with n the number of documents (of contexts, for the pair). A term of 1 tells as much
-as the entity itself. Terms at the threshold or above, in contexts of their entity,
-are generalised (numbers and names, to a marker) or removed.
+with n the number of documents. A term of 1 tells as much as the entity itself. Terms
+at the threshold or above are, wherever they stand in documents with their entity,
+generalised (numbers and names, to a marker) or removed.
 """
 
 from __future__ import annotations
@@ -34,33 +34,28 @@ HINTS = {
     "email": "@", "ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){13}", "phone": r"\+[0-9]",
 }
 OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-TERM = r"[\p{L}\p{N}]{3,}"
-CONTEXT = 48  # characters on each side of an entity
-LEAST_DOCUMENTS = 2  # contexts in fewer documents tell nothing about the corpus
+LEAST_DOCUMENTS = 2  # what stands in fewer documents tells nothing about the corpus
 THRESHOLD = 0.8
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """Matches of a pattern as array of struct: start, end (code points, end exclusive), value, before, after."""
-    pieces, values = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+def matches(text: Column, pattern: Column) -> Column:
+    """Matches of a pattern as array of struct: start, end (code points, end exclusive), value."""
+    pieces, values = F.split(text, pattern, -1), F.regexp_extract_all(text, pattern, F.lit(0))
     n = F.size(values)
     pairs = F.zip_with(values, pieces, lambda v, p: F.struct(v.alias("value"), p.alias("lead")))
-    tails = F.slice(pieces, F.lit(2), F.greatest(n, F.lit(1)))
-    trios = F.zip_with(F.slice(pairs, F.lit(1), n), tails, lambda m, t: F.struct(
-        m["value"].alias("value"), F.length(m["lead"]).cast("long").alias("skip"),
-        F.right(m["lead"], F.lit(CONTEXT)).alias("before"), F.left(t, F.lit(CONTEXT)).alias("after"),
-    ))
+    duos = F.transform(F.slice(pairs, F.lit(1), n), lambda m: F.struct(
+        m["value"].alias("value"), F.length(m["lead"]).cast("long").alias("skip")))
     zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(
-        "array<struct<start:bigint,end:bigint,value:string,before:string,after:string>>").alias("made"))
+        "array<struct<start:bigint,end:bigint,value:string>>").alias("made"))
 
     def step(s, m):
         start = s["at"] + m["skip"]
         end = start + F.length(m["value"])
         return F.struct(end.alias("at"), F.concat(s["made"], F.array(F.struct(
-            start.alias("start"), end.alias("end"), m["value"].alias("value"), m["before"].alias("before"), m["after"].alias("after"),
+            start.alias("start"), end.alias("end"), m["value"].alias("value"),
         ))).alias("made"))
 
-    return F.aggregate(F.filter(trios, lambda m: m["value"].isNotNull()), zero, step, lambda s: s["made"])
+    return F.aggregate(F.filter(duos, lambda m: m["value"].isNotNull()), zero, step, lambda s: s["made"])
 
 
 def digits(value: Column) -> Column:
@@ -94,48 +89,55 @@ SPAN = "start:bigint,rank:int,end:bigint,kind:string"
 
 def of_kind(text: Column, rank: int, kind: str) -> Column:
     """Spans of one format."""
-    found = F.filter(matches(text, PATTERNS[kind]), lambda m: valid(kind, m["value"]))
+    found = F.filter(matches(text, F.lit(PATTERNS[kind])), lambda m: valid(kind, m["value"]))
     spans = F.transform(found, lambda m: F.struct(
         m["start"].alias("start"), F.lit(rank).alias("rank"), m["end"].alias("end"), F.lit(kind).alias("kind"),
-        m["value"].alias("value"), m["before"].alias("before"), m["after"].alias("after"),
+        m["value"].alias("value"),
     ))
     hint = text.contains(HINTS[kind]) if kind == "email" else text.rlike(HINTS[kind])
-    return F.when(hint, spans).otherwise(F.array().cast(f"array<struct<{SPAN},value:string,before:string,after:string>>"))
+    return F.when(hint, spans).otherwise(F.array().cast(f"array<struct<{SPAN},value:string>>"))
 
 
 def entities(text: Column) -> Column:
-    """Spans of the fixed formats with kind, value and context, sorted by start and kind; null texts have none."""
+    """Spans of the fixed formats with kind and value, sorted by start and kind; null texts have none."""
     return F.array_sort(F.concat(*[of_kind(text, rank, kind) for rank, kind in enumerate(PATTERNS)]))
 
 
-def contexts(occurrences: DataFrame) -> DataFrame:
-    """row, kind, value, term, start and end of every word near an entity that is not cut by the context's border."""
-    lead = F.col("start") - F.length("before")
-    before = F.transform(
-        F.filter(matches(F.col("before"), TERM), lambda m: (m["start"] > 0) | (lead == 0)),
-        lambda m: F.struct((m["start"] + lead).alias("start"), (m["end"] + lead).alias("end"), m["value"].alias("word")),
-    )
-    after = F.transform(
-        F.filter(matches(F.col("after"), TERM), lambda m: (m["end"] < F.length("after")) | (F.length("after") < CONTEXT)),
-        lambda m: F.struct(
-            (m["start"] + F.col("end")).alias("start"), (m["end"] + F.col("end")).alias("end"), m["value"].alias("word")),
-    )
-    near = occurrences.select("row", "kind", "value", F.explode(F.concat(before, after)).alias("t"))
-    return near.select("row", "kind", "value", F.lower("t.word").alias("term"), F.col("t.start").alias("start"),
-                       F.col("t.end").alias("end"), F.col("t.word").alias("word"))
-
-
-def disclosures(docs: DataFrame, near: DataFrame, found: DataFrame, occurrences: DataFrame, threshold: float) -> DataFrame:
-    """kind, value and term with a disclosure at the threshold or above, by counts over all documents."""
-    total = found.agg(F.count("*").alias("n"))
-    entity = occurrences.select("row", "kind", "value").distinct().groupBy("kind", "value").agg(F.count("*").alias("n_entity"))
-    pair = near.select("row", "kind", "value", "term").distinct().groupBy("kind", "value", "term").agg(
-        F.count("*").alias("n_pair")).filter(F.col("n_pair") >= LEAST_DOCUMENTS)
-    words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))
+WORDS = r"[^\p{L}\p{N}]+"
+
+
+def outside(text: Column, spans: Column) -> Column:
+    """The text without its spans, which are sorted by start."""
+    zero = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("made"))
+
+    def step(s, m):
+        cut = F.substring(text, (s["at"] + 1).cast("int"), F.greatest(m["start"] - s["at"], F.lit(0)).cast("int"))
+        return F.struct(F.greatest(s["at"], m["end"]).alias("at"), F.concat(s["made"], cut, F.lit(" ")).alias("made"))
+
+    return F.aggregate(spans, zero, step, lambda s: F.concat(
+        s["made"], F.substring(text, (s["at"] + 1).cast("int"), F.lit(2**31 - 1))))
+
+
+def disclosures(docs: DataFrame, found: DataFrame, occurrences: DataFrame, threshold: float) -> DataFrame:
+    """kind, value and term with a disclosure at the threshold or above, by counts over all documents.
+
+    Pairs are counted over whole documents. As a pair stands in no more documents than its
+    entity, a term in too many of them cannot reach the threshold with it: such pairs are not made.
+    """
+    total = F.broadcast(found.agg(F.count("*").alias("n")))  # one row
+    entity = occurrences.groupBy("kind", "value").agg(F.count("*").alias("n_entity")).filter(F.col("n_entity") >= LEAST_DOCUMENTS)
+    words = F.array_distinct(F.split(F.lower("text"), WORDS))
     term = docs.select(F.explode(words).alias("term")).filter(F.length("term") >= 3).groupBy("term").agg(
-        F.count("*").alias("n_term"))
-    known = pair.join(entity, ["kind", "value"]).join(term, "term").crossJoin(F.broadcast(total))  # one row
+        F.count("*").alias("n_term")).filter(F.col("n_term") >= LEAST_DOCUMENTS)
+    held = occurrences.join(entity, ["kind", "value"])
+    near = F.array_distinct(F.split(F.lower(outside(F.col("text"), F.col("spans"))), WORDS))
+    rows = found.filter(F.size("spans") > 0).join(held.groupBy("row").agg(F.max("n_entity").alias("most")), "row").select(
+        "row", "most", F.explode(near).alias("term")).filter(F.length("term") >= 3)
     information = F.log(F.col("n") / F.col("n_entity"))
+    rare = lambda most: F.log(F.col("n") / F.col("n_term")) >= threshold * F.log(F.col("n") / F.col(most)) - 1e-9
+    met = rows.join(term, "term").crossJoin(total).filter(rare("most")).join(held, "row").filter(rare("n_entity"))
+    known = met.groupBy("kind", "value", "term", "n", "n_term", "n_entity").agg(F.count("*").alias("n_pair")).filter(
+        F.col("n_pair") >= LEAST_DOCUMENTS)
     mutual = F.log(F.col("n") * F.col("n_pair") / (F.col("n_term") * F.col("n_entity")))
     return known.filter((information > 0) & (mutual >= threshold * information)).select("kind", "value", "term")
 
@@ -149,16 +151,20 @@ def find_private(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFra
     """
     row = fresh("row")
     numbered = docs.withColumn(row, F.monotonically_increasing_id())
-    found = written(numbered.select("doc_id", F.col(row).alias("row"), entities(F.col("text")).alias("spans")), "entities")
-    occurrences = found.select("row", F.explode("spans").alias("s")).select("row", "s.*").withColumn("value", F.lower("value"))
-    near = written(contexts(occurrences), "contexts")
-    telling = disclosures(docs, near, found, occurrences, threshold)
-    terms = near.join(telling, ["kind", "value", "term"]).select("row", "start", "end", "word").distinct()
-    marker = F.when(F.col("word").rlike(r"\p{N}"), "[NUMBER]").when(F.col("word").rlike(r"^\p{Lu}"), "[NAME]").otherwise("")
+    read = numbered.select("doc_id", F.col(row).alias("row"), "text", entities(F.col("text")).alias("spans"))
+    found = written(read.withColumn("text", F.when(F.size("spans") > 0, F.col("text"))), "entities")
+    occurrences = found.select("row", F.explode("spans").alias("s")).select("row", "s.kind", F.lower("s.value").alias("value")).distinct()
+    telling = disclosures(docs, found, occurrences, threshold)
+    own = occurrences.join(telling, ["kind", "value"]).groupBy("row").agg(F.array_sort(F.collect_set("term")).alias("own"))
+    # terms are letters and digits only
+    pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join("own", "|"), F.lit(r")(?![\p{L}\p{N}])"))
+    word = lambda m: m["value"]
+    marker = lambda m: F.when(word(m).rlike(r"\p{N}"), "[NUMBER]").when(word(m).rlike(r"^\p{Lu}"), "[NAME]").otherwise("")
     rank = F.lit(len(KINDS) - 1)
-    shape = F.struct("start", rank.alias("rank"), "end", F.lit("term").alias("kind"), marker.alias("marker"))
-    by_row = terms.groupBy("row").agg(F.collect_list(shape).alias("terms"))
-    joined = found.join(by_row, "row", "left")
+    shape = lambda m: F.struct(
+        m["start"].alias("start"), rank.alias("rank"), m["end"].alias("end"), F.lit("term").alias("kind"), marker(m).alias("marker"))
+    by_row = found.join(own, "row").select("row", F.transform(matches(F.col("text"), pattern), shape).alias("terms"))
+    joined = found.select("row", "doc_id", "spans").join(by_row, "row", "left")
     none = F.array().cast(f"array<struct<{SPAN},marker:string>>")
     base = F.transform("spans", lambda s: F.struct(
         s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"),

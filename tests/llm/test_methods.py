@@ -355,6 +355,18 @@ def test_terms_that_give_an_entity_away(spark):
     assert "[NAME] at [EMAIL] about the weather" in clean[100] and clean[3] == text[3] and clean[200] is None and clean[201] == ""
 
 
+def test_terms_far_from_their_entity(spark):
+    far = " and the weather in the town" * 9
+    rows = [(i, f"filler words number {i}{far}") for i in range(60)]
+    rows += [(100 + i, f"Zorblatt writes{far}, signed z.b@mail.example.org and again{far} by ZORBLATT {i}") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in pii.private_spans(docs).collect()}
+    for i in range(100, 104):
+        words = [dict(rows)[i][s.start:s.end] for s in spans[i] if s.kind == "term"]
+        assert words.count("Zorblatt") == 1 and words.count("ZORBLATT") == 1 and "weather" not in words
+    assert all(not spans[i] for i in range(60))
+
+
 def test_gradients_of_the_labeller():
     rng = np.random.default_rng(0)
     model = extraction.Labeller()
