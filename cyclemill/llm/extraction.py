@@ -28,7 +28,6 @@ TAG_BITS, WORD_BITS = 11, 11
 TAG_DIM, WORD_DIM, HIDDEN = 16, 8, 16
 NUMBERS = 4
 MAX_PAGES = 400
-WORDS = 24  # words of a block that are hashed, at even steps through the whole block
 GROUP = 256
 KIND = "text string, blocks int, kept int"
 
@@ -107,7 +106,7 @@ def names(attributes: str) -> list[str]:
         if key == "hidden" or (key == "style" and "none" in value and "display" in value):
             marks.append("hidden")
         elif key != "style":
-            marks += [w.lower() for w in NAME.findall(value)][:12]
+            marks += [w.lower() for w in NAME.findall(value)]
     return marks
 
 
@@ -228,9 +227,7 @@ def features(blocks: list[Block], cache: dict) -> tuple[list[list[int]], list[li
                 cache.clear()
             keys = cache[b.path] = sorted({hashed(m, TAG_BITS) for m in path_marks(b.path)}) or [0]
         paths.append(keys)
-        own = b.text.split(" ")
-        step = max(1, len(own) // WORDS)
-        words.append([hashed(w.lower(), WORD_BITS) for w in own[::step][:WORDS]])
+        words.append([hashed(w.lower(), WORD_BITS) for w in b.text.split(" ")])
         numbers[i] = (min(np.log1p(len(b.text)) / 8, 2), b.linked, i / len(blocks), b.text[-1] in ".!?…\"”")
     return paths, words, numbers
 

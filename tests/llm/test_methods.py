@@ -396,6 +396,13 @@ PAGE = (
 )
 
 
+def test_all_words_of_blocks_and_classes_are_read():
+    own = [f"w{i}" for i in range(95)]
+    _, words, _ = extraction.features([extraction.Block((), " ".join(own), 0.0)], {})
+    assert words == [[extraction.hashed(w, extraction.WORD_BITS) for w in own]]
+    assert extraction.names('class="' + "a " * 14 + 'sidebar"')[-1] == "sidebar"
+
+
 def test_main_text_of_an_unseen_layout(spark):
     pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()]
     model = extraction.fit(pages)
