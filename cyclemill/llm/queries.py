@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cyclemill.llm import (
-    decontamination, extraction, language, licenses, packing, pii, secrets, simhash, topk, toxicity,
+    decontamination, extraction, language, licenses, merkle, packing, pii, secrets, simhash, topk, toxicity,
 )
 from cyclemill.llm.common import fresh, table
 
@@ -184,3 +184,70 @@ FROM scored QUALIFY rank <= 5"""
 def op10_topk(spark: SparkSession, sf: str) -> DataFrame:
     """The five best inner products of every 50th vector with all others."""
     return topk.top_inner_products(table(spark, sf, "embeddings"))
+
+
+def merkle_sql(levels: int = 12) -> str:
+    """Runs of eight, level by level; twelve levels hold more leaves than a table has."""
+    field = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR), '-')"
+    row = lambda text: "sha256(" + " || ".join(field.format(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    sql = f"""WITH crc_table AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+    CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, CAST(i AS BIGINT))) AS t),
+rows AS (
+  SELECT doc_id, coalesce('=' || lang, '-') AS tree, {row("text")} AS leaf,
+    CASE WHEN xor(4294967295, list_reduce(list_transform(regexp_extract_all(CAST(doc_id AS VARCHAR), '.'), lambda d: CAST(ascii(d) AS BIGINT)),
+      lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8), CAST(4294967295 AS BIGINT))) % 3 = 0
+    THEN {row(lowered)} END AS changed FROM documents, crc_table),
+n0 AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, leaf AS h FROM rows),
+l0 AS (SELECT tree, pos, h FROM n0)"""
+    for kind in ("l", "t"):
+        if kind == "t":
+            sql += f""",
+t0 AS (SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS pos, h, tree AS own FROM l{levels})"""
+        for k in range(1, levels + 1):
+            # a tree that is down to one node goes up as it is
+            sql += f""",
+{kind}{k} AS (
+  SELECT tree, CASE WHEN n = 1 THEN 0 ELSE pos // 8 END AS pos, CASE WHEN n = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY pos)) END AS h
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {kind}{k - 1}) GROUP BY tree, n, CASE WHEN n = 1 THEN 0 ELSE pos // 8 END)"""
+    # the path of a row: its place on every level, the siblings there, and the hash with its own leaf changed
+    sql += """,
+p0 AS (SELECT n0.*, coalesce(changed, leaf) AS f, '' AS proof, t0.pos AS top FROM n0 JOIN t0 ON t0.own = n0.tree)"""
+    last = "p0"
+    for kind in ("l", "t"):
+        for k in range(1, levels + 1):
+            now, tree = f"p{kind}{k}", "p.tree" if kind == "l" else "''"
+            at = "p.pos" if kind == "l" else "p.top"
+            rest = "p.* EXCLUDE (f, proof, pos)" if kind == "l" else "p.* EXCLUDE (f, proof, top)"
+            sql += f""",
+r{kind}{k} AS (SELECT tree, pos // 8 AS run, list(h ORDER BY pos) AS hs, any_value(n) AS n
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {kind}{k - 1}) GROUP BY tree, pos // 8),
+{now} AS (
+  SELECT {rest}, CASE WHEN n = 1 THEN {at} ELSE {at} // 8 END AS {at[2:]},
+    CASE WHEN n = 1 THEN f ELSE sha256(array_to_string(hs[1:{at} % 8], '') || f || array_to_string(hs[{at} % 8 + 2:], '')) END AS f,
+    CASE WHEN n = 1 THEN proof ELSE proof || array_to_string(hs[1:{at} % 8], '') || array_to_string(hs[{at} % 8 + 2:], '') END AS proof
+  FROM {last} p JOIN r{kind}{k} r ON r.tree = {tree} AND r.run = {at} // 8)"""
+            last = now
+    return sql + f"""
+SELECT doc_id, leaf, l{levels}.h AS subroot, t{levels}.h AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = t{levels}.h AS verified
+FROM {last} p JOIN l{levels} ON l{levels}.tree = p.tree CROSS JOIN t{levels}"""
+
+
+@query(merkle_sql())
+def op12_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Merkle leaves, proofs and their verification for all documents, every third of them changed."""
+    docs = table(spark, sf, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    changed = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    leaves = docs.select(
+        "doc_id", "lang", merkle.record_hash(*fields, F.col("text")).alias("leaf"),
+        F.when(changed, merkle.record_hash(*fields, merkle.lower_ascii(F.col("text")))).alias("changed"))
+    made = merkle.manifest(leaves, "lang", "doc_id")
+    claims = made.leaves.withColumn("claimed", F.coalesce("carried.changed", "leaf"))
+    found = made.proofs(claims, "claimed")
+    return found.select(
+        F.col("carried.doc_id").alias("doc_id"), "leaf", "subroot", F.lit(made.root).cast("string").alias("root"),
+        F.sha2(F.array_join("siblings", ""), 256).alias("proof_sha256"), F.col("folded").alias("folded_root"),
+        (F.col("folded") == F.lit(made.root)).alias("verified"))
