@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cyclemill.llm import (
-    decontamination, extraction, language, licenses, merkle, packing, pii, secrets, simhash, topk, toxicity,
+    collocations, decontamination, extraction, language, licenses, merkle, packing, pii, quality, secrets, simhash, topk, toxicity,
 )
 from cyclemill.llm.common import fresh, table
 
@@ -186,6 +186,41 @@ def op10_topk(spark: SparkSession, sf: str) -> DataFrame:
     return topk.top_inner_products(table(spark, sf, "embeddings"))
 
 
+COLLOCATIONS = r"""WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+cut AS (SELECT row_number() OVER () AS p, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+places AS (SELECT p, lang, unnest(w) AS w1, generate_subscripts(w, 1) AS i FROM cut),
+followed AS (
+  SELECT lang, w1, lead(w1) OVER places AS w2, lead(w1, 2) OVER places AS w3 FROM places WINDOW places AS (PARTITION BY p ORDER BY i)),
+one AS (SELECT lang, w1, count(*) AS f FROM followed GROUP BY lang, w1),
+two AS (SELECT lang, w1, w2, count(*) AS f FROM followed WHERE w2 IS NOT NULL GROUP BY lang, w1, w2),
+three AS (SELECT lang, w1, w2, w3, count(*) AS f FROM followed WHERE w3 IS NOT NULL GROUP BY lang, w1, w2, w3 HAVING count(*) >= 10),
+totals AS (SELECT lang, sum(f) AS n FROM one GROUP BY lang),
+cuts AS (
+  SELECT c.lang, c.w1 || ' ' || c.w2 AS phrase, c.f AS a, 1 AS k, l.f AS l, r.f AS r
+  FROM two c JOIN one l ON l.lang = c.lang AND l.w1 = c.w1 JOIN one r ON r.lang = c.lang AND r.w1 = c.w2
+  WHERE c.f >= 10 AND NOT EXISTS (SELECT 1 FROM three b WHERE b.lang = c.lang AND b.w1 = c.w1 AND b.w2 = c.w2 AND 100 * b.f >= 50 * c.f)
+    AND NOT EXISTS (SELECT 1 FROM three b WHERE b.lang = c.lang AND b.w2 = c.w1 AND b.w3 = c.w2 AND 100 * b.f >= 50 * c.f)
+  UNION ALL
+  SELECT c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, c.f, 1, l.f, r.f
+  FROM three c JOIN one l ON l.lang = c.lang AND l.w1 = c.w1 JOIN two r ON r.lang = c.lang AND r.w1 = c.w2 AND r.w2 = c.w3
+  UNION ALL
+  SELECT c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, c.f, 2, l.f, r.f
+  FROM three c JOIN two l ON l.lang = c.lang AND l.w1 = c.w1 AND l.w2 = c.w2 JOIN one r ON r.lang = c.lang AND r.w1 = c.w3),
+scored AS (SELECT *, (CAST(1000000 AS HUGEINT) * a * a) // (CAST(l AS HUGEINT) * r) AS score FROM cuts),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+  CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM lowest JOIN totals USING (lang) QUALIFY rank <= 2000"""
+
+
+@query(COLLOCATIONS)
+def op11_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    """Every language's best phrases of two and three words."""
+    return collocations.collocations(table(spark, sf, "documents"))
+
+
 def merkle_sql(levels: int = 12) -> str:
     """Runs of eight, level by level; twelve levels hold more leaves than a table has."""
     field = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR), '-')"
@@ -251,3 +286,12 @@ def op12_manifest(spark: SparkSession, sf: str) -> DataFrame:
         F.col("carried.doc_id").alias("doc_id"), "leaf", "subroot", F.lit(made.root).cast("string").alias("root"),
         F.sha2(F.array_join("siblings", ""), 256).alias("proof_sha256"), F.col("folded").alias("folded_root"),
         (F.col("folded") == F.lit(made.root)).alias("verified"))
+
+
+@query()
+def op13_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Plain counts, perplexity and verdict of all documents."""
+    found = quality.quality(table(spark, sf, "documents").select("doc_id", "lang", "text"))
+    c = found.columns[-1]
+    return found.select("doc_id", *[f"{c}.{name}" for name in (
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score", "lower", "upper")])
