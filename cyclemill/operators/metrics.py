@@ -72,15 +72,45 @@ def summary_metrics(confusion: DataFrame) -> DataFrame:
     return per_class_metrics(confusion).agg(*_summaries())
 
 
-def evaluation(scored: DataFrame) -> DataFrame:
-    """Loss and summary metrics in one row, from one pass over ``(label, prob, prediction)``."""
-    cells = scored.groupBy("label", "prediction").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(log_loss()).alias("loss")
-    )
+def evaluation(scored: DataFrame, exact: bool = False) -> DataFrame:
+    """Loss and summary metrics in one row, from one pass over ``(label, prob, prediction)``.
+
+    ``exact`` sums the losses as decimals, so that the result does not depend on the order of the rows.
+    """
+    loss = F.sum(log_loss().cast("decimal(28,18)")).cast("double") if exact else F.sum(log_loss())
+    cells = scored.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"), loss.alias("loss"))
     classes = per_class_metrics(cells, carry=["loss"])
     return classes.agg((F.sum("loss") / F.sum("actual")).alias("loss"), *_summaries())
 
 
+def evaluation_of_cells(cells: Sequence[tuple]) -> dict:
+    """What ``evaluation`` gives, from a few ``(label, prediction, n, loss)`` that were counted elsewhere."""
+    whole = sum(n for _, _, n, _ in cells)
+    hit, actual, predicted = ({} for _ in range(3))
+    for label, guess, n, _ in cells:
+        actual[label] = actual.get(label, 0) + n
+        predicted[guess] = predicted.get(guess, 0) + n
+        if label == guess:
+            hit[label] = n
+
+    def mean(values):
+        return sum(values) / len(values) if values else None
+
+    classes = sorted({*actual, *predicted})
+    precision = [hit.get(c, 0) / predicted[c] for c in classes if predicted.get(c)]
+    recall = [hit.get(c, 0) / actual[c] for c in classes if actual.get(c)]
+    f1 = [2 * hit.get(c, 0) / (actual.get(c, 0) + predicted.get(c, 0)) for c in classes]
+    return {
+        "loss": sum(loss for *_, loss in cells) / whole if whole else None,
+        "accuracy": sum(hit.values()) / whole if whole else None,
+        "precision": mean(precision),
+        "recall": mean(recall),
+        "f1": mean(f1),
+        "precision_classes": len(precision),
+        "recall_classes": len(recall),
+    }
+
+
 def log_loss(probabilities: str = "prob", label: str = "label") -> Column:
     """Negative log-probability of the true class, with the probability kept off 0 and 1."""
     p = F.get(F.col(probabilities), F.col(label).cast("int"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,9 +24,11 @@ from cyclemill.operators.splits import (
     window_batch_rows,
 )
 from cyclemill.plans.scoring import score
-from cyclemill.plans.training import Settings, Trained, export_rounds, train
+from cyclemill.plans.training import Settings, Trained, export_rounds, open_rounds, train
+from cyclemill.session import delete_table
 from cyclemill.sizing import small_side
 from cyclemill.sources.batches import read_batches, write_batches
+from cyclemill.sources.journal import Journal, finished
 
 # outputs of the classifier per target; None is a regression, whose series are only batched
 CLASSES = {"RUL": None, "label1": 2, "label2": 3}
@@ -92,12 +94,14 @@ def fit_windows(
     settings: Settings = Settings(),
     adam: Adam = Adam(),
     init: Weights | None = None,
+    resume_path: str | None = None,
     **outputs,
 ) -> Trained:
     """Train on fixed windows with one label each, validating on a fifth of the data.
 
     ``split="entity"`` holds back the last entities, ``split="tail"`` the last samples,
-    which may cut through one entity.
+    which may cut through one entity. With a ``resume_path`` the same call goes on where
+    a run that was cut short had got to: its minibatches, weights and statistics lie there.
     """
     whole = Series.of(labelled)
     if split == "entity":
@@ -109,7 +113,7 @@ def fit_windows(
         raise ValueError("split is 'entity' or 'tail'")
     rows = window_rows(mine, features, label, settings.length, batch_size, tails[0])
     held = window_rows(other, features, label, settings.length, SCORING_BATCH, tails[1])
-    return _fit(rows, held, net, settings, adam, init, outputs)
+    return _fit(rows, held, net, settings, adam, init, outputs, resume_path)
 
 
 def fit_lives(
@@ -121,6 +125,7 @@ def fit_lives(
     settings: Settings = Settings(),
     adam: Adam = Adam(),
     init: Weights | None = None,
+    resume_path: str | None = None,
     **outputs,
 ) -> Trained:
     """Train on whole lives with a class per cycle, validating on the last entities."""
@@ -130,15 +135,30 @@ def fit_lives(
         life_rows(part, features, label, batch_size)
         for part in (whole.part(phases, "train"), whole.part(phases, "val"))
     )
-    return _fit(rows, held, net, settings, adam, init, outputs)
-
-
-def _fit(rows, held, net, settings, adam, init, outputs):
-    rounds = export_rounds(rows, settings)
-    try:
-        return train(rows.sparkSession, rounds, net, settings, adam, init, held, **outputs)
-    finally:
-        rounds.delete()
+    return _fit(rows, held, net, settings, adam, init, outputs, resume_path)
+
+
+def _fit(rows, held, net, settings, adam, init, outputs, resume_path=None):
+    """Export and train. What lies below ``resume_path`` is kept until the training has come to its end."""
+    spark = rows.sparkSession
+    if settings.balanced is None:
+        settings = replace(settings, balanced=not net.many_to_one)
+    if resume_path is None:
+        rounds = export_rounds(rows, settings)
+        try:
+            return train(spark, rounds, net, settings, adam, init, held, **outputs)
+        finally:
+            rounds.delete()
+    at, val = f"{resume_path}/rounds", f"{resume_path}/validation"
+    rounds = open_rounds(spark, at) if finished(spark, at) else export_rounds(rows, settings, at)
+    if not finished(spark, val):
+        held.write.mode("overwrite").parquet(val)
+    held = spark.read.schema(held.schema).parquet(val)
+    trained = train(
+        spark, rounds, net, settings, adam, init, held, journal=Journal(spark, f"{resume_path}/journal"), **outputs)
+    for path in (at, val):
+        delete_table(spark, path)
+    return trained
 
 
 def evaluate_windows(
@@ -181,11 +201,12 @@ def fit_stored(
     settings: Settings = Settings(),
     adam: Adam = Adam(),
     init: Weights | None = None,
+    resume_path: str | None = None,
     **outputs,
 ) -> Trained:
     """Train on the minibatches that ``ingest`` wrote, validating on its validation phase."""
     rows, held = (stored_rows(spark, path, phase, net.features) for phase in ("train", "val"))
-    return _fit(rows, held, net, settings, adam, init, outputs)
+    return _fit(rows, held, net, settings, adam, init, outputs, resume_path)
 
 
 def stored_rows(spark: SparkSession, path: str, phase: str, features: int) -> DataFrame:

@@ -13,15 +13,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
-from cyclemill.functions.lstm import Adam, Network, Weights, gradient, zero_state
-from cyclemill.operators.metrics import evaluation
-from cyclemill.operators.parameters import weighted_average
+from cyclemill.functions.lstm import Adam, Network, Weights, forward, gradient, log_loss, zero_state
+from cyclemill.operators.balance import balanced_workers
+from cyclemill.operators.metrics import evaluation, evaluation_of_cells
 from cyclemill.operators.sequences import BLOCK_STEPS
 from cyclemill.plans.scoring import score
 from cyclemill.plans.tensors import carried, in_order, minibatches
 from cyclemill.session import delete_table, shared_folder
-from cyclemill.sizing import setting
+from cyclemill.sizing import setting, small_side
+from cyclemill.sources.journal import Journal
 from cyclemill.sources.models import append_stats, save_model
 
 MAX_DIRECTORIES = 2048
@@ -31,7 +34,14 @@ ROUND_SCHEMA = (
     "batch_id long, id long, t long, pos long, x array<float>, y float, is_label boolean, "
     "round long, worker int, round_group int"
 )
-TRAINED = "worker int, n double, loss double, seconds double, packed array<double>"
+# one row per worker, and one per optimiser step if they are asked for
+CELL = "iteration long, label long, prediction long, n long, loss double"
+TRAINED = (
+    "kind string, worker int, n double, loss double, seconds double, packed array<double>, "
+    f"cells array<struct<{CELL.replace(' ', ':').replace(',:', ', ')}>>, "
+    "batch_id long, iteration long, step int, norm double"
+)
+CHUNK = 1 << 14
 
 
 @dataclass(frozen=True)
@@ -44,6 +54,10 @@ class Settings:
     # evaluations within an epoch: their cost grows with the data as the epoch's does
     evaluations_per_epoch: int | None = None
     patience: int | None = 1
+    # every so many iterations of a worker, its first included, its minibatch is evaluated after the step
+    evaluate_every: int | None = None
+    # deal minibatches by their real steps; None is for whole lives only, whose minibatches differ
+    balanced: bool | None = None
 
 
 @dataclass(frozen=True)
@@ -75,7 +89,7 @@ class Trained:
 
 
 def export_rounds(rows: DataFrame, settings: Settings, path: str | None = None) -> Rounds:
-    """Write batch rows by averaging round, spread round-robin over the workers.
+    """Write batch rows by averaging round, spread over the workers: round-robin, or balanced by their steps.
 
     A worker's share of a round is ``averaging_frequency`` minibatches, so no group
     grows with the data. A round has one file for every ``BATCHES_PER_FILE`` of its
@@ -85,22 +99,34 @@ def export_rounds(rows: DataFrame, settings: Settings, path: str | None = None)
     """
     spark = rows.sparkSession
     path = path or shared_folder(spark, "rounds")
-    per_round = settings.workers * settings.averaging_frequency
-    files = math.ceil(per_round / BATCHES_PER_FILE)
-    number = F.floor(F.col("batch_id") / per_round).cast("long")
+    if settings.balanced:
+        with written(rows, "unbalanced") as plain:
+            costs = plain.groupBy("batch_id").agg(F.count(F.lit(1)).alias("cost"))
+            dealt = balanced_workers(costs, settings.workers, settings.averaging_frequency)
+            side = small_side(dealt.select("batch_id", "round", "worker"))
+            _write_rounds(plain.join(side, "batch_id"), settings, path)
+    else:
+        per_round = settings.workers * settings.averaging_frequency
+        number = F.floor(F.col("batch_id") / per_round).cast("long")
+        worker = F.pmod("batch_id", F.lit(settings.workers)).cast("int")
+        _write_rounds(rows.withColumns({"round": number, "worker": worker}), settings, path)
+    return open_rounds(spark, path)
+
+
+def _write_rounds(rows: DataFrame, settings: Settings, path: str) -> None:
+    files = math.ceil(settings.workers * settings.averaging_frequency / BATCHES_PER_FILE)
     (
-        rows.withColumns(
-            {
-                "round": number,
-                "worker": F.pmod("batch_id", F.lit(settings.workers)).cast("int"),
-                "round_group": (number % MAX_DIRECTORIES).cast("int"),
-            }
-        )
+        rows.withColumn("round_group", (F.col("round") % MAX_DIRECTORIES).cast("int"))
         .repartition("round", F.col("worker") % files)
         .sortWithinPartitions("round_group", "round", "worker")
-        .write.partitionBy("round_group")
+        .write.mode("overwrite")
+        .partitionBy("round_group")
         .parquet(path)
     )
+
+
+def open_rounds(spark: SparkSession, path: str) -> Rounds:
+    """Rounds that were exported before, perhaps by another driver."""
     table = spark.read.schema(ROUND_SCHEMA).parquet(path)
     last = table.agg(F.max("round")).first()[0]
     return Rounds(table, 0 if last is None else last + 1, path)
@@ -121,8 +147,53 @@ def written(rows: DataFrame | None, purpose: str) -> Iterator[DataFrame | None]:
         delete_table(spark, path)
 
 
+class Counters:
+    """What a worker reports beside its weights: steps taken, and evaluations of its own minibatches."""
+
+    def __init__(self, settings: Settings, round_no: int, record: bool):
+        self.every, self.record = settings.evaluate_every, record
+        self.first = round_no * settings.averaging_frequency
+        self.steps: list[tuple] = []
+        self.cells: dict[tuple, list] = {}
+        self.batch = self.number = self.step = None
+        self.state: list = []
+
+    def begin(self, batch: int) -> None:
+        """Minibatches are numbered through the training, by round and place in the worker's share."""
+        if batch != self.batch:
+            self.number = self.first if self.number is None else self.number + 1
+            self.batch, self.step = batch, 0
+
+    def took(self, n: float, loss: float, grad: np.ndarray) -> None:
+        if self.record:
+            self.steps.append((self.batch, self.number, self.step, n, loss, float(np.sqrt((grad * grad).sum()))))
+        self.step += 1
+
+    def evaluate(self, b, net: Network, values: np.ndarray, ids: np.ndarray | None) -> None:
+        """Score the minibatch with the weights after its step, without dropout; lives carry a state of their own."""
+        if not self.every or self.number % self.every:
+            return
+        start = None
+        if not net.many_to_one:
+            start = carried(self.state, None if b.first else ids, b.ids, zero_state(net, len(b.ids)))
+        prob, self.state = forward(net, values, b.x, b.mask, start, keep=False)[:2]
+        real = b.rows >= 0
+        label, p = b.y[real].astype(int), prob[real]
+        predicted = (p[:, 0] > 0.5).astype(int) if net.outputs == 1 else p.argmax(1)
+        for actual, guess, loss in zip(label.tolist(), predicted.tolist(), log_loss(net, p, label).tolist()):
+            cell = self.cells.setdefault((self.number, actual, guess), [0, 0.0])
+            cell[0] += 1
+            cell[1] += loss
+
+
 def local_steps(
-    batches: Iterator[pa.RecordBatch], net: Network, weights: Weights, adam: Adam, settings: Settings, seed: int | None
+    batches: Iterator[pa.RecordBatch],
+    net: Network,
+    weights: Weights,
+    adam: Adam,
+    settings: Settings,
+    seed: int | None,
+    counters: Counters | None = None,
 ) -> tuple[float, float]:
     """Take the optimiser through one worker's minibatches, in order; returns terms seen and summed loss.
 
@@ -137,9 +208,13 @@ def local_steps(
         if not net.many_to_one:
             start = carried(state, None if b.first else ids, b.ids, zero_state(net, len(b.ids)))
         part_loss, n, grad, state = gradient(net, weights.values, b.x, b.y, b.mask, start, rng)
-        ids = b.ids
         if n:
             weights.update(grad, adam)
+        if counters is not None:
+            counters.begin(b.table.column("batch_id")[0].as_py())
+            counters.took(n, part_loss, grad)
+            counters.evaluate(b, net, weights.values, ids)
+        ids = b.ids
         terms, loss = terms + n, loss + part_loss
     return terms, loss
 
@@ -152,16 +227,23 @@ def average_round(
     settings: Settings,
     round_no: int,
     driver_bytes: int | None = None,
+    steps_path: str | None = None,
+    cells: list | None = None,
 ) -> tuple[Weights, list[tuple]]:
     """One round: every worker trains from the same weights, then all are averaged by terms seen.
 
     If the vectors of all workers together fit ``driver_bytes`` they are averaged on
     the driver. Otherwise they are averaged in Spark, and only the result, of the
     model's size, and one statistics row per worker reach the driver.
+
+    ``steps_path`` is a directory for one row per optimiser step, which the workers write and
+    which replaces what was there. ``cells`` receives the counts of ``evaluate_every``: rows of
+    (iteration, label, prediction, n, loss), merged over the workers.
     """
     spark = rows.sparkSession
     packed = weights.pack()
     shared = spark.sparkContext.broadcast(packed)
+    record = steps_path is not None
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         began = time.perf_counter()
@@ -172,27 +254,37 @@ def average_round(
         mine = Weights.unpack(shared.value)
         # the seed depends on round and worker only: a repeated task repeats its result
         seed = (net.seed * 1_000_003 + round_no) * 1_000_003 + worker if net.dropout else None
-        terms, loss = local_steps(itertools.chain([first], batches), net, mine, adam, settings, seed)
-        yield pa.RecordBatch.from_pydict(
-            {
-                "worker": pa.array([worker], pa.int32()),
-                "n": pa.array([terms], pa.float64()),
-                "loss": pa.array([loss], pa.float64()),
-                "seconds": pa.array([time.perf_counter() - began], pa.float64()),
-                "packed": pa.array([mine.pack()], pa.list_(pa.float64())),
-            }
-        )
-
+        counters = Counters(settings, round_no, record)
+        terms, loss = local_steps(itertools.chain([first], batches), net, mine, adam, settings, seed, counters)
+        held = [dict(zip(CELL_NAMES, (*k, *v))) for k, v in sorted(counters.cells.items())]
+        whole = {"kind": "worker", "worker": worker, "n": terms, "loss": loss, "seconds": time.perf_counter() - began, "cells": held}
+        yield pa.RecordBatch.from_pylist([{**whole, "packed": mine.pack()}], schema=schema)
+        if record:
+            made = [
+                {"kind": "step", "worker": worker, "batch_id": batch, "iteration": number, "step": step, "n": n, "loss": part, "norm": norm}
+                for batch, number, step, n, part, norm in counters.steps
+            ]
+            yield pa.RecordBatch.from_pylist(made, schema=schema)
+
+    schema = to_arrow_schema(_parse_datatype_string(TRAINED))
     # one partition per worker, which reads its rows in order
     placed = in_order(rows.repartitionById(settings.workers, "worker"), net, settings.tbptt, "worker")
-    trained = placed.mapInArrow(work, TRAINED).where("n > 0")
+    trained = placed.mapInArrow(work, TRAINED)
     try:
+        if record:
+            trained.write.mode("overwrite").partitionBy("kind").parquet(steps_path)
+            trained = spark.read.schema(TRAINED).parquet(steps_path)
+        trained = trained.where("kind = 'worker' AND n > 0")
         if packed.nbytes * settings.workers <= setting(rows, "driverBytes", driver_bytes):
-            stats, average = _average_here(trained)
+            stats, found, average = _average_here(trained)
         else:
-            stats, average = _average_in_spark(trained, len(packed))
+            stats, found, average = _average_in_spark(trained, len(packed))
     finally:
         shared.destroy()
+        if record:
+            delete_table(spark, f"{steps_path}/kind=worker")
+    if cells is not None:
+        cells += merged_cells(found)
     if not stats:
         return weights, []
     if not np.isfinite(average).all():
@@ -200,25 +292,51 @@ def average_round(
     return Weights.unpack(average), stats
 
 
+CELL_NAMES = ("iteration", "label", "prediction", "n", "loss")
+
+
+def merged_cells(found: list[list[dict]]) -> list[tuple]:
+    """Counts of all workers by iteration, label and prediction; losses are summed in the order of the workers."""
+    sums: dict[tuple, list] = {}
+    for cell in itertools.chain.from_iterable(found):
+        held = sums.setdefault((cell["iteration"], cell["label"], cell["prediction"]), [0, 0.0])
+        held[0] += cell["n"]
+        held[1] += cell["loss"]
+    return [(*k, *v) for k, v in sorted(sums.items())]
+
+
+STATS = ("worker", "n", "loss", "seconds")
+
+
 def _average_here(trained: DataFrame):
-    table = trained.toArrow().sort_by("worker").combine_chunks()
-    stats = [tuple(r.values()) for r in table.drop_columns("packed").to_pylist()]
+    table = trained.select(*STATS, "cells", "packed").toArrow().sort_by("worker").combine_chunks()
+    rows = table.drop_columns("packed").to_pylist()
+    stats = [tuple(r[c] for c in STATS) for r in rows]
     if not stats:
-        return stats, None
+        return stats, [], None
     vectors = table.column("packed").combine_chunks().flatten().to_numpy().reshape(len(stats), -1)
-    return stats, np.average(vectors, axis=0, weights=table.column("n").to_numpy())
+    return stats, [r["cells"] for r in rows], np.average(vectors, axis=0, weights=table.column("n").to_numpy())
 
 
 def _average_in_spark(trained: DataFrame, size: int):
-    trained = trained.persist()
-    try:
-        stats = [tuple(r) for r in trained.select("worker", "n", "loss", "seconds").collect()]
-        cells = weighted_average(trained, "n", "packed").select("pos", "value").toArrow()
-    finally:
-        trained.unpersist()
-    average = np.zeros(size)
-    average[cells.column("pos").to_numpy()] = cells.column("value").to_numpy()
-    return stats, average
+    """Average piece by piece of the vectors, always in the order of the workers, so that a repeated round repeats its result."""
+
+    def average(part: pa.Table) -> pa.Table:
+        part = part.sort_by("worker").combine_chunks()
+        vectors = part.column("values").combine_chunks().flatten().to_numpy().reshape(len(part), -1)
+        mean = np.average(vectors, axis=0, weights=part.column("n").to_numpy())
+        return pa.table({"piece": part.column("piece").slice(0, 1), "values": pa.array([mean], pa.list_(pa.float64()))})
+
+    with written(trained.select(*STATS, "cells", "packed"), "vectors") as held:
+        rows = sorted(held.select(*STATS, "cells").collect(), key=lambda r: r["worker"])
+        starts = F.sequence(F.lit(0), F.lit(size - 1), F.lit(CHUNK))
+        pieces = held.select("worker", "n", "packed", F.posexplode(starts).alias("piece", "start")).select(
+            "worker", "n", "piece", F.slice("packed", F.col("start") + 1, F.lit(CHUNK)).alias("values"))
+        means = pieces.groupBy("piece").applyInArrow(average, "piece int, values array<double>").toArrow()
+    if not rows:
+        return [], [], None
+    made = means.sort_by("piece").column("values").combine_chunks().flatten().to_numpy()
+    return [tuple(r[c] for c in STATS) for r in rows], [[c.asDict() for c in r["cells"]] for r in rows], made
 
 
 def train(
@@ -233,56 +351,126 @@ def train(
     stats_path: str | None = None,
     model_path: str | None = None,
     on_round: Callable[[int, Weights], None] | None = None,
+    steps_path: str | None = None,
+    journal: Journal | None = None,
 ) -> Trained:
     """Train for up to ``settings.epochs`` passes over the exported rounds.
 
     ``init`` continues from given weights and optimiser state. ``validation`` holds
     batch rows: its loss after each epoch stops training once it has not improved for
     ``patience`` epochs. ``evaluations_per_epoch`` also evaluates a round's own batches and
-    the validation rows so often in an epoch, beginning with its first round.
+    the validation rows so often in an epoch, beginning with its first round. ``evaluate_every``
+    evaluates every so many iterations of the workers without another pass.
+
+    ``steps_path`` collects one row per optimiser step. With a ``journal`` every round is
+    committed: the same call goes on after the last round of a run that was cut short, with the weights and
+    statistics that the whole run would have had. Statistics then lie in the journal.
     """
     with written(validation, "validation") as held:
-        return _run_epochs(
-            spark, rounds, net, settings, adam, init, held, run, stats_path, model_path, on_round
-        )
-
-
-def _run_epochs(
-    spark, rounds, net, settings, adam, init, validation, run, stats_path, model_path, on_round
-) -> Trained:
-    result = Trained(net, init or Weights(net.initial()))
-    best, worse = math.inf, 0
-
-    def measure(kind, rows, epoch, number):
-        row = evaluation(score(rows, net, result.weights.values, settings.length)).first().asDict()
-        result.evaluations.append({"epoch": epoch, "round": number, "data": kind, **row})
+        return _Run(spark, rounds, net, settings, adam, held, run, stats_path, model_path, on_round, steps_path, journal).go(init)
+
+
+class _Run:
+    """One training: where it stands, and what it writes."""
+
+    def __init__(
+        self, spark, rounds, net, settings, adam, validation, run, stats_path, model_path, on_round, steps_path, journal
+    ):
+        self.spark, self.rounds, self.net, self.settings, self.adam = spark, rounds, net, settings, adam
+        self.validation, self.run, self.stats_path, self.model_path = validation, run, stats_path, model_path
+        self.on_round, self.steps_path, self.journal = on_round, steps_path, journal
+        self.best, self.worse = math.inf, 0
+        # the next round of the epoch that is under way
+        self.epoch, self.number = 1, 0
+        self.over = False
+
+    def go(self, init: Weights | None) -> Trained:
+        self.result = Trained(self.net, init or Weights(self.net.initial()))
+        # every, not only the first, round that begins a share of an epoch
+        self.every = max(1, math.ceil(self.rounds.count / (self.settings.evaluations_per_epoch or 1)))
+        if self.journal:
+            self.restore()
+        while not self.over and self.epoch <= self.settings.epochs:
+            while self.number < self.rounds.count:
+                self.one_round()
+            self.end_epoch()
+        self.flush()
+        return self.result
+
+    def one_round(self) -> None:
+        result, number = self.result, self.result.rounds
+        rows, cells = self.rounds.read(self.number), []
+        path = self.steps_path and f"{self.steps_path}/run={self.run}/epoch={self.epoch}/round={number}"
+        result.weights, stats = average_round(
+            rows, self.net, result.weights, self.adam, self.settings, number, steps_path=path, cells=cells)
+        fresh = [(self.run, self.epoch, number, *s) for s in stats]
+        for iteration, own in itertools.groupby(cells, key=lambda c: c[0]):
+            self.note("iteration", {"iteration": iteration, **evaluation_of_cells([c[1:] for c in own])})
+        if self.settings.evaluations_per_epoch and self.number % self.every == 0:
+            self.measure("batch", rows)
+            if self.validation is not None:
+                self.measure("validation", self.validation)
+        result.rounds, self.number = number + 1, self.number + 1
+        if self.journal:
+            self.journal.add_stats(number, fresh)
+            self.commit()
+        elif self.stats_path:
+            result.stats += fresh
+            if len(result.stats) >= STATS_BUFFER:
+                self.flush()
+        else:
+            result.stats += fresh
+        if self.on_round:
+            self.on_round(result.rounds, result.weights)
+
+    def end_epoch(self) -> None:
+        result = self.result
+        result.epochs = self.epoch
+        if self.model_path:
+            save_model(self.spark, self.model_path, self.net, result.weights, self.run, self.epoch)
+        if self.validation is not None:
+            loss = self.measure("epoch", self.validation)
+            improved = loss is not None and loss < self.best
+            self.best, self.worse = (loss, 0) if improved else (self.best, self.worse + 1)
+            self.over = bool(self.settings.patience and self.worse >= self.settings.patience)
+        self.epoch, self.number = self.epoch + 1, 0
+        if self.journal:
+            self.commit()
+
+    def measure(self, kind: str, rows: DataFrame) -> float:
+        scored = score(rows, self.net, self.result.weights.values, self.settings.length)
+        row = evaluation(scored, exact=True).first().asDict()
+        self.note(kind, row)
         return row["loss"]
 
-    every = max(1, math.ceil(rounds.count / (settings.evaluations_per_epoch or 1)))
-    for epoch in range(1, settings.epochs + 1):
-        for number in range(rounds.count):
-            rows = rounds.read(number)
-            result.weights, stats = average_round(rows, net, result.weights, adam, settings, result.rounds)
-            result.stats += [(run, epoch, result.rounds, *s) for s in stats]
-            if settings.evaluations_per_epoch and number % every == 0:
-                measure("batch", rows, epoch, result.rounds)
-                if validation is not None:
-                    measure("validation", validation, epoch, result.rounds)
-            result.rounds += 1
-            if stats_path and len(result.stats) >= STATS_BUFFER:
-                append_stats(spark, stats_path, result.stats)
-                result.stats = []
-            if on_round:
-                on_round(result.rounds, result.weights)
-        result.epochs = epoch
-        if model_path:
-            save_model(spark, model_path, net, result.weights, run, epoch)
-        if validation is not None:
-            loss = measure("epoch", validation, epoch, result.rounds)
-            best, worse = (loss, 0) if loss is not None and loss < best else (best, worse + 1)
-            if settings.patience and worse >= settings.patience:
-                break
-    if stats_path and result.stats:
-        append_stats(spark, stats_path, result.stats)
-        result.stats = []
-    return result
+    def note(self, kind: str, row: dict) -> None:
+        self.result.evaluations.append({"epoch": self.epoch, "round": self.result.rounds, "data": kind, **row})
+
+    def flush(self) -> None:
+        if self.stats_path and self.result.stats:
+            append_stats(self.spark, self.stats_path, self.result.stats)
+            self.result.stats = []
+
+    def mark(self) -> str:
+        """What a journal must agree with to be gone on with."""
+        return f"{self.net.to_json()} {self.settings} {self.adam} {self.rounds.count}"
+
+    def commit(self) -> None:
+        state = {
+            "mark": self.mark(), "epoch": self.epoch, "number": self.number, "rounds": self.result.rounds,
+            "epochs": self.result.epochs, "best": self.best, "worse": self.worse, "over": self.over,
+            "evaluations": self.result.evaluations,
+        }
+        self.journal.commit(state, self.result.weights)
+
+    def restore(self) -> None:
+        found = self.journal.last()
+        if found is None:
+            return
+        state, self.result.weights = found
+        if state["mark"] != self.mark():
+            raise ValueError("the journal is of a run with another network, other settings or other rounds")
+        self.epoch, self.number, self.over = state["epoch"], state["number"], state["over"]
+        self.best, self.worse = state["best"], state["worse"]
+        self.result.rounds, self.result.epochs = state["rounds"], state["epochs"]
+        self.result.evaluations = state["evaluations"]

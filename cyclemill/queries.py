@@ -15,16 +15,17 @@ from pyspark.sql import functions as F
 
 from cyclemill.functions import expressions as X
 from cyclemill.functions.lstm import Adam, Network, Weights
-from cyclemill.operators import columns, labels, metrics, parameters, scaling, sequences, splits
+from cyclemill.operators import balance, columns, labels, metrics, parameters, scaling, sequences, splits
 from cyclemill.operators.ordering import Extent, measure, number_rows
 from cyclemill.plans import experiment
 from cyclemill.plans.pipeline import label_censored, label_complete, prepare
 from cyclemill.plans.scoring import score
-from cyclemill.plans.training import Settings, average_round, export_rounds, train
+from cyclemill.plans.training import Settings, average_round, export_rounds, open_rounds, train
 from cyclemill.session import delete_table, kept, shared_folder
 from cyclemill.sizing import small_side
 from cyclemill.sources import logs
-from cyclemill.sources.models import read_stats
+from cyclemill.sources.journal import Journal
+from cyclemill.sources.models import read_stats, read_steps
 from cyclemill.sources.series import count_series, read_series, write_series
 
 FEATURES = ["value", "k", "cycle_norm"]
@@ -954,5 +955,163 @@ def averaged_round_linear(spark, sf):
     return spark.createDataFrame(made, "pos long, value double, n long")
 
 
+
+# ------------------------------------------------ steps, cadence, resuming, balance
+
+
+def linear_rows(spark, sf, batch_size):
+    """Batch rows whose windows a network without layers classifies by their last row, and the number of batches."""
+    log, extent = labelled_log(spark, sf)
+    log = log.withColumns({c: F.col(c) / 64 for c in FEATURES})
+    offsets = splits.sample_offsets(lengths(spark, sf), extent=extent.as_one_group)
+    rows = splits.window_batch_rows(log, offsets, FEATURES, "label1", batch_size=batch_size, entities=extent.groups)
+    rows = kept(rows, "linear")
+    return rows, (rows.agg(F.max("batch_id")).first()[0] or 0) + 1
+
+
+def number(x: float) -> str:
+    return f"CAST({float(x)!r} AS DOUBLE)"
+
+
+def linear_seen(batch_size: int) -> str:
+    """The samples as a linear network sees them: worker (one for every batch), label, and the last row's features."""
+    cells = [f"CAST(CAST(l.{c} / 64 AS FLOAT) AS DOUBLE) AS x{i}" for i, c in enumerate(("value", "k", "cycle"))]
+    return SAMPLES + f""", seen AS (
+  SELECT CAST(s.sample_idx // {batch_size} AS BIGINT) AS batch_id, s.label1 AS y, {", ".join(cells)}
+  FROM samples s JOIN labelled l ON l.id = s.id AND l.cycle = s.cycle - 1)"""
+
+
+START = [float(w) for w in LINEAR.initial()]
+CHANCE = "1 / (1 + exp(-({} * x0 + {} * x1 + {} * x2 + {})))"
+LOSS = "-ln(greatest(least(CASE WHEN y = 1 THEN p ELSE 1 - p END, CAST(1 AS DOUBLE)), CAST(1e-7 AS DOUBLE)))"
+SLOPES = "avg((p - y) * x0) AS g0, avg((p - y) * x1) AS g1, avg((p - y) * x2) AS g2, avg(p - y) AS g3, count(*) AS n"
+
+
+def clipped(g: str) -> str:
+    return f"greatest(least({g}, 0.5), -0.5)"
+
+
+def first_steps(batch_size: int) -> str:
+    """Every batch's weights after one step of its own worker."""
+    moved = [f"{number(w)} - 0.001 * {clipped(f'g{i}')} / (abs({clipped(f'g{i}')}) + 1e-8) AS w{i}" for i, w in enumerate(START)]
+    return linear_seen(batch_size) + f""", chance AS (SELECT *, {CHANCE.format(*map(number, START))} AS p FROM seen),
+slopes AS (SELECT batch_id, {SLOPES}, sum({LOSS}) AS loss FROM chance GROUP BY batch_id),
+moved AS (SELECT *, {", ".join(moved)} FROM slopes)"""
+
+
+@query(
+    first_steps(64)
+    + """ SELECT batch_id, CAST(0 AS BIGINT) AS iteration, n, round(loss, 6) AS loss,
+  round(sqrt(g0 * g0 + g1 * g1 + g2 * g2 + g3 * g3), 8) AS norm FROM moved"""
+)
+def step_statistics(spark, sf):
+    """One row per optimiser step of an averaging round, which its workers write: terms, loss and gradient norm."""
+    rows, workers = linear_rows(spark, sf, 64)
+    path = shared_folder(spark, "steps")
+    settings = Settings(epochs=1, workers=workers, averaging_frequency=1)
+    rounds = export_rounds(rows, settings)
+    try:
+        train(spark, rounds, LINEAR, settings, steps_path=path)
+    finally:
+        rounds.delete()
+    steps = read_steps(spark, path)
+    return steps.select(
+        "batch_id", "iteration", F.col("n").cast("long").alias("n"), F.round("loss", 6).alias("loss"), F.round("norm", 8).alias("norm"))
+
+
+@query(
+    first_steps(64)
+    + f""", again AS (
+  SELECT y, {CHANCE.format("w0", "w1", "w2", "w3")} AS p FROM seen JOIN moved USING (batch_id)),
+cells AS (SELECT y, CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS guess, count(*) AS n, sum({LOSS}) AS loss FROM again GROUP BY ALL)
+SELECT CAST(0 AS BIGINT) AS iteration, round(sum(loss) / sum(n), 6) AS loss,
+  round(sum(CASE WHEN y = guess THEN n ELSE 0 END) / sum(n), 6) AS accuracy, CAST(sum(n) AS BIGINT) AS n FROM cells"""
+)
+def iteration_evaluation(spark, sf):
+    """The minibatches of the workers' first iteration, evaluated within the round with the weights after it."""
+    rows, workers = linear_rows(spark, sf, 64)
+    settings = Settings(workers=workers, averaging_frequency=1, evaluate_every=10)
+    rounds, cells = export_rounds(rows, settings), []
+    try:
+        average_round(rounds.read(0), LINEAR, Weights(LINEAR.initial()), Adam(), settings, 0, cells=cells)
+    finally:
+        rounds.delete()
+    made = []
+    for iteration in sorted({c[0] for c in cells}):
+        own = [c[1:] for c in cells if c[0] == iteration]
+        row = metrics.evaluation_of_cells(own)
+        made.append((iteration, round(row["loss"], 6), round(row["accuracy"], 6), sum(c[2] for c in own)))
+    return spark.createDataFrame(made, "iteration long, loss double, accuracy double, n long")
+
+
+def average_of(names: list[str], table: str) -> str:
+    return ", ".join(f"sum(n * {name}) / sum(n) AS {name}" for name in names) + f" FROM {table}"
+
+
+def resumed_sql() -> str:
+    """Two rounds of one step each: moments and weights are averaged in between, by the samples of each worker."""
+    names = [f"{kind}{i}" for kind in "wms" for i in range(4)]
+    first = [f"0.1 * {clipped(f'g{i}')} AS m{i}, 0.001 * {clipped(f'g{i}')} * {clipped(f'g{i}')} AS s{i}" for i in range(4)]
+    later = [
+        f"0.9 * m{i} + 0.1 * {clipped(f'g{i}')} AS m{i}, 0.999 * s{i} + 0.001 * {clipped(f'g{i}')} * {clipped(f'g{i}')} AS s{i}, w{i}"
+        for i in range(4)]
+    step = [f"w{i} - 0.001 * (m{i} / 0.19) / (sqrt(s{i} / (1 - 0.999 * 0.999)) + 1e-8) AS w{i}" for i in range(4)]
+    return first_steps(64) + f""", parts AS (SELECT (max(batch_id) + 2) // 2 AS workers FROM seen),
+one AS (SELECT *, {", ".join(first)} FROM moved WHERE batch_id < (SELECT workers FROM parts)),
+mean AS (SELECT {average_of(names, "one")}),
+other AS (
+  SELECT seen.*, {CHANCE.format("w0", "w1", "w2", "w3")} AS p, mean.* FROM seen, mean WHERE batch_id >= (SELECT workers FROM parts)),
+slopes2 AS (SELECT batch_id, {SLOPES}, {", ".join(f"any_value({name}) AS {name}" for name in names)} FROM other GROUP BY batch_id),
+moments2 AS (SELECT n, {", ".join(later)} FROM slopes2),
+two AS (SELECT n, {", ".join(step)} FROM moments2),
+last AS (SELECT {average_of(["w0", "w1", "w2", "w3"], "two")})
+SELECT unnest([0, 1, 2, 3])::BIGINT AS pos, round(unnest([w0, w1, w2, w3]), 8) AS value FROM last"""
+
+
+@query(resumed_sql())
+def resumed_training(spark, sf):
+    """The weights of a training that is cut short after its first round, and gone on with from its journal."""
+    rows, batches = linear_rows(spark, sf, 64)
+    settings = Settings(epochs=1, workers=(batches + 1) // 2, averaging_frequency=1)
+    path = shared_folder(spark, "resumed")
+    journal, rounds = Journal(spark, path), export_rounds(rows, settings)
+
+    def cut_short(number, weights):
+        raise InterruptedError(number)
+
+    try:
+        try:
+            train(spark, rounds, LINEAR, settings, journal=journal, on_round=cut_short)
+        except InterruptedError:
+            pass
+        weights = train(spark, open_rounds(spark, rounds.path), LINEAR, settings, journal=journal).weights
+    finally:
+        rounds.delete()
+        delete_table(spark, path)
+    made = [(i, round(float(v), 8)) for i, v in enumerate(weights.values)]
+    return spark.createDataFrame(made, "pos long, value double")
+
+
+@query(
+    LOG
+    + """, sizes AS (SELECT id, count(*) AS steps FROM log GROUP BY id),
+ranked AS (SELECT *, row_number() OVER (ORDER BY steps * steps % 97, id) - 1 AS i FROM sizes),
+costs AS (SELECT CAST(i // 3 AS BIGINT) AS batch_id, CAST(sum(steps * steps) AS BIGINT) AS cost FROM ranked GROUP BY ALL),
+placed AS (SELECT *, row_number() OVER (ORDER BY cost DESC, batch_id) - 1 AS place FROM costs),
+dealt AS (
+  SELECT *, place // 8 AS sorted_round, CASE WHEN place // 4 % 2 = 0 THEN place % 4 ELSE 3 - place % 4 END AS worker FROM placed),
+rounds AS (
+  SELECT sorted_round, row_number() OVER (ORDER BY (sorted_round + 1) * 2654435761 % 4294967291, sorted_round) - 1 AS round
+  FROM (SELECT DISTINCT sorted_round FROM dealt))
+SELECT batch_id, cost, round, CAST(worker AS INT) AS worker FROM dealt JOIN rounds USING (sorted_round)"""
+)
+def balanced_deal(spark, sf):
+    """Minibatches of three lives dealt to four workers, two each in a round, by a cost that grows with the square of a life."""
+    known = lengths(spark, sf).withColumn("cost", F.col("n_cycles") * F.col("n_cycles"))
+    ranked = number_rows(known.withColumn("_mixed", F.col("cost") % 97), [], ["_mixed", "id"], "_i")
+    costs = ranked.groupBy(F.expr("(_i - 1) div 3").alias("batch_id")).agg(F.sum("cost").alias("cost"))
+    return balance.balanced_workers(costs, 4, 2)
+
+
 for registry in (QUERIES, ORACLES):
     registry["sequences"] = registry.pop("sequences_")

@@ -89,3 +89,14 @@ def append_stats(spark: SparkSession, path: str, rows: Iterable[tuple]) -> None:
 
 def read_stats(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STATS_SCHEMA).parquet(path)
+
+
+STEPS_SCHEMA = (
+    "worker int, n double, loss double, batch_id long, iteration long, step int, norm double, "
+    "run string, epoch long, round long, kind string"
+)
+
+
+def read_steps(spark: SparkSession, path: str) -> DataFrame:
+    """One row per optimiser step of the trainings that were given ``path`` as ``steps_path``."""
+    return spark.read.schema(STEPS_SCHEMA).parquet(path).where("kind = 'step'").drop("kind")

@@ -27,7 +27,7 @@ SKEW_SENSITIVE = [
     "entity_split", "tail_split", "minibatches", "sequences", "sequence_labels", "pad_align_end",
     "window_batch_rows", "life_batch_rows", "sequence_layout", "batch_scoring_linear",
     "roc_points", "roc_auc", "head_of_entity", "masked_timestep_eval", "windows_of_odd_cycles", "stored_minibatches",
-    "averaged_round_linear", "text_log_round_trip",
+    "averaged_round_linear", "text_log_round_trip", "resumed_training", "step_statistics", "balanced_deal",
 ]
 
 
