@@ -1,18 +1,20 @@
 """Collocations by relational mining of phrases, one length after the other.
 
-The occurrences of all phrases of one length are a relation, sorted by piece and position
+The occurrences of all frequent phrases of one length are a relation, sorted by piece and position
 and written down. A phrase grows by a merge join of its relation with itself: two occurrences that
 stand in one piece at adjacent positions make one of the next length. Groups are counted over the
-whole table; before the next join, a semi-join leaves only occurrences of frequent groups.
+whole table; a semi-join leaves only occurrences of frequent groups, which are written and joined again.
 
-The relation is kept in blocks of about ``BLOCK_WORDS`` occurrences, one row each, so that a join is a
+The relation is kept in blocks of up to ``BLOCK_WORDS`` occurrences, one row each, so that a join is a
 comparison of neighbours within a block. Positions count on through a block and leave out one number
 between pieces: adjacent positions are always of one piece. A piece may run over several blocks; each
 begins with the words that the phrases reaching over the cut need, which are joined but not counted
-again. What meets in Spark's joins and counts are the distinct phrases of a block, not occurrences.
+again. What is shuffled are the distinct phrases of a block, with their counts and their places, once
+for each length: sums over a phrase's rows count the group, and the rows of those that are frequent go back to their blocks.
+A phrase has as many rows as there are blocks that hold it, so that is the most one group can have.
 
-A word is a string, and every longer phrase the pair of ids of its first and last words but one. Ids are
-given to frequent phrases when these are written.
+A word is a string, every longer phrase the pair of ids of the phrases it begins and ends with; the id of a phrase is the
+least of its places.
 
 Null and empty texts have no pieces. A null language is ``und``. Repeated rows count as often as they occur.
 """
@@ -26,10 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cyclemill.llm.common import written
+from cyclemill.llm.common import removed, written_tidily
 from cyclemill.sizing import small_side
 
-BLOCK_WORDS = 1 << 18
+BLOCK_WORDS = 1 << 19
+PLACE_BITS = 20  # of the items of a block
+BLOCK_BITS = 22  # of the blocks of a task
 LONGEST = 3
 LEAST = 10
 TOP = 2000
@@ -42,9 +46,8 @@ TABLE = bytes(0x0A if b in ENDS else b + 32 if 0x41 <= b <= 0x5A else b for b in
 OUTSIDE = np.zeros(256, dtype=bool)
 OUTSIDE[[0x0A, 0x20, 0x09]] = True
 
-RELATION = "lang string, lead int, n array<int>, item array<int>, step array<int>"
-WORDS = f"items array<string>, {RELATION}"
-PHRASES = f"block long, lefts array<long>, rights array<long>, {RELATION}"
+WORDS = "items array<string>, n array<int>, lang string, lead int, item array<int>, step array<int>"
+RELATION = "block long, lang string, lead int, ids array<long>, item array<int>, step array<int>"
 
 
 def words_and_steps(raw: bytes) -> tuple[list[bytes], np.ndarray]:
@@ -58,10 +61,9 @@ def words_and_steps(raw: bytes) -> tuple[list[bytes], np.ndarray]:
     return raw.split(), 1 + (np.diff(piece, prepend=-1) > 0)
 
 
-def relation(items: Sequence, numbers: np.ndarray, steps: np.ndarray, lead: int) -> tuple:
-    """(lead, count of every item, item of every occurrence, step of every occurrence); the first ``lead`` positions do not count."""
-    counted = numbers[np.cumsum(steps) > lead]
-    return lead, np.bincount(counted, minlength=len(items)).tolist(), numbers.astype(np.int32), steps.astype(np.int32)
+def counts(items: int, item: np.ndarray, position: np.ndarray, lead: int) -> np.ndarray:
+    """How often every item occurs; the first ``lead`` positions are those of the block before."""
+    return np.bincount(item[position > lead], minlength=items)
 
 
 class Block:
@@ -103,16 +105,17 @@ class Block:
         # the first position is 1 whatever came before
         steps = np.concatenate(self.steps)
         steps[0] = 1
-        items = [w.decode() for w in ids]
-        return items, self.lang, *relation(items, numbers, steps, self.lead)
+        n = counts(len(ids), numbers, np.cumsum(steps), self.lead)
+        return [w.decode() for w in ids], n, self.lang, self.lead, numbers.astype(np.int32), steps.astype(np.int32)
 
 
 def blocks(docs: DataFrame, longest: int = LONGEST, size: int = BLOCK_WORDS) -> DataFrame:
-    """The relation of single words (block, items, and ``RELATION``), written down."""
+    """The relation of all words: block, and ``WORDS``."""
+    if size > 1 << PLACE_BITS - 1:
+        raise ValueError(f"a block has at most {1 << PLACE_BITS - 1} words")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_: dict[str, Block] = {}
-        rows: list[tuple] = []
 
         def held() -> int:
             return sum(b.n for b in open_.values())
@@ -134,88 +137,134 @@ def blocks(docs: DataFrame, longest: int = LONGEST, size: int = BLOCK_WORDS) ->
                     open_ = {}
         for b in open_.values():
             if b.n > b.lead:
-                rows.append(b.row())
-        for row in rows:
-            yield as_batch([row], WORDS_SCHEMA)
+                yield as_batch([b.row()], WORDS_SCHEMA)
 
     lang = F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN))
     made = docs.select(lang.alias("lang"), F.col("text").cast("string").alias("text")).mapInArrow(run, WORDS)
-    return written(made.withColumn("block", F.monotonically_increasing_id()), "words")
+    # task and row, in fewer bits than the function leaves them
+    task, row = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << BLOCK_BITS) - 1))
+    numbered = made.withColumn("_id", F.monotonically_increasing_id())
+    return written_tidily(numbered.withColumn("block", F.shiftleft(task, BLOCK_BITS) + row).drop("_id"), "words")
 
 
-SHARED = [("lang", pa.string()), ("lead", pa.int32()), ("n", pa.list_(pa.int32())), ("item", pa.list_(pa.int32())),
-          ("step", pa.list_(pa.int32()))]
-WORDS_SCHEMA = pa.schema([("items", pa.list_(pa.string())), *SHARED])
-PHRASES_SCHEMA = pa.schema([("block", pa.int64()), ("lefts", pa.list_(pa.int64())), ("rights", pa.list_(pa.int64())), *SHARED])
+WORDS_SCHEMA = pa.schema([("items", pa.list_(pa.string())), ("n", pa.list_(pa.int32())), ("lang", pa.string()), ("lead", pa.int32()),
+                          ("item", pa.list_(pa.int32())), ("step", pa.list_(pa.int32()))])
+RELATION_SCHEMA = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("lead", pa.int32()), ("ids", pa.list_(pa.int64())),
+                             ("item", pa.list_(pa.int32())), ("step", pa.list_(pa.int32()))])
 
 
 def as_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
-def extended(n: int, item: np.ndarray, step: np.ndarray, lead: int, kept: np.ndarray, ids: np.ndarray) -> tuple:
-    """Merge join of a block's occurrences with themselves at the next position, among the frequent items ``kept``.
+def joined(item: np.ndarray, step: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Merge join of a block's occurrences with themselves at the next position.
 
-    Returns the ids of the first and of the second part of every phrase, and its relation.
+    Returns the two parts of every distinct phrase, and the phrase and position of every occurrence.
     """
-    known = np.full(n, -1, dtype=np.int64)
-    known[kept] = ids
-    rank = np.searchsorted(np.sort(ids), known)  # dense numbers of frequent items
     position = np.cumsum(step.astype(np.int64))
-    held = known[item] >= 0
-    position, item = position[held], item[held]
     met = np.flatnonzero(position[1:] == position[:-1] + 1)
-    left, right = item[met], item[met + 1]
-    code = rank[left] * (len(ids) + 1) + rank[right]
-    _, at, number = np.unique(code, return_index=True, return_inverse=True)
-    # a phrase counts where its last word does; a phrase one longer begins at the same place
-    position = position[met]
-    steps = np.diff(position, prepend=0)
-    return known[left[at]], known[right[at]], *relation(at, number, steps, max(lead - 1, 0))
-
-
-def grow(source: DataFrame, frequent: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The relation of phrases one longer, of the occurrences in ``source`` whose phrase is in ``frequent`` (keys, id)."""
-    zipped = F.arrays_zip(*[F.col(k) for k in keys])
-    listed = source.select("block", *(["lang"] if keys == ("items",) else []), F.posexplode(zipped).alias("at", "key"))
-    on = [*(["lang"] if keys == ("items",) else []), *keys]
-    listed = listed.select("block", "at", *on[:len(on) - len(keys)], *[F.col("key")[k].alias(k) for k in keys])
-    met = listed.join(small_side(frequent.select(*on, "id")), on)
-    own = met.groupBy("block").agg(F.collect_list(F.struct("at", "id")).alias("met"))
-    both = source.select("block", "lang", "lead", F.size("n").alias("size"), "item", "step").join(own, "block").select(
-        "block", "lang", "lead", "size", "item", "step", F.col("met.at").alias("kept"), F.col("met.id").alias("ids"))
+    code, number = np.unique(item[met].astype(np.int64) * n + item[met + 1], return_inverse=True)
+    return code // max(n, 1), code % max(n, 1), number, position[met]
+
+
+def kept(n: int, item: np.ndarray, position: np.ndarray, frequent: np.ndarray, ids: np.ndarray) -> tuple:
+    """Semi-join of a block's occurrences of n items with the ``frequent`` of these: their ids, item, step."""
+    number = np.full(n, -1)
+    number[frequent] = np.arange(len(frequent))
+    own = number[item]
+    held = own >= 0
+    return ids, own[held].astype(np.int32), np.diff(position[held], prepend=0).astype(np.int32)
+
+
+def each_block(rows: DataFrame, kind: str, schema: pa.Schema, work) -> DataFrame:
+    """``work`` on one block after the other: the columns as Python values, arrays as NumPy."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                block, lang, lead, size = (batch.column(k)[i].as_py() for k in range(4))
-                item, step, kept, ids = (batch.column(k)[i].values.to_numpy() for k in range(4, 8))
-                made = extended(size, item, step, lead, kept, ids)
-                if len(made[0]):
-                    yield as_batch([(block, *made[:2], lang, *made[2:])], PHRASES_SCHEMA)
+                cells = [column[i] for column in batch.columns]
+                made = work(*[c.values.to_numpy() if isinstance(c, pa.ListScalar) else c.as_py() for c in cells])
+                if made is not None:
+                    yield pa.RecordBatch.from_arrays(made, schema=schema)
+
+    return rows.mapInArrow(run, kind)
+
+
+def word_places(words: DataFrame) -> DataFrame:
+    """(lang, items, place, n): the distinct words of every block."""
+    listed = words.select("lang", "block", F.posexplode(F.arrays_zip("items", "n")).alias("at", "key"))
+    return listed.select("lang", F.col("key.items").alias("items"), (F.shiftleft("block", PLACE_BITS) + F.col("at")).alias("place"),
+                         F.col("key.n").cast("long").alias("n"))
+
+
+def phrase_places(relation: DataFrame) -> DataFrame:
+    """(lefts, rights, place, n): the distinct phrases, longer by one word, of every block."""
+    schema = pa.schema([(c, pa.int64()) for c in ("lefts", "rights", "place", "n")])
+
+    def work(block, lead, ids, item, step):
+        left, right, number, position = joined(item, step, len(ids))
+        # a phrase counts where its last word does: one position more than where it begins
+        n = counts(len(left), number, position, max(lead - 1, 0))
+        place = (block << PLACE_BITS) + np.arange(len(left))
+        return [pa.array(c.astype(np.int64)) for c in (ids[left], ids[right], place, n)] if len(left) else None
+
+    return each_block(relation.select("block", "lead", "ids", "item", "step"), "lefts long, rights long, place long, n long", schema, work)
+
+
+def frequent_places(places: DataFrame, keys: Sequence[str], least: int) -> DataFrame:
+    """The rows of ``places`` whose phrase occurs ``least`` times or more: (keys, place, id, n of the whole table)."""
+    of_phrase = Window.partitionBy(*keys)
+    summed = places.withColumns({"n": F.sum("n").over(of_phrase), "id": F.min("place").over(of_phrase)})
+    return written_tidily(summed.filter(F.col("n") >= least), "frequent")
+
 
-    return written(both.mapInArrow(run, PHRASES), "phrases")
+def grown(source: DataFrame, found: DataFrame, first: bool) -> DataFrame:
+    """The relation of the frequent phrases ``found``: of the words ``source``, or one word longer than those of ``source``."""
+    at = F.col("place").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int")
+    own = found.select(F.shiftright("place", PLACE_BITS).alias("block"), F.struct(at.alias("at"), "id").alias("pair")).groupBy("block").agg(
+        F.collect_list("pair").alias("met"))
+    size = F.size("n") if first else F.size("ids")
+    both = source.select("block", "lang", "lead", size.alias("size"), "item", "step").join(own, "block").select(
+        "block", "lang", "lead", "size", "item", "step", "met.at", "met.id")
 
+    def work(block, lang, lead, n, item, step, at, ids):
+        if first:
+            position = np.cumsum(step.astype(np.int64))
+        else:
+            left, _, item, position = joined(item, step, n)
+            n, lead = len(left), max(lead - 1, 0)
+        row = (block, lang, lead, *kept(n, item, position, at, ids))
+        return [pa.array([c], f.type) for c, f in zip(row, RELATION_SCHEMA)]
 
-def counted(source: DataFrame, keys: Sequence[str], least: int) -> DataFrame:
-    """(lang, keys, n, id) of the phrases that occur ``least`` times or more, written down."""
-    rows = source.select("lang", F.inline(F.arrays_zip(*[F.col(k) for k in keys], F.col("n"))))
-    sums = rows.groupBy("lang", *keys).agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    return written(sums.withColumn("id", F.monotonically_increasing_id()), "frequent")
+    return written_tidily(each_block(both, RELATION, RELATION_SCHEMA, work), "relation")
 
 
-def frequent_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, size: int = BLOCK_WORDS) -> tuple[DataFrame, list[DataFrame]]:
+def frequent_phrases(
+    docs: DataFrame, longest: int = LONGEST, least: int = LEAST, size: int = BLOCK_WORDS
+) -> tuple[DataFrame, list[DataFrame]]:
     """All words of every language (lang, n), and per length the frequent phrases.
 
     The first of these are words (lang, items, n, id), all others pairs of phrases of the length before
-    (lang, lefts, rights, n, id).
+    (lefts, rights, n, id). Relations are deleted once the next is written.
     """
-    source, keys = blocks(docs, longest, size), ("items",)
-    whole = written(source.groupBy("lang").agg(F.sum(F.aggregate("n", F.lit(0).cast("long"), lambda s, x: s + x)).alias("n")), "totals")
-    found = [counted(source, keys, least)]
-    for _ in range(longest - 1):
-        source, keys = grow(source, found[-1], keys), ("lefts", "rights")
-        found.append(counted(source, keys, least))
+    source = blocks(docs, longest, size)
+    whole = written_tidily(source.groupBy("lang").agg(
+        F.sum(F.aggregate("n", F.lit(0).cast("long"), lambda s, x: s + x)).alias("n")), "totals")
+    found, places, keys = [], word_places(source), ("lang", "items")
+    for length in range(1, longest + 1):
+        if length == longest and length > 1:  # nothing goes back to the blocks
+            sums = places.groupBy(*keys).agg(F.sum("n").alias("n"), F.min("place").alias("id")).filter(F.col("n") >= least)
+            found.append(written_tidily(sums, "phrases"))
+            break
+        some = frequent_places(places, keys, least)
+        found.append(written_tidily(some.filter("place = id").select(*keys, "n", "id"), "phrases"))
+        if length < longest:
+            longer = grown(source, some, length == 1)
+            removed(source)
+            source, places, keys = longer, phrase_places(longer), ("lefts", "rights")
+        removed(some)
+    removed(source)
     return whole, found
 
 
@@ -232,15 +281,15 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, size: int
     """
     whole, (words, pairs, triples) = frequent_phrases(docs, 3, least, size)
     word = lambda at: small_side(words.select(
-        F.col("id").alias(at), F.col("items").alias(f"{at}_text"), F.col("n").alias(f"{at}_n")))
-    two = pairs.select("lang", "id", "n", F.col("lefts").alias("w1"), F.col("rights").alias("w2")).join(word("w1"), "w1").join(word("w2"), "w2")
-    two = written(two.select(
-        "lang", "id", F.concat_ws(" ", "w1_text", "w2_text").alias("phrase"), F.col("n").alias("a"), F.col("w1_n").alias("l"),
+        F.col("id").alias(at), F.col("items").alias(f"{at}_text"), F.col("n").alias(f"{at}_n"), F.col("lang").alias(f"{at}_lang")))
+    two = pairs.select("id", "n", F.col("lefts").alias("w1"), F.col("rights").alias("w2")).join(word("w1"), "w1").join(word("w2"), "w2")
+    two = written_tidily(two.select(
+        F.col("w1_lang").alias("lang"), "id", F.concat_ws(" ", "w1_text", "w2_text").alias("phrase"), F.col("n").alias("a"), F.col("w1_n").alias("l"),
         F.col("w2_n").alias("r"), "w2_text"), "pairs")
     part = lambda at: small_side(two.select(
         F.col("id").alias(at), F.col("phrase").alias(f"{at}_text"), F.col("a").alias(f"{at}_n"), F.col("l").alias(f"{at}_first"),
-        F.col("r").alias(f"{at}_last"), F.col("w2_text").alias(f"{at}_end")))
-    three = written(triples.withColumnRenamed("n", "a").join(part("lefts"), "lefts").join(part("rights"), "rights"), "triples")
+        F.col("r").alias(f"{at}_last"), F.col("w2_text").alias(f"{at}_end"), F.col("lang").alias(f"{at}_lang")))
+    three = written_tidily(triples.withColumnRenamed("n", "a").join(part("lefts"), "lefts").join(part("rights"), "rights"), "triples")
     inside = three.select("a", F.explode(F.array("lefts", "rights")).alias("id")).groupBy("id").agg(F.max("a").alias("most"))
     # 100 * most >= 50 * a
     alone = two.join(inside, "id", "left").filter(F.coalesce(2 * F.col("most") < F.col("a"), F.lit(True)))
@@ -250,9 +299,9 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, size: int
     ])
     least_cut = F.array_min(cuts)
     phrases = alone.select("lang", "phrase", "a", "l", "r", share("a", "l", "r").alias("score")).unionByName(
-        three.select("lang", F.concat_ws(" ", "lefts_text", "rights_end").alias("phrase"), "a", least_cut.alias("c")).select(
+        three.select(F.col("lefts_lang").alias("lang"), F.concat_ws(" ", "lefts_text", "rights_end").alias("phrase"), "a", least_cut.alias("c")).select(
             "lang", "phrase", "a", "c.l", "c.r", "c.score"))
-    phrases = written(phrases, "candidates")
+    phrases = written_tidily(phrases, "candidates")
     # the best of every share of a language's phrases first, then of these
     parts = -(-phrases.count() // CANDIDATES_PER_TASK) or 1
     order = (F.desc("score"), F.desc("a"), F.asc("phrase"))

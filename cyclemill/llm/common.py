@@ -91,6 +91,28 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written_tidily(df: DataFrame, purpose: str) -> DataFrame:
+    """As ``written``; the shuffle files of the write are removed at its end, which no later plan reads."""
+    conf = df.sparkSession.conf
+    before = conf.get(TIDY, None)
+    conf.set(TIDY, "true")
+    try:
+        return written(df, purpose)
+    finally:
+        conf.unset(TIDY) if before is None else conf.set(TIDY, before)
+
+
+def removed(df: DataFrame) -> None:
+    """Delete a written table that nothing reads any more."""
+    spark = df.sparkSession
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def segments(counts: np.ndarray) -> np.ndarray:
     """Where each of the runs of so many items starts, with the end of the last."""
     return np.concatenate(([0], np.cumsum(counts))).astype(np.int64)
