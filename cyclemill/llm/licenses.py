@@ -2,14 +2,16 @@
 
 A notice that may have k errors is cut into k + 1 pieces; by the pigeonhole
 principle at least one piece of any match is free of errors. The pieces are looked
-for exactly; where one stands, the regex library matches the whole notice with at
-most k edits around that place and reports its span.
+for exactly. Where one stands, the match can begin and end only a few letters from where the
+whole notice would: the regex library matches every run of whole words
+between such places with at most k edits and counts them. Of matches of one notice that
+overlap, the one with the fewest edits stays, then the first, then the shorter one.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 
-import numpy as np
 import regex
 from pyspark.sql import Column
 
@@ -71,23 +73,30 @@ class Notice:
         self.errors = len(text) // error_share
         parts = self.errors + 1
         cuts = [round(i * len(text) / parts) for i in range(parts + 1)]
-        self.pieces = [(text[a:b].encode(), a) for a, b in zip(cuts, cuts[1:])]
-        self.pattern = regex.compile(rf"(?b)(?<=\x20)(?:{regex.escape(text, special_only=True)}){{e<={self.errors}}}(?=\x20)")
+        self.pieces = [(text[a:b], a) for a, b in zip(cuts, cuts[1:])]
+        self.pattern = regex.compile(rf"(?b)(?:{regex.escape(text, special_only=True)}){{e<={self.errors}}}")
+
+    def edits(self, part: str) -> int | None:
+        """Letters changed, missing or added in ``part``; none if they are too many."""
+        if part == self.text:
+            return 0
+        found = self.pattern.fullmatch(part) if self.errors else None
+        return found and sum(found.fuzzy_counts)
 
 
 class Finder:
     def __init__(self, base=BASE, notices=NOTICES, error_share: int = ERROR_SHARE):
-        self.base = [(b" " + phrase.encode() + b" ", label) for phrase, label in base]
+        self.base = [(f" {phrase} ", label) for phrase, label in base]
         self.notices = [Notice(text, label, error_share) for text, label in notices]
-        pieces: dict[bytes, list[tuple[Notice, int]]] = {}
+        pieces: dict[str, list[tuple[Notice, int]]] = {}
         for notice in self.notices:
             for piece, at in notice.pieces:
                 pieces.setdefault(piece, []).append((notice, at))
         self.pieces = pieces
         self.shortest = {n.label: min(len(m.text) for m in self.notices if m.label == n.label) for n in self.notices}
 
-    def base_places(self, joined: bytes) -> list[tuple[int, str]]:
-        """First byte and label of every place of an exact phrase, overlapping ones too."""
+    def base_places(self, joined: str) -> list[tuple[int, str]]:
+        """First letter and label of every place of an exact phrase, overlapping ones too."""
         places = []
         for phrase, label in self.base:
             at = joined.find(phrase)
@@ -96,56 +105,57 @@ class Finder:
                 at = joined.find(phrase, at + 1)
         return places
 
-    def notice_spans(self, joined: bytes) -> list[tuple[str, int, int, int]]:
-        """Label, first and last byte, and edits of every notice with few errors."""
-        windows: dict[Notice, list[list[int]]] = {}
+    def seeds(self, joined: str) -> dict[Notice, set[int]]:
+        """Where every notice would begin whose pieces stand in the text."""
+        found: dict[Notice, set[int]] = {}
         for piece, owners in self.pieces.items():
             at = joined.find(piece)
             while at >= 0:
                 for notice, offset in owners:
-                    a = max(0, at - offset - notice.errors - 1)
-                    b = min(len(joined), at - offset + len(notice.text) + notice.errors + 1)
-                    windows.setdefault(notice, []).append([a, b])
+                    found.setdefault(notice, set()).add(at - offset)
                 at = joined.find(piece, at + 1)
-        spans = []
-        for notice, own in windows.items():
-            own.sort()
-            merged = [own[0]]
-            for a, b in own[1:]:
-                if a <= merged[-1][1]:
-                    merged[-1][1] = max(b, merged[-1][1])
-                else:
-                    merged.append([a, b])
-            for a, b in merged:
-                # cut characters at the borders of a window count as one byte each
-                part = joined[a:b].decode("latin-1")
-                for m in notice.pattern.finditer(part):
-                    if m.end() > m.start():
-                        spans.append((notice.label, a + m.start(), a + m.end(), sum(m.fuzzy_counts)))
-        return sorted(set(spans), key=lambda s: (s[1], s[2], s[0]))
+        return found
+
+    def notice_spans(self, joined: str, first: list[int], last: list[int]) -> list[tuple[str, int, int, int]]:
+        """Label, first word, end word and edits of every notice with few errors; ``first`` and ``last`` bound the words."""
+        spans = set()
+        for notice, places in self.seeds(joined).items():
+            k, n, tried, found = notice.errors, len(notice.text), set(), []
+            for place in places:
+                for i in range(bisect_left(first, place - k), bisect_right(first, place + k)):
+                    a = first[i]
+                    for j in range(max(i, bisect_left(last, a + n - k)), bisect_right(last, a + n + k)):
+                        if (i, j) not in tried:
+                            tried.add((i, j))
+                            edits = notice.edits(joined[a:last[j]])
+                            if edits is not None:
+                                found.append((edits, i, j + 1))
+            taken: list[tuple[int, int]] = []
+            for edits, i, j in sorted(found):
+                at = bisect_left(taken, (i, j))
+                if (at == 0 or taken[at - 1][1] <= i) and (at == len(taken) or taken[at][0] >= j):
+                    taken.insert(at, (i, j))
+                    spans.add((notice.label, i, j, edits))
+        return sorted(spans, key=lambda s: (s[1], s[2], s[0], s[3]))
 
     def __call__(self, raw: bytes):
         words = raw.translate(TABLE).split()
         if not words:
             return (0, 0, None, None, [], [], 0.0, [])
-        joined = b" " + b" ".join(words) + b" "
+        joined = (b" " + b" ".join(words) + b" ").decode()
         places = self.base_places(joined)
-        spans = self.notice_spans(joined)
-        if not places and not spans:
+        if not places and not any(piece in joined for piece in self.pieces):
             return (len(words), 0, None, None, [], [], 0.0, [])
-        # word numbers: spaces before a byte, the leading one aside
-        blank = np.frombuffer(joined, dtype=np.uint8) == 0x20
-        before = np.cumsum(blank) - 1
-        at = [int(before[p]) for p, _ in places]
+        first, last, at = [], [], 1
+        for word in words:
+            first.append(at)
+            at += len(word.decode())
+            last.append(at)
+            at += 1
+        spans = self.notice_spans(joined, first, last)
+        at = [bisect_left(first, p + 1) for p, _ in places]
         base = sorted({label for _, label in places})
-        found = []
-        for label, a, b, edits in spans:
-            while a < b and joined[a] == 0x20:
-                a += 1
-            while b > a and joined[b - 1] == 0x20:
-                b -= 1
-            if b > a:
-                found.append({"label": label, "start": int(before[a]), "end": int(before[b - 1]) + 1, "edits": edits})
+        found = [dict(zip(("label", "start", "end", "edits"), span)) for span in spans]
         labels = sorted({*base, *(s["label"] for s in found)})
         score = 1.0 if places else max((1 - s["edits"] / self.shortest[s["label"]] for s in found), default=0.0)
         return (
@@ -156,8 +166,8 @@ class Finder:
 def licenses(text: str = "text", base=BASE, notices=NOTICES, error_share: int = ERROR_SHARE) -> Column:
     """Struct of exact places, labels, a score and the notices found in a whole text.
 
-    Spans count words from 0, end exclusive; ``edits`` is the number of changed,
-    missing and added letters. A null text is empty; one without words has no label
+    Spans are whole words, counted from 0, end exclusive; ``edits`` is the number of changed,
+    missing and added letters, whatever their number of bytes. A null text is empty; one without words has no label
     and score 0. Places may overlap and all count.
     """
 

@@ -18,12 +18,11 @@ linked to the least member of the value. That is exact, and linear in the list.
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cyclemill.llm.common import column, fresh, written
+from cyclemill.llm.common import column, fresh, written, written_tidily
 from cyclemill.llm.graph import components
 
 SHINGLE = 3
@@ -142,207 +141,17 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, list_size: int = LI
     return signed.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-# ------------------------------------------------ similarity of shingle sets, by wide fingerprints
+def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, list_size: int = LIST) -> DataFrame:
+    """The rows of ``docs`` with one row of each group of ``near_duplicates``: that of the smallest doc_id.
 
-
-STAGE_SHINGLE = 5
-SIMILARITY = 0.8
-WIDTH = 24  # 64-bit words of a wide fingerprint
-KEY_BYTES = 3
-LEAST_SHARED = 24
-WIDE_LIST = 8
-WIDE_BLOCK = 2048  # fingerprints of a longer list that are compared with as many others at once
-SUM = 255
-
-
-def shingle_hashes(raw: bytes, size: int) -> np.ndarray:
-    """Hash of every shingle, repeats included; none without words."""
-    words = raw.lower().split()
-    if not words:
-        return np.zeros(0, dtype=np.uint64)
-    joined = b" ".join(words)
-    lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1
-    ends = np.cumsum(lengths) - 1
-    starts = ends - lengths + 1
-    size = min(size, len(words))
-    digest = xxhash.xxh64_intdigest
-    spans = zip(starts[:len(words) - size + 1].tolist(), ends[size - 1:].tolist())
-    return np.fromiter((digest(joined[a:b], 42) for a, b in spans), dtype=np.uint64, count=len(words) - size + 1)
-
-
-def wide_signature(raw: bytes, size: int, width: int = WIDTH) -> list[int]:
-    """``width`` words of majority bits over the distinct shingles: each word mixes their hashes in another way."""
-    return majority_bits(np.unique(shingle_hashes(raw, size)), width)
-
-
-def majority_bits(hashes: np.ndarray, width: int) -> list[int]:
-    made = []
-    for k in range(width):
-        total = np.zeros(64, dtype=np.int64)
-        for at in range(0, len(hashes), SUM * 64):
-            h = hashes[at:at + SUM * 64] * np.uint64((0x9E3779B97F4A7C15 * (2 * k + 1)) % 2**64)
-            h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
-            h = (h ^ (h >> np.uint64(32))).astype("<u8")
-            bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            whole = len(bits) // SUM * SUM
-            # sums of 255 rows fit a byte
-            total += bits[:whole].reshape(-1, SUM, 64).sum(axis=1, dtype=np.uint8).sum(axis=0, dtype=np.int64)
-            total += bits[whole:].sum(axis=0, dtype=np.uint8)
-        made.append(int.from_bytes(np.packbits(2 * total > len(hashes), bitorder="little").tobytes(), "little", signed=True))
-    return made
-
-
-def wide_fingerprint(text: str = "text", shingle: int = STAGE_SHINGLE) -> Column:
-    """Struct of the wide fingerprint of a whole text and a hash of its shingle set; null and empty texts give zeros."""
-
-    def one(raw: bytes):
-        hashes = np.unique(shingle_hashes(raw, shingle))
-        return majority_bits(hashes, WIDTH), xxhash.xxh128_hexdigest(hashes.astype("<u8").tobytes())
-
-    def kernel():
-        return lambda texts: [one(raw) for raw in texts]
-
-    return column(kernel, "fp array<bigint>, content string", text)
-
-
-def list_keys(fp: Column, width: int = WIDTH) -> Column:
-    """A key for every ``KEY_BYTES`` positions of the fingerprint: their place and their bytes."""
-    keys = []
-    for place in range(width * 8 // KEY_BYTES):
-        value = F.lit(place).cast("long")
-        for position in range(KEY_BYTES * place, KEY_BYTES * (place + 1)):
-            byte = F.shiftrightunsigned(F.get(fp, F.lit(position // 8)), 8 * (position % 8)).bitwiseAND(F.lit(0xFF))
-            value = F.shiftleft(value, 8).bitwiseOR(byte)
-        keys.append(value)
-    return F.array(*keys)
-
-
-def tally(a: Column, b: Column) -> Column:
-    """How many positional bytes two wide fingerprints share."""
-
-    def equal(x, y):
-        return sum(((F.shiftrightunsigned(x.bitwiseXOR(y), 8 * k).bitwiseAND(F.lit(0xFF))) == 0).cast("int") for k in range(8))
-
-    return F.aggregate(F.zip_with(a, b, equal), F.lit(0), lambda s, x: s + x)
-
-
-def similarity(shingle: int):
-    """Share of the distinct shingles of two texts that they have in common."""
-
-    def run(left: pa.Array, right: pa.Array) -> pa.Array:
-        made = []
-        for a, b in zip(left.to_pylist(), right.to_pylist()):
-            x, y = (set(shingle_hashes((t or "").encode(), shingle).tolist()) for t in (a, b))
-            made.append(len(x & y) / len(x | y) if x or y else 1.0)
-        return pa.array(made, pa.float64())
-
-    return F.arrow_udf(run, "double")
-
-
-def listed_nodes(own: DataFrame) -> DataFrame:
-    """(key, node, n, least) for the rows (node, fp) of ``own`` that meet another one in a list of n."""
-    listed = own.select("node", F.explode(list_keys(F.col("fp"))).alias("key"))
-    sizes = listed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("least")).filter("n > 1")
-    return written(listed.join(sizes, "key"), "lists")
-
-
-def near_pairs(own: DataFrame, met: DataFrame, list_size: int = WIDE_LIST) -> DataFrame:
-    """Pairs (a, b) of nodes whose wide fingerprints meet in a list and share enough bytes.
-
-    All pairs of the lists of up to ``list_size``; of a longer one those with its least
-    member, which ``other_pairs`` completes once it is known what these connect.
-    """
-    short = met.filter(F.col("n") <= list_size)
-    paired = short.select("key", F.col("node").alias("a")).join(short.select("key", F.col("node").alias("b")), "key").filter("a > b")
-    starred = met.filter((F.col("n") > list_size) & (F.col("node") != F.col("least")))
-    pairs = paired.select("a", "b").unionByName(starred.select(F.col("node").alias("a"), F.col("least").alias("b"))).distinct()
-    left = own.select(F.col("node").alias("a"), F.col("fp").alias("fp_a"))
-    right = own.select(F.col("node").alias("b"), F.col("fp").alias("fp_b"))
-    both = pairs.join(left, "a").join(right, "b")
-    return both.filter(tally(F.col("fp_a"), F.col("fp_b")) >= LEAST_SHARED).select("a", "b")
-
-
-def compared(blocks: pa.Table) -> pa.Table:
-    """The pairs of two blocks of a list that have different roots, share enough bytes, and meet in no list of a lower place."""
-    node, root, block = (blocks[name].to_numpy() for name in ("node", "root", "block"))
-    key, low, high = (blocks[name][0].as_py() for name in ("key", "low", "high"))
-    fp = blocks["fp"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype("<i8").reshape(len(node), -1)
-    raw, place = np.ascontiguousarray(fp).view(np.uint8), key >> 8 * KEY_BYTES
-    places = raw.shape[1] // KEY_BYTES
-    left, right = [], []
-    for x in np.flatnonzero(block == low):
-        other = (root != root[x]) & (block == high)
-        if low == high:
-            other[:x + 1] = False
-        others = np.flatnonzero(other)
-        if not len(others):
-            continue
-        same = raw[others] == raw[x]
-        close = np.flatnonzero(same.sum(axis=1, dtype=np.uint16) >= LEAST_SHARED)
-        agreed = same[close][:, :places * KEY_BYTES].reshape(-1, places, KEY_BYTES).all(axis=2)
-        found = others[close[agreed.argmax(axis=1) == place]]
-        left.append(np.maximum(node[found], node[x]))
-        right.append(np.minimum(node[found], node[x]))
-    none = np.zeros(0, dtype=np.int64)
-    return pa.table({"a": np.concatenate([none, *left]), "b": np.concatenate([none, *right])})
-
-
-def other_pairs(
-    own: DataFrame, met: DataFrame, roots: DataFrame, list_size: int = WIDE_LIST, block: int = WIDE_BLOCK
-) -> DataFrame:
-    """The pairs (a, b) of the lists of more than ``list_size`` whose nodes have different ``roots`` (node, root) so far.
-
-    A list is dealt out to blocks, and every block meets every other one and itself in a
-    task of its own, so that no pair is left out and no task holds more than two blocks. Lists of
-    one root have nothing left to link. A pair is made once, in the first list that its nodes share.
+    If that doc_id is repeated, any one of its rows stays; rows without a doc_id stay only where their group has no other. Rows without any
+    word have fingerprint 0 and are one group with what lies within two bits of it. An empty table stays empty.
     """
-    rooted = met.filter(F.col("n") > list_size).join(roots, "node", "left").select(
-        "key", "node", "n", F.coalesce("root", "node").alias("root"))
-    mixed = rooted.groupBy("key").agg(F.min("root").alias("first"), F.max("root").alias("last")).filter("first < last").select("key")
-    blocks = F.ceil(F.col("n") / block)
-    dealt = rooted.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("node"), blocks)).select(
-        "key", "node", "root", "block", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("with"))
-    pairs = dealt.join(own.select("node", "fp"), "node").select(
-        "key", "node", "root", "block", "fp", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"))
-    return pairs.groupBy("key", "low", "high").applyInArrow(compared, "a long, b long")
-
-
-def drop_near_duplicates(
-    docs: DataFrame, shingle: int = STAGE_SHINGLE, least: float = SIMILARITY, list_size: int = WIDE_LIST,
-    block: int = WIDE_BLOCK,
-) -> DataFrame:
-    """The rows of ``docs`` with one row of each group: that of the smallest doc_id (any one, if it is repeated).
-
-    Rows are alike if their sets of distinct shingles are, by ``least`` or more; groups are what such links
-    connect. Rows of one set are one node. Other rows are candidates if they agree on three
-    positional bytes of a fingerprint of 1,536 bits in any of 64 places and on 24
-    positions in all; their similarity is then verified. Of pairs with a similarity of 0.8 the
-    lists find about 70 %, of 0.85 90 %, of 0.9 99 %, beyond that all (see README). Rows without any word are one group.
-    """
-    signature_, row = fresh("signature"), fresh("row")
-    signed = written(docs.withColumn(signature_, wide_fingerprint("text", shingle)).withColumn(row, F.monotonically_increasing_id()),
-                     "signed")
-    keys = signed.select(F.col(signature_)["fp"].alias("fp"), F.col(signature_)["content"].alias("content"), "doc_id", F.col(row).alias("row"))
-    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
-    own = written(keys.groupBy("content").agg(F.min(order).alias("first"), F.first("fp").alias("fp"))
-                  .withColumn("node", F.col("first.row")), "nodes")
-    texts = signed.select(F.col(row).alias("node"), "text")
-    left = texts.withColumnsRenamed({"node": "a", "text": "text_a"})
-    right = texts.withColumnsRenamed({"node": "b", "text": "text_b"})
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        return pairs.join(left, "a").join(right, "b").filter(similarity(shingle)("text_a", "text_b") >= least).select("a", "b")
-
-    met = listed_nodes(own)
-    roots = components(linked(written(near_pairs(own, met, list_size), "pairs")))
-    rest = written(other_pairs(own, met, roots, list_size, block), "pairs")
-    if not rest.isEmpty():
-        at = lambda side: roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
-        joined = linked(rest).join(at("a"), "a", "left").join(at("b"), "b", "left").select(
-            F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
-        over = components(joined).select(F.col("node").alias("root"), F.col("root").alias("top"))
-        every = own.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
-        roots = every.join(over, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
-    grouped_ = own.select("node", "first").join(roots, "node", "left")
-    kept = grouped_.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
+    fp, row = fresh("fp"), fresh("row")
+    signed = written_tidily(
+        docs.withColumns({fp: fingerprint("text", shingle), row: F.monotonically_increasing_id()}), "signed")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.col(row).alias("row"))
+    own = written_tidily(signed.groupBy(F.col(fp).alias("fp")).agg(F.min(order).alias("first")), "nodes")
+    nodes = own.join(grouped(own, list_size).withColumnRenamed("node", "fp"), "fp", "left")
+    kept = nodes.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
     return signed.join(kept.select(F.col("first.row").alias(row)), row, "left_semi").select(*docs.columns)

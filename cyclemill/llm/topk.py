@@ -2,11 +2,11 @@
 
 Vectors are cut into blocks. In a block, every dimension is a list of its vectors
 sorted by that component; for a query, a list is read from the end where its product
-is largest. All lists are read in step, stretch by stretch, in turn. From what has
-been read, each vector has a lower bound (unread components at their worst) and an
-upper bound (unread components at the value the list has come to). Reading stops
-when k vectors have lower bounds that no other upper bound exceeds; the vectors whose
-upper bound still reaches the k-th lower bound get their final scores.
+is largest. All lists are read in step, from depth to depth: what is newly read is added to the
+running sums of its vectors. A vector's score lies between its sum with the unread components at their
+worst, and its sum with them at the value their list has come to. Reading stops for a query
+when few vectors have an upper bound that reaches the k-th lower bound; the sums of these are completed with their unread
+components. A query whose bounds do not close reads its lists to their end, where the sums are the scores.
 """
 
 from __future__ import annotations
@@ -20,66 +20,89 @@ from cyclemill.llm.common import written
 
 BLOCK = 4096
 QUERY_BLOCK = 1024
-STRETCHES = (0.08, 0.25, 0.5, 1.0)
+DEPTHS = (1 / 64, 1 / 16, 1 / 8, 1 / 4, 1 / 2, 3 / 4, 1)
+QUERIES_AT_ONCE = 128
 EXACT = 2.0**52
+HALF = 62  # bits of the lower part of a score, on its way between tasks
 
 
 class Lists:
     """The sorted lists of a block: for each dimension the vectors from small to large component."""
 
-    def __init__(self, rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray):
-        self.rows, self.ids, self.vectors = rows, ids, vectors
-        self.low, self.high = vectors.min(axis=0), vectors.max(axis=0)
-        by_value = np.argsort(vectors, axis=0, kind="stable")
-        self.place = np.empty_like(by_value)
-        np.put_along_axis(self.place, by_value, np.arange(len(ids))[:, None], axis=0)
-        self.sorted = np.take_along_axis(vectors, by_value, axis=0)
+    def __init__(self, rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray, exact: bool = False):
+        # whole numbers beyond those of doubles are worked on as Python's
+        self.rows, self.ids, self.vectors = rows, ids, vectors.astype(object if exact else np.float64)
+        self.low, self.high = self.vectors.min(axis=0), self.vectors.max(axis=0)
+        self.order = np.argsort(vectors, axis=0, kind="stable")
+        self.place = np.empty_like(self.order)
+        np.put_along_axis(self.place, self.order, np.arange(len(ids))[:, None], axis=0)
+        self.sorted = np.take_along_axis(self.vectors, self.order, axis=0)
 
 
 def largest(a: np.ndarray) -> float:
     return float(np.abs(a.astype(np.float64)).max(initial=0))
 
 
-def aggregate(lists: Lists, queries: np.ndarray, query_rows: np.ndarray, k: int):
+def aggregate(lists: Lists, queries: np.ndarray, query_rows: np.ndarray, k: int, read: list | None = None):
     """(position of the query, vec_id, score) of the k best of the block for every query, ties to the smaller id.
 
     The queries run together, each with bounds and a stop of its own. A query's own row is no candidate.
+    ``read`` receives the depth at which each query stopped, as a share of the block.
     """
     n, dims = lists.vectors.shape
-    fits = dims * largest(lists.vectors) * largest(queries) < EXACT
-    vectors = lists.vectors.astype(np.float64 if fits else object)
-    asked = queries.astype(vectors.dtype)
-    live, resolved = np.arange(len(queries)), []
-    for share in STRETCHES if fits else ():
-        depth = max(k, int(np.ceil(share * n)))
-        if depth >= n:
-            break
+    asked = queries.astype(lists.vectors.dtype).T
+    live = np.arange(len(queries))
+    # running sums: one row for each vector, one column for each query that still reads
+    sums, come = np.zeros((n, len(queries)), dtype=lists.vectors.dtype), 0
+    for share in DEPTHS:
+        depth = n if share == 1 else int(n * share)
+        if depth <= come:
+            continue
         # a positive weight reads its list from the top, a negative one from the bottom
-        up, down = np.maximum(asked[live], 0), np.minimum(asked[live], 0)
-        top, bottom = lists.place >= n - depth, lists.place < depth
-        at_top, at_bottom = lists.sorted[n - depth], lists.sorted[depth - 1]
-        upper = up @ np.where(top, vectors, at_top).T + down @ np.where(bottom, vectors, at_bottom).T
-        lower = up @ np.where(top, vectors, lists.low).T + down @ np.where(bottom, vectors, lists.high).T
-        own = query_rows[live][:, None] == lists.rows[None, :]
-        upper[own] = lower[own] = -np.inf
-        kth = np.partition(lower, n - k, axis=1)[:, n - k]
-        reach = upper >= kth[:, None]
-        few = reach.sum(axis=1) <= max(4 * k, n // 16)
-        for i in np.flatnonzero(few):
-            at = np.flatnonzero(reach[i])
-            resolved.append((live[i], at, vectors[at] @ asked[live[i]]))
-        live = live[~few]
-    if len(live):  # every list read to its end: both bounds are the score
-        scores = vectors @ asked[live].T
-        resolved += [(q, np.arange(n), scores[:, i]) for i, q in enumerate(live)]
-    for q, at, score in resolved:
-        fine = lists.rows[at] != query_rows[q]
+        up, down = np.maximum(asked[:, live], 0), np.minimum(asked[:, live], 0)
+        for j in range(dims):
+            top, bottom = slice(n - depth, n - come), slice(come, depth)
+            sums[lists.order[top, j]] += lists.sorted[top, j, None] * up[j]
+            sums[lists.order[bottom, j]] += lists.sorted[bottom, j, None] * down[j]
+        come = depth
+        own = lists.rows[:, None] == query_rows[live][None, :]
+        if depth == n:
+            for column, q in enumerate(live):
+                yield from best(lists, q, np.flatnonzero(~own[:, column]), sums[:, column], k)
+            if read is not None:
+                read += [1.0] * len(live)
+            return
+        below, above = lists.place < n - depth, lists.place >= depth  # not yet read from the top, from the bottom
+        upper = sums + (below * lists.sorted[n - depth]) @ up + (above * lists.sorted[depth - 1]) @ down
+        lower = sums + (below * lists.low) @ up + (above * lists.high) @ down
+        fine = ~own
+        stays = []
+        for column, q in enumerate(live):
+            at = np.flatnonzero(fine[:, column])
+            if len(at) > k:
+                kth = np.partition(lower[at, column], len(at) - k)[len(at) - k]
+                at = at[upper[at, column] >= kth]
+            if len(at) > max(4 * k, n // 64):
+                stays.append(column)
+                continue
+            rest = (below[at] * lists.vectors[at]) @ up[:, column] + (above[at] * lists.vectors[at]) @ down[:, column]
+            score = np.zeros(n, dtype=sums.dtype)
+            score[at] = sums[at, column] + rest
+            yield from best(lists, q, at, score, k)
+            if read is not None:
+                read.append(depth / n)
+        live, sums = live[stays], sums[:, stays]
+        if not len(live):
+            return
+
+
+def best(lists: Lists, q: int, at: np.ndarray, scores: np.ndarray, k: int):
+    score = scores[at]
+    if len(at) > 8 * k:  # all that reach the k-th score, ties included
+        fine = score >= np.partition(score, len(score) - k)[len(score) - k]
         at, score = at[fine], score[fine]
-        if len(at) > 8 * k and fits:  # all that reach the k-th score, ties included
-            fine = score >= np.partition(score, len(score) - k)[len(score) - k]
-            at, score = at[fine], score[fine]
-        for i in sorted(range(len(at)), key=lambda i: (-score[i], lists.ids[at[i]]))[:k]:
-            yield int(q), int(lists.ids[at[i]]), max(-(2**63), min(2**63 - 1, int(score[i])))
+    for i in sorted(range(len(at)), key=lambda i: (-score[i], lists.ids[at[i]]))[:k]:
+        yield int(q), int(lists.ids[at[i]]), int(score[i])
 
 
 def quantised(vectors: DataFrame, scale: int) -> DataFrame:
@@ -113,22 +136,28 @@ def top_inner_products(
     candidates = clean.select(spread.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(int(query_blocks - 1)))).alias("part"), "row", "vec_id", "v")
     asked = clean.filter(F.pmod("vec_id", F.lit(every)) == 0).select(
         F.explode(F.sequence(F.lit(0), F.lit(int(blocks - 1)))).alias("block"),
-        F.pmod(F.xxhash64("row", F.lit(1)), F.lit(query_blocks)).cast("int").alias("part"), "row", "vec_id", "v",
+        F.pmod(F.xxhash64("row", F.lit(1)), F.lit(query_blocks)).cast("int").alias("part"),
+        # both sides are of one table: the planner tells their columns apart by name only if these differ
+        F.col("row").alias("query_row"), F.col("vec_id").alias("query_id"), F.col("v").alias("query"),
     )
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         made = []
         if len(left) and len(right):
-            dims = max(left["v"].map(len).max(), right["v"].map(len).max())
-            lists = Lists(left["row"].to_numpy(), left["vec_id"].to_numpy(), matrix(left["v"], dims))
-            rows, ids = right["row"].to_numpy(), right["vec_id"].to_numpy()
-            asked_vectors = matrix(right["v"], dims)
-            for at in range(0, len(rows), 128):
-                for q, v, score in aggregate(lists, asked_vectors[at:at + 128], rows[at:at + 128], k):
-                    made.append((rows[at + q], ids[at + q], v, score))
-        return pd.DataFrame(made, columns=["query_row", "query_id", "vec_id", "score"]).astype("int64")
+            dims = max(left["v"].map(len).max(), right["query"].map(len).max())
+            rows, ids = right["query_row"].to_numpy(), right["query_id"].to_numpy()
+            held, wanted = matrix(left["v"], dims), matrix(right["query"], dims)
+            exact = dims * largest(held) * largest(wanted) >= EXACT
+            lists = Lists(left["row"].to_numpy(), left["vec_id"].to_numpy(), held, exact)
+            for at in range(0, len(rows), QUERIES_AT_ONCE):
+                for q, v, score in aggregate(lists, wanted[at:at + QUERIES_AT_ONCE], rows[at:at + QUERIES_AT_ONCE], k):
+                    made.append((rows[at + q], ids[at + q], v, score >> HALF, score & ((1 << HALF) - 1)))
+        return pd.DataFrame(made, columns=["query_row", "query_id", "vec_id", "high", "low"]).astype("int64")
 
     best = candidates.groupBy("block", "part").cogroup(asked.groupBy("block", "part")).applyInPandas(
-        meet, "query_row long, query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
-    return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        meet, "query_row long, query_id long, vec_id long, high long, low long")
+    order = Window.partitionBy("query_row").orderBy(F.desc("high"), F.desc("low"), "vec_id")
+    # a score beyond 64 bits comes back as the largest or the smallest number of that size
+    whole = F.when(F.col("high").between(-2, 1), F.shiftleft("high", HALF) + F.col("low")).otherwise(
+        F.when(F.col("high") > 0, F.lit(2**63 - 1)).otherwise(F.lit(-(2**63))))
+    return best.withColumn("score", whole).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

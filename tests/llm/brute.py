@@ -69,9 +69,9 @@ def fingerprint(text, size=3):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def components(fingerprints, ids, bits=2):
-    """Smallest id reachable for every row."""
-    n = len(ids)
+def links(fingerprints, bits=2):
+    """Position of one row of the same group, for every row."""
+    n = len(fingerprints)
     root = list(range(n))
 
     def find(i):
@@ -85,12 +85,16 @@ def components(fingerprints, ids, bits=2):
         x = own[i + 1:] ^ own[i]
         for j in np.flatnonzero(np.bitwise_count(x) <= bits):
             root[find(i + 1 + int(j))] = find(i)
-    least = {}
-    for i in range(n):
-        if ids[i] is not None:
-            r = find(i)
-            least[r] = min(least.get(r, ids[i]), ids[i])
-    return [least.get(find(i)) for i in range(n)]
+    return [find(i) for i in range(n)]
+
+
+def components(fingerprints, ids, bits=2):
+    """Smallest id reachable for every row."""
+    linked, least = links(fingerprints, bits), {}
+    for i, r in zip(ids, linked):
+        if i is not None:
+            least[r] = min(least.get(r, i), i)
+    return [least.get(r) for r in linked]
 
 
 def base_licenses(text):
@@ -136,47 +140,47 @@ def top(vectors, every=50, k=5, scale=256):
     return rows
 
 
-def shingles(text, size=5):
-    own = [w for w in re.split(r"[\x20\x09-\x0D]+", lower(text)) if w]
-    return frozenset(" ".join(own[i:i + size]) for i in range(max(1, len(own) - size + 1))) if own else frozenset()
-
-
-def alike(a, b):
-    return len(a & b) / len(a | b) if a or b else 1.0
-
-
-def similar_groups(texts, least):
-    """Group number of every text: the smallest position reachable over similarities of ``least`` or more."""
-    sets = [shingles(t) for t in texts]
-    root = list(range(len(texts)))
-
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    for i in range(len(texts)):
-        for j in range(i):
-            if 2 * min(len(sets[i]), len(sets[j])) >= max(len(sets[i]), len(sets[j])) and alike(sets[i], sets[j]) >= least:
-                a, b = find(i), find(j)
-                root[max(a, b)] = min(a, b)
-    return [find(i) for i in range(len(texts))]
-
-
-def check_single(rows, kept):
-    """Rows (doc_id, text) against the doc_ids kept: none goes without a like one that stays, and of those that
-    are nearly the same one stays, that of the smallest id."""
-    loose, tight = (similar_groups([t for _, t in rows], x) for x in (0.8, 0.97))
-    ids = {}
-    for g, (i, _) in zip(tight, rows):
-        ids.setdefault(g, []).append(i)
-    best = {g: min((i for i in own if i is not None), default=None) for g, own in ids.items()}
-    stay = set(kept)
-    assert len(kept) <= len(best)
-    for i in stay:  # only the best of its tight group
-        assert any(b == i for b in best.values())
-    groups = {}
-    for g, (i, _) in zip(loose, rows):
-        groups.setdefault(g, set()).add(i)
-    for own in groups.values():
-        assert own & stay and min((i for i in own if i is not None), default=None) in stay
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        last, row[0] = row[0], i + 1
+        for j, y in enumerate(b):
+            last, row[j + 1] = row[j + 1], min(row[j + 1] + 1, row[j] + 1, last + (x != y))
+    return row[-1]
+
+
+def notices(text, known, error_share):
+    """Label, start, end, edits of all runs of words near a notice; of those that overlap, the best of each notice."""
+    own, found = words(text), set()
+    for notice, label in known:
+        k, fits = len(notice) // error_share, []
+        for i in range(len(own)):
+            for j in range(i + 1, len(own) + 1):
+                part = " ".join(own[i:j])
+                if len(part) > len(notice) + k:
+                    break
+                if len(part) >= len(notice) - k and edit_distance(part, notice) <= k:
+                    fits.append((edit_distance(part, notice), i, j))
+        taken = []
+        for edits, i, j in sorted(fits):
+            if all(j <= a or b <= i for a, b in taken):
+                taken.append((i, j))
+                found.add((i, j, label, edits))
+    return [(label, i, j, e) for i, j, label, e in sorted(found)]
+
+
+def plain_counts(text):
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed."""
+    text = text or ""
+    own = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = [tuple(own[i:i + 3]) for i in range(len(own) - 2)]
+    seen, inside = {}, set()
+    for w in windows:
+        seen[w] = seen.get(w, 0) + 1
+    for i, w in enumerate(windows):
+        if seen[w] > 1:
+            inside |= {i, i + 1, i + 2}
+    n, again = len(own), len(inside)
+    dup = sum(x in lines[:i] for i, x in enumerate(lines))
+    return n, sum(map(len, own)), sum(c in "#*$%&|<>" for c in text), dup, again, n < 50 or 100 * again > 50 * n
