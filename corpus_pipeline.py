@@ -22,8 +22,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose five-word shingles are alike by 0.8 or more: that of the smallest doc_id."""
-    return simhash.drop_near_duplicates(docs)
+    """One document of each group linked by fingerprints of three-word shingles within two bits: that of the smallest doc_id."""
+    return simhash.drop_near_duplicates(docs, simhash.SHINGLE)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
