@@ -11,14 +11,20 @@ with it, as a share of the entity's own information:
 with n the number of documents. A term of 1 tells as much as the entity itself. Terms
 at the threshold or above are, wherever they stand in documents with their entity,
 generalised (numbers and names, to a marker) or removed.
+
+Texts that are equal to the letter are one document: copies are no evidence, and are read once. Entities that
+stand in the same documents have the same counts with every term, and so do terms: pairs are made of such classes, known by
+their number of documents and the sum of the documents' hashes, and the pairs of one document are dealt out to as many
+groups as they need.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cyclemill.llm.common import fresh, written
+from cyclemill.llm.common import fresh, written_tidily
+from cyclemill.sizing import small_side
 
 KINDS = ("email", "ip", "card", "phone", "term")
 # The formats, with possessive repeats so that a failing run of characters is read once. A match
@@ -36,26 +42,47 @@ HINTS = {
 OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 LEAST_DOCUMENTS = 2  # what stands in fewer documents tells nothing about the corpus
 THRESHOLD = 0.8
+RUN = 128  # lengths that are added up one by one
+PAIRS = 1 << 20  # of the classes of one document, in one group
+COMMON = 1000
+
+
+def let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def before(values: Column, levels: int = 2, combine=lambda s, x: s + x) -> Column:
+    """For each value what all values before it come to: their sum, or else their maximum; 0 before the first.
+
+    Runs are summed up first, and runs of these, so the work is a constant for each value.
+    """
+    zero = F.lit(0).cast("long")
+    whole = lambda part: F.aggregate(part, zero, combine)
+    if not levels:
+        return F.transform(values, lambda _, i: whole(F.slice(values, F.lit(1), i)))
+    runs = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / RUN).cast("int"))
+    run = lambda r: F.slice(values, r * RUN + 1, F.lit(RUN))
+    made = let(F.transform(runs, lambda r: whole(run(r))), lambda own: let(
+        before(own, levels - 1, combine), lambda earlier: F.flatten(F.transform(runs, lambda r: let(run(r), lambda part: F.transform(
+            part, lambda _, i: combine(F.get(earlier, r), whole(F.slice(part, F.lit(1), i)))))))))
+    return F.when(F.size(values) > 0, made).otherwise(F.array().cast("array<bigint>"))
 
 
 def matches(text: Column, pattern: Column) -> Column:
     """Matches of a pattern as array of struct: start, end (code points, end exclusive), value."""
-    pieces, values = F.split(text, pattern, -1), F.regexp_extract_all(text, pattern, F.lit(0))
-    n = F.size(values)
-    pairs = F.zip_with(values, pieces, lambda v, p: F.struct(v.alias("value"), p.alias("lead")))
-    duos = F.transform(F.slice(pairs, F.lit(1), n), lambda m: F.struct(
-        m["value"].alias("value"), F.length(m["lead"]).cast("long").alias("skip")))
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(
-        "array<struct<start:bigint,end:bigint,value:string>>").alias("made"))
 
-    def step(s, m):
-        start = s["at"] + m["skip"]
-        end = start + F.length(m["value"])
-        return F.struct(end.alias("at"), F.concat(s["made"], F.array(F.struct(
-            start.alias("start"), end.alias("end"), m["value"].alias("value"),
-        ))).alias("made"))
+    def placed(values: Column, pieces: Column) -> Column:
+        # every piece but the last is followed by a match
+        spaces = F.transform(F.slice(pieces, F.lit(1), F.size(values)), lambda p: F.length(p).cast("long"))
+        sizes = F.transform(values, lambda v: F.length(v).cast("long"))
+        return let(spaces, lambda gaps: let(sizes, lambda own: let(
+            F.zip_with(gaps, own, lambda g, n: g + n), lambda both: F.zip_with(
+                F.zip_with(before(both), gaps, lambda s, g: s + g), F.arrays_zip(own.alias("n"), values.alias("value")),
+                lambda at, m: F.struct(at.alias("start"), (at + m["n"]).alias("end"), m["value"].alias("value"))))))
 
-    return F.aggregate(F.filter(duos, lambda m: m["value"].isNotNull()), zero, step, lambda s: s["made"])
+    return let(F.regexp_extract_all(text, pattern, F.lit(0)), lambda values: let(
+        F.split(text, pattern, -1), lambda pieces: placed(values, pieces)))
 
 
 def digits(value: Column) -> Column:
@@ -106,92 +133,158 @@ def entities(text: Column) -> Column:
 WORDS = r"[^\p{L}\p{N}]+"
 
 
-def outside(text: Column, spans: Column) -> Column:
-    """The text without its spans, which are sorted by start."""
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("made"))
+def without(text: Column, kind: str) -> Column:
+    """The text with a space for every match of one format."""
+    pattern = F.lit(PATTERNS[kind])
 
-    def step(s, m):
-        cut = F.substring(text, (s["at"] + 1).cast("int"), F.greatest(m["start"] - s["at"], F.lit(0)).cast("int"))
-        return F.struct(F.greatest(s["at"], m["end"]).alias("at"), F.concat(s["made"], cut, F.lit(" ")).alias("made"))
+    def joined(values: Column, pieces: Column) -> Column:
+        rest = F.transform(values, lambda v: F.when(valid(kind, v), F.lit(" ")).otherwise(v))
+        return F.array_join(F.zip_with(pieces, rest, lambda p, v: F.concat(p, F.coalesce(v, F.lit("")))), "")
 
-    return F.aggregate(spans, zero, step, lambda s: F.concat(
-        s["made"], F.substring(text, (s["at"] + 1).cast("int"), F.lit(2**31 - 1))))
+    hint = text.contains(HINTS[kind]) if kind == "email" else text.rlike(HINTS[kind])
+    cut = let(F.regexp_extract_all(text, pattern, F.lit(0)), lambda values: joined(values, F.split(text, pattern, -1)))
+    return F.when(hint, cut).otherwise(text)
+
+
+def outside(text: Column) -> Column:
+    """The text without its formats, which are taken out one after the other."""
+    nested = lambda own, kinds: let(without(own, kinds[0]), lambda rest: nested(rest, kinds[1:])) if kinds else own
+    return let(text, lambda own: nested(own, list(PATTERNS)))
 
 
-def disclosures(docs: DataFrame, found: DataFrame, occurrences: DataFrame, threshold: float) -> DataFrame:
-    """kind, value and term with a disclosure at the threshold or above, by counts over all documents.
+def classes(pairs: DataFrame, *names: str) -> DataFrame:
+    """Add ``class`` and ``n`` to (key, names): what stands in the same documents is of one class, n of them."""
+    by = pairs.groupBy(*names).agg(F.count("*").alias("n"), F.sum(F.xxhash64("key").cast("decimal(38,0)")).alias("_sum"),
+                                   F.sum(F.xxhash64("key", F.lit(1)).cast("decimal(38,0)")).alias("_other"))
+    return by.select(*names, "n", F.struct("n", "_sum", "_other").alias("class"))
 
-    Pairs are counted over whole documents. As a pair stands in no more documents than its
-    entity, a term in too many of them cannot reach the threshold with it: such pairs are not made.
+
+def disclosures(found: DataFrame, occurrences: DataFrame, threshold: float) -> DataFrame:
+    """key and term: the terms that give an entity of a document away, by counts over all documents.
+
+    ``found`` has the words of every document, and apart from its entities; ``occurrences`` its entities. As a pair
+    stands in no more documents than its entity, a term in too many of them cannot reach the threshold with
+    it: such pairs are not made.
     """
-    total = F.broadcast(found.agg(F.count("*").alias("n")))  # one row
-    entity = occurrences.groupBy("kind", "value").agg(F.count("*").alias("n_entity")).filter(F.col("n_entity") >= LEAST_DOCUMENTS)
-    words = F.array_distinct(F.split(F.lower("text"), WORDS))
-    term = docs.select(F.explode(words).alias("term")).filter(F.length("term") >= 3).groupBy("term").agg(
-        F.count("*").alias("n_term")).filter(F.col("n_term") >= LEAST_DOCUMENTS)
-    held = occurrences.join(entity, ["kind", "value"])
-    near = F.array_distinct(F.split(F.lower(outside(F.col("text"), F.col("spans"))), WORDS))
-    rows = found.filter(F.size("spans") > 0).join(held.groupBy("row").agg(F.max("n_entity").alias("most")), "row").select(
-        "row", "most", F.explode(near).alias("term")).filter(F.length("term") >= 3)
-    information = F.log(F.col("n") / F.col("n_entity"))
-    rare = lambda most: F.log(F.col("n") / F.col("n_term")) >= threshold * F.log(F.col("n") / F.col(most)) - 1e-9
-    met = rows.join(term, "term").crossJoin(total).filter(rare("most")).join(held, "row").filter(rare("n_entity"))
-    known = met.groupBy("kind", "value", "term", "n", "n_term", "n_entity").agg(F.count("*").alias("n_pair")).filter(
+    total = found.count()
+    if not total:
+        return occurrences.select("key", F.col("value").alias("term")).limit(0)
+    n = F.lit(float(total))
+    entity = classes(occurrences, "kind", "value").filter((F.col("n") >= LEAST_DOCUMENTS) & (F.col("n") < total))
+    held = written_tidily(occurrences.join(entity, ["kind", "value"]).select(
+        "key", F.col("class").alias("entity"), F.col("n").alias("n_entity")).distinct(), "held")
+    most = held.agg(F.max("n_entity")).first()[0] or 0
+    rare = lambda n_entity: F.log(n / F.col("n_term")) >= threshold * F.log(n / n_entity) - 1e-9
+    term = written_tidily(found.select("key", F.explode("words").alias("term")).groupBy("term").agg(F.count("*").alias("n_term")), "terms")
+    some = term.filter((F.col("n_term") >= LEAST_DOCUMENTS) & rare(F.lit(float(max(most, 1)))))
+    # words that stand nearly everywhere leave before anything is shuffled by word
+    common = term.filter((F.col("n_term") > max(COMMON, total // 100)) & ~rare(F.lit(float(max(most, 1))))).select("term")
+    rows = found.filter("context IS NOT NULL").join(held.select("key").distinct(), "key", "left_semi").select(
+        "key", F.explode("context").alias("term")).join(small_side(common), "term", "left_anti")
+    near = written_tidily(rows.join(some.select("term"), "term"), "near")
+    term_class = classes(near, "term").select("term", F.col("class").alias("words"), F.col("n").alias("n_here")).join(some, "term")
+    told = written_tidily(near.join(term_class, "term").filter(F.col("n_here") >= LEAST_DOCUMENTS), "told")
+    met = told.select("key", "words", "n_term").distinct()
+    # the pairs of a document: its classes of terms are dealt out, its classes of entities go to each of the groups
+    wide = met.groupBy("key").agg(F.count("*").alias("a")).join(held.groupBy("key").agg(F.count("*").alias("b")), "key").select(
+        "key", F.ceil(F.col("a") * F.col("b") / PAIRS).alias("groups"))
+    left = met.join(wide, "key").withColumn("group", F.pmod(F.xxhash64("words"), F.col("groups")))
+    right = held.join(wide, "key").withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1))).drop("groups")
+    pairs = left.drop("groups").join(right, ["key", "group"]).filter(rare(F.col("n_entity")))
+    known = pairs.groupBy("words", "n_term", "entity", "n_entity").agg(F.count("*").alias("n_pair")).filter(
         F.col("n_pair") >= LEAST_DOCUMENTS)
-    mutual = F.log(F.col("n") * F.col("n_pair") / (F.col("n_term") * F.col("n_entity")))
-    return known.filter((information > 0) & (mutual >= threshold * information)).select("kind", "value", "term")
+    mutual = F.log(n * F.col("n_pair") / (F.col("n_term") * F.col("n_entity")))
+    telling = written_tidily(known.filter(mutual >= threshold * F.log(n / F.col("n_entity"))).select("words", "n_term", "entity"), "telling")
+    marked = left.drop("groups").join(right, ["key", "group"]).join(telling, ["words", "n_term", "entity"]).select("key", "words", "n_term").distinct()
+    return told.join(marked, ["key", "words", "n_term"]).select("key", "term")
+
 
+def text_key(text: Column) -> Column:
+    """What equal texts share; a null text is empty."""
+    return F.md5(F.coalesce(text, F.lit("")))
 
-def find_private(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """(docs with a row number, row -> spans): spans sorted by start and kind, of fixed formats and of terms.
 
-    Every row is found, repeated rows too; null and empty texts have no spans. A term
-    that overlaps a fixed format is left out. Spans have start, rank, end, kind and
-    marker, the text that takes their place.
+def find_private(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(key, spans) of every different text: spans sorted by start and kind, of fixed formats and of terms.
+
+    ``key`` is the ``text_key``. Null and empty texts have no spans. A term that overlaps a fixed format is left out.
+    Spans have start, rank, end, kind and marker, the text that takes their place.
     """
-    row = fresh("row")
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
-    read = numbered.select("doc_id", F.col(row).alias("row"), "text", entities(F.col("text")).alias("spans"))
-    found = written(read.withColumn("text", F.when(F.size("spans") > 0, F.col("text"))), "entities")
-    occurrences = found.select("row", F.explode("spans").alias("s")).select("row", "s.kind", F.lower("s.value").alias("value")).distinct()
-    telling = disclosures(docs, found, occurrences, threshold)
-    own = occurrences.join(telling, ["kind", "value"]).groupBy("row").agg(F.array_sort(F.collect_set("term")).alias("own"))
-    # terms are letters and digits only
-    pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join("own", "|"), F.lit(r")(?![\p{L}\p{N}])"))
-    word = lambda m: m["value"]
-    marker = lambda m: F.when(word(m).rlike(r"\p{N}"), "[NUMBER]").when(word(m).rlike(r"^\p{Lu}"), "[NAME]").otherwise("")
-    rank = F.lit(len(KINDS) - 1)
-    shape = lambda m: F.struct(
-        m["start"].alias("start"), rank.alias("rank"), m["end"].alias("end"), F.lit("term").alias("kind"), marker(m).alias("marker"))
-    by_row = found.join(own, "row").select("row", F.transform(matches(F.col("text"), pattern), shape).alias("terms"))
-    joined = found.select("row", "doc_id", "spans").join(by_row, "row", "left")
+    one = docs.select(text_key(F.col("text")).alias("key"), "text").groupBy("key").agg(F.first("text").alias("text"))
+    read = one.withColumn("spans", F.coalesce(entities(F.col("text")), F.array().cast(f"array<struct<{SPAN},value:string>>")))
+    found = written_tidily(read, "entities")
+    occurrences = written_tidily(found.select("key", F.explode("spans").alias("s")).select(
+        "key", "s.kind", F.lower("s.value").alias("value")).distinct(), "occurrences")
+    long_words = lambda text: F.filter(F.array_distinct(F.split(F.lower(text), WORDS)), lambda w: F.length(w) >= 3)
+    words = found.select("key", long_words(F.col("text")).alias("words"), F.when(
+        F.size("spans") > 0, long_words(outside(F.col("text")))).alias("context"))
+    telling = written_tidily(disclosures(words, occurrences, threshold), "disclosures")
+    # the words of the documents that hold a telling term, with their places
+    marker = F.when(F.col("m.value").rlike(r"\p{N}"), "[NUMBER]").when(F.col("m.value").rlike(r"^\p{Lu}"), "[NAME]").otherwise("")
+    some = found.join(telling.select("key").distinct(), "key", "left_semi")
+    word = some.select("key", F.explode(matches(F.col("text"), F.lit(r"[\p{L}\p{N}]+"))).alias("m")).select(
+        "key", F.lower("m.value").alias("term"), F.col("m.start").alias("start"), F.lit(len(KINDS) - 1).alias("rank"),
+        F.col("m.end").alias("end"), F.lit("term").alias("kind"), marker.alias("marker"))
+    formats = some.select("key", F.explode("spans").alias("s")).select(
+        "key", "s.start", "s.rank", "s.end", "s.kind", F.lit(None).cast("string").alias("marker"))
+    terms = apart(word.join(telling, ["key", "term"]).select(*formats.columns).unionByName(formats))
+    by_key = terms.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "rank", "end", "kind", "marker"))).alias("terms"))
     none = F.array().cast(f"array<struct<{SPAN},marker:string>>")
     base = F.transform("spans", lambda s: F.struct(
         s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"),
         F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("marker"),
     ))
-    apart = F.filter(F.coalesce("terms", none), lambda t: ~F.exists("spans", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
-    return numbered, joined.select("row", "doc_id", F.array_sort(F.concat(base, apart)).alias("spans"))
+    joined = found.select("key", "spans").join(by_key, "key", "left")
+    return joined.select("key", F.array_sort(F.concat(base, F.coalesce("terms", none))).alias("spans"))
+
+
+def apart(spans: DataFrame) -> DataFrame:
+    """The terms among rows of spans that overlap no fixed format of their text."""
+    is_format = F.col("kind") != "term"
+    order = Window.partitionBy("key").orderBy("start", "rank")
+    reach = F.max(F.when(is_format, F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    next_ = F.first(F.when(is_format, F.col("start")), ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing))
+    placed = spans.withColumns({"_reach": reach, "_next": next_}).filter(~is_format)
+    return placed.filter((F.coalesce("_reach", F.lit(0)) <= F.col("start")) & F.coalesce(F.col("_next") >= F.col("end"), F.lit(True))).drop(
+        "_reach", "_next")
 
 
 def private_spans(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id and its spans, for every row of ``docs`` (columns doc_id and text)."""
-    return find_private(docs.select("doc_id", "text"), threshold)[1].select("doc_id", "spans")
+    """doc_id and its spans, for every row of ``docs`` (columns doc_id and text); repeated rows each have theirs."""
+    found = find_private(docs.select("text"), threshold)
+    return docs.select("doc_id", text_key(F.col("text")).alias("key")).join(found, "key").select("doc_id", "spans")
+
+
+CHUNK = 256
+
+
+def replaced(text: Column, spans: Column) -> Column:
+    """A text with its spans replaced by their markers; what overlaps an earlier span is taken out with it.
+
+    The text is cut into chunks once, so that a place is reached without counting letters from the beginning.
+    """
+
+    def build(chunks: Column, own: Column, done: Column) -> Column:
+        def cut(a: Column, b: Column) -> Column:
+            first = F.floor(a / CHUNK)
+            part = F.slice(chunks, (first + 1).cast("int"), (F.floor((b - 1) / CHUNK) - first + 1).cast("int"))
+            return F.when(b > a, F.substring(F.array_join(part, ""), (a - first * CHUNK + 1).cast("int"), (b - a).cast("int"))).otherwise("")
+
+        pieces = F.zip_with(own, done, lambda m, d: F.when(m["start"] >= d, F.concat(cut(d, m["start"]), m["marker"])).otherwise(""))
+        end = F.array_max(F.transform(own, lambda m: m["end"]))
+        return F.concat(F.array_join(pieces, ""), cut(end, F.length(text).cast("long")))
+
+    ends = F.transform(spans, lambda m: m["end"])
+    return let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0)), lambda chunks: let(spans, lambda own: let(
+        before(ends, 2, lambda s, x: F.greatest(s, x)), lambda done: build(chunks, own, done))))
 
 
 def sanitise(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with every span of the text replaced by its marker; of overlapping spans the first is replaced."""
-    kept = written(docs.withColumn("__number__", F.monotonically_increasing_id()), "private")
-    rows, spans = find_private(kept.select(F.col("__number__").alias("doc_id"), "text"), threshold)
-    named = spans.select(F.col("doc_id").alias("__number__"), F.col("spans").alias("__spans__"))
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("made"))
-
-    def step(s, m):
-        cut = F.substring("text", (s["at"] + 1).cast("int"), (m["start"] - s["at"]).cast("int"))
-        return F.when(m["start"] >= s["at"], F.struct(
-            m["end"].alias("at"), F.concat(s["made"], cut, m["marker"]).alias("made"))).otherwise(s)
-
-    clean = F.aggregate("__spans__", zero, step, lambda s: F.concat(
-        s["made"], F.substring("text", (s["at"] + 1).cast("int"), F.lit(2**31 - 1))))
-    return kept.join(named, "__number__").withColumn(
-        "text", F.when(F.col("text").isNull(), None).otherwise(clean)).select(*docs.columns)
+    """``docs`` with every span of the text replaced by its marker; of overlapping spans the first is replaced,
+    and what the others cover goes with it. A null text stays null. Other columns may have any names.
+    """
+    key, own, made = fresh("key"), fresh("spans"), fresh("clean")
+    named = find_private(docs.select("text"), threshold).select(F.col("key").alias(key), F.col("spans").alias(own))
+    clean = F.when(F.size(own) > 0, replaced(F.col("text"), F.col(own))).otherwise(F.col("text"))
+    joined = docs.withColumn(key, text_key(F.col("text"))).join(named, key)
+    return joined.withColumn(made, clean).withColumn("text", F.col(made)).select(*docs.columns)

@@ -184,3 +184,42 @@ def plain_counts(text):
     n, again = len(own), len(inside)
     dup = sum(x in lines[:i] for i, x in enumerate(lines))
     return n, sum(map(len, own)), sum(c in "#*$%&|<>" for c in text), dup, again, n < 50 or 100 * again > 50 * n
+
+
+def private_terms(texts, threshold=0.8, least=2):
+    """Spans (start, end) of the terms of every text that give one of its entities away; equal texts are one document."""
+    import regex
+
+    one = sorted({t or "" for t in texts})
+    split = lambda t: {w for w in regex.split(r"[^\p{L}\p{N}]+", t.lower()) if len(w) >= 3}
+    entities, context, places = {}, {}, {}
+    for t in one:
+        found = [(name, m.group().lower(), m.span()) for name, pattern, fine in PRIVATE for m in pattern.finditer(t) if fine(m)]
+        entities[t], places[t] = {f[:2] for f in found}, [f[2] for f in found]
+        rest = t
+        for _, pattern, fine in PRIVATE:
+            rest = pattern.sub(lambda m, fine=fine: " " if fine(m) else m.group(), rest)
+        context[t] = split(rest)
+    n, count = len(one), {}
+    for t in one:
+        for w in split(t):
+            count[w] = count.get(w, 0) + 1
+    of = {}
+    for t in one:
+        for e in entities[t]:
+            of.setdefault(e, []).append(t)
+    telling = {}
+    for e, docs in of.items():
+        if not least <= len(docs) < n:
+            continue
+        for w in set().union(*(context[t] for t in docs)):
+            both = sum(w in context[t] for t in docs)
+            if both >= least and math.log(n * both / (count[w] * len(docs))) >= threshold * math.log(n / len(docs)):
+                for t in docs:
+                    if w in context[t]:
+                        telling.setdefault(t, set()).add(w)
+    spans = {}
+    for t in one:
+        own = [m.span() for m in regex.finditer(r"[\p{L}\p{N}]+", t) if m.group().lower() in telling.get(t, ())]
+        spans[t] = [(a, b) for a, b in own if not any(c < b and a < d for c, d in places[t])]
+    return [spans[t or ""] for t in texts]

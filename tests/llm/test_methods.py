@@ -350,6 +350,73 @@ def test_terms_far_from_their_entity(spark):
     assert all(not spans[i] for i in range(60))
 
 
+def marked(rows):
+    return Counter((r.doc_id, tuple((s.start, s.end) for s in r.spans if s.kind == "term")) for r in rows)
+
+
+@pytest.mark.parametrize("place", ["given", "awkward"])
+def test_terms_are_those_of_plain_counting(spark, awkward, place):
+    docs = spark.read.parquet(f"{'/root/testdata/sf0.001' if place == 'given' else awkward}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    want = brute.private_terms([t for _, t in rows])
+    assert marked(pii.private_spans(docs).collect()) == Counter((i, tuple(own)) for (i, _), own in zip(rows, want))
+
+
+def test_terms_of_documents_that_share_people_and_words(spark):
+    """Random shares of entities and words; copies of some texts, which are no evidence."""
+    rng = random.Random(30)
+    rows = []
+    for g in range(60):
+        people = rng.sample(range(12), rng.randrange(3))
+        own = [f"p{p}.x@mail.example.org Nick{p} {f'mention{p}' * rng.randrange(2)}" for p in people]
+        rows.append((g, " ".join([*rng.choices([f"word{i}" for i in range(40)], k=12), *own, f"10.0.{g % 5}.1"])))
+    rows += [(100 + i, rows[i][1]) for i in range(0, 60, 7)] + [(200, rows[3][1])] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute.private_terms([t for _, t in rows])
+    assert any(want)
+    assert marked(pii.private_spans(docs).collect()) == Counter((i, tuple(own)) for (i, _), own in zip(rows, want))
+
+
+def test_copies_are_no_evidence(spark):
+    rows = [(i, f"filler words number {i} about the weather and the town") for i in range(60)]
+    rows += [(100 + i, "please contact zoltan at z.n@mail.example.org about quokka zeppelin marmalade") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert not any(s.kind == "term" for r in pii.private_spans(docs).collect() for s in r.spans)
+
+
+@pytest.mark.parametrize("pairs", [1, 1 << 20])
+def test_pairs_in_groups_give_the_same(spark, monkeypatch, pairs):
+    monkeypatch.setattr(pii, "PAIRS", pairs)
+    rows = [(i, f"plain number {i} of the weather") for i in range(40)]
+    rows += [(100 + i, f"Ann a.n@mail.example.org Bob b.b@mail.example.org Cyd{i % 2} c{i % 2}@mail.example.org {i}") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute.private_terms([t for _, t in rows])
+    assert any(want) and marked(pii.private_spans(docs).collect()) == Counter((i, tuple(own)) for (i, _), own in zip(rows, want))
+
+
+@pytest.mark.parametrize("values", [[], [5], list(range(1, 400)), [3, 0, 7] * 9000])
+def test_sums_before(spark, values):
+    df = spark.createDataFrame([(values,)], "v array<long>")
+    got = df.select(pii.before(F.col("v")).alias("s"), pii.before(F.col("v"), 2, lambda s, x: F.greatest(s, x)).alias("m")).first()
+    sums, top = [0], [0]
+    for v in values:
+        sums.append(sums[-1] + v)
+        top.append(max(top[-1], v))
+    assert got.s == sums[:-1] and got.m == top[:-1]
+
+
+def test_a_text_full_of_matches(spark):
+    text = " ".join(f"10.{i % 250}.{i // 250 % 250}.{i % 199} ä{i}@b.c" for i in range(20000))
+    docs = spark.createDataFrame([(1, text), (2, None), (3, "")], "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.private_spans(docs).collect()}
+    counts, joined = brute.spans(text, brute.PRIVATE)
+    assert ",".join(f"{s.kind}:{s.start}:{s.end}" for s in got[1]) == joined and not got[2] and not got[3]
+    odd = docs.withColumns({"spans": F.lit(1), "__number__": F.lit(2), "key": F.lit("k"), "clean": F.lit(None).cast("string")})
+    clean = {r.doc_id: r for r in pii.sanitise(odd).collect()}
+    assert clean[1].text == " ".join("[IP] ä[EMAIL]" for _ in range(20000)) and clean[2].text is None and clean[3].text == ""
+    assert clean[1]["__number__"] == 2 and clean[1].key == "k"
+
+
 def test_gradients_of_the_labeller():
     rng = np.random.default_rng(0)
     model = extraction.Labeller()
