@@ -110,10 +110,45 @@ def names(attributes: str) -> list[str]:
     return marks
 
 
+DEPTH = 512  # of the elements that a path names
+
+
+class Open:
+    """The elements open at a place of a page: the outer ones with their marks, those nested deeper by their tags."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, tuple]] = []
+        self.deeper: list[str] = []
+        self.n: dict[str, int] = {}
+
+    def add(self, tag: str, marks: tuple) -> None:
+        self.n[tag] = self.n.get(tag, 0) + 1
+        if len(self.stack) < DEPTH:
+            self.stack.append((tag, marks))
+        else:
+            self.deeper.append(tag)
+
+    def close(self, tags, stop) -> None:
+        """Close the innermost element of one of the tags and all within it, unless one that ``stop`` names lies between."""
+        if not any(self.n.get(t) for t in tags):
+            return
+        for k in range(len(self.stack) + len(self.deeper) - 1, -1, -1):
+            tag = self.stack[k][0] if k < len(self.stack) else self.deeper[k - len(self.stack)]
+            if tag in tags:
+                for t in [*(x for x, _ in self.stack[k:]), *self.deeper[max(0, k - len(self.stack)):]]:
+                    self.n[t] -= 1
+                del self.deeper[max(0, k - len(self.stack)):]
+                del self.stack[k:]
+                return
+            if stop(tag):
+                return
+
+
 def leaf_blocks(page: str) -> list[Block]:
     """Text of the leaf blocks of a page in order, with the tag path of each; references decoded, white space as one space."""
     blocks: list[Block] = []
-    stack: list[tuple[str, tuple]] = []
+    open_ = Open()
+    stack = open_.stack
     words: list[str] = []
     linked = 0
     path_now: tuple = ()
@@ -153,15 +188,11 @@ def leaf_blocks(page: str) -> list[Block]:
         if m.group(1):  # a closing tag
             if tag not in INLINE:
                 end()
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
-                if tag in INLINE and stack[k][0] not in INLINE:
-                    break
+            open_.close((tag,), lambda t: tag in INLINE and t not in INLINE)
             continue
         if tag in RAW and not m.group(3).endswith("/"):
-            close = re.compile(rf"</{re.escape(tag)}\b[^>]*+>", re.I).search(page, at)
+            # no closing tag ends after the last bracket, which is what a search without one would run to
+            close = re.compile(rf"</{re.escape(tag)}\b[^>]*+>", re.I).search(page, at, last)
             at = close.end() if close else len(page)
             if tag == "title" or tag in ("svg", "math") and words:
                 continue
@@ -178,21 +209,11 @@ def leaf_blocks(page: str) -> list[Block]:
         if tag in VOID:
             continue
         if tag in CLOSES_P:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == "p":
-                    del stack[k:]
-                    break
-                if stack[k][0] not in INLINE:
-                    break
+            open_.close(("p",), lambda t: t not in INLINE)
         elif tag in SAME:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in SAME[tag]:
-                    del stack[k:]
-                    break
-                if stack[k][0] in SCOPE[tag]:
-                    break
-        if not m.group(3).endswith("/") and len(stack) < 512:
-            stack.append((tag, tuple(names(m.group(3))) if m.group(3) else ()))
+            open_.close(SAME[tag], lambda t: t in SCOPE[tag])
+        if not m.group(3).endswith("/"):
+            open_.add(tag, tuple(names(m.group(3))) if m.group(3) else ())
     end()
     return blocks
 
@@ -444,10 +465,10 @@ def fit(pages: list[str], steps: int = 900, batch: int = 12, rate: float = 0.01,
 
 
 def train(pages: DataFrame, max_pages: int = MAX_PAGES) -> Labeller:
-    """Fit on about ``max_pages`` pages (twice as many at most) of the column html, by a hash of their url."""
+    """Fit on about ``max_pages`` pages (twice as many at most) of the column html, by a hash of url and page."""
     n = pages.select("url").count()
     share = int((1 << 30) * min(1.0, max_pages / max(n, 1)))
-    key = F.xxhash64(F.coalesce(F.col("url").cast("string"), F.lit("")), F.lit(23))
+    key = F.xxhash64(F.col("url").cast("string"), F.col("html"), F.lit(23))
     rows = pages.filter(F.pmod(key, F.lit(1 << 30)) < share).select("html", key.alias("key")).limit(2 * max_pages).collect()
     return fit([r["html"] for r in sorted(rows, key=lambda r: (r["key"], r["html"] or ""))])
 

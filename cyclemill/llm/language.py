@@ -10,20 +10,19 @@ the rejection threshold are set on rows that the descent has not seen.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cyclemill.llm.common import column, segments
+from cyclemill.llm.common import column, fresh, segments, written
+from cyclemill.sizing import small_side
 
 BITS = 16
 SIZES = (3, 4)
 DIM = 16
 MAX_ROWS = 4000
+LEAST_ROWS = 100
 KIND = "lang string, score double, rejected boolean"
-LETTER = re.compile(r"[^\W\d_]")
 KEEP = 0.995  # share of right answers that the rejection threshold must let through
 STRETCH = 1 << 19
 
@@ -72,7 +71,7 @@ class Model:
         return total / max(n, 1) + self.bias
 
     def predict(self, raw: bytes) -> tuple[str, float, bool]:
-        if not self.names or not LETTER.search(raw.decode()):
+        if not self.names or not any(map(str.isalpha, raw.decode())):
             return "und", 0.0, True
         z = self.logits(raw) / self.temperature
         p = np.exp(z - z.max())
@@ -83,7 +82,7 @@ class Model:
 
 def fit(rows, epochs: int = 12, batch: int = 64, rate: float = 4.0, seed: int = 11) -> Model:
     """Train on (text, language) rows; every fifth row is kept for the calibration."""
-    rows = [(t.encode(), y) for t, y in rows if t and y is not None and LETTER.search(t)]
+    rows = [(t.encode(), y) for t, y in rows if t and y is not None and any(map(str.isalpha, t))]
     names = sorted({y for _, y in rows})
     if not names:
         return Model([], np.zeros((1 << BITS, 0), np.float32), np.zeros(0))
@@ -143,15 +142,21 @@ def calibrate(model: Model, rows) -> None:
         model.threshold = float(np.quantile(p.max(axis=1)[right], 1 - KEEP))
 
 
-def train(labelled: DataFrame, key: str = "doc_id", max_rows: int = MAX_ROWS) -> Model:
-    """Fit on the columns text and lang of about ``max_rows`` rows (twice as many at most), by a hash of ``key``.
+def train(labelled: DataFrame, key: str = "doc_id", max_rows: int = MAX_ROWS, least_rows: int = LEAST_ROWS) -> Model:
+    """Fit on the columns text and lang of a sample by a hash of ``key``.
 
+    Every language has a share of its own: about ``max_rows`` over the number of languages, and ``least_rows`` at least, or all
+    its rows if it has fewer. So a language that is learned from a small table is learned from a large one that holds the same rows.
     Rows without a text or a language are left out; without any row every text is ``und``.
     """
     fine = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    n = fine.select("lang").count()
-    drawn = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(11)), F.lit(1 << 30)) < int((1 << 30) * min(1.0, max_rows / max(n, 1)))
-    rows = fine.filter(drawn).select("text", "lang", F.col(key).cast("string").alias("key")).limit(2 * max_rows).collect()
+    counts = written(fine.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    n = counts.count()
+    each, share = max(least_rows, max_rows // max(n, 1)), fresh("share")
+    some = small_side(counts.select("lang", (F.lit(float(each)) / F.col("n")).alias(share)))
+    drawn = fine.select("text", "lang", F.col(key).cast("string").alias("key")).join(some, "lang").filter(
+        F.pmod(F.xxhash64("key", F.lit(11)), F.lit(1 << 30)) < F.col(share) * float(1 << 30))
+    rows = drawn.select("text", "lang", "key").limit(2 * each * max(n, 1)).collect()
     return fit([(r["text"], r["lang"]) for r in sorted(rows, key=lambda r: (r["key"] or "", r["lang"], r["text"]))])
 
 

@@ -122,13 +122,20 @@ def pieces(texts: list[bytes], size: int = 100):
     return (texts[i:i + size] for i in range(0, len(texts), size))
 
 
-def fit(rows, epochs: int = 80, rate: float = 0.3, sparsity: float = 0.3) -> Model:
+def fit(rows, counts: tuple[int, int] | None = None, epochs: int = 80, rate: float = 0.3, sparsity: float = 0.3) -> Model:
     """Minimise log loss of the noisy-or over (text, label) rows, plus ``sparsity`` times the absolute weights.
 
-    Most words tell nothing, so most weights come out zero.
+    Most words tell nothing, so most weights come out zero. ``counts`` are the documents labelled 0 and 1 of which the rows are a
+    sample: each row weighs as many as it stands for, so that scores and the share of toxic
+    documents are those of all labels, whatever was drawn of either.
     """
     texts, labels = [(t or "").encode() for t, _ in rows], np.array([y for _, y in rows], dtype=np.float64)
-    share = (labels.sum() + 0.5) / (len(labels) + 1) if len(labels) else 0.5
+    drawn = (int((labels == 0).sum()), int((labels == 1).sum()))
+    counts = counts or drawn
+    share = (counts[1] + 0.5) / (sum(counts) + 1)
+    stands = [c / d if d else 1.0 for c, d in zip(counts, drawn)]
+    mass = np.where(labels == 1, stands[1], stands[0])
+    mass = mass / mass.mean() if len(mass) else mass
     if not len(labels) or labels.min() == labels.max():  # nothing to tell apart: every document gets the share
         return Model(np.zeros(1 << BITS), math.log(share / (1 - share)) - 12, share)
     # A feature of one or two documents only tells them apart from the rest of the sample: none of those is used.
@@ -141,16 +148,16 @@ def fit(rows, epochs: int = 80, rate: float = 0.3, sparsity: float = 0.3) -> Mod
             pair = np.unique(owner << BITS | features[:, k])
             documents += np.bincount(pair & ((1 << BITS) - 1), minlength=1 << BITS).astype(np.int32)
     known = documents >= LEAST_DOCUMENTS
-    flats, ats, counts, offset = [], [], [], 0
+    flats, ats, sentences, offset = [], [], [], 0
     for features, sentence, per_text, starts in map(bags, pieces(texts)):
         fine = known[features]
         flats.append(features[fine])
         ats.append(np.broadcast_to((sentence + offset).astype(np.int32)[:, None], features.shape)[fine])
-        counts.append(per_text)
+        sentences.append(per_text)
         offset += len(starts)
     flat, at = np.concatenate(flats), np.concatenate(ats)
     del flats, ats
-    owner = np.repeat(np.arange(len(labels), dtype=np.int32), np.concatenate(counts))
+    owner = np.repeat(np.arange(len(labels), dtype=np.int32), np.concatenate(sentences))
     weights, bias = np.zeros(1 << BITS), START
     seen, bias_seen = np.full(1 << BITS, 1e-4), 1e-4
     for _ in range(epochs):
@@ -160,7 +167,7 @@ def fit(rows, epochs: int = 80, rate: float = 0.3, sparsity: float = 0.3) -> Mod
         hit = -np.expm1(np.minimum(total, -1e-9))
         # d loss / d logit = p_sentence * (1 - y / p_document)
         p = np.exp(-np.logaddexp(0, -logit))
-        g = np.where(labels == 1, 1 - 1 / np.maximum(hit, 1e-6), 1.0)[owner] * p
+        g = (mass * np.where(labels == 1, 1 - 1 / np.maximum(hit, 1e-6), 1.0))[owner] * p
         grad = np.bincount(flat, g[at], minlength=1 << BITS)
         seen += grad * grad
         step = rate / np.sqrt(seen)
@@ -176,16 +183,18 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Mod
     """Fit on the texts of ``docs`` whose doc_id has a label (doc_id, label) of 0 or 1.
 
     At most ``per_label`` rows of either label are used, chosen by a hash of their id;
-    of several labels of an id the larger counts. Without labelled rows every document
-    scores one half.
+    of several labels of an id the larger counts. The model is that of all labels, of which the sample's rows are
+    weighted shares. Without labelled rows every document scores one half.
     """
     fine = labels.filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1))
     one = fine.groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
+    whole = {r["label"]: r["n"] for r in one.groupBy("label").agg(F.count("*").alias("n")).collect()}
     parts = [one.filter(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label) for y in (0, 1)]
     sample = parts[0].unionByName(parts[1])
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # 2 * per_label rows at most
     rows = texts.limit(4 * per_label).collect()
-    return fit([(r["text"], r["label"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["text"] or ""))])
+    own = [(r["text"], r["label"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["text"] or ""))]
+    return fit(own, (whole.get(0, 0), whole.get(1, 0)))
 
 
 def toxicity(model: Model, text: str = "text") -> Column:

@@ -125,7 +125,6 @@ def test_packing(spark, sf):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     ids = {}
     for d in table(spark, sf, "documents"):
         own = np.array([*tokenizer.encode(d["text"] or "", add_special_tokens=False).ids, 1], dtype="<u4")

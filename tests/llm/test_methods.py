@@ -1,6 +1,7 @@
 """The parts of the operators against plain versions of themselves."""
 
 import random
+import time
 from collections import Counter
 
 import brute
@@ -227,12 +228,50 @@ def test_toxic_sentences_are_found():
     assert any("vile" in text[s["start"]:s["end"]] for s in found)
 
 
+def plain_score(model, text):
+    """Noisy-or over the sentences, one by one."""
+    features, sentence, per_text, _ = toxicity.Bags()([text.encode()])
+    if not per_text[0]:
+        return model.base
+    fine = 1.0
+    for s in range(per_text[0]):
+        logit = model.bias + float(model.weights[features[sentence == s]].astype(float).sum())
+        fine *= 1 - 1 / (1 + np.exp(-logit))
+    return 1 - fine
+
+
+def test_a_balanced_sample_stands_for_all_labels(spark):
+    """Many clean documents, few toxic ones, of each as many drawn: empty texts score the share of all labels."""
+    rng = random.Random(17)
+    word = lambda: rng.choice(["river", "stone", "winter", "bread", "harbour", "letter"])
+    rows = [(i, " ".join(word() for _ in range(12)) + ("." if i % 20 else ". you idiot fool."), int(i % 20 == 0)) for i in range(2000)]
+    docs = spark.createDataFrame([r[:2] for r in rows] + [(9999, "")], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, label int")
+    model = toxicity.train(docs, labels, per_label=100)
+    texts = [t for _, t, _ in rows[:200]] + ["", "river stone. you idiot fool. bread"]
+    scores = [s for s, _ in model.score(toxicity.Bags(), [t.encode() for t in texts])]
+    assert model.base == pytest.approx(0.05, abs=0.01) and scores[-2] == pytest.approx(model.base)
+    assert all((s >= 0.5) == bool(r[2]) for s, r in zip(scores, rows)) and scores[-1] > 0.5
+    assert scores == pytest.approx([plain_score(model, t) for t in texts], abs=1e-5)
+
+
 def test_toxicity_without_both_labels():
     for rows in ([], [("a", 0)], [("a", 1)]):
         score = toxicity.fit(rows).score(toxicity.Bags(), [b"some words", b""])
         assert all(0 <= s <= 1 for s, _ in score)
 
 
+def test_every_language_has_a_share_of_the_sample(spark):
+    """A language of few documents is learned from a table of very many others, too."""
+    rows = [(i, "the river and the old stones of the wide sea", "en") for i in range(3000)]
+    rows += [(5000 + i, "der alte fluss trägt die steine zum weiten meer", "de") for i in range(12)] + [(9000, "² ½ ①", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(docs, max_rows=60, least_rows=20)
+    assert set(model.names) == {"en", "de"}
+    assert model.predict("der weite fluss und die alten steine".encode())[0] == "de"
+    assert model.predict("² ½ ①".encode())[0] == "und"
+
+
 def test_language_of_stretches():
     raw = ("ein haus und die strasse " * 30000).encode()
     whole = np.sort(np.concatenate(list(language.subwords(raw))))
@@ -288,7 +327,6 @@ def test_ids_are_those_of_the_tokenizer(texts):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     encoder = packing.Encoder(packing.VOCABULARY)
     for text in [*texts, "<|endoftext|> a", "x" * 3000, " \n\n  tab\t"]:
         assert encoder(text).tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
@@ -446,6 +484,21 @@ PAGE = (
 )
 
 
+@pytest.mark.parametrize("depth", [3, 510, 600, 3000])
+def test_text_after_a_deep_part_keeps_its_path(depth):
+    page = f"<div id=wrap><article>{'<div>' * depth}<p>deep<b>er</p>{'</div>' * depth}<p>after</p></article><p>out</p></div><p>end</p>"
+    paths = {b.text: [t for t, _ in b.path] for b in extraction.leaf_blocks(page)}
+    assert paths["after"] == ["div", "article", "p"] and paths["out"] == ["div", "p"] and paths["end"] == ["p"]
+    assert paths["deeper"][:2] == ["div", "article"] and len(paths["deeper"]) <= extraction.DEPTH
+
+
+def test_raw_text_that_never_closes():
+    page = "<p>one</p><script>" + "</script " * 40000
+    began = time.perf_counter()
+    assert [b.text for b in extraction.leaf_blocks(page)] == ["one"]
+    assert time.perf_counter() - began < 2
+
+
 def test_all_words_of_blocks_and_classes_are_read():
     own = [f"w{i}" for i in range(95)]
     _, words, _ = extraction.features([extraction.Block((), " ".join(own), 0.0)], {})
