@@ -83,24 +83,24 @@ def shared(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
+def written(df: DataFrame, purpose: str, codec: str | None = None) -> DataFrame:
     """The rows as a table in the shared folder: computed once, safe from lost executors."""
     spark = df.sparkSession
     path = shared(spark, purpose)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 
 TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def written_tidily(df: DataFrame, purpose: str) -> DataFrame:
+def written_tidily(df: DataFrame, purpose: str, codec: str | None = None) -> DataFrame:
     """As ``written``; the shuffle files of the write are removed at its end, which no later plan reads."""
     conf = df.sparkSession.conf
     before = conf.get(TIDY, None)
     conf.set(TIDY, "true")
     try:
-        return written(df, purpose)
+        return written(df, purpose, codec)
     finally:
         conf.unset(TIDY) if before is None else conf.set(TIDY, before)
 

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cyclemill.llm.common import fresh, written_tidily
+from cyclemill.llm.common import fresh, removed, written_tidily
 from cyclemill.sizing import small_side
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -159,28 +159,29 @@ def classes(pairs: DataFrame, *names: str) -> DataFrame:
     return by.select(*names, "n", F.struct("n", "_sum", "_other").alias("class"))
 
 
-def disclosures(found: DataFrame, occurrences: DataFrame, threshold: float) -> DataFrame:
+def long_words(text: Column) -> Column:
+    """The different words of three letters or more, in small letters."""
+    return F.filter(F.array_distinct(F.split(F.lower(text), WORDS)), lambda w: F.length(w) >= 3)
+
+
+def disclosures(texts: DataFrame, shared: DataFrame, held: DataFrame, threshold: float) -> DataFrame:
     """key and term: the terms that give an entity of a document away, by counts over all documents.
 
-    ``found`` has the words of every document, and apart from its entities; ``occurrences`` its entities. As a pair
-    stands in no more documents than its entity, a term in too many of them cannot reach the threshold with
-    it: such pairs are not made.
+    ``texts`` are all different texts (key, text), ``shared`` those with an entity that stands in another, too, and ``held`` these
+    entities by class. As a pair stands in no more documents than its entity, a term in too many of them cannot
+    reach the threshold with it: such pairs are not made.
     """
-    total = found.count()
-    if not total:
-        return occurrences.select("key", F.col("value").alias("term")).limit(0)
-    n = F.lit(float(total))
-    entity = classes(occurrences, "kind", "value").filter((F.col("n") >= LEAST_DOCUMENTS) & (F.col("n") < total))
-    held = written_tidily(occurrences.join(entity, ["kind", "value"]).select(
-        "key", F.col("class").alias("entity"), F.col("n").alias("n_entity")).distinct(), "held")
+    total = texts.count()
+    n = F.lit(float(max(total, 1)))
+    held = held.filter(F.col("n_entity") < total)
     most = held.agg(F.max("n_entity")).first()[0] or 0
     rare = lambda n_entity: F.log(n / F.col("n_term")) >= threshold * F.log(n / n_entity) - 1e-9
-    term = written_tidily(found.select("key", F.explode("words").alias("term")).groupBy("term").agg(F.count("*").alias("n_term")), "terms")
-    some = term.filter((F.col("n_term") >= LEAST_DOCUMENTS) & rare(F.lit(float(max(most, 1)))))
+    term = written_tidily(texts.select(F.explode(long_words(F.col("text"))).alias("term")).groupBy("term").agg(
+        F.count("*").alias("n_term")).filter(F.col("n_term") >= LEAST_DOCUMENTS), "terms")
+    some = term.filter(rare(F.lit(float(max(most, 1)))))
     # words that stand nearly everywhere leave before anything is shuffled by word
     common = term.filter((F.col("n_term") > max(COMMON, total // 100)) & ~rare(F.lit(float(max(most, 1))))).select("term")
-    rows = found.filter("context IS NOT NULL").join(held.select("key").distinct(), "key", "left_semi").select(
-        "key", F.explode("context").alias("term")).join(small_side(common), "term", "left_anti")
+    rows = shared.select("key", F.explode(long_words(outside(F.col("text")))).alias("term")).join(small_side(common), "term", "left_anti")
     near = written_tidily(rows.join(some.select("term"), "term"), "near")
     term_class = classes(near, "term").select("term", F.col("class").alias("words"), F.col("n").alias("n_here")).join(some, "term")
     told = written_tidily(near.join(term_class, "term").filter(F.col("n_here") >= LEAST_DOCUMENTS), "told")
@@ -204,38 +205,48 @@ def text_key(text: Column) -> Column:
     return F.md5(F.coalesce(text, F.lit("")))
 
 
-def find_private(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(key, spans) of every different text: spans sorted by start and kind, of fixed formats and of terms.
+def telling_terms(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(key, terms): the spans of terms that give an entity away, of every different text that has any, by its ``text_key``.
 
-    ``key`` is the ``text_key``. Null and empty texts have no spans. A term that overlaps a fixed format is left out.
-    Spans have start, rank, end, kind and marker, the text that takes their place.
+    Spans have start, rank, end, kind and marker, the text that takes their place; a term that overlaps a fixed
+    format is left out.
     """
-    one = docs.select(text_key(F.col("text")).alias("key"), "text").groupBy("key").agg(F.first("text").alias("text"))
-    read = one.withColumn("spans", F.coalesce(entities(F.col("text")), F.array().cast(f"array<struct<{SPAN},value:string>>")))
-    found = written_tidily(read, "entities")
-    occurrences = written_tidily(found.select("key", F.explode("spans").alias("s")).select(
+    keyed = docs.select(text_key(F.col("text")).alias("key"), "text")
+    occurrences = written_tidily(keyed.select("key", F.explode(entities(F.col("text"))).alias("s")).select(
         "key", "s.kind", F.lower("s.value").alias("value")).distinct(), "occurrences")
-    long_words = lambda text: F.filter(F.array_distinct(F.split(F.lower(text), WORDS)), lambda w: F.length(w) >= 3)
-    words = found.select("key", long_words(F.col("text")).alias("words"), F.when(
-        F.size("spans") > 0, long_words(outside(F.col("text")))).alias("context"))
-    telling = written_tidily(disclosures(words, occurrences, threshold), "disclosures")
+    entity = classes(occurrences, "kind", "value").filter(F.col("n") >= LEAST_DOCUMENTS)
+    held = written_tidily(occurrences.join(entity, ["kind", "value"]).select(
+        "key", F.col("class").alias("entity"), F.col("n").alias("n_entity")).distinct(), "held")
+    # every different text once; it is read by word, and those that share an entity again
+    one = keyed.groupBy("key").agg(F.first("text").alias("text")).join(
+        held.select("key").distinct().withColumn("shared", F.lit(True)), "key", "left")
+    texts = written_tidily(one.select("key", "text", F.coalesce("shared", F.lit(False)).alias("shared")), "texts", codec="zstd")
+    shared = written_tidily(texts.filter("shared").select("key", "text"), "shared", codec="zstd")
+    telling = written_tidily(disclosures(texts, shared, held, threshold), "disclosures")
     # the words of the documents that hold a telling term, with their places
     marker = F.when(F.col("m.value").rlike(r"\p{N}"), "[NUMBER]").when(F.col("m.value").rlike(r"^\p{Lu}"), "[NAME]").otherwise("")
-    some = found.join(telling.select("key").distinct(), "key", "left_semi")
+    some = shared.join(telling.select("key").distinct(), "key", "left_semi")
     word = some.select("key", F.explode(matches(F.col("text"), F.lit(r"[\p{L}\p{N}]+"))).alias("m")).select(
         "key", F.lower("m.value").alias("term"), F.col("m.start").alias("start"), F.lit(len(KINDS) - 1).alias("rank"),
         F.col("m.end").alias("end"), F.lit("term").alias("kind"), marker.alias("marker"))
-    formats = some.select("key", F.explode("spans").alias("s")).select(
+    formats = some.select("key", F.explode(entities(F.col("text"))).alias("s")).select(
         "key", "s.start", "s.rank", "s.end", "s.kind", F.lit(None).cast("string").alias("marker"))
     terms = apart(word.join(telling, ["key", "term"]).select(*formats.columns).unionByName(formats))
-    by_key = terms.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "rank", "end", "kind", "marker"))).alias("terms"))
-    none = F.array().cast(f"array<struct<{SPAN},marker:string>>")
-    base = F.transform("spans", lambda s: F.struct(
+    made = terms.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "rank", "end", "kind", "marker"))).alias("terms"))
+    made = written_tidily(made, "terms")
+    for table in (occurrences, held, texts, shared, telling):
+        removed(table)
+    return made
+
+
+def all_spans(text: Column, terms: Column) -> Column:
+    """Spans of the fixed formats and the terms, sorted by start and kind; a null text has none."""
+    base = F.transform(entities(F.coalesce(text, F.lit(""))), lambda s: F.struct(
         s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"),
         F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("marker"),
     ))
-    joined = found.select("key", "spans").join(by_key, "key", "left")
-    return joined.select("key", F.array_sort(F.concat(base, F.coalesce("terms", none))).alias("spans"))
+    none = F.array().cast(f"array<struct<{SPAN},marker:string>>")
+    return F.array_sort(F.concat(base, F.coalesce(terms, none)))
 
 
 def apart(spans: DataFrame) -> DataFrame:
@@ -251,8 +262,11 @@ def apart(spans: DataFrame) -> DataFrame:
 
 def private_spans(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id and its spans, for every row of ``docs`` (columns doc_id and text); repeated rows each have theirs."""
-    found = find_private(docs.select("text"), threshold)
-    return docs.select("doc_id", text_key(F.col("text")).alias("key")).join(found, "key").select("doc_id", "spans")
+    terms = telling_terms(docs.select("text"), threshold)
+    own = docs.select("doc_id", text_key(F.col("text")).alias("key"), all_spans(F.col("text"), F.lit(None)).alias("base"))
+    return own.join(small_side(terms), "key", "left").select(
+        "doc_id", F.when(F.col("terms").isNull(), F.col("base")).otherwise(
+            F.array_sort(F.concat("base", "terms"))).alias("spans"))
 
 
 CHUNK = 256
@@ -283,8 +297,9 @@ def sanitise(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with every span of the text replaced by its marker; of overlapping spans the first is replaced,
     and what the others cover goes with it. A null text stays null. Other columns may have any names.
     """
-    key, own, made = fresh("key"), fresh("spans"), fresh("clean")
-    named = find_private(docs.select("text"), threshold).select(F.col("key").alias(key), F.col("spans").alias(own))
-    clean = F.when(F.size(own) > 0, replaced(F.col("text"), F.col(own))).otherwise(F.col("text"))
-    joined = docs.withColumn(key, text_key(F.col("text"))).join(named, key)
+    key, own, made = fresh("key"), fresh("terms"), fresh("clean")
+    named = telling_terms(docs.select("text"), threshold).select(F.col("key").alias(key), F.col("terms").alias(own))
+    joined = docs.withColumn(key, text_key(F.col("text"))).join(small_side(named), key, "left")
+    clean = let(all_spans(F.col("text"), F.col(own)), lambda spans: F.when(
+        F.size(spans) > 0, replaced(F.col("text"), spans)).otherwise(F.col("text")))
     return joined.withColumn(made, clean).withColumn("text", F.col(made)).select(*docs.columns)
