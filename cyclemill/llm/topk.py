@@ -6,7 +6,7 @@ is largest. All lists are read in step, from depth to depth: what is newly read
 running sums of its vectors. A vector's score lies between its sum with the unread components at their
 worst, and its sum with them at the value their list has come to. Reading stops for a query
 when few vectors have an upper bound that reaches the k-th lower bound; the sums of these are completed with their unread
-components. A query whose bounds do not close reads its lists to their end, where the sums are the scores.
+components. Where the bounds have not closed at the last depth, the sums of all vectors are.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from cyclemill.llm.common import written
 
 BLOCK = 4096
 QUERY_BLOCK = 1024
-DEPTHS = (1 / 64, 1 / 16, 1 / 8, 1 / 4, 1 / 2, 3 / 4, 1)
+DEPTHS = (1 / 64, 1 / 8)
 QUERIES_AT_ONCE = 128
 EXACT = 2.0**52
 HALF = 62  # bits of the lower part of a score, on its way between tasks
@@ -54,9 +54,14 @@ def aggregate(lists: Lists, queries: np.ndarray, query_rows: np.ndarray, k: int,
     live = np.arange(len(queries))
     # running sums: one row for each vector, one column for each query that still reads
     sums, come = np.zeros((n, len(queries)), dtype=lists.vectors.dtype), 0
+
+    def unread(at, up, down):
+        """What is left of the products of the vectors ``at``, whose lists have been read to the depth ``come``."""
+        return ((lists.place[at] < n - come) * lists.vectors[at]) @ up + ((lists.place[at] >= come) * lists.vectors[at]) @ down
+
     for share in DEPTHS:
-        depth = n if share == 1 else int(n * share)
-        if depth <= come:
+        depth = int(n * share)
+        if depth <= max(come, k):
             continue
         # a positive weight reads its list from the top, a negative one from the bottom
         up, down = np.maximum(asked[:, live], 0), np.minimum(asked[:, live], 0)
@@ -65,17 +70,10 @@ def aggregate(lists: Lists, queries: np.ndarray, query_rows: np.ndarray, k: int,
             sums[lists.order[top, j]] += lists.sorted[top, j, None] * up[j]
             sums[lists.order[bottom, j]] += lists.sorted[bottom, j, None] * down[j]
         come = depth
-        own = lists.rows[:, None] == query_rows[live][None, :]
-        if depth == n:
-            for column, q in enumerate(live):
-                yield from best(lists, q, np.flatnonzero(~own[:, column]), sums[:, column], k)
-            if read is not None:
-                read += [1.0] * len(live)
-            return
         below, above = lists.place < n - depth, lists.place >= depth  # not yet read from the top, from the bottom
         upper = sums + (below * lists.sorted[n - depth]) @ up + (above * lists.sorted[depth - 1]) @ down
         lower = sums + (below * lists.low) @ up + (above * lists.high) @ down
-        fine = ~own
+        fine = lists.rows[:, None] != query_rows[live][None, :]
         stays = []
         for column, q in enumerate(live):
             at = np.flatnonzero(fine[:, column])
@@ -85,15 +83,19 @@ def aggregate(lists: Lists, queries: np.ndarray, query_rows: np.ndarray, k: int,
             if len(at) > max(4 * k, n // 64):
                 stays.append(column)
                 continue
-            rest = (below[at] * lists.vectors[at]) @ up[:, column] + (above[at] * lists.vectors[at]) @ down[:, column]
             score = np.zeros(n, dtype=sums.dtype)
-            score[at] = sums[at, column] + rest
+            score[at] = sums[at, column] + unread(at, up[:, column], down[:, column])
             yield from best(lists, q, at, score, k)
             if read is not None:
                 read.append(depth / n)
         live, sums = live[stays], sums[:, stays]
         if not len(live):
             return
+    sums = sums + unread(np.arange(n), np.maximum(asked[:, live], 0), np.minimum(asked[:, live], 0))
+    for column, q in enumerate(live):
+        yield from best(lists, q, np.flatnonzero(lists.rows != query_rows[q]), sums[:, column], k)
+        if read is not None:
+            read.append(1.0)
 
 
 def best(lists: Lists, q: int, at: np.ndarray, scores: np.ndarray, k: int):
