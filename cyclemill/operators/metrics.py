@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cyclemill.operators.ordering import running_totals
@@ -169,3 +169,106 @@ def roc_auc(points: DataFrame) -> DataFrame:
     area = F.sum(F.col("neg").cast("double") * (above + F.col("pos") / 2))
     pairs = F.max("all_pos").cast("double") * F.max("all_neg")
     return points.agg(F.when(pairs > 0, area / pairs).alias("auc"))
+
+
+EVALUATION_STATE = "label long, prediction long, bin long, n long, loss double"
+SCORE_BITS = 12
+
+
+def evaluation_state(scored: DataFrame, bits: int = SCORE_BITS) -> DataFrame:
+    """What ``merged_evaluation`` needs of some predictions ``(label, prob, prediction)``, without the predictions.
+
+    Counts and summed losses per cell of the confusion matrix and bin of the last class's probability: at most
+    classes squared times ``2 ** bits`` rows.
+    """
+    score = F.element_at("prob", -1)
+    return scored.groupBy(
+        F.col("label").cast("long").alias("label"), F.col("prediction").cast("long").alias("prediction"),
+        score_bin(score, bits).alias("bin"),
+    ).agg(F.count(F.lit(1)).alias("n"), F.sum(log_loss()).alias("loss"))
+
+
+def score_bin(score: Column, bits: int) -> Column:
+    """Number of the bin of a score between 0 and 1; 1 belongs to the last one."""
+    width = 1 << bits
+    return F.least(F.floor(score * width), F.lit(width - 1)).cast("long")
+
+
+def merged_evaluation(states: DataFrame) -> DataFrame:
+    """One row as ``evaluation`` gives it, from states of any number of parts, with the area under the curve of a
+    two-class model (null for others) and how far that may be off."""
+    cells = states.groupBy("label", "prediction").agg(F.sum("n").alias("n"), F.sum("loss").alias("loss"))
+    classes = per_class_metrics(cells, carry=["loss"])
+    row = classes.agg((F.sum("loss") / F.sum("actual")).alias("loss"), *_summaries(), F.max("class").alias("_last"))
+    positive = F.when(F.col("label") == 1, F.col("n")).otherwise(0)
+    bins = states.groupBy("bin").agg(F.sum(positive).alias("pos"), F.sum(F.col("n") - positive).alias("neg"))
+    area = binned_auc(bins)
+    both = row.crossJoin(F.broadcast(area))  # one row each
+    two = F.col("_last") <= 1
+    return both.select(
+        *[c for c in row.columns if c != "_last"], *[F.when(two, F.col(c)).alias(c) for c in ("auc", "auc_error")])
+
+
+def roc_histogram(scored: DataFrame, bits: int = SCORE_BITS, score: str = "score", label: str = "label") -> DataFrame:
+    """``(bin, pos, neg)`` of scores between 0 and 1: at most ``2 ** bits`` rows, and the sums of two are that of both tables."""
+    positive = F.col(label).cast("long")
+    return scored.groupBy(score_bin(F.col(score), bits).alias("bin")).agg(
+        F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg"))
+
+
+def binned_auc(bins: DataFrame, order: str = "bin") -> DataFrame:
+    """``(auc, auc_error)``: the area under the curve of binned scores, and the most by which it can differ from the exact one.
+
+    Pairs of one bin count one half; the error is that half, reached if every bin is wholly in or out of order.
+    """
+    so_far = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    # bins are few by construction, whatever was binned
+    placed = bins.withColumn("_below", F.coalesce(F.sum("neg").over(so_far), F.lit(0)))
+    pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
+    sure = F.sum(F.col("pos").cast("double") * F.col("_below"))
+    tied = F.sum(F.col("pos").cast("double") * F.col("neg")) / 2
+    return placed.agg(F.when(pairs > 0, (sure + tied) / pairs).alias("auc"), F.when(pairs > 0, tied / pairs).alias("auc_error"))
+
+
+def refined_roc(
+    scored: DataFrame, tolerance: float = 1e-4, bits: int = 10, passes: int = 5, score: str = "score", label: str = "label"
+) -> DataFrame:
+    """``(low, width, pos, neg)``: bins of scores between 0 and 1, cut finer where positives and negatives lie close together.
+
+    A pass cuts the bins that make up most of the error, at most ``2 ** bits`` of them, into ``2 ** bits`` each, until
+    ``binned_auc`` by ``low`` is off by ``tolerance`` at most. Ties are told from close scores only down to the last
+    pass's width; their error, which is not one of order, stays in the bound.
+    """
+    spark = scored.sparkSession
+    rows = kept(scored.select(F.col(score).cast("double").alias("s"), F.col(label).cast("long").alias("y")), "scores")
+    parts, whole = 1 << bits, None
+    open_ = [(0.0, 1.0)]
+    done: list[tuple] = []
+    for number in range(passes):
+        width = 1.0 / parts ** (number + 1)
+        if number == 0:
+            inside = rows
+        else:
+            starts = spark.createDataFrame([(low,) for low, _ in open_], "_low double")
+            inside = rows.join(F.broadcast(starts), F.floor(F.col("s") * parts**number) / parts**number == F.col("_low"))
+        low = F.least(F.floor(F.col("s") / width) * width, F.lit(1.0 - width))
+        found = [tuple(r) for r in inside.groupBy(low.alias("low")).agg(
+            F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")).collect()]
+        if whole is None:
+            whole = max(sum(p for _, p, _ in found) * sum(n for *_, n in found), 1)
+        error = lambda r: r[1] * r[2] / 2 / whole
+        found.sort(key=error, reverse=True)
+        rest = sum(map(error, found)) + sum(p * n / 2 / whole for _, _, p, n in done)
+        cut = []
+        if number + 1 < passes:
+            for r in found[:parts]:
+                if rest <= tolerance:
+                    break
+                rest -= error(r)
+                cut.append(r[0])
+        chosen = set(cut)
+        done += [(low_, width, p, n) for low_, p, n in found if low_ not in chosen]
+        open_ = [(low_, width) for low_ in cut]
+        if not cut:
+            break
+    return spark.createDataFrame(done, "low double, width double, pos long, neg long")

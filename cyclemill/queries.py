@@ -26,6 +26,7 @@ from cyclemill.sizing import small_side
 from cyclemill.sources import logs
 from cyclemill.sources.journal import Journal
 from cyclemill.sources.models import read_stats, read_steps
+from cyclemill.sources.states import put_part, read_parts
 from cyclemill.sources.series import count_series, read_series, write_series
 
 FEATURES = ["value", "k", "cycle_norm"]
@@ -1113,5 +1114,51 @@ def balanced_deal(spark, sf):
     return balance.balanced_workers(costs, 4, 2)
 
 
+# ------------------------------------------------ states that merge
+
+
+@query(LOG + STATS.format(t="log"))
+def merged_scaler(spark, sf):
+    """Statistics of the whole log from states of its parts, one of which was delivered twice."""
+    log = kept(scaling.with_cycle_feature(cycle_log(spark, sf)), "log")
+    path = shared_folder(spark, "states")
+    for part in (0, 1, 2, 1):
+        put_part(scaling.scaler_state(log.where(F.pmod("id", F.lit(3)) == part), FEATURES), path, f"p{part}")
+    merged = scaling.merge_scaler_states(read_parts(spark, path, scaling.STATE))
+    table = scaling.scaler_table(scaling.scaler_of_state(merged, FEATURES))
+    return rounded(table, ["mean", "std"])
+
+
+@query(
+    CLASSES
+    + """ SELECT (SELECT round(avg(-ln(greatest(least(p[label2 + 1], 1 - 1e-7), 1e-7))), 6) FROM soft) AS loss,
+  round(sum(tp) / sum(actual), 6) AS accuracy, round(avg(precision), 6) AS precision,
+  round(avg(recall), 6) AS recall, round(avg(f1), 6) AS f1, count(precision) AS precision_classes,
+  count(recall) AS recall_classes FROM rated"""
+)
+def merged_evaluation(spark, sf):
+    """The evaluation of all predictions from stored states of their parts, one of which came twice."""
+    scored = kept(scored_log(spark, sf).select("id", F.col("label2").alias("label"), "prob", "prediction"), "scored")
+    path = shared_folder(spark, "states")
+    for part in (0, 1, 2, 0):
+        put_part(metrics.evaluation_state(scored.where(F.pmod("id", F.lit(3)) == part)), path, f"day{part}")
+    merged = metrics.merged_evaluation(read_parts(spark, path, metrics.EVALUATION_STATE))
+    return rounded(merged.drop("auc", "auc_error"), ["loss", "accuracy", "precision", "recall", "f1"])
+
+
+@query(
+    LABELLED
+    + """, bins AS (
+  SELECT CAST(least(floor(value / (1 + value) * 4096), 4095) AS BIGINT) AS bin, sum(label1) AS pos, sum(1 - label1) AS neg
+  FROM labelled GROUP BY 1),
+placed AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM bins)
+SELECT round((sum(CAST(pos AS DOUBLE) * below) + sum(CAST(pos AS DOUBLE) * neg) / 2) / (CAST(sum(pos) AS DOUBLE) * sum(neg)), 6) AS auc,
+  round(sum(CAST(pos AS DOUBLE) * neg) / 2 / (CAST(sum(pos) AS DOUBLE) * sum(neg)), 6) AS auc_error FROM placed"""
+)
+def roc_binned(spark, sf):
+    """Area under the curve from a histogram of fixed size, and how far it may be off."""
+    return rounded(metrics.binned_auc(metrics.roc_histogram(scored_log(spark, sf), 12, "score", "label1")), ["auc", "auc_error"])
+
+
 for registry in (QUERIES, ORACLES):
     registry["sequences"] = registry.pop("sequences_")

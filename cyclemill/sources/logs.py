@@ -43,6 +43,44 @@ def read_log(spark: SparkSession, folder: str, split: str, unit: str = "001", re
     return named.withColumns({"unit": F.lit(unit), "split": F.lit(split)})
 
 
+BAD_LINES = "file string, line string"
+
+
+def read_log_with_ledger(
+    spark: SparkSession, folder: str, split: str, ledger: str, unit: str = "001", readings: int = 21, most: float = 0.01
+) -> DataFrame:
+    """As ``read_log``, but lines that cannot be read go to a table at ``ledger`` (file and line) and are left out.
+
+    A line is bad if it has too few or too many fields or a value of the wrong type. More than the share ``most`` of bad lines
+    fails the call, with the ledger written. The ledger of an earlier call is replaced.
+    """
+    schema = log_schema(readings)
+    path = f"{folder}/{FILE_NAME.format(kind=split, unit=unit)}"
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line")).where("line <> ''")
+    parts = F.split("line", " ", -1)
+    values = [F.get(parts, F.lit(i)) for i in range(len(schema))]
+    named = lines.select("file", "line", F.size(parts).alias("_n"), *[v.alias(f"_v{i}") for i, v in enumerate(values)])
+    cast = [F.expr(f"try_cast(_v{i} as {f.dataType.simpleString()})").alias(f.name) for i, f in enumerate(schema.fields)]
+    typed = named.select("file", "line", "_n", *cast, *[F.col(f"_v{i}") for i in range(len(schema))])
+    # an empty field is a null; any other that does not cast is bad
+    wrong = F.lit(False)
+    for i, f in enumerate(schema.fields):
+        wrong = wrong | ((F.col(f"_v{i}") != "") & F.col(f.name).isNull())
+    judged = typed.withColumn("_bad", (F.col("_n") != len(schema)) | F.coalesce(wrong, F.lit(False)))
+    judged.where("_bad").select("file", "line").write.mode("overwrite").parquet(ledger)
+    bad = spark.read.schema(BAD_LINES).parquet(ledger).count()
+    whole = lines.count()
+    if bad > most * whole:
+        raise ValueError(f"{bad} of {whole} lines of {path} cannot be read; they are listed in {ledger}")
+    good = judged.where("NOT _bad").select(*[f.name for f in schema.fields])
+    width = len(schema)
+    return drop_positions(good, [width - 2, width - 1]).withColumns({"unit": F.lit(unit), "split": F.lit(split)})
+
+
+def read_bad_lines(spark: SparkSession, ledger: str) -> DataFrame:
+    return spark.read.schema(BAD_LINES).parquet(ledger)
+
+
 def entity_id(unit: str, engine: Column) -> Column:
     """One id for an engine of a unit: engines of different units never share it."""
     return (F.lit(int(unit) * UNIT_STEP) + engine).cast("long")
