@@ -72,7 +72,7 @@ def test_refining_where_scores_crowd(spark):
     df = spark.createDataFrame(rows, "score double, label int").cache()
     auc = metrics.roc_auc(metrics.roc_points(df)).first()["auc"]
     coarse = metrics.binned_auc(metrics.roc_histogram(df, 10)).first()
-    bins = metrics.refined_roc(df, 1e-4, 6, 6)
+    bins = metrics.refined_roc(df, 1e-4, 9, 5)
     fine = metrics.binned_auc(bins, "low").first()
     assert coarse.auc_error > 0.1 and fine.auc_error <= 1e-4 and abs(fine.auc - auc) <= fine.auc_error + 1e-12
     assert bins.agg(F.sum("pos") + F.sum("neg")).first()[0] == len(rows)
