@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -24,7 +25,7 @@ from cyclemill.operators.splits import (
     window_batch_rows,
 )
 from cyclemill.plans.scoring import score
-from cyclemill.plans.training import Settings, Trained, export_rounds, open_rounds, train
+from cyclemill.plans.training import Settings, Trained, export_rounds, open_rounds, train, written
 from cyclemill.session import delete_table
 from cyclemill.sizing import small_side
 from cyclemill.sources.batches import read_batches, write_batches
@@ -62,6 +63,15 @@ class Series:
         )
 
 
+@contextmanager
+def numbered_once(log: DataFrame) -> Iterator[Series]:
+    """The series of ``log`` from a written table, for plans that read its phases one by one; it is deleted at the end."""
+    series = Series.of(log)
+    with written(series.log, "numbered") as table:
+        lengths = table.groupBy("id").agg(F.max(POSITION).alias("n_cycles"))
+        yield Series(table, lengths, series.extent)
+
+
 def window_rows(
     series: Series, features: Sequence[str], label: str, length: int, batch_size: int, tail: str | None = None
 ) -> DataFrame:
@@ -103,17 +113,17 @@ def fit_windows(
     which may cut through one entity. With a ``resume_path`` the same call goes on where
     a run that was cut short had got to: its minibatches, weights and statistics lie there.
     """
-    whole = Series.of(labelled)
-    if split == "entity":
-        phases = entity_phases(labelled, extent=whole.extent.as_one_group)
-        mine, other, tails = whole.part(phases, "train"), whole.part(phases, "val"), (None, None)
-    elif split == "tail":
-        mine, other, tails = whole, whole, ("train", "val")
-    else:
+    if split not in ("entity", "tail"):
         raise ValueError("split is 'entity' or 'tail'")
-    rows = window_rows(mine, features, label, settings.length, batch_size, tails[0])
-    held = window_rows(other, features, label, settings.length, SCORING_BATCH, tails[1])
-    return _fit(rows, held, net, settings, adam, init, outputs, resume_path)
+    with numbered_once(labelled) as whole:
+        if split == "entity":
+            phases = entity_phases(whole.lengths, extent=whole.extent.as_one_group)
+            mine, other, tails = whole.part(phases, "train"), whole.part(phases, "val"), (None, None)
+        else:
+            mine, other, tails = whole, whole, ("train", "val")
+        rows = window_rows(mine, features, label, settings.length, batch_size, tails[0])
+        held = window_rows(other, features, label, settings.length, SCORING_BATCH, tails[1])
+        return _fit(rows, held, net, settings, adam, init, outputs, resume_path)
 
 
 def fit_lives(
@@ -129,13 +139,13 @@ def fit_lives(
     **outputs,
 ) -> Trained:
     """Train on whole lives with a class per cycle, validating on the last entities."""
-    whole = Series.of(labelled)
-    phases = entity_phases(labelled, extent=whole.extent.as_one_group)
-    rows, held = (
-        life_rows(part, features, label, batch_size)
-        for part in (whole.part(phases, "train"), whole.part(phases, "val"))
-    )
-    return _fit(rows, held, net, settings, adam, init, outputs, resume_path)
+    with numbered_once(labelled) as whole:
+        phases = entity_phases(whole.lengths, extent=whole.extent.as_one_group)
+        rows, held = (
+            life_rows(part, features, label, batch_size)
+            for part in (whole.part(phases, "train"), whole.part(phases, "val"))
+        )
+        return _fit(rows, held, net, settings, adam, init, outputs, resume_path)
 
 
 def _fit(rows, held, net, settings, adam, init, outputs, resume_path=None):
@@ -230,15 +240,17 @@ def ingest(
     not. A regression target is written as it is, a class as a one-hot vector. What an
     earlier ingestion left under ``path`` is replaced.
     """
-    whole, test = Series.of(train_table), Series.of(test_table)
-    phases = entity_phases(train_table, extent=whole.extent.as_one_group)
-    parts = {"train": whole.part(phases, "train"), "val": whole.part(phases, "val"), "test": test}
-    stats = fit_scaler(parts["train"].log, features)
-    padded = []
-    for phase, part in parts.items():
-        log = apply_scaler(part.log, stats) if rescale else part.log
-        batches = life_batches(part.lengths, batch_size, extent=part.extent.as_one_group)
-        rows = padded_lives(log, batches, features, target, CLASSES[target], pos_col=POSITION)
-        padded.append(rows.withColumn("phase", F.lit(phase)))
-    write_batches(reduce(DataFrame.unionByName, padded), path)
+    spark = train_table.sparkSession
+    with numbered_once(train_table) as whole:
+        phases = entity_phases(whole.lengths, extent=whole.extent.as_one_group)
+        parts = {"train": whole.part(phases, "train"), "val": whole.part(phases, "val"), "test": Series.of(test_table)}
+        fitted = fit_scaler(parts["train"].log, features)
+        stats = spark.createDataFrame(fitted.collect(), fitted.schema)  # one row
+        padded = []
+        for phase, part in parts.items():
+            log = apply_scaler(part.log, stats) if rescale else part.log
+            batches = life_batches(part.lengths, batch_size, extent=part.extent.as_one_group)
+            rows = padded_lives(log, batches, features, target, CLASSES[target], pos_col=POSITION)
+            padded.append(rows.withColumn("phase", F.lit(phase)))
+        write_batches(reduce(DataFrame.unionByName, padded), path)
     return stats
