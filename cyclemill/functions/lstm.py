@@ -18,7 +18,9 @@ class Network:
 
     ``many_to_one`` classifies a window by its last state, otherwise every step gets
     a class. One output means a sigmoid. ``precision`` is that of a minibatch's
-    arithmetic; weights are kept and averaged as doubles.
+    arithmetic; weights are kept and averaged as doubles. With ``peepholes`` the input and
+    forget gates also see the cell before the step and the output gate the cell after it,
+    each unit its own; these weights start at zero, as the plain cell.
     """
 
     features: int
@@ -29,6 +31,7 @@ class Network:
     many_to_one: bool = True
     seed: int = 42
     precision: str = "float32"
+    peepholes: bool = False
 
     def layout(self) -> list[tuple[str, str, tuple[int, ...]]]:
         """(layer, name, shape) of every parameter block, in the order of the flat vector."""
@@ -40,12 +43,20 @@ class Network:
                 (layer, "recurrent", (u, 4 * u)),
                 (layer, "bias", (4 * u,)),
             ]
+            if self.peepholes:
+                blocks.append((layer, "peephole", (3, u)))
             width = u
         return [*blocks, ("output", "kernel", (width, self.outputs)), ("output", "bias", (self.outputs,))]
 
     def size(self) -> int:
         return sum(int(np.prod(shape)) for _, _, shape in self.layout())
 
+    def layer_blocks(self, blocks: list[np.ndarray], k: int) -> list[np.ndarray]:
+        """Kernel, recurrent kernel, bias and peepholes (or None) of LSTM layer ``k``."""
+        n = 4 if self.peepholes else 3
+        own = blocks[n * k : n * (k + 1)]
+        return own if self.peepholes else [*own, None]
+
     def blocks(self, flat: np.ndarray) -> list[np.ndarray]:
         views, at = [], 0
         for _, _, shape in self.layout():
@@ -55,10 +66,12 @@ class Network:
         return views
 
     def initial(self) -> np.ndarray:
-        """Glorot-uniform matrices, zero biases, forget-gate bias one."""
+        """Glorot-uniform matrices, zero biases and peepholes, forget-gate bias one."""
         rng = np.random.default_rng(self.seed)
         flat = np.zeros(self.size())
-        for (layer, _, shape), block in zip(self.layout(), self.blocks(flat)):
+        for (layer, name, shape), block in zip(self.layout(), self.blocks(flat)):
+            if name == "peephole":
+                continue
             if len(shape) == 2:
                 limit = np.sqrt(6.0 / sum(shape))
                 block[...] = rng.uniform(-limit, limit, shape)
@@ -121,9 +134,24 @@ def _sigmoid(x):
     return 0.5 * (1.0 + np.tanh(0.5 * x))
 
 
-def _lstm_forward(x, wx, wh, b, state, mask, keep=True):
+def _step(z, c, real, peep, gate):
+    """Fill ``gate`` (input, forget, output, candidate) from the driven sums; the cell and the output after the step."""
+    u = c.shape[1]
+    if peep is None:
+        gate[:, : 3 * u] = _sigmoid(z[:, : 3 * u])
+    else:
+        gate[:, :u] = _sigmoid(z[:, :u] + c * peep[0])
+        gate[:, u : 2 * u] = _sigmoid(z[:, u : 2 * u] + c * peep[1])
+    gate[:, 3 * u :] = np.tanh(z[:, 3 * u :])
+    after = real * (gate[:, u : 2 * u] * c + gate[:, :u] * gate[:, 3 * u :])
+    if peep is not None:
+        gate[:, 2 * u : 3 * u] = _sigmoid(z[:, 2 * u : 3 * u] + after * peep[2])
+    return after, real * gate[:, 2 * u : 3 * u] * np.tanh(after)
+
+
+def _lstm_forward(x, wx, wh, b, peep, state, mask, keep=True):
     if not keep:
-        return _lstm_states(x, wx, wh, b, state, mask)
+        return _lstm_states(x, wx, wh, b, peep, state, mask)
     batch, steps, _ = x.shape
     u = wh.shape[0]
     h, c = state
@@ -134,29 +162,22 @@ def _lstm_forward(x, wx, wh, b, state, mask, keep=True):
     cells[0], hidden[0] = c, h
     for t in range(steps):
         z = driven[:, t] + hidden[t] @ wh
-        gate = gates[t]
-        gate[:, : 3 * u] = _sigmoid(z[:, : 3 * u])
-        gate[:, 3 * u :] = np.tanh(z[:, 3 * u :])
-        real = mask[:, t, None]
-        cells[t + 1] = real * (gate[:, u : 2 * u] * cells[t] + gate[:, :u] * gate[:, 3 * u :])
-        hidden[t + 1] = real * gate[:, 2 * u : 3 * u] * np.tanh(cells[t + 1])
+        cells[t + 1], hidden[t + 1] = _step(z, cells[t], mask[:, t, None], peep, gates[t])
     return hidden[1:].transpose(1, 0, 2), (gates, cells, hidden)
 
 
-def _lstm_states(x, wx, wh, b, state, mask):
+def _lstm_states(x, wx, wh, b, peep, state, mask):
     """The forward pass alone: what only the gradient needs is not kept."""
     u = wh.shape[0]
     h, c = state
-    out = np.empty((x.shape[1], x.shape[0], u), x.dtype)
+    out, gate = np.empty((x.shape[1], x.shape[0], u), x.dtype), np.empty((x.shape[0], 4 * u), x.dtype)
     for t in range(x.shape[1]):
-        z = x[:, t] @ wx + b + h @ wh
-        gate, real = _sigmoid(z[:, : 3 * u]), mask[:, t, None]
-        c = real * (gate[:, u : 2 * u] * c + gate[:, :u] * np.tanh(z[:, 3 * u :]))
-        out[t] = h = real * gate[:, 2 * u :] * np.tanh(c)
+        c, h = _step(x[:, t] @ wx + b + h @ wh, c, mask[:, t, None], peep, gate)
+        out[t] = h
     return out.transpose(1, 0, 2), (None, c[None], h[None])
 
 
-def _lstm_backward(dout, x, wx, wh, tape, mask):
+def _lstm_backward(dout, x, wx, wh, peep, tape, mask):
     gates, cells, hidden = tape
     steps, batch, _ = gates.shape
     u = wh.shape[0]
@@ -168,17 +189,25 @@ def _lstm_backward(dout, x, wx, wh, tape, mask):
         real = mask[:, t, None]
         squashed = np.tanh(cells[t + 1])
         dh = (dout[:, t] + dh_next) * real
+        dz[t, :, 2 * u : 3 * u] = dh * squashed * o * (1 - o)
         dc = dh * o * (1 - squashed**2) + dc_next * real
+        if peep is not None:
+            dc += dz[t, :, 2 * u : 3 * u] * peep[2]
         dz[t, :, :u] = dc * g * i * (1 - i)
         dz[t, :, u : 2 * u] = dc * cells[t] * f * (1 - f)
-        dz[t, :, 2 * u : 3 * u] = dh * squashed * o * (1 - o)
         dz[t, :, 3 * u :] = dc * i * (1 - g**2)
         dh_next = dz[t] @ wh.T
         dc_next = dc * f
+        if peep is not None:
+            dc_next += dz[t, :, :u] * peep[0] + dz[t, :, u : 2 * u] * peep[1]
     by_step = x.transpose(1, 0, 2)
     dwx = np.tensordot(by_step, dz, axes=([0, 1], [0, 1]))
     dwh = np.tensordot(hidden[:-1], dz, axes=([0, 1], [0, 1]))
-    return (dz @ wx.T).transpose(1, 0, 2), dwx, dwh, dz.sum((0, 1))
+    grads = [dwx, dwh, dz.sum((0, 1))]
+    if peep is not None:
+        seen = (cells[:-1], cells[:-1], cells[1:])
+        grads.append(np.stack([(dz[:, :, k * u : (k + 1) * u] * c).sum((0, 1)) for k, c in enumerate(seen)]))
+    return (dz @ wx.T).transpose(1, 0, 2), grads
 
 
 def zero_state(net: Network, batch: int):
@@ -198,8 +227,8 @@ def forward(net: Network, values, x, mask=None, state=None, rng=None, keep=True)
     blocks = net.blocks(values.astype(kind))
     tape, last, a = [], [], x
     for k, u in enumerate(net.units):
-        wx, wh, b = blocks[3 * k : 3 * k + 3]
-        out, inner = _lstm_forward(a, wx, wh, b, state[k], mask, keep)
+        wx, wh, b, peep = net.layer_blocks(blocks, k)
+        out, inner = _lstm_forward(a, wx, wh, b, peep, state[k], mask, keep)
         last.append((inner[2][-1], inner[1][-1]))
         kept = None
         if rng is not None and net.dropout > 0:
@@ -249,6 +278,8 @@ def gradient(net: Network, values, x, label, mask=None, state=None, rng=None):
     for k in reversed(range(len(net.units))):
         a, inner, kept = tape[k]
         dout = da if kept is None else da * kept
-        da, dwx, dwh, db = _lstm_backward(dout, a, blocks[3 * k], blocks[3 * k + 1], inner, mask)
-        grads[3 * k][...], grads[3 * k + 1][...], grads[3 * k + 2][...] = dwx, dwh, db
+        wx, wh, _, peep = net.layer_blocks(blocks, k)
+        da, made = _lstm_backward(dout, a, wx, wh, peep, inner, mask)
+        for target, own in zip(net.layer_blocks(grads, k), made):
+            target[...] = own
     return loss, count, flat, last
