@@ -28,8 +28,9 @@ from cyclemill.plans.scoring import score
 from cyclemill.plans.training import Settings, Trained, export_rounds, open_rounds, train, written
 from cyclemill.session import delete_table
 from cyclemill.sizing import small_side
-from cyclemill.sources.batches import read_batches, write_batches
+from cyclemill.sources.batches import publish_batches, read_batches
 from cyclemill.sources.journal import Journal, finished
+from cyclemill.sources.versions import Versions
 
 # outputs of the classifier per target; None is a regression, whose series are only batched
 CLASSES = {"RUL": None, "label1": 2, "label2": 3}
@@ -215,13 +216,16 @@ def fit_stored(
     **outputs,
 ) -> Trained:
     """Train on the minibatches that ``ingest`` wrote, validating on its validation phase."""
-    rows, held = (stored_rows(spark, path, phase, net.features) for phase in ("train", "val"))
+    places = Versions(spark, path).current()
+    rows, held = (stored_rows(spark, path, phase, net.features, places) for phase in ("train", "val"))
     return _fit(rows, held, net, settings, adam, init, outputs, resume_path)
 
 
-def stored_rows(spark: SparkSession, path: str, phase: str, features: int) -> DataFrame:
-    """The batch rows of one phase of an ingested table."""
-    return stored_batch_rows(read_batches(spark, path, phase), features, BLOCK_STEPS)
+def stored_rows(
+    spark: SparkSession, path: str, phase: str, features: int, places: dict[str, str] | None = None
+) -> DataFrame:
+    """The batch rows of one phase of an ingested table; ``places`` as in ``read_batches``."""
+    return stored_batch_rows(read_batches(spark, path, phase, places), features, BLOCK_STEPS)
 
 
 def ingest(
@@ -237,8 +241,8 @@ def ingest(
 
     The last fifth of the training entities validates. Features are standardised
     with statistics of the training entities only, which are returned; labels are
-    not. A regression target is written as it is, a class as a one-hot vector. What an
-    earlier ingestion left under ``path`` is replaced.
+    not. A regression target is written as it is, a class as a one-hot vector. All phases are
+    published in one step: until then, and if the ingestion fails, those of an earlier one are read.
     """
     spark = train_table.sparkSession
     with numbered_once(train_table) as whole:
@@ -252,5 +256,5 @@ def ingest(
             batches = life_batches(part.lengths, batch_size, extent=part.extent.as_one_group)
             rows = padded_lives(log, batches, features, target, CLASSES[target], pos_col=POSITION)
             padded.append(rows.withColumn("phase", F.lit(phase)))
-        write_batches(reduce(DataFrame.unionByName, padded), path)
+        publish_batches(reduce(DataFrame.unionByName, padded), path, list(parts))
     return stats

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ from cyclemill.functions import expressions as X
 from cyclemill.functions.lstm import Adam, Network, Weights
 from cyclemill.operators import balance, columns, labels, metrics, parameters, scaling, sequences, splits
 from cyclemill.operators.ordering import Extent, measure, number_rows
-from cyclemill.plans import experiment
+from cyclemill.plans import comparison, experiment
 from cyclemill.plans.pipeline import label_censored, label_complete, prepare
 from cyclemill.plans.scoring import score
 from cyclemill.plans.training import Settings, average_round, export_rounds, open_rounds, train
@@ -27,7 +28,8 @@ from cyclemill.sources import logs
 from cyclemill.sources.journal import Journal
 from cyclemill.sources.models import read_stats, read_steps
 from cyclemill.sources.states import put_part, read_parts
-from cyclemill.sources.series import count_series, read_series, write_series
+from cyclemill.sources.series import count_series, publish_series, published, read_series, write_series
+from cyclemill.sources.versions import Versions
 
 FEATURES = ["value", "k", "cycle_norm"]
 TIME = ["ts", "event_id"]
@@ -815,9 +817,102 @@ def batch_scoring_linear(spark, sf):
     )
 
 
+PEEP = Network(features=len(FEATURES), outputs=1, units=(1,), precision="float64", peepholes=True)
+PEEP_VALUES = PEEP.initial()
+# its three peepholes: input and forget gate, then output gate
+PEEP.layer_blocks(PEEP.blocks(PEEP_VALUES), 0)[3][:, 0] = 0.5, -0.25, 0.75
+
+
+def peephole_sql() -> str:
+    """One unit over two steps: gate sums of every row, the step from nothing, and the step after it."""
+    (wx, wh, b, peep), (w, bias) = PEEP.layer_blocks(PEEP.blocks(PEEP_VALUES), 0), PEEP.blocks(PEEP_VALUES)[-2:]
+
+    def number(v):
+        return f"CAST({float(v)!r} AS DOUBLE)"
+
+    def sigmoid(z):
+        return f"1 / (1 + exp(-({z})))"
+
+    cells = ["value", "k", "CAST(cycle AS DOUBLE)"]
+    x = [f"CAST(CAST({c} / 64 AS FLOAT) AS DOUBLE)" for c in cells]
+    sums = ", ".join(
+        " + ".join(f"{number(wx[j, g])} * {x[j]}" for j in range(3)) + f" + {number(b[g])} AS z{g}" for g in range(4))
+    again = ", ".join(f"z{g} + {number(wh[0, g])} * lag(h) OVER w AS y{g}" for g in range(4))
+    p = [number(v) for v in peep[:, 0]]
+    return f"""{LOG}, driven AS (SELECT id, cycle, n, {sums} FROM log),
+cell AS (SELECT *, {sigmoid("z0")} * tanh(z3) AS c FROM driven),
+one AS (SELECT *, {sigmoid(f"z2 + c * {p[2]}")} * tanh(c) AS h FROM cell),
+two AS (SELECT id, cycle, n, {again}, lag(c) OVER w AS c1 FROM one WINDOW w AS (PARTITION BY id ORDER BY cycle)),
+after AS (SELECT *, {sigmoid(f"y1 + c1 * {p[1]}")} * c1 + {sigmoid(f"y0 + c1 * {p[0]}")} * tanh(y3) AS c2 FROM two),
+last AS (SELECT *, {sigmoid(f"y2 + c2 * {p[2]}")} * tanh(c2) AS h2 FROM after)
+SELECT id, cycle + 1 AS cycle, round({sigmoid(f"{number(w[0, 0])} * h2 + {number(bias[0])}")}, 6) AS prob
+FROM last WHERE cycle > 1 AND cycle < n"""
+
+
+@query(peephole_sql())
+def peephole_scoring(spark, sf):
+    """Windows of two rows through a cell with peepholes."""
+    log, extent = labelled_log(spark, sf)
+    log = log.withColumns({c: F.col(c) / 64 for c in FEATURES})
+    offsets = splits.sample_offsets(lengths(spark, sf), 2, extent=extent.as_one_group)
+    rows = splits.window_batch_rows(log, offsets, FEATURES, "label1", 2, 512, entities=extent.groups)
+    scored = score(rows, PEEP, PEEP_VALUES, 2)
+    return scored.select("id", F.col("pos").alias("cycle"), F.round(F.col("prob")[1], 6).alias("prob"))
+
+
+@query(
+    LABELLED
+    + """ SELECT id, cycle AS pos, CAST(label1 AS DOUBLE) AS label, 150 AS n_numbers, round(CAST(lag(value, 50) OVER w AS FLOAT)::DOUBLE, 4) AS oldest,
+  round(CAST(lag(k, 1) OVER w AS FLOAT)::DOUBLE, 4) AS newest
+FROM labelled WINDOW w AS (PARTITION BY id ORDER BY cycle) QUALIFY cycle > 50"""
+)
+def comparison_samples(spark, sf):
+    """What the comparison model reads: every window as one flat vector."""
+    series = experiment.Series.of(labelled_log(spark, sf)[0])
+    rows = comparison.window_vectors(series, FEATURES, "label1", 50).withColumn("x", vector_to_array("x"))
+    return rows.select(
+        "id", "pos", "label", F.size("x").alias("n_numbers"), F.round(F.col("x")[0], 4).alias("oldest"),
+        F.round(F.element_at("x", -2), 4).alias("newest"))
+
+
+@query()
+def mlp_baseline(spark, sf):
+    """The comparison model, trained on the first entities, on the windows of all."""
+    log = phased_log(spark, sf).drop("phase")
+    labelled = labels.horizon_labels(log.withColumn("RUL", F.col("n_cycles") - F.col("cycle")))
+    labelled = kept(labelled.select("id", "cycle", *FEATURES, "label1"), "labelled")
+    model = comparison.fit_comparison(labelled, FEATURES, settings=comparison.Perceptron(hidden=(8,), iterations=10))
+    scored, _ = comparison.evaluate_comparison(labelled, model, FEATURES)
+    return scored.select("id", F.col("pos").alias("cycle"), "label", F.round(F.col("prob")[1], 6).alias("prob"), "prediction")
+
+
 # ---------------------------------------------------------------- odd logs, and tables written and read again
 
 
+@query(
+    LABELLED
+    + """ SELECT 'train' AS phase, id, cycle, value + 1 AS value, label2 FROM labelled WHERE label2 > 0
+UNION ALL SELECT 'test', id, cycle, value, label2 FROM labelled"""
+)
+def published_series(spark, sf):
+    """Two phases published, then one of them again; of a third version only the rows were written."""
+    folder = shared_folder(spark, "versions")
+    log = labelled_log(spark, sf)[0].select("id", "cycle", "value", *columns.TARGET_COLUMNS)
+    log = kept(log, "labelled")
+    publish_series(log, folder, "train")
+    publish_series(log, folder, "test")
+    publish_series(log.where("label2 > 0").withColumn("value", F.col("value") + 1), folder, "train")
+    write_series(log.where("id < 0"), Versions(spark, folder).fresh(), "test")
+    features, targets = columns.split_features_labels(log)
+    parts = []
+    for phase in ("train", "test"):
+        place = published(spark, folder, phase)
+        a, b = (read_series(spark, place, phase, kind, t.schema) for kind, t in (("features", features), ("labels", targets)))
+        rows = columns.pair_features_labels(a, b).select("id", "cycle", "value", "label2")
+        parts.append(rows.withColumn("phase", F.lit(phase)))
+    return reduce(DataFrame.unionByName, parts)
+
+
 ODD = LOG + """, odd AS (SELECT *, cycle * 3 + id * 1000 + cycle // 7 AS late FROM log)"""
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from cyclemill.operators.columns import split_features_labels
 from cyclemill.sizing import setting
+from cyclemill.sources.versions import Versions
 
 BUCKETS = 64
 
@@ -57,6 +58,25 @@ def write_series(
         )
 
 
+def publish_series(
+    df: DataFrame, folder: str, phase: str, buckets: int | None = BUCKETS, segment_rows: int | None = None
+) -> None:
+    """As ``write_series``, but features and labels of the phase replace those that ``folder`` has in one step."""
+    versions = Versions(df.sparkSession, folder)
+    place = versions.fresh()
+    write_series(df, place, phase, buckets, segment_rows=segment_rows)
+    versions.publish({phase: place})
+    versions.collect()
+
+
+def published(spark: SparkSession, folder: str, phase: str) -> str:
+    """The folder that ``read_series`` reads the published version of the phase from.
+
+    Features and labels read from one such folder belong together.
+    """
+    return Versions(spark, folder).current()[phase]
+
+
 def read_series(
     spark: SparkSession,
     folder: str,

@@ -28,6 +28,7 @@ SKEW_SENSITIVE = [
     "window_batch_rows", "life_batch_rows", "sequence_layout", "batch_scoring_linear",
     "roc_points", "roc_auc", "head_of_entity", "masked_timestep_eval", "windows_of_odd_cycles", "stored_minibatches",
     "averaged_round_linear", "text_log_round_trip", "resumed_training", "step_statistics", "balanced_deal",
+    "peephole_scoring", "comparison_samples", "published_series",
 ]
 
 
@@ -45,7 +46,7 @@ def test_query_equals_sql_in_the_plans_for_large_data(spark, con, name):
 
 def test_every_query_has_a_check_or_a_reason():
     without_sql = set(QUERIES) - set(ORACLES)
-    assert without_sql == {"averaged_training", "averaged_training_per_step", "batch_scoring"}
+    assert without_sql == {"averaged_training", "averaged_training_per_step", "batch_scoring", "mlp_baseline"}
 
 
 def test_entry(spark):
