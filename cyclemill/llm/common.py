@@ -74,12 +74,13 @@ def per_worker(key, build):
 
 def shared(spark: SparkSession, purpose: str) -> str:
     """A fresh path below ``spark.checkpoint.dir``; a local session may go without that setting."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="cyclemill-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        # the setting itself cannot be changed in a running session
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cyclemill-"))
+        root = spark.sparkContext.getCheckpointDir()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
