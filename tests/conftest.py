@@ -15,7 +15,7 @@ def spark():
     session = local_session(8, "tests")
     session.sparkContext.setLogLevel("ERROR")
     if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="cyclemill-tests-", dir="/tmp"))
+        session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cyclemill-tests-", dir="/tmp"))
     return session
 
 
