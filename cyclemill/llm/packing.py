@@ -1,18 +1,18 @@
 """Packing documents into windows of tokens by order-preserving dynamic programming.
 
 Each task packs the documents it reads, in their order, block by block. Over the
-block's token stream, cuts between documents are free, cuts at sentence ends cost
-``SENTENCE_COST``, and a full window that ends elsewhere costs ``SPLIT_COST``. The
+block's token stream a window may end at every position: cuts between documents are free, cuts
+at sentence ends cost ``SENTENCE_COST``, and all others ``SPLIT_COST``. The
 cost of a window that is not full is its padding; a length that is a power of two is
-not padded. The least total is found by dynamic programming over cut places. The
-transitions need the least of ``cost[i] + i`` over sliding ranges of i, one range for
-each number of full windows in between: monotone queues give each in constant time.
+not padded, but one more sequence. The least total is found by dynamic programming. Between two
+places that are cheaper to cut, what windows of any sizes cost depends on the distance alone, so a
+table of the cheapest such chains is made once; every place hands its cost plus that table on to the positions
+behind it, and full windows carry the positions' costs on to any distance.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections import deque
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +28,9 @@ END = 1
 VOCABULARY = "byte_bpe_50k"
 SPECIAL = "<|endoftext|>"  # the special token of the vocabulary, whose id follows all others
 BLOCK_TOKENS = 1 << 18
-SPACING = 96  # tokens between two sentence cuts that are considered
 SENTENCE_COST = 1.0
 SPLIT_COST = 6.0
-FULL = 3  # most full windows between two considered cuts
+FULL = 1  # full windows in the table of chains; longer chains go on from it, without end
 
 
 class Encoder:
@@ -61,85 +60,80 @@ class Encoder:
         return np.array([*self.coder.encode(text or "", allowed_special="all"), END], dtype="<u4")
 
 
-def cut_places(ids: list[np.ndarray], stops: np.ndarray, window: int, spacing: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places in the stream where a window may end, and what ending there costs."""
-    places, costs = [], []
-    at = 0
-    for own in ids:
-        ends = np.flatnonzero(stops[own[:-1]]) + 1
-        if len(ends) and len(own) > spacing:
-            # the first sentence end in each stretch of ``spacing`` tokens
-            stretch = ends // spacing
-            ends = ends[np.concatenate(([True], stretch[1:] != stretch[:-1]))]
-            ends = ends[ends < len(own)]
-            places.append(ends + at)
-            costs.append(np.full(len(ends), SENTENCE_COST))
-        at += len(own)
-        places.append(np.array([at]))
-        costs.append(np.zeros(1))
-    place, cost = np.concatenate(places), np.concatenate(costs)
-    # where nothing ends within a window, forced places fill the gap
-    gap = np.diff(place, prepend=0)
-    wide = np.flatnonzero(gap > window)
-    if len(wide):
-        forced = np.concatenate([np.arange(place[k] - gap[k] + window, place[k], window) for k in wide])
-        place, cost = np.concatenate((place, forced)), np.concatenate((cost, np.full(len(forced), SPLIT_COST)))
-        order = np.argsort(place, kind="stable")
-        place, cost = place[order], cost[order]
+def cut_places(ids: list[np.ndarray], stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All ends of sentences and documents in the stream, and what ending a window there costs."""
+    stream = np.concatenate(ids)
+    ends = np.cumsum([len(own) for own in ids])
+    cheap = stops[stream]
+    cheap[ends - 1] = True  # the end id, behind which the document is over
+    place = np.flatnonzero(cheap) + 1
+    cost = np.full(len(place), SENTENCE_COST)
+    cost[np.searchsorted(place, ends)] = 0.0
     return place, cost
 
 
-def cheapest_cuts(place: np.ndarray, cost: np.ndarray, window: int) -> list[int]:
-    """Ends of the windows of least padding and cut cost over the stream 0 .. place[-1]."""
-    where = [0, *place.tolist()]
-    price = [0.0, *cost.tolist()]
-    n = len(where)
-    index = {p: i for i, p in enumerate(where)}
-    best, back = [0.0] * n, [0] * n
-    # queue m holds the places between m and m + 1 full windows back, least best + place first
-    queues = [deque() for _ in range(FULL + 1)]
-    entering, base = [0] * (FULL + 1), [SPLIT_COST * m + window * (m + 1) for m in range(FULL + 1)]
-    powers = [1 << k for k in range(window.bit_length()) if 1 << k <= window]
-    for j in range(1, n):
-        p = where[j]
-        low, source = float("inf"), 0
-        for m in range(FULL + 1):
-            queue, e = queues[m], entering[m]
-            newest = p - window * m - 1
-            while e < j and where[e] <= newest:  # enters when the last window would hold a token
-                value = best[e] + where[e]
-                while queue and queue[-1][0] >= value:
-                    queue.pop()
-                queue.append((value, e))
-                e += 1
-            entering[m] = e
-            oldest = p - window * (m + 1)
-            while queue and where[queue[0][1]] < oldest:
-                queue.popleft()
-            if queue:
-                # m full windows, then one of p - i - m * window tokens, padded to the window
-                value = queue[0][0] + base[m] - p
+def chains(window: int) -> tuple[np.ndarray, list[int]]:
+    """For every distance up to two windows, less one token: the least cost of windows that cover it, and the first one's size.
+
+    Beyond, a chain always has a full window: the others are at most one that is padded and one of every power of
+    two, since two of a kind are cheaper as one of twice the size.
+    """
+    powers = [1 << k for k in range(window.bit_length()) if 1 << k < window]
+    best, first = [0.0], [0]
+    for d in range(1, (FULL + 1) * window):
+        low, size = (float(window - d), d) if d <= window else (float("inf"), 0)
+        if d in powers:
+            low = min(low, 1.0)  # a short window is one more sequence
+        for step in (*powers, window):
+            if step < d:
+                value = best[d - step] + SPLIT_COST + (step < window)
                 if value < low:
-                    low, source = value, queue[0][1]
-        for size in powers:
-            i = index.get(p - size)
-            if i is not None and best[i] + 1.0 < low:  # a short window is one more sequence
-                low, source = best[i] + 1.0, i
-        best[j], back[j] = low + price[j], source
-    ends, j = [], n - 1
-    while j > 0:
-        i = back[j]
-        ends.append(where[j])
-        size = where[j] - where[i]
-        if size > window:
-            ends.extend(range(where[i] + window * ((size - 1) // window), where[i], -window))
-        j = i
+                    low, size = value, step
+        best.append(low)
+        first.append(size)
+    return np.array(best[1:], dtype=np.float32), first
+
+
+def cheapest_cuts(place: np.ndarray, cost: np.ndarray, window: int) -> list[int]:
+    """Ends of the windows of least padding and cut cost over the stream 0 .. place[-1], cut at any position."""
+    table, first = per_worker(("chains", window, SPLIT_COST), lambda: chains(window))
+    reach, end = len(table), int(place[-1])
+    # the least cost of windows up to each position, the cut there not counted
+    least = np.full(end + reach + 1, np.inf, dtype=np.float32)
+    least[1:reach + 1] = table
+    made, at = np.empty(reach, dtype=np.float32), 0
+    price = np.zeros(len(place) + 1, dtype=np.float32)
+    for k, (p, c) in enumerate(zip(place.tolist(), cost.tolist()), 1):
+        for a in range(max(at, window) + 1, p + 1, window):
+            # a full window behind any position that all places before it have handed on to
+            b = min(p + 1, a + window)
+            own = least[a:b]
+            np.minimum(own, least[a - window:b - window] + SPLIT_COST, own)
+        price[k] = total = least.item(p) + c
+        np.add(table, total, made)
+        own = least[p + 1:p + 1 + reach]
+        np.minimum(own, made, own)
+        at = p
+    where = np.concatenate(([0], place))
+    ends, p = [], end
+    while p > 0:
+        ends.append(p)
+        low, high = np.searchsorted(where, (p - reach, p))
+        met = np.flatnonzero(price[low:high] + table[p - where[low:high] - 1] == least[p])
+        if len(met):
+            start = int(where[low + met[-1]])
+            while first[p - start] < p - start:
+                p -= first[p - start]
+                ends.append(p)
+            p = start
+        else:
+            p -= window
     return ends[::-1]
 
 
-def pack(ids: list[np.ndarray], stops: np.ndarray, window: int, spacing: int):
+def pack(ids: list[np.ndarray], stops: np.ndarray, window: int):
     """Pieces (document, start, length, sequence, offset) of a block, sequences from 0."""
-    place, cost = cut_places(ids, stops, window, spacing)
+    place, cost = cut_places(ids, stops)
     ends = np.array(cheapest_cuts(place, cost, window))
     bounds = np.concatenate(([0], np.cumsum([len(x) for x in ids])))
     borders = np.unique(np.concatenate((bounds, ends)))
@@ -157,7 +151,7 @@ SCHEMA = (
 
 def packed(
     docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), with_ids: bool = False,
-    window: int = WINDOW, vocabulary: str = VOCABULARY, block_tokens: int = BLOCK_TOKENS, spacing: int = SPACING,
+    window: int = WINDOW, vocabulary: str = VOCABULARY, block_tokens: int = BLOCK_TOKENS,
 ) -> DataFrame:
     """One row for each piece of a document in a sequence, with the columns ``keep`` of the document.
 
@@ -179,7 +173,7 @@ def packed(
 
         def flush():
             nonlocal base, rows, ids, size
-            document, start, length, sequence, offset, used = pack(ids, encoder.stops, window, spacing)
+            document, start, length, sequence, offset, used = pack(ids, encoder.stops, window)
             made = {name: [] for name in arrow.names}
             for d, s, n, q, o in zip(*(x.tolist() for x in (document, start, length, sequence, offset))):
                 piece = ids[d][s:s + n]

@@ -320,6 +320,37 @@ def test_cuts_are_the_cheapest(steps):
     assert paid <= cheapest(place.tolist(), cost.tolist(), 64) + 1e-9
 
 
+def paid_for(ends, place, cost, window):
+    costs, at, paid = dict(zip(place.tolist(), cost.tolist())), 0, 0.0
+    for e in ends:
+        size = e - at
+        assert 0 < size <= window
+        paid += min(window - size, 1.0) if size & (size - 1) == 0 else window - size
+        paid += costs.get(e, packing.SPLIT_COST)
+        at = e
+    assert at == place[-1]
+    return paid
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from([1, 2, 3, 5, 13, 16, 17, 31, 47, 70, 203]), st.sampled_from([0.0, 1.0])), min_size=1, max_size=12))
+def test_cuts_are_the_cheapest_of_all_positions(steps):
+    """Against plain dynamic programming that lets a window end at every token."""
+    place, cost, window = np.cumsum([s for s, _ in steps]), np.array([c for _, c in steps]), 16
+    costs, best = dict(zip(place.tolist(), cost.tolist())), [0.0]
+    for p in range(1, int(place[-1]) + 1):
+        low = min(best[p - n] + (min(window - n, 1.0) if n & (n - 1) == 0 else window - n) for n in range(1, min(p, window) + 1))
+        best.append(low + costs.get(p, packing.SPLIT_COST))
+    assert paid_for(packing.cheapest_cuts(place, cost, window), place, cost, window) == best[-1]
+
+
+def test_every_sentence_end_is_a_place():
+    stops = np.array([False, False, True])
+    ids = [np.array([0, 2, 0, 0, 2, 1]), np.array([1]), np.array([0] * 40 + [2, 0, 2, 1])]
+    place, cost = packing.cut_places(ids, stops)
+    assert place.tolist() == [2, 5, 6, 7, 48, 50, 51] and cost.tolist() == [1, 1, 0, 0, 1, 1, 0]
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.text(max_size=60), max_size=5))
 def test_ids_are_those_of_the_tokenizer(texts):
