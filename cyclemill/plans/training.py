@@ -42,6 +42,11 @@ TRAINED = (
     "batch_id long, iteration long, step int, norm double"
 )
 CHUNK = 1 << 14
+# up to so many workers for each core have a task of their own; of more, a task takes several one by one
+TASKS_PER_CORE = 4
+WORKERS_PER_TASK = 1024
+# what a task holds of its results before it hands them on
+SENT_BYTES, SENT_ROWS = 16 << 20, 10_000
 
 
 @dataclass(frozen=True)
@@ -219,6 +224,27 @@ def local_steps(
     return terms, loss
 
 
+def worker_tasks(workers: int, cores: int) -> int:
+    """Tasks of a round: one for each worker, or fewer of several workers each, as a task costs more than a short share."""
+    return min(workers, max(TASKS_PER_CORE * cores, math.ceil(workers / WORKERS_PER_TASK)))
+
+
+def by_worker(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[pa.RecordBatch]]]:
+    """The rows of one worker after the other, which lie together; each worker's are read to their end."""
+
+    def cut() -> Iterator[tuple[int, pa.RecordBatch]]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            worker = batch.column(batch.schema.get_field_index("worker")).to_numpy()
+            bounds = [0, *(np.flatnonzero(worker[1:] != worker[:-1]) + 1).tolist(), len(worker)]
+            for a, b in zip(bounds, bounds[1:]):
+                yield int(worker[a]), batch.slice(a, b - a)
+
+    for worker, own in itertools.groupby(cut(), key=lambda part: part[0]):
+        yield worker, (batch for _, batch in own)
+
+
 def average_round(
     rows: DataFrame,
     net: Network,
@@ -246,29 +272,32 @@ def average_round(
     record = steps_path is not None
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        began = time.perf_counter()
-        first = next((b for b in batches if b.num_rows), None)
-        if first is None:
-            return
-        worker = first.column(first.schema.get_field_index("worker"))[0].as_py()
-        mine = Weights.unpack(shared.value)
-        # the seed depends on round and worker only: a repeated task repeats its result
-        seed = (net.seed * 1_000_003 + round_no) * 1_000_003 + worker if net.dropout else None
-        counters = Counters(settings, round_no, record)
-        terms, loss = local_steps(itertools.chain([first], batches), net, mine, adam, settings, seed, counters)
-        held = [dict(zip(CELL_NAMES, (*k, *v))) for k, v in sorted(counters.cells.items())]
-        whole = {"kind": "worker", "worker": worker, "n": terms, "loss": loss, "seconds": time.perf_counter() - began, "cells": held}
-        yield pa.RecordBatch.from_pylist([{**whole, "packed": mine.pack()}], schema=schema)
-        if record:
-            made = [
+        made, size = [], 0
+        for worker, own in by_worker(batches):
+            began = time.perf_counter()
+            mine = Weights.unpack(shared.value)
+            # the seed depends on round and worker only: a repeated task repeats its result
+            seed = (net.seed * 1_000_003 + round_no) * 1_000_003 + worker if net.dropout else None
+            counters = Counters(settings, round_no, record)
+            terms, loss = local_steps(own, net, mine, adam, settings, seed, counters)
+            held = [dict(zip(CELL_NAMES, (*k, *v))) for k, v in sorted(counters.cells.items())]
+            whole = {"kind": "worker", "worker": worker, "n": terms, "loss": loss, "seconds": time.perf_counter() - began, "cells": held}
+            made.append({**whole, "packed": mine.pack()})
+            made += [
                 {"kind": "step", "worker": worker, "batch_id": batch, "iteration": number, "step": step, "n": n, "loss": part, "norm": norm}
                 for batch, number, step, n, part, norm in counters.steps
             ]
+            size += packed.nbytes
+            if size >= SENT_BYTES or len(made) >= SENT_ROWS:
+                yield pa.RecordBatch.from_pylist(made, schema=schema)
+                made, size = [], 0
+        if made:
             yield pa.RecordBatch.from_pylist(made, schema=schema)
 
     schema = to_arrow_schema(_parse_datatype_string(TRAINED))
-    # one partition per worker, which reads its rows in order
-    placed = in_order(rows.repartitionById(settings.workers, "worker"), net, settings.tbptt, "worker")
+    # a worker lies in one partition, which reads its rows in order
+    tasks = worker_tasks(settings.workers, spark.sparkContext.defaultParallelism)
+    placed = in_order(rows.repartitionById(tasks, F.col("worker") % tasks), net, settings.tbptt, "worker")
     trained = placed.mapInArrow(work, TRAINED)
     try:
         if record:

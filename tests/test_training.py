@@ -14,9 +14,9 @@ from cyclemill.plans.experiment import (
     window_rows,
 )
 from cyclemill.plans.scoring import score
-from cyclemill.plans.training import Settings, average_round, export_rounds, train
+from cyclemill.plans.training import Settings, average_round, export_rounds, train, worker_tasks
 from cyclemill.sources.batches import read_batches
-from cyclemill.sources.models import load_model, read_stats
+from cyclemill.sources.models import load_model, read_stats, read_steps
 
 LENGTH = 5
 
@@ -95,6 +95,25 @@ def test_workers_are_averaged_by_samples_seen(fleet, driver_bytes):
     assert sorted(s[1] for s in stats) == sorted(seen)
 
 
+def test_many_workers_share_tasks(spark, fleet, tmp_path):
+    """A round of very many workers has tasks by the cores; every worker still starts from the round's weights."""
+    x, y = tensors(fleet)
+    workers = len(y)
+    tasks = worker_tasks(workers, spark.sparkContext.defaultParallelism)
+    assert tasks < workers and worker_tasks(141_000, 12) == 138 and worker_tasks(8, 12) == 8
+    settings = Settings(workers=workers, averaging_frequency=1, length=LENGTH, epochs=1)
+    rounds = export_rounds(windows(fleet, 1), settings)
+    got = train(spark, rounds, NET, settings, steps_path=str(tmp_path))
+    vectors = []
+    for at in range(workers):
+        mine = Weights(NET.initial())
+        mine.update(gradient(NET, mine.values, x[at : at + 1], y[at : at + 1])[2], Adam())
+        vectors.append(mine.pack())
+    assert np.allclose(got.weights.pack(), np.mean(vectors, axis=0), atol=1e-12)
+    assert read_steps(spark, str(tmp_path)).count() == workers
+    assert 0 < len(list(tmp_path.rglob("kind=step/*.parquet"))) <= tasks
+
+
 def test_rounds_hold_every_batch_once(fleet):
     settings = Settings(workers=2, averaging_frequency=3, length=LENGTH)
     rows = windows(fleet, 4)
