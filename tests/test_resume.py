@@ -5,16 +5,18 @@ import pytest
 from pyspark.sql import functions as F
 from test_training import LENGTH, fleet, lives, windows  # noqa: F401
 
-from cyclemill.functions.lstm import Adam, Network, Weights
+from cyclemill.functions.lstm import Adam, Network, Weights, forward, gradient, log_loss
 from cyclemill.operators.balance import balanced_workers, worker_loads
 from cyclemill.operators.metrics import evaluation, evaluation_of_cells
 from cyclemill.plans.experiment import fit_windows
 from cyclemill.plans.scoring import score
+from cyclemill.plans.tensors import in_order, minibatches
 from cyclemill.plans.training import Settings, average_round, export_rounds, open_rounds, train
 from cyclemill.sources.journal import Journal
 from cyclemill.sources.models import read_steps
 
 NET = Network(features=2, outputs=1, units=(3,), dropout=0.2, precision="float64")
+STILL = Network(features=2, outputs=1, units=(3,), dropout=0.0, precision="float64")
 STEPWISE = Network(features=2, outputs=2, units=(3,), dropout=0.0, many_to_one=False, precision="float64")
 
 
@@ -136,6 +138,37 @@ def test_evaluation_on_the_way_equals_a_separate_pass(fleet, net, rows):  # noqa
     rounds.delete()
 
 
+def most_tasks(spark, name, call):
+    """What ``call`` returns, and the tasks of its largest stage."""
+    context = spark.sparkContext
+    context.setJobGroup(name, name)
+    try:
+        made = call()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup(name) for s in (tracker.getJobInfo(j).stageIds if tracker.getJobInfo(j) else [])]
+    return made, max(info.numTasks for info in map(tracker.getStageInfo, stages) if info)
+
+
+def test_iterations_of_workers_that_share_a_task(spark, fleet):  # noqa: F811
+    """Each worker's minibatch is evaluated with that worker's weights, however many workers a task has."""
+    rows = windows(fleet, 1)
+    workers = rows.agg(F.max("batch_id")).first()[0] + 1
+    settings = Settings(workers=workers, averaging_frequency=1, length=LENGTH, evaluate_every=10)
+    rounds, cells = export_rounds(rows, settings), []
+    net, start = STILL, Weights(STILL.initial())
+    _, most = most_tasks(spark, "cells", lambda: average_round(rounds.read(0), net, start, Adam(), settings, 0, cells=cells))
+    assert most < workers
+    loss = n = 0
+    for b in minibatches(in_order(rounds.read(0).repartition(1), net, settings.tbptt).toArrow().to_batches(), net, LENGTH, settings.tbptt):
+        mine = Weights(net.initial())
+        mine.update(gradient(net, mine.values, b.x, b.y)[2], Adam())
+        loss, n = loss + log_loss(net, forward(net, mine.values, b.x)[0], b.y).sum(), n + len(b.y)
+    assert sum(c[3] for c in cells) == n == workers and sum(c[4] for c in cells) == pytest.approx(loss, abs=1e-9)
+    rounds.delete()
+
+
 def test_cadence_counts_iterations_through_the_training(spark, fleet):  # noqa: F811
     settings = Settings(epochs=2, workers=2, averaging_frequency=2, length=LENGTH, evaluate_every=3)
     rounds = export_rounds(windows(fleet), settings)
