@@ -169,6 +169,24 @@ def test_iterations_of_workers_that_share_a_task(spark, fleet):  # noqa: F811
     rounds.delete()
 
 
+def test_workers_that_share_a_task_go_on_from_the_journal(spark, fleet, tmp_path):  # noqa: F811
+    rows = windows(fleet, 1)
+    workers = (rows.agg(F.max("batch_id")).first()[0] + 2) // 2
+    settings = Settings(epochs=1, workers=workers, averaging_frequency=1, length=LENGTH)
+    rounds, journal = export_rounds(rows, settings), Journal(spark, str(tmp_path / "journal"))
+
+    def stop(number, weights):
+        raise InterruptedError
+
+    with pytest.raises(InterruptedError):
+        train(spark, rounds, NET, settings, journal=journal, on_round=stop)
+    got, most = most_tasks(spark, "resumed", lambda: train(spark, rounds, NET, settings, journal=journal))
+    assert (got.weights.pack() == train(spark, rounds, NET, settings).weights.pack()).all()
+    assert got.rounds == rounds.count == 2 and most < workers
+    assert len({r[3] for r in statistics(journal) if r[2] == 0}) == workers
+    rounds.delete()
+
+
 def test_cadence_counts_iterations_through_the_training(spark, fleet):  # noqa: F811
     settings = Settings(epochs=2, workers=2, averaging_frequency=2, length=LENGTH, evaluate_every=3)
     rounds = export_rounds(windows(fleet), settings)
