@@ -4,10 +4,9 @@ Each task packs the documents it reads, in their order, block by block. Over the
 block's token stream a window may end at every position: cuts between documents are free, cuts
 at sentence ends cost ``SENTENCE_COST``, and all others ``SPLIT_COST``. The
 cost of a window that is not full is its padding; a length that is a power of two is
-not padded, but one more sequence. The least total is found by dynamic programming. Between two
-places that are cheaper to cut, what windows of any sizes cost depends on the distance alone, so a
-table of the cheapest such chains is made once; every place hands its cost plus that table on to the positions
-behind it, and full windows carry the positions' costs on to any distance.
+not padded, but one more sequence. The least total is found by dynamic programming over all positions, a block
+of them at once. Between two places that are cheaper to cut, what windows of any sizes cost depends on the distance
+alone, so a table of the cheapest such chains is made once; by it the windows are read back from the costs.
 """
 
 from __future__ import annotations
@@ -94,27 +93,53 @@ def chains(window: int) -> tuple[np.ndarray, list[int]]:
     return np.array(best[1:], dtype=np.float32), first
 
 
+def least_costs(place: np.ndarray, cost: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """For every position 0 .. place[-1] the least cost of windows up to it, the cut there not counted and counted.
+
+    Positions are worked on in blocks that the sizes of full and padded windows reach over, so that only powers of two
+    begin and end in the same block; their costs are lowered until none falls any more.
+    """
+    end = int(place[-1])
+    powers = [1 << k for k in range(window.bit_length()) if 1 << k < window]
+    # fewer tokens are cheaper as one window of each power of two, whatever it costs to cut between them
+    shortest = max(1, window - int(SPLIT_COST + 1) * len(powers))
+    # a cut, and one for the sequence behind it if that is of a power of two
+    cut = np.full(end + 1, SPLIT_COST + 1, dtype=np.float32)
+    cut[place] = cost + 1
+    least = np.zeros(end + 1, dtype=np.float32)
+    # with the cut, behind a front that no window begins in
+    paid = np.full(window + end + 1, np.inf, dtype=np.float32)
+    paid[window] = 1.0
+    ramp = np.arange(window, dtype=np.float32)
+    for a in range(1, end + 1, shortest):
+        b = min(end + 1, a + shortest)
+        own, mine = least[a:b], paid[window + a:window + b]
+        np.subtract(paid[a:b], 1, own)
+        if shortest < window:
+            # the least over all sizes that may be padded, by doubling the stretch it is taken over
+            low = paid[a + 1:window + b - shortest]
+            low, n = low + ramp[:len(low)], 1
+            while 2 * n <= window - shortest:
+                low, n = np.minimum(low[:-n], low[n:]), 2 * n
+            rest = window - shortest - n
+            np.minimum(own, np.minimum(low[:b - a], low[rest:rest + b - a]) - ramp[:b - a], own)
+        while True:
+            np.add(own, cut[a:b], mine)
+            for step in powers:
+                np.minimum(own, paid[window + a - step:window + b - step], own)
+            if np.array_equal(own + cut[a:b], mine):
+                break
+    return least, paid[window:] - 1
+
+
 def cheapest_cuts(place: np.ndarray, cost: np.ndarray, window: int) -> list[int]:
     """Ends of the windows of least padding and cut cost over the stream 0 .. place[-1], cut at any position."""
     table, first = per_worker(("chains", window, SPLIT_COST), lambda: chains(window))
     reach, end = len(table), int(place[-1])
-    # the least cost of windows up to each position, the cut there not counted
-    least = np.full(end + reach + 1, np.inf, dtype=np.float32)
-    least[1:reach + 1] = table
-    made, at = np.empty(reach, dtype=np.float32), 0
-    price = np.zeros(len(place) + 1, dtype=np.float32)
-    for k, (p, c) in enumerate(zip(place.tolist(), cost.tolist()), 1):
-        for a in range(max(at, window) + 1, p + 1, window):
-            # a full window behind any position that all places before it have handed on to
-            b = min(p + 1, a + window)
-            own = least[a:b]
-            np.minimum(own, least[a - window:b - window] + SPLIT_COST, own)
-        price[k] = total = least.item(p) + c
-        np.add(table, total, made)
-        own = least[p + 1:p + 1 + reach]
-        np.minimum(own, made, own)
-        at = p
+    least, paid = least_costs(place, cost, window)
     where = np.concatenate(([0], place))
+    price = paid[where]
+    one = np.array([min(window - n, 1) if n & (n - 1) == 0 else window - n for n in range(window + 1)])
     ends, p = [], end
     while p > 0:
         ends.append(p)
@@ -127,7 +152,9 @@ def cheapest_cuts(place: np.ndarray, cost: np.ndarray, window: int) -> list[int]
                 ends.append(p)
             p = start
         else:
-            p -= window
+            # of windows that begin elsewhere, the longest: a full one, if the window is a power of two
+            start = max(0, p - window)
+            p = start + int(np.flatnonzero(paid[start:p] + one[p - start:0:-1] == least[p])[0])
     return ends[::-1]
 
 

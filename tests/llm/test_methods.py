@@ -344,6 +344,22 @@ def test_cuts_are_the_cheapest_of_all_positions(steps):
     assert paid_for(packing.cheapest_cuts(place, cost, window), place, cost, window) == best[-1]
 
 
+@settings(max_examples=60, deadline=None)
+@given(
+    st.lists(st.tuples(st.sampled_from([1, 2, 3, 5, 13, 31, 47, 70, 203, 450]), st.sampled_from([0.0, 1.0])), min_size=1, max_size=12),
+    st.sampled_from([2, 16, 64, 100, 256]),
+)
+def test_least_costs_of_every_position(steps, window):
+    """Blocks of positions worked on at once have the costs of plain dynamic programming, and the cuts are paid by them."""
+    place, cost = np.cumsum([s for s, _ in steps]), np.array([c for _, c in steps])
+    costs, best, paid = dict(zip(place.tolist(), cost.tolist())), [0.0], [0.0]
+    for p in range(1, int(place[-1]) + 1):
+        best.append(min(paid[p - n] + (min(window - n, 1.0) if n & (n - 1) == 0 else window - n) for n in range(1, min(p, window) + 1)))
+        paid.append(best[-1] + costs.get(p, packing.SPLIT_COST))
+    assert [x.tolist() for x in packing.least_costs(place, cost, window)] == [best, paid]
+    assert paid_for(packing.cheapest_cuts(place, cost, window), place, cost, window) == paid[-1]
+
+
 def test_every_sentence_end_is_a_place():
     stops = np.array([False, False, True])
     ids = [np.array([0, 2, 0, 0, 2, 1]), np.array([1]), np.array([0] * 40 + [2, 0, 2, 1])]
