@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -47,6 +48,8 @@ TASKS_PER_CORE = 4
 WORKERS_PER_TASK = 1024
 # what a task holds of its results before it hands them on
 SENT_BYTES, SENT_ROWS = 16 << 20, 10_000
+# rounds that are read from their files at once, and rows of one worker in them
+HELD_ROUNDS, HELD_ROWS = 64, 1 << 16
 
 
 @dataclass(frozen=True)
@@ -72,11 +75,24 @@ class Rounds:
     table: DataFrame
     count: int
     path: str
+    rows: int = 0
 
     def read(self, number: int) -> DataFrame:
         directory = number % MAX_DIRECTORIES
         return self.table.where((F.col("round_group") == directory) & (F.col("round") == number))
 
+    def held_at_once(self, workers: int) -> int:
+        """How many rounds are held together, by the rows that a worker has in a round."""
+        return min(HELD_ROUNDS, HELD_ROWS * workers * self.count // max(self.rows, 1))
+
+    def hold(self, first: int, count: int, net: Network, settings: Settings) -> RDD:
+        """Rounds ``first`` to ``first + count - 1`` in executors: a partition of each worker's rows, in order, as (round, Arrow stream)."""
+        group, last = F.col("round_group"), first + count
+        near = group.isin([n % MAX_DIRECTORIES for n in range(first, last)])
+        rows = self.table.where(near & F.col("round").between(first, last - 1))
+        placed = in_order(rows.repartitionById(settings.workers, F.col("worker")), net, settings.tbptt, "round")
+        return placed.mapInArrow(streams, "round long, part binary").rdd.persist(StorageLevel.MEMORY_AND_DISK)
+
     def delete(self) -> None:
         """Remove the written table once training is done."""
         delete_table(self.table.sparkSession, self.path)
@@ -133,8 +149,8 @@ def _write_rounds(rows: DataFrame, settings: Settings, path: str) -> None:
 def open_rounds(spark: SparkSession, path: str) -> Rounds:
     """Rounds that were exported before, perhaps by another driver."""
     table = spark.read.schema(ROUND_SCHEMA).parquet(path)
-    last = table.agg(F.max("round")).first()[0]
-    return Rounds(table, 0 if last is None else last + 1, path)
+    last, rows = table.agg(F.max("round"), F.count("round")).first()
+    return Rounds(table, 0 if last is None else last + 1, path, rows)
 
 
 @contextmanager
@@ -229,20 +245,43 @@ def worker_tasks(workers: int, cores: int) -> int:
     return min(workers, max(TASKS_PER_CORE * cores, math.ceil(workers / WORKERS_PER_TASK)))
 
 
-def by_worker(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[pa.RecordBatch]]]:
-    """The rows of one worker after the other, which lie together; each worker's are read to their end."""
+def by_value(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[tuple[int, Iterator[pa.RecordBatch]]]:
+    """The rows of one value of a column after the other, which lie together; each value's are read to their end."""
 
     def cut() -> Iterator[tuple[int, pa.RecordBatch]]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            worker = batch.column(batch.schema.get_field_index("worker")).to_numpy()
-            bounds = [0, *(np.flatnonzero(worker[1:] != worker[:-1]) + 1).tolist(), len(worker)]
+            value = batch.column(batch.schema.get_field_index(name)).to_numpy()
+            bounds = [0, *(np.flatnonzero(value[1:] != value[:-1]) + 1).tolist(), len(value)]
             for a, b in zip(bounds, bounds[1:]):
-                yield int(worker[a]), batch.slice(a, b - a)
+                yield int(value[a]), batch.slice(a, b - a)
+
+    for value, own in itertools.groupby(cut(), key=lambda part: part[0]):
+        yield value, (batch for _, batch in own)
+
 
-    for worker, own in itertools.groupby(cut(), key=lambda part: part[0]):
-        yield worker, (batch for _, batch in own)
+def streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every stretch of rows of one round as an Arrow stream; a longer one has several."""
+    for number, own in by_value(batches, "round"):
+        for batch in own:
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, batch.schema) as out:
+                out.write_batch(batch)
+            yield pa.RecordBatch.from_pydict({"round": pa.array([number]), "part": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
+
+
+def work_of(worker: int, own: Iterator[pa.RecordBatch], packed, net, adam, settings, round_no: int, record: bool):
+    """What a worker makes of its share of a round: a row of ``TRAINED`` with its weights, and its counters."""
+    began = time.perf_counter()
+    mine = Weights.unpack(packed)
+    # the seed depends on round and worker only: a repeated task repeats its result
+    seed = (net.seed * 1_000_003 + round_no) * 1_000_003 + worker if net.dropout else None
+    counters = Counters(settings, round_no, record)
+    terms, loss = local_steps(own, net, mine, adam, settings, seed, counters)
+    held = [dict(zip(CELL_NAMES, (*k, *v))) for k, v in sorted(counters.cells.items())]
+    whole = {"kind": "worker", "worker": worker, "n": terms, "loss": loss, "seconds": time.perf_counter() - began, "cells": held}
+    return {**whole, "packed": mine.pack()}, counters
 
 
 def average_round(
@@ -273,16 +312,9 @@ def average_round(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made, size = [], 0
-        for worker, own in by_worker(batches):
-            began = time.perf_counter()
-            mine = Weights.unpack(shared.value)
-            # the seed depends on round and worker only: a repeated task repeats its result
-            seed = (net.seed * 1_000_003 + round_no) * 1_000_003 + worker if net.dropout else None
-            counters = Counters(settings, round_no, record)
-            terms, loss = local_steps(own, net, mine, adam, settings, seed, counters)
-            held = [dict(zip(CELL_NAMES, (*k, *v))) for k, v in sorted(counters.cells.items())]
-            whole = {"kind": "worker", "worker": worker, "n": terms, "loss": loss, "seconds": time.perf_counter() - began, "cells": held}
-            made.append({**whole, "packed": mine.pack()})
+        for worker, own in by_value(batches, "worker"):
+            whole, counters = work_of(worker, own, shared.value, net, adam, settings, round_no, record)
+            made.append(whole)
             made += [
                 {"kind": "step", "worker": worker, "batch_id": batch, "iteration": number, "step": step, "n": n, "loss": part, "norm": norm}
                 for batch, number, step, n, part, norm in counters.steps
@@ -312,6 +344,26 @@ def average_round(
         shared.destroy()
         if record:
             delete_table(spark, f"{steps_path}/kind=worker")
+    return _averaged(weights, stats, found, average, round_no, cells)
+
+
+def average_held_round(
+    held: RDD, number: int, net: Network, weights: Weights, adam: Adam, settings: Settings, round_no: int, cells: list | None = None
+) -> tuple[Weights, list[tuple]]:
+    """As ``average_round``, for round ``number`` of those in ``held``: neither files nor a shuffle nor a plan, for rounds by the thousand."""
+    packed = weights.pack()
+
+    def work(worker: int, parts) -> Iterator[dict]:
+        own = (batch for part in parts if part["round"] == number for batch in pa.ipc.open_stream(part["part"]))
+        yield work_of(worker, own, packed, net, adam, settings, round_no, False)[0]
+
+    made = sorted((r for r in held.mapPartitionsWithIndex(work).collect() if r["n"] > 0), key=lambda r: r["worker"])
+    stats = [tuple(r[c] for c in STATS) for r in made]
+    average = np.average([r["packed"] for r in made], axis=0, weights=[r["n"] for r in made]) if made else None
+    return _averaged(weights, stats, [r["cells"] for r in made], average, round_no, cells)
+
+
+def _averaged(weights: Weights, stats: list[tuple], found: list, average, round_no: int, cells: list | None):
     if cells is not None:
         cells += merged_cells(found)
     if not stats:
@@ -412,6 +464,8 @@ class _Run:
         # the next round of the epoch that is under way
         self.epoch, self.number = 1, 0
         self.over = False
+        # rounds that executors hold, and the first of them
+        self.held, self.first = None, 0
 
     def go(self, init: Weights | None) -> Trained:
         self.result = Trained(self.net, init or Weights(self.net.initial()))
@@ -419,19 +473,47 @@ class _Run:
         self.every = max(1, math.ceil(self.rounds.count / (self.settings.evaluations_per_epoch or 1)))
         if self.journal:
             self.restore()
-        while not self.over and self.epoch <= self.settings.epochs:
-            while self.number < self.rounds.count:
-                self.one_round()
-            self.end_epoch()
+        try:
+            while not self.over and self.epoch <= self.settings.epochs:
+                while self.number < self.rounds.count:
+                    self.one_round()
+                self.end_epoch()
+        finally:
+            self.release()
         self.flush()
         return self.result
 
+    def release(self) -> None:
+        if self.held is not None:
+            self.held.unpersist()
+            self.held = None
+
+    def hold(self) -> bool:
+        """Have executors hold the round that is next, with those that follow it, unless its workers or their vectors are too many."""
+        size, settings = self.result.weights.pack().nbytes, self.settings
+        count = self.rounds.held_at_once(settings.workers)
+        if (
+            self.steps_path or min(count, self.rounds.count) < 2
+            or settings.workers > TASKS_PER_CORE * self.spark.sparkContext.defaultParallelism
+            or size * settings.workers > setting(self.rounds.table, "driverBytes")
+        ):
+            return False
+        if self.held is None or not self.first <= self.number < self.first + count:
+            self.release()
+            self.first = self.number
+            self.held = self.rounds.hold(self.first, count, self.net, settings)
+        return True
+
     def one_round(self) -> None:
         result, number = self.result, self.result.rounds
         rows, cells = self.rounds.read(self.number), []
         path = self.steps_path and f"{self.steps_path}/run={self.run}/epoch={self.epoch}/round={number}"
-        result.weights, stats = average_round(
-            rows, self.net, result.weights, self.adam, self.settings, number, steps_path=path, cells=cells)
+        if self.hold():
+            result.weights, stats = average_held_round(
+                self.held, self.number, self.net, result.weights, self.adam, self.settings, number, cells)
+        else:
+            result.weights, stats = average_round(
+                rows, self.net, result.weights, self.adam, self.settings, number, steps_path=path, cells=cells)
         fresh = [(self.run, self.epoch, number, *s) for s in stats]
         for iteration, own in itertools.groupby(cells, key=lambda c: c[0]):
             self.note("iteration", {"iteration": iteration, **evaluation_of_cells([c[1:] for c in own])})

@@ -14,6 +14,7 @@ from cyclemill.plans.experiment import (
     window_rows,
 )
 from cyclemill.plans.scoring import score
+from cyclemill.plans import training
 from cyclemill.plans.training import Settings, average_round, export_rounds, train, worker_tasks
 from cyclemill.sources.batches import read_batches
 from cyclemill.sources.models import load_model, read_stats, read_steps
@@ -114,6 +115,32 @@ def test_many_workers_share_tasks(spark, fleet, tmp_path):
     assert 0 < len(list(tmp_path.rglob("kind=step/*.parquet"))) <= tasks
 
 
+@pytest.mark.parametrize("many_to_one", [True, False])
+def test_rounds_that_follow_one_another_are_held(spark, fleet, monkeypatch, many_to_one):
+    """Rounds are read in groups and each is one job, with the bit-equal results of rounds that are read one by one."""
+    monkeypatch.setattr(training, "HELD_ROUNDS", 7)
+    net = Network(features=2, outputs=1, units=(5, 4), dropout=0.2, many_to_one=many_to_one)
+    settings = Settings(workers=2, averaging_frequency=1, length=LENGTH, tbptt=4, epochs=2, evaluate_every=2)
+    rounds = export_rounds(windows(fleet, 4) if many_to_one else lives(fleet, 1), settings)
+    assert rounds.count > 6
+    weights, stats, cells = Weights(net.initial()), [], []
+    for number in range(2 * rounds.count):
+        weights, own = average_round(rounds.read(number % rounds.count), net, weights, Adam(), settings, number, cells=cells)
+        stats += [(number, *s[:3]) for s in own]
+    group = f"held {many_to_one}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        got = train(spark, rounds, net, settings)
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    groups = -(-rounds.count // 7)
+    assert 2 * rounds.count <= jobs <= 2 * (rounds.count + 3 * groups)
+    assert np.array_equal(got.weights.pack(), weights.pack())
+    assert [s[2:6] for s in got.stats] == stats
+    assert [e["iteration"] for e in got.evaluations if e["data"] == "iteration"] == sorted({c[0] for c in cells})
+
+
 def test_rounds_hold_every_batch_once(fleet):
     settings = Settings(workers=2, averaging_frequency=3, length=LENGTH)
     rows = windows(fleet, 4)
