@@ -22,6 +22,7 @@ Null and empty texts have no pieces. A null language is ``und``. Repeated rows c
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,9 @@ LEAST = 10
 TOP = 2000
 CANDIDATES_PER_TASK = 1 << 17
 UNKNOWN = "und"
+# a block is a row of some MB: what readers, writers and Python hold of them at once
+BLOCKS_IN_GROUP = 2
+BATCH_BYTES = 1 << 22
 
 # bytes that end a piece become line feeds; A-Z become a-z
 ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -46,6 +50,9 @@ TABLE = bytes(0x0A if b in ENDS else b + 32 if 0x41 <= b <= 0x5A else b for b in
 OUTSIDE = np.zeros(256, dtype=bool)
 OUTSIDE[[0x0A, 0x20, 0x09]] = True
 
+written_in_parts = partial(written_tidily, batch_bytes=BATCH_BYTES)
+written_blocks = partial(written_in_parts, group_rows=BLOCKS_IN_GROUP)
+
 WORDS = "items array<string>, n array<int>, lang string, lead int, item array<int>, step array<int>"
 RELATION = "block long, lang string, lead int, ids array<long>, item array<int>, step array<int>"
 
@@ -67,14 +74,17 @@ def counts(items: int, item: np.ndarray, position: np.ndarray, lead: int) -> np.
 
 
 class Block:
-    """Occurrences of words of one language, until they are enough for a block."""
+    """Occurrences of words of one language, until they are enough for a block; every different word is held once."""
 
     def __init__(self, lang: str, longest: int):
         self.lang, self.keep = lang, longest - 1
         self.clear([])
 
     def clear(self, lead: list[bytes]) -> None:
-        self.words, self.steps, self.lead, self.n = [list(lead)], [np.ones(len(lead), dtype=np.int64)], len(lead), len(lead)
+        self.ids: dict[bytes, int] = {}
+        self.numbers, self.steps, self.lead, self.n = [], [], len(lead), 0
+        self.last: list[bytes] = []  # the words that the next block may need
+        self.put(lead, np.ones(len(lead), dtype=np.int64))
 
     def add(self, words: list[bytes], steps: np.ndarray, size: int) -> Iterator[tuple]:
         """Take in a text's words; yields the blocks that are full."""
@@ -87,7 +97,7 @@ class Block:
             joined = np.concatenate(self.steps)
             last = np.flatnonzero(joined != 1)
             run = len(joined) - (last[-1] if len(last) else 0)
-            lead = [w for part in self.words for w in part][-min(self.keep, run):] if whole and self.keep else []
+            lead = self.last[-min(self.keep, run):] if whole and self.keep else []
             yield self.row()
             self.clear(lead)
             at = cut
@@ -95,18 +105,20 @@ class Block:
 
     def put(self, words: list[bytes], steps: np.ndarray) -> None:
         if len(words):
-            self.words.append(words)
-            self.steps.append(steps)
+            ids = self.ids
+            self.numbers.append(np.fromiter((ids.setdefault(w, len(ids)) for w in words), dtype=np.int32, count=len(words)))
+            self.steps.append(steps.astype(np.int32))
+            if self.keep:
+                self.last = (self.last + words[-self.keep:])[-self.keep:]
             self.n += len(words)
 
     def row(self) -> tuple:
-        ids: dict[bytes, int] = {}
-        numbers = np.fromiter((ids.setdefault(w, len(ids)) for part in self.words for w in part), dtype=np.int64, count=self.n)
+        numbers = np.concatenate(self.numbers)
         # the first position is 1 whatever came before
         steps = np.concatenate(self.steps)
         steps[0] = 1
-        n = counts(len(ids), numbers, np.cumsum(steps), self.lead)
-        return [w.decode() for w in ids], n, self.lang, self.lead, numbers.astype(np.int32), steps.astype(np.int32)
+        n = counts(len(self.ids), numbers, np.cumsum(steps, dtype=np.int64), self.lead)
+        return [w.decode() for w in self.ids], n, self.lang, self.lead, numbers, steps
 
 
 def blocks(docs: DataFrame, longest: int = LONGEST, size: int = BLOCK_WORDS) -> DataFrame:
@@ -144,7 +156,7 @@ def blocks(docs: DataFrame, longest: int = LONGEST, size: int = BLOCK_WORDS) ->
     # task and row, in fewer bits than the function leaves them
     task, row = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << BLOCK_BITS) - 1))
     numbered = made.withColumn("_id", F.monotonically_increasing_id())
-    return written_tidily(numbered.withColumn("block", F.shiftleft(task, BLOCK_BITS) + row).drop("_id"), "words")
+    return written_blocks(numbered.withColumn("block", F.shiftleft(task, BLOCK_BITS) + row).drop("_id"), "words")
 
 
 WORDS_SCHEMA = pa.schema([("items", pa.list_(pa.string())), ("n", pa.list_(pa.int32())), ("lang", pa.string()), ("lead", pa.int32()),
@@ -216,28 +228,31 @@ def frequent_places(places: DataFrame, keys: Sequence[str], least: int) -> DataF
     """The rows of ``places`` whose phrase occurs ``least`` times or more: (keys, place, id, n of the whole table)."""
     of_phrase = Window.partitionBy(*keys)
     summed = places.withColumns({"n": F.sum("n").over(of_phrase), "id": F.min("place").over(of_phrase)})
-    return written_tidily(summed.filter(F.col("n") >= least), "frequent")
+    return written_in_parts(summed.filter(F.col("n") >= least), "frequent")
 
 
 def grown(source: DataFrame, found: DataFrame, first: bool) -> DataFrame:
     """The relation of the frequent phrases ``found``: of the words ``source``, or one word longer than those of ``source``."""
     at = F.col("place").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int")
-    own = found.select(F.shiftright("place", PLACE_BITS).alias("block"), F.struct(at.alias("at"), "id").alias("pair")).groupBy("block").agg(
-        F.collect_list("pair").alias("met"))
+    met = found.select(F.shiftright("place", PLACE_BITS).alias("block"), at.alias("at"), "id")
     size = F.size("n") if first else F.size("ids")
-    both = source.select("block", "lang", "lead", size.alias("size"), "item", "step").join(own, "block").select(
-        "block", "lang", "lead", "size", "item", "step", "met.at", "met.id")
+    rows = source.select("block", "lang", "lead", size.alias("size"), "item", "step")
 
-    def work(block, lang, lead, n, item, step, at, ids):
+    def work(own: pa.Table, met: pa.Table) -> pa.Table:
+        if not own.num_rows or not met.num_rows:
+            return RELATION_SCHEMA.empty_table()
+        block, lang, lead, n = (own.column(c)[0].as_py() for c in ("block", "lang", "lead", "size"))
+        item, step = (own.column(c)[0].values.to_numpy() for c in ("item", "step"))
         if first:
             position = np.cumsum(step.astype(np.int64))
         else:
             left, _, item, position = joined(item, step, n)
             n, lead = len(left), max(lead - 1, 0)
-        row = (block, lang, lead, *kept(n, item, position, at, ids))
-        return [pa.array([c], f.type) for c, f in zip(row, RELATION_SCHEMA)]
+        row = (block, lang, lead, *kept(n, item, position, *(met.column(c).to_numpy() for c in ("at", "id"))))
+        return pa.table([pa.array([c], f.type) for c, f in zip(row, RELATION_SCHEMA)], schema=RELATION_SCHEMA)
 
-    return written_tidily(each_block(both, RELATION, RELATION_SCHEMA, work), "relation")
+    # a block's places come as rows of their own: Spark holds no array of them
+    return written_blocks(rows.groupBy("block").cogroup(met.groupBy("block")).applyInArrow(work, RELATION), "relation")
 
 
 def frequent_phrases(
@@ -249,16 +264,16 @@ def frequent_phrases(
     (lefts, rights, n, id). Relations are deleted once the next is written.
     """
     source = blocks(docs, longest, size)
-    whole = written_tidily(source.groupBy("lang").agg(
+    whole = written_in_parts(source.groupBy("lang").agg(
         F.sum(F.aggregate("n", F.lit(0).cast("long"), lambda s, x: s + x)).alias("n")), "totals")
     found, places, keys = [], word_places(source), ("lang", "items")
     for length in range(1, longest + 1):
         if length == longest and length > 1:  # nothing goes back to the blocks
             sums = places.groupBy(*keys).agg(F.sum("n").alias("n"), F.min("place").alias("id")).filter(F.col("n") >= least)
-            found.append(written_tidily(sums, "phrases"))
+            found.append(written_in_parts(sums, "phrases"))
             break
         some = frequent_places(places, keys, least)
-        found.append(written_tidily(some.filter("place = id").select(*keys, "n", "id"), "phrases"))
+        found.append(written_in_parts(some.filter("place = id").select(*keys, "n", "id"), "phrases"))
         if length < longest:
             longer = grown(source, some, length == 1)
             removed(source)
@@ -283,13 +298,13 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, size: int
     word = lambda at: small_side(words.select(
         F.col("id").alias(at), F.col("items").alias(f"{at}_text"), F.col("n").alias(f"{at}_n"), F.col("lang").alias(f"{at}_lang")))
     two = pairs.select("id", "n", F.col("lefts").alias("w1"), F.col("rights").alias("w2")).join(word("w1"), "w1").join(word("w2"), "w2")
-    two = written_tidily(two.select(
+    two = written_in_parts(two.select(
         F.col("w1_lang").alias("lang"), "id", F.concat_ws(" ", "w1_text", "w2_text").alias("phrase"), F.col("n").alias("a"), F.col("w1_n").alias("l"),
         F.col("w2_n").alias("r"), "w2_text"), "pairs")
     part = lambda at: small_side(two.select(
         F.col("id").alias(at), F.col("phrase").alias(f"{at}_text"), F.col("a").alias(f"{at}_n"), F.col("l").alias(f"{at}_first"),
         F.col("r").alias(f"{at}_last"), F.col("w2_text").alias(f"{at}_end"), F.col("lang").alias(f"{at}_lang")))
-    three = written_tidily(triples.withColumnRenamed("n", "a").join(part("lefts"), "lefts").join(part("rights"), "rights"), "triples")
+    three = written_in_parts(triples.withColumnRenamed("n", "a").join(part("lefts"), "lefts").join(part("rights"), "rights"), "triples")
     inside = three.select("a", F.explode(F.array("lefts", "rights")).alias("id")).groupBy("id").agg(F.max("a").alias("most"))
     # 100 * most >= 50 * a
     alone = two.join(inside, "id", "left").filter(F.coalesce(2 * F.col("most") < F.col("a"), F.lit(True)))
@@ -301,7 +316,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, size: int
     phrases = alone.select("lang", "phrase", "a", "l", "r", share("a", "l", "r").alias("score")).unionByName(
         three.select(F.col("lefts_lang").alias("lang"), F.concat_ws(" ", "lefts_text", "rights_end").alias("phrase"), "a", least_cut.alias("c")).select(
             "lang", "phrase", "a", "c.l", "c.r", "c.score"))
-    phrases = written_tidily(phrases, "candidates")
+    phrases = written_in_parts(phrases, "candidates")
     # the best of every share of a language's phrases first, then of these
     parts = -(-phrases.count() // CANDIDATES_PER_TASK) or 1
     order = (F.desc("score"), F.desc("a"), F.asc("phrase"))

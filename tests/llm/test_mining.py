@@ -11,13 +11,15 @@ from pathlib import Path
 
 import brute
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from oracle import compare, connect  # noqa: E402
 
-from cyclemill.llm import collocations, merkle, quality  # noqa: E402
+from cyclemill.llm import collocations, common, merkle, quality  # noqa: E402
 from cyclemill.llm.queries import ORACLES, QUERIES  # noqa: E402
 
 GIVEN = "/root/testdata/sf0.001"
@@ -79,6 +81,24 @@ def test_phrases_in_many_parts(spark, monkeypatch):
     assert Counter(map(tuple, collocations.collocations(docs, least=2, top=7).collect())) == phrases(texts, 2, 7)
 
 
+def test_blocks_are_read_a_few_at_a_time(spark):
+    """A reader decodes a row group at once, Python gets a batch at once: neither may grow with the blocks of a file."""
+    docs = spark.createDataFrame([("en", mixed(s, 200)) for s in range(8)], "lang string, text string").coalesce(1)
+    words = collocations.blocks(docs, size=16)
+    held = [file.metadata.row_group(i).num_rows for file in map(pq.ParquetFile, (f.removeprefix("file:") for f in words.inputFiles()))
+            for i in range(file.metadata.num_row_groups)]
+    assert sum(held) == words.count() > 50 and max(held) <= collocations.BLOCKS_IN_GROUP
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    large = spark.range(0, 12, 1, 1).select(F.sequence(F.lit(0), F.lit(collocations.BATCH_BYTES // 4)).alias("x"))
+    before = spark.conf.get(common.BATCH)
+    assert {r.n for r in collocations.written_in_parts(large.mapInArrow(sizes, "n long"), "sizes").collect()} == {1}
+    assert spark.conf.get(common.BATCH) == before
+
+
 def test_longer_phrases(spark):
     docs = spark.createDataFrame([("en", "one two three four five. " * 12 + mixed(9, 50))], "lang string, text string")
     for size in (4, 1 << 10):
