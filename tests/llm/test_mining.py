@@ -21,6 +21,7 @@ from oracle import compare, connect  # noqa: E402
 
 from cyclemill.llm import collocations, common, merkle, quality  # noqa: E402
 from cyclemill.llm.queries import ORACLES, QUERIES  # noqa: E402
+from cyclemill.sizing import small_side  # noqa: E402
 
 GIVEN = "/root/testdata/sf0.001"
 
@@ -320,6 +321,51 @@ def test_copies_of_junk_do_not_vouch_for_it(spark, prose):
     assert scores[0] == scores[1] and len(scores[0]) == 1
 
 
+def running_grams(texts, order=quality.ORDER):
+    """(lang, n-gram): how often it occurs in the running text of the different texts, if two of these hold it."""
+    n, holds = Counter(), {}
+    for lang, text in {(x, t) for x, t in texts if t}:
+        for word in text.split():
+            own = f" {word} "
+            for i in range(1, len(own)):
+                key = lang, own[max(0, i - order + 1):i + 1]
+                n[key] += 1
+                holds.setdefault(key, set()).add(text)
+    return {key: c for key, c in n.items() if len(holds[key]) > 1}
+
+
+@pytest.mark.parametrize("held,copied", [(1 << 19, 1 << 20), (40, 1 << 20), (1 << 19, 1)])
+def test_the_model_counts_the_running_text(spark, prose, monkeypatch, held, copied):
+    """Every occurrence counts, of copies those of one: with few words held at once, and with a join of the copies that is shuffled."""
+    monkeypatch.setattr(quality, "WORDS_HELD", held)
+    monkeypatch.setattr(quality, "small_side", lambda df: small_side(df, max_rows=copied))
+    rows = prose + prose[:3] + prose[:1] * 4
+    docs = spark.createDataFrame([(1, x, t) for x, t in rows], "doc_id long, lang string, text string").repartition(5)
+    got = {(r.lang, r.gram): r.n for r in quality.gram_counts(quality.vocabulary(docs, running=True)).collect()}
+    assert got == running_grams(rows) and max(got.values()) > 300
+
+
+def test_verdicts_are_of_the_running_text(spark, prose):
+    """Rare words made common in the running text, but not in the vocabulary, cost less."""
+    texts = [t for x, t in prose if x == "en"]
+    scores = []
+    for times in (1, 200):
+        docs = spark.createDataFrame([(i, "en", t) for i, t in enumerate([*texts, "kettle drum", "kettle drum now " * times])], "doc_id long, lang string, text string")
+        found = quality.quality(docs)
+        scores.append(found.filter(F.col("doc_id") == len(texts)).select(f"{found.columns[-1]}.score").first()[0])
+    assert scores[1] < scores[0] - 0.5
+
+
+def test_copies_do_not_vouch_for_junk_in_the_running_text(spark, prose):
+    own = [t for x, t in prose if x == "en" and "zq" not in t]
+    scores = []
+    for copies in (1, 30):
+        docs = spark.createDataFrame([(i, "en", t) for i, t in enumerate(own + ["vkp jjw qcx thest " * 20] * copies)], "doc_id long, lang string, text string")
+        found = quality.scored(docs, quality.train(docs, running=True))
+        scores.append(found.filter(F.col("doc_id") >= len(own)).select(f"{found.columns[-1]}.score").distinct().collect())
+    assert scores[0] == scores[1] and len(scores[0]) == 1
+
+
 def test_bands_reject_on_either_side(spark):
     rng = random.Random(3)
     rows = [("en", i, rng.gauss(2.0, 0.05)) for i in range(400)] + [("en", 1000, 0.5), ("en", 1001, 4.0), ("en", 5, 2.0), ("fr", 1, 1.0), ("fr", 2, None)]
